@@ -178,3 +178,192 @@ def _dataset_summary(t: Tables) -> DataFrame:
     "SELECT DISTINCT user_id FROM interactions ORDER BY user_id LIMIT 20", "interactions"))
 def _sample_users(t: Tables) -> DataFrame:
     return stats.sample_users(t.interactions(), n=20)
+
+
+# ---------------------------------------------------------------- profiling, cleaning
+
+from recsift.operators import clean, lookup  # noqa: E402
+
+_CANONICAL = ("interactions", "items", "tags", "tag_scores", "tag_names")
+
+
+def _canonical(t: Tables) -> list[tuple[str, DataFrame]]:
+    return [("interactions", t.interactions()), ("items", t.items()), ("tags", t.tags()),
+            ("tag_scores", t.tag_scores()), ("tag_names", t.tag_names())]
+
+
+_NCOLS = {"interactions": 4, "items": 4, "tags": 4, "tag_scores": 3, "tag_names": 2}
+
+
+@query("profile_table", with_tables(" UNION ALL ".join(
+    f"SELECT '{n}' AS \"table\", count(*) AS n_rows, CAST({_NCOLS[n]} AS BIGINT) AS n_cols FROM {n}"
+    for n in _CANONICAL), *_CANONICAL))
+def _profile_table(t: Tables) -> DataFrame:
+    frames = [clean.shape(df, n) for n, df in _canonical(t)]
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
+@query("profile_missing", with_tables("""
+    SELECT 'user_id' AS "column", count_if(user_id IS NULL) AS missing FROM gappy
+    UNION ALL SELECT 'item_id', count_if(item_id IS NULL) FROM gappy
+    UNION ALL SELECT 'rating', count_if(rating IS NULL OR isnan(rating)) FROM gappy
+    UNION ALL SELECT 'ts', count_if(ts IS NULL) FROM gappy""", "gappy"))
+def _profile_missing(t: Tables) -> DataFrame:
+    return clean.missing_counts(t.gappy())
+
+
+@query("profile_duplicates", with_tables(" UNION ALL ".join(
+    f"SELECT '{n}' AS \"table\", (SELECT count(*) FROM {n}) AS n_rows, "
+    f"(SELECT count(*) FROM (SELECT DISTINCT * FROM {n})) AS n_distinct, "
+    f"(SELECT count(*) FROM {n}) - (SELECT count(*) FROM (SELECT DISTINCT * FROM {n})) AS n_duplicates"
+    for n in _CANONICAL), *_CANONICAL))
+def _profile_duplicates(t: Tables) -> DataFrame:
+    frames = [clean.duplicate_counts(df, n) for n, df in _canonical(t)]
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
+@query("impute_mean", with_tables("""
+    SELECT user_id, item_id, round(coalesce(rating, avg(rating) OVER ()), 6) AS rating, ts FROM gappy""", "gappy"))
+def _impute_mean(t: Tables) -> DataFrame:
+    out = clean.impute_mean(t.gappy())
+    return out.select("user_id", "item_id", r6(F.col("rating")).alias("rating"), "ts")
+
+
+_HASH = "((user_id * 7919 + item_id * 104729) % 1000003)"
+
+
+@query("sample_random")
+def _sample_random(t: Tables) -> DataFrame:
+    return clean.sample_random(t.interactions(), 0.2, seed=42)
+
+
+@query("sample_hash", with_tables(
+    f"SELECT user_id, item_id, rating, ts FROM interactions WHERE {_HASH} % 1000 < 200", "interactions"))
+def _sample_hash(t: Tables) -> DataFrame:
+    return clean.sample_hash(t.interactions(), 0.2)
+
+
+@query("split_random")
+def _split_random(t: Tables) -> DataFrame:
+    return clean.split_random(t.interactions().select("user_id", "item_id", "rating"), (0.8, 0.2), seed=42)
+
+
+@query("split_hash", with_tables("SELECT user_id, item_id, rating, split FROM split", "split"))
+def _split_hash(t: Tables) -> DataFrame:
+    return t.split().select("user_id", "item_id", "rating", "split")
+
+
+@query("split_report", with_tables("""
+    SELECT split, count(*) AS n_rows, round(100.0 * count(*) / (SELECT count(*) FROM split), 6) AS pct
+    FROM split GROUP BY split""", "split"))
+def _split_report(t: Tables) -> DataFrame:
+    return clean.split_report(t.split()).select("split", "n_rows", r6(F.col("pct")).alias("pct"))
+
+
+@query("feature_vector", with_tables("""
+    SELECT item_id, CAST(count(rating) AS DOUBLE) AS f_count, round(avg(rating), 6) AS f_mean,
+           round(coalesce(stddev_samp(rating), 'NaN'::DOUBLE), 6) AS f_stddev
+    FROM interactions GROUP BY item_id""", "interactions"))
+def _feature_vector(t: Tables) -> DataFrame:
+    st = stats.item_stats(t.interactions())
+    vec = clean.feature_vector(st, ["rating_count", "rating_mean", "rating_stddev"])
+    flat = clean.vector_columns(vec.select("item_id", "features"), "features", ["f_count", "f_mean", "f_stddev"])
+    return flat.select("item_id", "f_count", r6(F.col("f_mean")).alias("f_mean"),
+                       r6(F.col("f_stddev")).alias("f_stddev"))
+
+
+# ---------------------------------------------------------------- scalar functions
+
+@query("split_genres", with_tables("""
+    SELECT item_id, CAST(pos AS INTEGER) AS pos, genres[pos] AS genre
+    FROM (SELECT item_id, genres, unnest(range(1, len(genres) + 1)) AS pos FROM items)""", "items"))
+def _split_genres(t: Tables) -> DataFrame:
+    i = t.items()
+    return i.select("item_id", F.posexplode("genres").alias("pos", "genre")).select(
+        "item_id", (F.col("pos") + 1).alias("pos"), "genre")
+
+
+@query("item_year", with_tables("SELECT item_id, title, year FROM items", "items"))
+def _item_year(t: Tables) -> DataFrame:
+    return t.items().select("item_id", "title", "year")
+
+
+# ---------------------------------------------------------------- filters, lookups
+
+@query("relevant_tags", with_tables(
+    "SELECT item_id, tag_id, relevance FROM tag_scores WHERE relevance > 0.5", "tag_scores"))
+def _relevant_tags(t: Tables) -> DataFrame:
+    return lookup.relevant_tags(t.tag_scores())
+
+
+@query("liked_items", with_tables(
+    "SELECT user_id, item_id, rating FROM interactions WHERE rating >= 4.0", "interactions"))
+def _liked_items(t: Tables) -> DataFrame:
+    return lookup.liked_items(t.interactions())
+
+
+@query("active_users", with_tables(
+    "SELECT user_id, count(*) AS n_ratings FROM interactions GROUP BY user_id HAVING count(*) >= 5",
+    "interactions"))
+def _active_users(t: Tables) -> DataFrame:
+    return lookup.active_users(t.interactions())
+
+
+# Fixed search parameters for the registered queries.
+SEARCH_TEXT = "red"
+SEARCH_REGEX = "(ring|bolt) \\(19[89]"
+
+
+@query("search_titles", with_tables(f"""
+    SELECT item_id, title, array_to_string(genres, '|') AS genres FROM items
+    WHERE title IS NOT NULL AND contains(lower(title), '{SEARCH_TEXT}') ORDER BY item_id LIMIT 10""", "items"))
+def _search_titles(t: Tables) -> DataFrame:
+    s = lookup.search_titles(t.items(), SEARCH_TEXT, limit=10)
+    return s.select("item_id", "title", F.array_join("genres", "|").alias("genres"))
+
+
+@query("search_titles_regex", with_tables(f"""
+    SELECT item_id, title FROM items
+    WHERE title IS NOT NULL AND regexp_matches(lower(title), '{SEARCH_REGEX}') ORDER BY item_id""", "items"))
+def _search_titles_regex(t: Tables) -> DataFrame:
+    return lookup.search_titles(t.items(), SEARCH_REGEX, limit=None, regex=True).select("item_id", "title")
+
+
+@query("tag_lookup", with_tables("""
+    SELECT s.item_id, s.tag_id, coalesce(n.tag, '') AS tag
+    FROM tag_scores s LEFT JOIN tag_names n ON s.tag_id = n.tag_id WHERE s.relevance > 0.5""",
+    "tag_scores", "tag_names"))
+def _tag_lookup(t: Tables) -> DataFrame:
+    return lookup.tag_lookup(t.tag_scores(), t.tag_names())
+
+
+@query("title_lookup", with_tables("""
+    SELECT r.item_id, coalesce(i.title, 'Movie ' || CAST(r.item_id AS VARCHAR)) AS title
+    FROM (SELECT DISTINCT item_id FROM interactions UNION SELECT DISTINCT item_id FROM tag_scores) r
+    LEFT JOIN items i ON r.item_id = i.item_id""", "interactions", "tag_scores", "items"))
+def _title_lookup(t: Tables) -> DataFrame:
+    ids = t.interactions().select("item_id").union(t.tag_scores().select("item_id")).distinct()
+    return lookup.with_titles(ids, t.items()).select("item_id", "title")
+
+
+@query("user_top_item", with_tables("""
+    SELECT user_id, item_id, rating FROM (
+        SELECT user_id, item_id, rating,
+               row_number() OVER (PARTITION BY user_id ORDER BY rating DESC, item_id) AS rn
+        FROM interactions) WHERE rn = 1""", "interactions"))
+def _user_top_item(t: Tables) -> DataFrame:
+    return lookup.user_top_item(t.interactions())
+
+
+@query("user_history", with_tables("""
+    SELECT r.user_id, r.item_id, coalesce(i.title, 'Movie ' || CAST(r.item_id AS VARCHAR)) AS title,
+           r.rating, r.ts
+    FROM interactions r LEFT JOIN items i ON r.item_id = i.item_id""", "interactions", "items"))
+def _user_history(t: Tables) -> DataFrame:
+    return lookup.user_history(t.interactions(), t.items())
