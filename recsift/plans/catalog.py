@@ -44,7 +44,8 @@ def _load_interactions(t: Tables) -> DataFrame:
 
 
 @query("load_items", with_tables(
-    "SELECT item_id, title, array_to_string(genres, '|') AS genres, len(genres) AS n_genres, year FROM items",
+    "SELECT item_id, title, array_to_string(genres, '|') AS genres, CAST(len(genres) AS INTEGER) AS n_genres, "
+    "year FROM items",
     "items"))
 def _load_items(t: Tables) -> DataFrame:
     i = t.items()
@@ -367,3 +368,94 @@ def _user_top_item(t: Tables) -> DataFrame:
     FROM interactions r LEFT JOIN items i ON r.item_id = i.item_id""", "interactions", "items"))
 def _user_history(t: Tables) -> DataFrame:
     return lookup.user_history(t.interactions(), t.items())
+
+
+# ---------------------------------------------------------------- content model
+
+from recsift.operators import content, recommend, similarity  # noqa: E402
+
+N_SIMILAR = 10
+
+
+def _content_model(t: Tables, simple: bool = False) -> content.ContentModel:
+    if simple:
+        return content.ContentModel.fit(t.items(), simple=True)
+    return content.ContentModel.fit(t.items(), t.tags(), t.tag_scores(), t.tag_names())
+
+
+def _similar(t: Tables) -> DataFrame:
+    return similarity.similar_items(_content_model(t).vectors, n=N_SIMILAR)
+
+
+@query("item_document", with_tables("SELECT item_id, document FROM doc", "doc"))
+def _item_document(t: Tables) -> DataFrame:
+    return content.item_document(t.items(), t.tags(), t.tag_scores(), t.tag_names())
+
+
+@query("item_document_simple", with_tables("SELECT item_id, document FROM doc_simple", "doc_simple"))
+def _item_document_simple(t: Tables) -> DataFrame:
+    return content.item_document_simple(t.items())
+
+
+@query("item_tokens", with_tables("SELECT item_id, term, tf FROM toks", "toks"))
+def _item_tokens(t: Tables) -> DataFrame:
+    return content.item_terms(t.items(), t.tags(), t.tag_scores(), t.tag_names())
+
+
+@query("vocabulary", with_tables(
+    "SELECT term, df, tf_total, round(idf, 9) AS idf FROM vocab", "vocab"))
+def _vocabulary(t: Tables) -> DataFrame:
+    v = _content_model(t).vocab
+    return v.select("term", "df", "tf_total", F.round("idf", 9).alias("idf"))
+
+
+@query("vocabulary_simple", with_tables(
+    "SELECT term, df, tf_total, round(idf, 9) AS idf FROM vocab_simple", "vocab_simple"))
+def _vocabulary_simple(t: Tables) -> DataFrame:
+    v = _content_model(t, simple=True).vocab
+    return v.select("term", "df", "tf_total", F.round("idf", 9).alias("idf"))
+
+
+@query("tfidf_vectors", with_tables(
+    "SELECT item_id, term, tf, round(weight, 9) AS weight FROM vec", "vec"))
+def _tfidf_vectors(t: Tables) -> DataFrame:
+    v = _content_model(t).vectors
+    return v.select("item_id", "term", "tf", F.round("weight", 9).alias("weight"))
+
+
+@query("similar_items", with_tables("SELECT seed_id, item_id, similarity, rank FROM neighbours", "neighbours"))
+def _similar_items(t: Tables) -> DataFrame:
+    return _similar(t)
+
+
+_LIKED_RECS_SQL = """
+    SELECT user_id, item_id, similarity, CAST(rank AS INTEGER) AS rank FROM (
+        SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY similarity DESC, item_id) AS rank FROM (
+            SELECT c.user_id, c.item_id, max(c.similarity) AS similarity
+            FROM (SELECT l.user_id, s.item_id, s.similarity
+                  FROM {ratings} l JOIN neighbours s ON l.item_id = s.seed_id WHERE l.rating >= 4.0) c
+            WHERE NOT EXISTS (SELECT 1 FROM {ratings} r WHERE r.user_id = c.user_id AND r.item_id = c.item_id)
+            GROUP BY c.user_id, c.item_id))
+    WHERE rank <= 10"""
+
+
+@query("content_recs_liked", with_tables(_LIKED_RECS_SQL.format(ratings="interactions"), "neighbours", "interactions"))
+def _content_recs_liked(t: Tables) -> DataFrame:
+    return recommend.content_recs_liked(t.interactions(), _similar(t), n=N_SIMILAR)
+
+
+@query("content_recs_top_item", with_tables("""
+    SELECT u.user_id, u.item_id AS seed_id, s.item_id, s.similarity, s.rank
+    FROM user_top u JOIN neighbours s ON u.item_id = s.seed_id""", "user_top", "neighbours"))
+def _content_recs_top_item(t: Tables) -> DataFrame:
+    return recommend.content_recs_top_item(t.interactions(), _similar(t), n=N_SIMILAR)
+
+
+@query("unseen_candidates", with_tables("""
+    SELECT u.user_id, s.item_id, s.similarity
+    FROM user_top u JOIN neighbours s ON u.item_id = s.seed_id
+    WHERE NOT EXISTS (SELECT 1 FROM interactions r WHERE r.user_id = u.user_id AND r.item_id = s.item_id)""",
+    "user_top", "neighbours", "interactions"))
+def _unseen_candidates(t: Tables) -> DataFrame:
+    recs = recommend.content_recs_top_item(t.interactions(), _similar(t), n=N_SIMILAR)
+    return lookup.drop_seen(recs, t.interactions()).select("user_id", "item_id", "similarity")

@@ -39,6 +39,44 @@ CTES: dict[str, str] = {
         FROM interactions""",
     "train": "SELECT user_id, item_id, rating FROM split WHERE split = 'train'",
     "test": "SELECT user_id, item_id, rating FROM split WHERE split = 'test'",
+    # ---- content model (T1-T6): tokenise the concatenated documents, term self-join
+    "doc_tags": """
+        SELECT item_id, string_agg(tag, ' ' ORDER BY tag) AS tag_text FROM tags
+        WHERE tag IS NOT NULL GROUP BY item_id""",
+    "doc_genome": """
+        SELECT s.item_id, string_agg(coalesce(n.tag, ''), ' ' ORDER BY coalesce(n.tag, '')) AS genome_text
+        FROM tag_scores s LEFT JOIN tag_names n ON s.tag_id = n.tag_id WHERE s.relevance > 0.5
+        GROUP BY s.item_id""",
+    "doc": """
+        SELECT i.item_id, concat_ws(' ', i.title, array_to_string(i.genres, ' '), coalesce(t.tag_text, ''),
+                                    coalesce(g.genome_text, '')) AS document
+        FROM items i LEFT JOIN doc_tags t ON i.item_id = t.item_id LEFT JOIN doc_genome g ON i.item_id = g.item_id""",
+    "doc_simple": """
+        SELECT item_id, concat_ws(' ', title, array_to_string(genres, ' ')) AS document FROM items""",
+    "stop_words": "__STOP_WORDS__",
+    "toks": r"""
+        SELECT item_id, term, count(*) AS tf FROM (
+            SELECT item_id, unnest(regexp_extract_all(lower(document), '[\p{L}\p{N}_]{2,}')) AS term FROM doc)
+        WHERE term NOT IN (SELECT term FROM stop_words) GROUP BY item_id, term""",
+    "vocab": """
+        SELECT term, count(*) AS df, CAST(sum(tf) AS BIGINT) AS tf_total,
+               ln((1.0 + (SELECT count(*) FROM items)) / (1.0 + count(*))) + 1 AS idf
+        FROM toks GROUP BY term ORDER BY tf_total DESC, term LIMIT 5000""",
+    "vec": """
+        SELECT item_id, term, tf, w / sqrt(sum(w * w) OVER (PARTITION BY item_id)) AS weight FROM (
+            SELECT t.item_id, t.term, t.tf, t.tf * v.idf AS w FROM toks t JOIN vocab v ON t.term = v.term)""",
+    "neighbours": """
+        SELECT seed_id, item_id, similarity, CAST(rank AS INTEGER) AS rank FROM (
+            SELECT *, row_number() OVER (PARTITION BY seed_id ORDER BY similarity DESC, item_id) AS rank FROM (
+                SELECT a.item_id AS seed_id, b.item_id AS item_id, round(sum(a.weight * b.weight), 9) AS similarity
+                FROM vec a JOIN vec b ON a.term = b.term AND a.item_id <> b.item_id
+                GROUP BY a.item_id, b.item_id) WHERE similarity > 0)
+        WHERE rank <= 10""",
+    "user_top": """
+        SELECT user_id, item_id, rating FROM (
+            SELECT user_id, item_id, rating,
+                   row_number() OVER (PARTITION BY user_id ORDER BY rating DESC, item_id) AS rn
+            FROM interactions) WHERE rn = 1""",
 }
 
 DEPS: dict[str, list[str]] = {
@@ -47,8 +85,22 @@ DEPS: dict[str, list[str]] = {
     "gappy": ["interactions"],
     "train": ["split"],
     "test": ["split"],
+    "doc_tags": ["tags"],
+    "doc_genome": ["tag_scores", "tag_names"],
+    "doc": ["items", "doc_tags", "doc_genome"],
+    "doc_simple": ["items"],
+    "toks": ["doc", "stop_words"],
+    "vocab": ["toks", "items"],
+    "vec": ["toks", "vocab"],
+    "neighbours": ["vec"],
+    "user_top": ["interactions"],
+    "toks_simple": ["doc_simple", "stop_words"],
+    "vocab_simple": ["toks_simple", "items"],
 }
 
+CTES["toks_simple"] = CTES["toks"].replace("FROM doc)", "FROM doc_simple)")
+CTES["vocab_simple"] = CTES["vocab"].replace("FROM toks ", "FROM toks_simple ").replace("LIMIT 5000", "LIMIT 1000")
+
 
 def _order(names) -> list[str]:
     seen: list[str] = []
@@ -65,9 +117,13 @@ def _order(names) -> list[str]:
     return seen
 
 
+def _cte(name: str) -> str:
+    return stop_words_values() if name == "stop_words" else CTES[name]
+
+
 def with_tables(body: str, *needs: str, extra: list[tuple[str, str]] | None = None) -> str:
     """``WITH`` clause holding the canonical tables ``needs`` (+ extra CTEs)."""
-    parts = [f"{n} AS ({CTES[n]})" for n in _order(needs)]
+    parts = [f"{n} AS ({_cte(n)})" for n in _order(needs)]
     parts += [f"{n} AS ({q})" for n, q in (extra or [])]
     if not parts:
         return body
