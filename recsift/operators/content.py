@@ -131,8 +131,8 @@ def tfidf_vectors(terms: DataFrame, vocab: DataFrame, bounded_vocab: bool = True
 class ContentModel:
     """TF-IDF model of the item catalogue held as two tables."""
 
-    def __init__(self, vocab: DataFrame, vectors: DataFrame):
-        self.vocab, self.vectors = vocab, vectors
+    def __init__(self, vocab: DataFrame, vectors: DataFrame, n_items: int | None = None):
+        self.vocab, self.vectors, self.n_items = vocab, vectors, n_items
 
     @classmethod
     def fit(cls, items: DataFrame, tags: DataFrame | None = None, tag_scores: DataFrame | None = None,
@@ -143,8 +143,9 @@ class ContentModel:
             max_features = MAX_FEATURES_SIMPLE if max_features == MAX_FEATURES else max_features
         else:
             terms = item_terms(items, tags, tag_scores, tag_names)
-        vocab = vocabulary(terms, count_docs(items), max_features)
-        return cls(vocab, tfidf_vectors(terms, vocab, bounded_vocab=max_features is not None))
+        n_items = count_docs(items)
+        vocab = vocabulary(terms, n_items, max_features)
+        return cls(vocab, tfidf_vectors(terms, vocab, bounded_vocab=max_features is not None), n_items)
 
     def save(self, path: str) -> None:
         """The model as two Parquet tables under ``path``."""

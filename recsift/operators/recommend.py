@@ -39,3 +39,49 @@ def content_recs_top_item(ratings: DataFrame, similar: DataFrame, n: int = 10) -
     top = user_top_item(ratings).select("user_id", F.col("item_id").alias("seed_id"))
     return (top.join(similar.where(F.col("rank") <= n), "seed_id")
             .select("user_id", "seed_id", "item_id", "similarity", "rank"))
+
+
+def recommend_content(ratings: DataFrame, items: DataFrame, similar: DataFrame, n: int = 10,
+                      own_rating_fill: float | None = None) -> DataFrame:
+    """U1 (content): top-item neighbours with title and the user's own rating.
+
+    The own rating is NULL when the user has not rated the item (the
+    reference meant to show it but always sent 0); ``own_rating_fill=0``
+    reproduces the 0 default.
+    """
+    from recsift.operators.lookup import with_own_rating, with_titles
+
+    recs = content_recs_top_item(ratings, similar, n).select("user_id", "item_id", "similarity", "rank")
+    recs = with_own_rating(recs, ratings, own_rating_fill)
+    return with_titles(recs, items).select("user_id", "item_id", "title", "similarity", "rank", "user_rating")
+
+
+def recommend_als(model, ratings: DataFrame, items: DataFrame, n: int = 10,
+                  users: DataFrame | None = None) -> DataFrame:
+    """U1 (ALS): ALS top n (rated items not removed, as served) with titles and own rating."""
+    from recsift.operators.als import recommend_all, recommend_for
+    from recsift.operators.lookup import with_own_rating, with_titles
+
+    recs = recommend_all(model, n) if users is None else recommend_for(model, users, n)
+    recs = with_own_rating(recs, ratings)
+    return with_titles(recs, items).select("user_id", "item_id", "title", "score", "rank", "user_rating")
+
+
+def recommend(algorithm: str, **kw) -> DataFrame:
+    """U1 dispatcher; the name must be 'als' or 'content_based' (others raise)."""
+    if algorithm == "als":
+        return recommend_als(**kw)
+    if algorithm in ("content_based", "content-based"):
+        return recommend_content(**kw)
+    raise ValueError(f"unknown algorithm {algorithm!r}; expected 'als' or 'content_based'")
+
+
+def compare_algorithms(als_recs: DataFrame, content_recs: DataFrame) -> DataFrame:
+    """Per user, sizes of both lists and their Jaccard similarity."""
+    from recsift.operators.evaluate import jaccard_lists
+
+    a = als_recs.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_als"))
+    c = content_recs.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_content"))
+    j = jaccard_lists(als_recs, content_recs)
+    return (j.join(a, "user_id", "left").join(c, "user_id", "left")
+            .fillna(0, ["n_als", "n_content"]).select("user_id", "n_als", "n_content", "jaccard"))

@@ -90,10 +90,11 @@ def _block_pair_kernel(n: int):
     return kernel
 
 
-def num_blocks_for(vectors: DataFrame, block_size: int = 2048) -> int:
+def num_blocks_for(vectors: DataFrame, block_size: int = 2048, n_items: int | None = None) -> int:
     """Blocks so that a block holds <= block_size items and the pairs keep all cores busy."""
     spark = vectors.sparkSession
-    n_items = vectors.select("item_id").distinct().count()
+    if n_items is None:
+        n_items = vectors.select("item_id").distinct().count()
     by_size = math.ceil(n_items / block_size) if n_items else 1
     cores = spark.sparkContext.defaultParallelism
     by_cores = math.ceil((math.sqrt(1 + 16 * cores) - 1) / 2)  # B(B+1)/2 >= 2 * cores
@@ -101,12 +102,14 @@ def num_blocks_for(vectors: DataFrame, block_size: int = 2048) -> int:
 
 
 def similar_items(vectors: DataFrame, n: int = 10, num_blocks: int | None = None,
-                  block_size: int = 2048) -> DataFrame:
+                  block_size: int = 2048, n_items: int | None = None) -> DataFrame:
     """(seed_id, item_id, similarity, rank) — the n nearest items of every item.
 
-    ``vectors`` is (item_id, term, weight) with L2-normalised weights.
+    ``vectors`` is (item_id, term, weight) with L2-normalised weights;
+    ``n_items`` (an upper bound of the items with a vector, e.g. the catalogue
+    size the model was fitted on) saves one counting job.
     """
-    B = num_blocks or num_blocks_for(vectors, block_size)
+    B = num_blocks or num_blocks_for(vectors, block_size, n_items)
     v = vectors.select("item_id", "term", "weight",
                        F.pmod(F.xxhash64("item_id"), F.lit(B)).cast("int").alias("blk"))
     other = F.explode(F.sequence(F.lit(0), F.lit(B - 1))).alias("other")

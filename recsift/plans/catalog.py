@@ -384,7 +384,8 @@ def _content_model(t: Tables, simple: bool = False) -> content.ContentModel:
 
 
 def _similar(t: Tables) -> DataFrame:
-    return similarity.similar_items(_content_model(t).vectors, n=N_SIMILAR)
+    m = _content_model(t)
+    return similarity.similar_items(m.vectors, n=N_SIMILAR, n_items=m.n_items)
 
 
 @query("item_document", with_tables("SELECT item_id, document FROM doc", "doc"))
@@ -459,3 +460,187 @@ def _content_recs_top_item(t: Tables) -> DataFrame:
 def _unseen_candidates(t: Tables) -> DataFrame:
     recs = recommend.content_recs_top_item(t.interactions(), _similar(t), n=N_SIMILAR)
     return lookup.drop_seen(recs, t.interactions()).select("user_id", "item_id", "similarity")
+
+
+# ---------------------------------------------------------------- evaluation
+
+from recsift.operators import evaluate  # noqa: E402
+
+_BASE_PRED = """
+    SELECT t.user_id, t.item_id, t.rating, m.prediction
+    FROM test t JOIN (SELECT item_id, avg(rating) AS prediction FROM train GROUP BY item_id) m
+    ON t.item_id = m.item_id"""
+
+_REG_SQL = """
+    SELECT count(*) AS n, round(sqrt(avg((rating - prediction) * (rating - prediction))), 6) AS rmse,
+           round(avg(abs(rating - prediction)), 6) AS mae,
+           round(1 - sum((rating - prediction) * (rating - prediction)) / (var_pop(rating) * count(*)), 6) AS r2
+    FROM pred"""
+
+
+def _train_test(t: Tables) -> tuple[DataFrame, DataFrame]:
+    s = t.split().select("user_id", "item_id", "rating", "split")
+    return (s.where(F.col("split") == "train").drop("split"), s.where(F.col("split") == "test").drop("split"))
+
+
+def _round_cols(df: DataFrame, cols: list[str], digits: int = 6) -> DataFrame:
+    return df.select(*[F.round(F.col(c).cast("double"), digits).alias(c) if c in cols else F.col(c)
+                       for c in df.columns])
+
+
+def _baseline_pred(t: Tables) -> DataFrame:
+    train, test = _train_test(t)
+    return evaluate.item_mean_predictions(train, test)
+
+
+@query("baseline_rmse_mae_r2", with_tables(_REG_SQL, "train", "test", extra=[("pred", _BASE_PRED)]))
+def _baseline_metrics(t: Tables) -> DataFrame:
+    return _round_cols(evaluate.regression_metrics(_baseline_pred(t)), ["rmse", "mae", "r2"])
+
+
+@query("residual_histogram", with_tables("""
+    SELECT CAST(bin AS INTEGER) AS bin, round(lo + bin * w, 6) AS bin_lo, round(lo + (bin + 1) * w, 6) AS bin_hi,
+           count(*) AS n
+    FROM (SELECT least(floor((res - lo) / w), 49) AS bin, lo, w FROM (
+            SELECT round(rating - prediction, 9) AS res FROM pred) r,
+          (SELECT min(round(rating - prediction, 9)) AS lo,
+                  (max(round(rating - prediction, 9)) - min(round(rating - prediction, 9))) / 50 AS w FROM pred) m)
+    GROUP BY bin, lo, w""", "train", "test", extra=[("pred", _BASE_PRED)]))
+def _residual_histogram(t: Tables) -> DataFrame:
+    return _round_cols(evaluate.residual_histogram(_baseline_pred(t)), ["bin_lo", "bin_hi"])
+
+
+@query("prediction_grid", with_tables("""
+    SELECT rating, floor(prediction / 0.5) * 0.5 AS prediction_bin, count(*) AS n FROM pred GROUP BY 1, 2""",
+    "train", "test", extra=[("pred", _BASE_PRED)]))
+def _prediction_grid(t: Tables) -> DataFrame:
+    return evaluate.prediction_grid(_baseline_pred(t)).select(
+        "rating", F.col("prediction_bin").cast("double").alias("prediction_bin"), "n")
+
+
+_CONTENT_PRED = """
+    SELECT t.user_id, t.item_id, t.rating, sum(s.similarity * r.rating) / sum(s.similarity) AS prediction
+    FROM test t JOIN neighbours s ON s.seed_id = t.item_id
+    JOIN train r ON r.user_id = t.user_id AND r.item_id = s.item_id
+    GROUP BY t.user_id, t.item_id, t.rating"""
+
+
+def _content_pred(t: Tables) -> DataFrame:
+    train, test = _train_test(t)
+    return evaluate.content_predictions(train, test, _similar(t))
+
+
+@query("content_predictions", with_tables(
+    "SELECT user_id, item_id, rating, round(prediction, 6) AS prediction FROM pred",
+    "train", "test", "neighbours", extra=[("pred", _CONTENT_PRED)]))
+def _content_predictions(t: Tables) -> DataFrame:
+    return _round_cols(_content_pred(t), ["prediction"])
+
+
+@query("content_rating_eval", with_tables(_REG_SQL, "train", "test", "neighbours",
+                                          extra=[("pred", _CONTENT_PRED)]))
+def _content_rating_eval(t: Tables) -> DataFrame:
+    return _round_cols(evaluate.regression_metrics(_content_pred(t)), ["rmse", "mae", "r2"])
+
+
+_RANKING_SQL = """
+    SELECT n_users, round(p, 6) AS precision, round(r, 6) AS recall,
+           round(CASE WHEN p + r = 0 THEN 0.0 ELSE 2 * p * r / (p + r) END, 6) AS f1
+    FROM (SELECT count(*) AS n_users, coalesce(avg(hits / n_rec), 0.0) AS p, coalesce(avg(hits / n_rel), 0.0) AS r
+          FROM (SELECT a.user_id, a.n_rec, b.n_rel, coalesce(h.hits, 0) AS hits
+                FROM (SELECT user_id, count(*) AS n_rec FROM recs GROUP BY user_id) a
+                JOIN (SELECT user_id, count(*) AS n_rel FROM rel GROUP BY user_id) b ON a.user_id = b.user_id
+                LEFT JOIN (SELECT x.user_id, count(*) AS hits FROM recs x JOIN rel y
+                           ON x.user_id = y.user_id AND x.item_id = y.item_id GROUP BY x.user_id) h
+                  ON h.user_id = a.user_id
+                WHERE a.user_id IN (SELECT user_id FROM elig)))"""
+
+_ELIG = """
+    SELECT user_id FROM interactions GROUP BY user_id HAVING count(*) >= 5
+    INTERSECT SELECT user_id FROM train INTERSECT SELECT user_id FROM test"""
+
+
+def _content_train_recs(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame]:
+    train, test = _train_test(t)
+    recs = recommend.content_recs_liked(train, _similar(t), n=N_SIMILAR)
+    return recs, train, test
+
+
+@query("content_eval", with_tables(
+    _RANKING_SQL, "interactions", "train", "test", "neighbours",
+    extra=[("recs", _LIKED_RECS_SQL.format(ratings="train")),
+           ("rel", "SELECT user_id, item_id FROM test WHERE rating >= 4.0"), ("elig", _ELIG)]))
+def _content_eval(t: Tables) -> DataFrame:
+    recs, train, test = _content_train_recs(t)
+    users = evaluate.eligible_users(t.interactions(), train, test)
+    m = evaluate.ranking_metrics(recs, evaluate.relevant_items(test), users)
+    return _round_cols(m, ["precision", "recall", "f1"])
+
+
+_TOP_ITEM_RECS = "SELECT u.user_id, s.item_id FROM user_top u JOIN neighbours s ON u.item_id = s.seed_id"
+
+
+@query("jaccard_lists", with_tables("""
+    SELECT coalesce(a.user_id, b.user_id) AS user_id,
+           round(count(*) FILTER (WHERE a.item_id IS NOT NULL AND b.item_id IS NOT NULL) / count(*), 6) AS jaccard
+    FROM (SELECT DISTINCT user_id, item_id FROM recs) a
+    FULL JOIN (SELECT DISTINCT user_id, item_id FROM top_recs) b ON a.user_id = b.user_id AND a.item_id = b.item_id
+    GROUP BY coalesce(a.user_id, b.user_id)""", "interactions", "user_top", "neighbours",
+    extra=[("recs", _LIKED_RECS_SQL.format(ratings="interactions")), ("top_recs", _TOP_ITEM_RECS)]))
+def _jaccard_lists(t: Tables) -> DataFrame:
+    sim = _similar(t)
+    a = recommend.content_recs_liked(t.interactions(), sim, n=N_SIMILAR)
+    b = recommend.content_recs_top_item(t.interactions(), sim, n=N_SIMILAR)
+    return _round_cols(evaluate.jaccard_lists(a, b), ["jaccard"])
+
+
+@query("coverage", with_tables("""
+    SELECT count(DISTINCT r.item_id) AS n_recommended, (SELECT count(DISTINCT item_id) FROM items) AS n_catalogue,
+           round(count(DISTINCT r.item_id) / (SELECT count(DISTINCT item_id) FROM items), 6) AS coverage
+    FROM recs r""", "interactions", "items", "neighbours",
+    extra=[("recs", _LIKED_RECS_SQL.format(ratings="interactions"))]))
+def _coverage(t: Tables) -> DataFrame:
+    recs = recommend.content_recs_liked(t.interactions(), _similar(t), n=N_SIMILAR)
+    return _round_cols(evaluate.coverage(recs, t.items()), ["coverage"])
+
+
+@query("diversity", with_tables("""
+    SELECT count(*) AS n_users, round(avg(1 - coalesce(p.s, 0) / (k.k * (k.k - 1))), 6) AS diversity
+    FROM (SELECT user_id, count(*) AS k FROM lists GROUP BY user_id HAVING count(*) >= 2) k
+    LEFT JOIN (SELECT a.user_id, sum(va.weight * vb.weight) AS s
+               FROM lists a JOIN lists b ON a.user_id = b.user_id AND a.item_id <> b.item_id
+               JOIN vec va ON va.item_id = a.item_id
+               JOIN vec vb ON vb.item_id = b.item_id AND va.term = vb.term
+               GROUP BY a.user_id) p ON k.user_id = p.user_id""", "interactions", "neighbours", "vec",
+    extra=[("recs", _LIKED_RECS_SQL.format(ratings="interactions")),
+           ("lists", "SELECT DISTINCT user_id, item_id FROM recs")]))
+def _diversity(t: Tables) -> DataFrame:
+    m = _content_model(t)
+    sim = similarity.similar_items(m.vectors, n=N_SIMILAR, n_items=m.n_items)
+    recs = recommend.content_recs_liked(t.interactions(), sim, n=N_SIMILAR)
+    return _round_cols(evaluate.diversity(recs, m.vectors), ["diversity"])
+
+
+@query("novelty", with_tables("""
+    SELECT count(*) AS n_users, round(avg(nov), 6) AS novelty FROM (
+        SELECT r.user_id, avg(-log2((coalesce(x.raters, 0) + 1.0) / (nu.u + 1))) AS nov
+        FROM recs r LEFT JOIN (SELECT item_id, count(DISTINCT user_id) AS raters FROM interactions GROUP BY item_id) x
+          ON r.item_id = x.item_id
+        CROSS JOIN (SELECT count(DISTINCT user_id) AS u FROM interactions) nu
+        GROUP BY r.user_id)""", "interactions", "neighbours",
+    extra=[("recs", _LIKED_RECS_SQL.format(ratings="interactions"))]))
+def _novelty(t: Tables) -> DataFrame:
+    recs = recommend.content_recs_liked(t.interactions(), _similar(t), n=N_SIMILAR)
+    return _round_cols(evaluate.novelty(recs, t.interactions()), ["novelty"])
+
+
+# ---------------------------------------------------------------- reports
+
+@query("recommend_content", with_tables("""
+    SELECT u.user_id, s.item_id, coalesce(i.title, 'Movie ' || CAST(s.item_id AS VARCHAR)) AS title,
+           s.similarity, s.rank, r.rating AS user_rating
+    FROM user_top u JOIN neighbours s ON u.item_id = s.seed_id
+    LEFT JOIN interactions r ON r.user_id = u.user_id AND r.item_id = s.item_id
+    LEFT JOIN items i ON i.item_id = s.item_id""", "user_top", "neighbours", "interactions", "items"))
+def _recommend_content(t: Tables) -> DataFrame:
+    return recommend.recommend_content(t.interactions(), t.items(), _similar(t), n=N_SIMILAR)
