@@ -644,3 +644,105 @@ def _novelty(t: Tables) -> DataFrame:
     LEFT JOIN items i ON i.item_id = s.item_id""", "user_top", "neighbours", "interactions", "items"))
 def _recommend_content(t: Tables) -> DataFrame:
     return recommend.recommend_content(t.interactions(), t.items(), _similar(t), n=N_SIMILAR)
+
+
+# ---------------------------------------------------------------- collaborative model
+
+from recsift.operators import als  # noqa: E402
+
+# Fixed query parameters: a small model (rank 10, 5 iterations) and a reduced
+# grid (2 combinations x 2 folds); the reference's 37-fit grid stays available
+# as ``als.FULL_GRID``.
+ALS_PARAMS = {"rank": 10, "max_iter": 5, "reg_param": 0.1}
+CV_GRID = {"rank": [10], "maxIter": [5], "regParam": [0.01, 0.1]}
+
+
+def _als_model(t: Tables):
+    train, _ = _train_test(t)
+    return als.fit_als(train, **ALS_PARAMS)
+
+
+@query("als_predictions")
+def _als_predictions(t: Tables) -> DataFrame:
+    train, test = _train_test(t)
+    return als.predict(als.fit_als(train, **ALS_PARAMS), test)
+
+
+@query("als_cv_grid")
+def _als_cv_grid(t: Tables) -> DataFrame:
+    train, _ = _train_test(t)
+    _, report = als.cross_validate(train, CV_GRID, folds=2)
+    return report
+
+
+@query("als_recs_subset")
+def _als_recs_subset(t: Tables) -> DataFrame:
+    return als.recommend_for(_als_model(t), lookup.active_users(t.interactions()), n=TOP_N)
+
+
+@query("als_recs_all")
+def _als_recs_all(t: Tables) -> DataFrame:
+    return als.recommend_all(_als_model(t), n=TOP_N)
+
+
+@query("als_factor_check")
+def _als_factor_check(t: Tables) -> DataFrame:
+    _, test = _train_test(t)
+    return als.factor_check(_als_model(t), test)
+
+
+@query("als_residual_histogram")
+def _als_residual_histogram(t: Tables) -> DataFrame:
+    train, test = _train_test(t)
+    return evaluate.residual_histogram(als.predict(als.fit_als(train, **ALS_PARAMS), test))
+
+
+def _als_metrics(t: Tables) -> DataFrame:
+    train, test = _train_test(t)
+    model = als.fit_als(train, **ALS_PARAMS)
+    users = evaluate.eligible_users(t.interactions(), train, test)
+    recs = als.recommend_for(model, users, n=TOP_N, seen=train)
+    reg = evaluate.regression_metrics(als.predict(model, test))
+    rank = evaluate.ranking_metrics(recs, evaluate.relevant_items(test), users)
+    return (evaluate.metrics_long("als", reg, ["rmse", "mae"])
+            .unionByName(evaluate.metrics_long("als", rank, ["precision", "recall", "f1"]))
+            .unionByName(evaluate.metrics_long("als", evaluate.coverage(recs, t.items()), ["coverage"]))
+            .unionByName(evaluate.metrics_long("als", evaluate.novelty(recs, t.interactions()), ["novelty"])))
+
+
+@query("als_eval")
+def _als_eval(t: Tables) -> DataFrame:
+    return _als_metrics(t)
+
+
+@query("recommend_als")
+def _recommend_als(t: Tables) -> DataFrame:
+    return recommend.recommend_als(_als_model(t), t.interactions(), t.items(), n=TOP_N)
+
+
+@query("compare_algorithms")
+def _compare_algorithms(t: Tables) -> DataFrame:
+    a = als.recommend_all(_als_model(t), n=TOP_N)
+    c = recommend.content_recs_top_item(t.interactions(), _similar(t), n=TOP_N)
+    return recommend.compare_algorithms(a, c)
+
+
+@query("algorithm_comparison")
+def _algorithm_comparison(t: Tables) -> DataFrame:
+    """metrics(algorithm, metric, value) for both recommenders, all computed."""
+    train, test = _train_test(t)
+    m = _content_model(t)
+    sim = similarity.similar_items(m.vectors, n=N_SIMILAR, n_items=m.n_items)
+    users = evaluate.eligible_users(t.interactions(), train, test)
+    recs = recommend.content_recs_liked(train, sim, n=N_SIMILAR)
+    reg = evaluate.regression_metrics(evaluate.content_predictions(train, test, sim))
+    rank = evaluate.ranking_metrics(recs, evaluate.relevant_items(test), users)
+    content_m = (evaluate.metrics_long("content_based", reg, ["rmse", "mae"])
+                 .unionByName(evaluate.metrics_long("content_based", rank, ["precision", "recall", "f1"]))
+                 .unionByName(evaluate.metrics_long("content_based", evaluate.coverage(recs, t.items()),
+                                                    ["coverage"]))
+                 .unionByName(evaluate.metrics_long("content_based", evaluate.diversity(recs, m.vectors),
+                                                    ["diversity"]))
+                 .unionByName(evaluate.metrics_long("content_based", evaluate.novelty(recs, t.interactions()),
+                                                    ["novelty"])))
+    return _als_metrics(t).unionByName(content_m)
