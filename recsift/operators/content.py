@@ -88,11 +88,27 @@ def item_terms(items: DataFrame, tags: DataFrame | None = None, tag_scores: Data
                       .groupBy("item_id", "tag").agg(F.count(F.lit(1)).alias("cnt")))
         parts = parts.unionByName(_explode_terms(tag_counts, "tag", "cnt"))
     if tag_scores is not None and tag_names is not None:
-        parts = parts.unionByName(_explode_terms(tag_lookup(tag_scores, tag_names), "tag"))
+        parts = parts.unionByName(genome_terms(tag_scores, tag_names))
     parts = _drop_stop_words(parts, stop_words)
     return parts.groupBy("item_id", "term").agg(F.sum("n").alias("tf"))
 
 
+def genome_terms(tag_scores: DataFrame, tag_names: DataFrame) -> DataFrame:
+    """(item_id, term, n) of the relevant genome tags.
+
+    Each tag *name* is tokenised once on the small dimension and its terms
+    are joined to the relevant (item, tag) scores, instead of running the
+    tokeniser on every score row.  Unknown tag ids have no name, hence no
+    terms, exactly as the '' default of the lookup.
+    """
+    from recsift.operators.lookup import relevant_tags
+
+    names = tag_names.select(F.col("tag_id"), F.explode(tokens(F.col("tag"))).alias("term"))
+    name_terms = names.groupBy("tag_id", "term").agg(F.count(F.lit(1)).alias("n"))
+    rel = relevant_tags(tag_scores).select("item_id", "tag_id")
+    return rel.join(name_terms, "tag_id").select("item_id", "term", "n")
+
+
 def vocabulary(terms: DataFrame, n_docs: int, max_features: int | None = MAX_FEATURES) -> DataFrame:
     """T4: (term, df, tf_total, idf) for the ``max_features`` most frequent terms.
 

@@ -23,12 +23,18 @@ item is never its own neighbour (excluded by id, so exact duplicates rank 1).
 from __future__ import annotations
 
 import math
+import sys
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+# The block kernel travels to the Python workers by value (it needs only numpy
+# and pandas there), so executors do not need this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 SIM_DIGITS = 9
 OUT_SCHEMA = "seed_id long, item_id long, similarity double"
 
