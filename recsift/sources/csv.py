@@ -36,7 +36,8 @@ def _reader(spark: SparkSession, csv_schema, mode: str):
 
 def _timestamp(c) -> F.Column:
     """Text timestamps or epoch seconds, both accepted; bad text -> NULL."""
-    return F.coalesce(F.try_to_timestamp(c), F.timestamp_seconds(F.try_cast(c, "bigint")))
+    epoch = F.when(c.rlike(r"^\s*-?\d+\s*$"), F.timestamp_seconds(F.trim(c).try_cast("bigint")))
+    return F.coalesce(epoch, F.try_to_timestamp(c))
 
 
 def read_ratings(spark: SparkSession, path: str, on_missing: str = "raise") -> DataFrame:
