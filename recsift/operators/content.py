@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from recsift.functions.text import concat_blank, english_stop_words, join_words, tokens
 from recsift.operators.lookup import tag_lookup
+from recsift.session import cut_lineage
 
 # Fixed values from the reference: vocabulary caps of 5000 (full document) and
 # 1000 (simple document).
@@ -159,8 +160,18 @@ class ContentModel:
             max_features = MAX_FEATURES_SIMPLE if max_features == MAX_FEATURES else max_features
         else:
             terms = item_terms(items, tags, tag_scores, tag_names)
+        # The term table feeds both the vocabulary and the vectors: written
+        # once to the shared checkpoint folder, which also cuts the lineage
+        # back to the rating/tag joins (a lost executor re-reads, not redoes).
+        terms = cut_lineage(terms)
         n_items = count_docs(items)
         vocab = vocabulary(terms, n_items, max_features)
+        if max_features is not None:
+            # Like CountVectorizer.fit: the capped vocabulary (at most
+            # max_features rows) is fitted once and held as a local relation,
+            # so the term pipeline is not recomputed inside the broadcast.
+            spark = items.sparkSession
+            vocab = spark.createDataFrame(vocab.collect(), vocab.schema)
         return cls(vocab, tfidf_vectors(terms, vocab, bounded_vocab=max_features is not None), n_items)
 
     def save(self, path: str) -> None:

@@ -47,7 +47,7 @@ def _top_per_row(S: np.ndarray, row_ids: np.ndarray, col_ids: np.ndarray, n: int
     if S.size == 0:
         return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
     k = min(n, S.shape[1])
-    thr = -np.partition(-S, k - 1, axis=1)[:, k - 1]
+    thr = np.partition(S, S.shape[1] - k, axis=1)[:, S.shape[1] - k]  # k-th largest per row
     mask = (S >= thr[:, None]) & (S > 0)
     r, c = np.nonzero(mask)
     v = S[r, c]
@@ -84,10 +84,10 @@ def _block_pair_kernel(n: int):
             S[np.ix_(A[1][s0:e0], B[1][s1:e1])] += np.outer(A[2][s0:e0], B[2][s1:e1])
         if lo == hi:
             np.fill_diagonal(S, 0.0)
-        S = np.round(S, SIM_DIGITS)
+        np.round(S, SIM_DIGITS, out=S)
         out = [_top_per_row(S, A[0], B[0], n)]
         if lo != hi:
-            out.append(_top_per_row(S.T.copy(), B[0], A[0], n))
+            out.append(_top_per_row(S.T, B[0], A[0], n))
         seed = np.concatenate([o[0] for o in out])
         item = np.concatenate([o[1] for o in out])
         sim = np.concatenate([o[2] for o in out])
