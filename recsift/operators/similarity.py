@@ -103,8 +103,8 @@ def num_blocks_for(vectors: DataFrame, block_size: int = 2048, n_items: int | No
         n_items = vectors.select("item_id").distinct().count()
     by_size = math.ceil(n_items / block_size) if n_items else 1
     cores = spark.sparkContext.defaultParallelism
-    by_cores = math.ceil((math.sqrt(1 + 16 * cores) - 1) / 2)  # B(B+1)/2 >= 2 * cores
-    return max(1, by_size, min(by_cores, max(1, n_items // 64)))
+    by_cores = math.ceil((math.sqrt(1 + 32 * cores) - 1) / 2)  # B(B+1)/2 >= 4 * cores
+    return max(1, by_size, min(by_cores, max(1, n_items // 256)))
 
 
 def similar_items(vectors: DataFrame, n: int = 10, num_blocks: int | None = None,
@@ -122,6 +122,11 @@ def similar_items(vectors: DataFrame, n: int = 10, num_blocks: int | None = None
     pairs = v.select("*", other).select(
         "item_id", "term", "weight", "blk",
         F.least("blk", "other").alias("lo"), F.greatest("blk", "other").alias("hi"))
+    # One shuffle, sized to the number of block pairs: an explicit partition
+    # count is not coalesced by AQE, so the pairs spread over all cores
+    # instead of being packed into a few tasks because the input is small.
+    n_pairs = B * (B + 1) // 2
+    pairs = pairs.repartition(2 * n_pairs, "lo", "hi")
     cand = pairs.groupBy("lo", "hi").applyInPandas(_block_pair_kernel(n), OUT_SCHEMA)
     w = Window.partitionBy("seed_id").orderBy(F.desc("similarity"), "item_id")
     return cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)

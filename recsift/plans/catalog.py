@@ -24,9 +24,11 @@ ORACLE: dict[str, str] = {}
 CHECK: dict[str, str] = {}  # name -> "V" value check, "R" rows only
 
 
-def query(name: str, sql: str | None = None):
+def query(name: str, sql: str | None = None, reuse: bool = False):
+    """Register ``fn(Tables) -> DataFrame``; ``reuse`` materialises the
+    interactions table once for jobs that read it several times."""
     def deco(fn: Callable[[Tables], DataFrame]):
-        QUERIES[name] = lambda spark, sf_dir: fn(Tables(spark, sf_dir))
+        QUERIES[name] = lambda spark, sf_dir: fn(Tables(spark, sf_dir, reuse=reuse))
         QUERIES[name].__name__ = name
         QUERIES[name].__doc__ = fn.__doc__
         if sql is not None:
@@ -440,7 +442,7 @@ _LIKED_RECS_SQL = """
     WHERE rank <= 10"""
 
 
-@query("content_recs_liked", with_tables(_LIKED_RECS_SQL.format(ratings="interactions"), "neighbours", "interactions"))
+@query("content_recs_liked", with_tables(_LIKED_RECS_SQL.format(ratings="interactions"), "neighbours", "interactions"), reuse=True)
 def _content_recs_liked(t: Tables) -> DataFrame:
     return recommend.content_recs_liked(t.interactions(), _similar(t), n=N_SIMILAR)
 
@@ -456,7 +458,7 @@ def _content_recs_top_item(t: Tables) -> DataFrame:
     SELECT u.user_id, s.item_id, s.similarity
     FROM user_top u JOIN neighbours s ON u.item_id = s.seed_id
     WHERE NOT EXISTS (SELECT 1 FROM interactions r WHERE r.user_id = u.user_id AND r.item_id = s.item_id)""",
-    "user_top", "neighbours", "interactions"))
+    "user_top", "neighbours", "interactions"), reuse=True)
 def _unseen_candidates(t: Tables) -> DataFrame:
     recs = recommend.content_recs_top_item(t.interactions(), _similar(t), n=N_SIMILAR)
     return lookup.drop_seen(recs, t.interactions()).select("user_id", "item_id", "similarity")
@@ -493,7 +495,7 @@ def _baseline_pred(t: Tables) -> DataFrame:
     return evaluate.item_mean_predictions(train, test)
 
 
-@query("baseline_rmse_mae_r2", with_tables(_REG_SQL, "train", "test", extra=[("pred", _BASE_PRED)]))
+@query("baseline_rmse_mae_r2", with_tables(_REG_SQL, "train", "test", extra=[("pred", _BASE_PRED)]), reuse=True)
 def _baseline_metrics(t: Tables) -> DataFrame:
     return _round_cols(evaluate.regression_metrics(_baseline_pred(t)), ["rmse", "mae", "r2"])
 
@@ -505,14 +507,14 @@ def _baseline_metrics(t: Tables) -> DataFrame:
             SELECT round(rating - prediction, 9) AS res FROM pred) r,
           (SELECT min(round(rating - prediction, 9)) AS lo,
                   (max(round(rating - prediction, 9)) - min(round(rating - prediction, 9))) / 50 AS w FROM pred) m)
-    GROUP BY bin, lo, w""", "train", "test", extra=[("pred", _BASE_PRED)]))
+    GROUP BY bin, lo, w""", "train", "test", extra=[("pred", _BASE_PRED)]), reuse=True)
 def _residual_histogram(t: Tables) -> DataFrame:
     return _round_cols(evaluate.residual_histogram(_baseline_pred(t)), ["bin_lo", "bin_hi"])
 
 
 @query("prediction_grid", with_tables("""
     SELECT rating, floor(prediction / 0.5) * 0.5 AS prediction_bin, count(*) AS n FROM pred GROUP BY 1, 2""",
-    "train", "test", extra=[("pred", _BASE_PRED)]))
+    "train", "test", extra=[("pred", _BASE_PRED)]), reuse=True)
 def _prediction_grid(t: Tables) -> DataFrame:
     return evaluate.prediction_grid(_baseline_pred(t)).select(
         "rating", F.col("prediction_bin").cast("double").alias("prediction_bin"), "n")
@@ -532,13 +534,13 @@ def _content_pred(t: Tables) -> DataFrame:
 
 @query("content_predictions", with_tables(
     "SELECT user_id, item_id, rating, round(prediction, 6) AS prediction FROM pred",
-    "train", "test", "neighbours", extra=[("pred", _CONTENT_PRED)]))
+    "train", "test", "neighbours", extra=[("pred", _CONTENT_PRED)]), reuse=True)
 def _content_predictions(t: Tables) -> DataFrame:
     return _round_cols(_content_pred(t), ["prediction"])
 
 
 @query("content_rating_eval", with_tables(_REG_SQL, "train", "test", "neighbours",
-                                          extra=[("pred", _CONTENT_PRED)]))
+                                          extra=[("pred", _CONTENT_PRED)]), reuse=True)
 def _content_rating_eval(t: Tables) -> DataFrame:
     return _round_cols(evaluate.regression_metrics(_content_pred(t)), ["rmse", "mae", "r2"])
 
@@ -569,7 +571,7 @@ def _content_train_recs(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame]:
 @query("content_eval", with_tables(
     _RANKING_SQL, "interactions", "train", "test", "neighbours",
     extra=[("recs", _LIKED_RECS_SQL.format(ratings="train")),
-           ("rel", "SELECT user_id, item_id FROM test WHERE rating >= 4.0"), ("elig", _ELIG)]))
+           ("rel", "SELECT user_id, item_id FROM test WHERE rating >= 4.0"), ("elig", _ELIG)]), reuse=True)
 def _content_eval(t: Tables) -> DataFrame:
     recs, train, test = _content_train_recs(t)
     users = evaluate.eligible_users(t.interactions(), train, test)
@@ -586,7 +588,7 @@ _TOP_ITEM_RECS = "SELECT u.user_id, s.item_id FROM user_top u JOIN neighbours s
     FROM (SELECT DISTINCT user_id, item_id FROM recs) a
     FULL JOIN (SELECT DISTINCT user_id, item_id FROM top_recs) b ON a.user_id = b.user_id AND a.item_id = b.item_id
     GROUP BY coalesce(a.user_id, b.user_id)""", "interactions", "user_top", "neighbours",
-    extra=[("recs", _LIKED_RECS_SQL.format(ratings="interactions")), ("top_recs", _TOP_ITEM_RECS)]))
+    extra=[("recs", _LIKED_RECS_SQL.format(ratings="interactions")), ("top_recs", _TOP_ITEM_RECS)]), reuse=True)
 def _jaccard_lists(t: Tables) -> DataFrame:
     sim = _similar(t)
     a = recommend.content_recs_liked(t.interactions(), sim, n=N_SIMILAR)
@@ -598,7 +600,7 @@ def _jaccard_lists(t: Tables) -> DataFrame:
     SELECT count(DISTINCT r.item_id) AS n_recommended, (SELECT count(DISTINCT item_id) FROM items) AS n_catalogue,
            round(count(DISTINCT r.item_id) / (SELECT count(DISTINCT item_id) FROM items), 6) AS coverage
     FROM recs r""", "interactions", "items", "neighbours",
-    extra=[("recs", _LIKED_RECS_SQL.format(ratings="interactions"))]))
+    extra=[("recs", _LIKED_RECS_SQL.format(ratings="interactions"))]), reuse=True)
 def _coverage(t: Tables) -> DataFrame:
     recs = recommend.content_recs_liked(t.interactions(), _similar(t), n=N_SIMILAR)
     return _round_cols(evaluate.coverage(recs, t.items()), ["coverage"])
@@ -613,7 +615,7 @@ def _coverage(t: Tables) -> DataFrame:
                JOIN vec vb ON vb.item_id = b.item_id AND va.term = vb.term
                GROUP BY a.user_id) p ON k.user_id = p.user_id""", "interactions", "neighbours", "vec",
     extra=[("recs", _LIKED_RECS_SQL.format(ratings="interactions")),
-           ("lists", "SELECT DISTINCT user_id, item_id FROM recs")]))
+           ("lists", "SELECT DISTINCT user_id, item_id FROM recs")]), reuse=True)
 def _diversity(t: Tables) -> DataFrame:
     m = _content_model(t)
     sim = similarity.similar_items(m.vectors, n=N_SIMILAR, n_items=m.n_items)
@@ -628,7 +630,7 @@ def _diversity(t: Tables) -> DataFrame:
           ON r.item_id = x.item_id
         CROSS JOIN (SELECT count(DISTINCT user_id) AS u FROM interactions) nu
         GROUP BY r.user_id)""", "interactions", "neighbours",
-    extra=[("recs", _LIKED_RECS_SQL.format(ratings="interactions"))]))
+    extra=[("recs", _LIKED_RECS_SQL.format(ratings="interactions"))]), reuse=True)
 def _novelty(t: Tables) -> DataFrame:
     recs = recommend.content_recs_liked(t.interactions(), _similar(t), n=N_SIMILAR)
     return _round_cols(evaluate.novelty(recs, t.interactions()), ["novelty"])
@@ -641,7 +643,7 @@ def _novelty(t: Tables) -> DataFrame:
            s.similarity, s.rank, r.rating AS user_rating
     FROM user_top u JOIN neighbours s ON u.item_id = s.seed_id
     LEFT JOIN interactions r ON r.user_id = u.user_id AND r.item_id = s.item_id
-    LEFT JOIN items i ON i.item_id = s.item_id""", "user_top", "neighbours", "interactions", "items"))
+    LEFT JOIN items i ON i.item_id = s.item_id""", "user_top", "neighbours", "interactions", "items"), reuse=True)
 def _recommend_content(t: Tables) -> DataFrame:
     return recommend.recommend_content(t.interactions(), t.items(), _similar(t), n=N_SIMILAR)
 
@@ -662,36 +664,36 @@ def _als_model(t: Tables):
     return als.fit_als(train, **ALS_PARAMS)
 
 
-@query("als_predictions")
+@query("als_predictions", reuse=True)
 def _als_predictions(t: Tables) -> DataFrame:
     train, test = _train_test(t)
     return als.predict(als.fit_als(train, **ALS_PARAMS), test)
 
 
-@query("als_cv_grid")
+@query("als_cv_grid", reuse=True)
 def _als_cv_grid(t: Tables) -> DataFrame:
     train, _ = _train_test(t)
     _, report = als.cross_validate(train, CV_GRID, folds=2)
     return report
 
 
-@query("als_recs_subset")
+@query("als_recs_subset", reuse=True)
 def _als_recs_subset(t: Tables) -> DataFrame:
     return als.recommend_for(_als_model(t), lookup.active_users(t.interactions()), n=TOP_N)
 
 
-@query("als_recs_all")
+@query("als_recs_all", reuse=True)
 def _als_recs_all(t: Tables) -> DataFrame:
     return als.recommend_all(_als_model(t), n=TOP_N)
 
 
-@query("als_factor_check")
+@query("als_factor_check", reuse=True)
 def _als_factor_check(t: Tables) -> DataFrame:
     _, test = _train_test(t)
     return als.factor_check(_als_model(t), test)
 
 
-@query("als_residual_histogram")
+@query("als_residual_histogram", reuse=True)
 def _als_residual_histogram(t: Tables) -> DataFrame:
     train, test = _train_test(t)
     return evaluate.residual_histogram(als.predict(als.fit_als(train, **ALS_PARAMS), test))
@@ -710,24 +712,24 @@ def _als_metrics(t: Tables) -> DataFrame:
             .unionByName(evaluate.metrics_long("als", evaluate.novelty(recs, t.interactions()), ["novelty"])))
 
 
-@query("als_eval")
+@query("als_eval", reuse=True)
 def _als_eval(t: Tables) -> DataFrame:
     return _als_metrics(t)
 
 
-@query("recommend_als")
+@query("recommend_als", reuse=True)
 def _recommend_als(t: Tables) -> DataFrame:
     return recommend.recommend_als(_als_model(t), t.interactions(), t.items(), n=TOP_N)
 
 
-@query("compare_algorithms")
+@query("compare_algorithms", reuse=True)
 def _compare_algorithms(t: Tables) -> DataFrame:
     a = als.recommend_all(_als_model(t), n=TOP_N)
     c = recommend.content_recs_top_item(t.interactions(), _similar(t), n=TOP_N)
     return recommend.compare_algorithms(a, c)
 
 
-@query("algorithm_comparison")
+@query("algorithm_comparison", reuse=True)
 def _algorithm_comparison(t: Tables) -> DataFrame:
     """metrics(algorithm, metric, value) for both recommenders, all computed."""
     train, test = _train_test(t)

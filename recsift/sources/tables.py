@@ -80,13 +80,26 @@ def interactions_gappy(inter: DataFrame) -> DataFrame:
 
 
 class Tables:
-    """Lazily built canonical tables for one data folder."""
+    """Lazily built canonical tables for one data folder.
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir = spark, sf_dir
+    With ``reuse=True`` the interactions table, which multi-step jobs read
+    several times with different projections (so Spark cannot share the
+    exchanges), is written once to the shared checkpoint folder and read back
+    by every later use in the job.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str, reuse: bool = False):
+        self.spark, self.sf_dir, self.reuse = spark, sf_dir, reuse
+        self._interactions: DataFrame | None = None
 
     def interactions(self) -> DataFrame:
-        return interactions(self.spark, self.sf_dir)
+        if not self.reuse:
+            return interactions(self.spark, self.sf_dir)
+        if self._interactions is None:
+            from recsift.session import cut_lineage
+
+            self._interactions = cut_lineage(interactions(self.spark, self.sf_dir))
+        return self._interactions
 
     def items(self) -> DataFrame:
         return items(self.spark, self.sf_dir)
@@ -111,11 +124,7 @@ class Tables:
 
 
 def materialize(spark: SparkSession, sf_dir: str, out_dir: str) -> dict[str, str]:
-    """Write the canonical tables once as Parquet (a shared folder on a cluster).
-
-    Interactions are written partitioned-by-nothing but sorted within files by
-    user so that per-user scans prune row groups.
-    """
+    """Write the canonical tables once as Parquet (a shared folder on a cluster)."""
     t = Tables(spark, sf_dir)
     out = {}
     for name, df in [("interactions", t.interactions()), ("items", t.items()), ("tags", t.tags()),
