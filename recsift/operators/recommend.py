@@ -85,3 +85,21 @@ def compare_algorithms(als_recs: DataFrame, content_recs: DataFrame) -> DataFram
     j = jaccard_lists(als_recs, content_recs)
     return (j.join(a, "user_id", "left").join(c, "user_id", "left")
             .fillna(0, ["n_als", "n_content"]).select("user_id", "n_als", "n_content", "jaccard"))
+
+
+def recommend_content_for(ratings: DataFrame, items: DataFrame, vectors: DataFrame, users: DataFrame,
+                          n: int = 10, own_rating_fill: float | None = None) -> DataFrame:
+    """U1 (content) for chosen users, as the reference serves one user per call.
+
+    Only the chosen users' top items are scored (seeded similarity), so the
+    job costs |users| x catalogue, not a catalogue self-similarity.
+    """
+    from recsift.operators.lookup import with_own_rating, with_titles
+    from recsift.operators.similarity import similar_items_for
+
+    r = ratings.join(users.select("user_id").distinct(), "user_id", "left_semi")
+    top = user_top_item(r).select("user_id", F.col("item_id").alias("seed_id"))
+    sim = similar_items_for(vectors, top.select(F.col("seed_id").alias("item_id")), n)
+    recs = top.join(sim, "seed_id").select("user_id", "item_id", "similarity", "rank")
+    recs = with_own_rating(recs, ratings, own_rating_fill)
+    return with_titles(recs, items).select("user_id", "item_id", "title", "similarity", "rank", "user_rating")

@@ -58,41 +58,66 @@ def _top_per_row(S: np.ndarray, row_ids: np.ndarray, col_ids: np.ndarray, n: int
     return row_ids[r[keep]], col_ids[c[keep]], v[keep]
 
 
+def _side(pdf: pd.DataFrame, m: np.ndarray, term_code: np.ndarray):
+    """Sparse block: sorted unique ids, row position per entry, weights, and
+    the [start, end) range of each term code in entry order."""
+    ids = pdf["item_id"].to_numpy()[m]
+    uniq, pos = np.unique(ids, return_inverse=True)
+    t = term_code[m]
+    order = np.argsort(t, kind="stable")
+    ts = t[order]
+    starts = np.searchsorted(ts, np.unique(ts))
+    ends = np.append(starts[1:], len(ts))
+    bounds = dict(zip(ts[starts].tolist(), zip(starts.tolist(), ends.tolist())))
+    return uniq, pos[order], pdf["weight"].to_numpy()[m][order], bounds
+
+
+def _dot(A, B) -> np.ndarray:
+    """S = A Bᵀ accumulated term by term over the terms both blocks hold."""
+    S = np.zeros((len(A[0]), len(B[0])))
+    for term, (s0, e0) in A[3].items():
+        hit = B[3].get(term)
+        if hit is None:
+            continue
+        s1, e1 = hit
+        S[np.ix_(A[1][s0:e0], B[1][s1:e1])] += np.outer(A[2][s0:e0], B[2][s1:e1])
+    return S
+
+
+def _frame(parts) -> pd.DataFrame:
+    return pd.DataFrame({"seed_id": np.concatenate([p[0] for p in parts]).astype(np.int64),
+                         "item_id": np.concatenate([p[1] for p in parts]).astype(np.int64),
+                         "similarity": np.concatenate([p[2] for p in parts]).astype(np.float64)})
+
+
 def _block_pair_kernel(n: int):
     def kernel(pdf: pd.DataFrame) -> pd.DataFrame:
         lo, hi = int(pdf["lo"].iat[0]), int(pdf["hi"].iat[0])
         term_code, _ = pd.factorize(pdf["term"], sort=False)
         a = pdf["blk"].to_numpy() == lo
-        sides = []
-        for m in (a, ~a) if lo != hi else (a,):
-            ids = pdf["item_id"].to_numpy()[m]
-            uniq, pos = np.unique(ids, return_inverse=True)
-            t = term_code[m]
-            order = np.argsort(t, kind="stable")
-            ts = t[order]
-            starts = np.searchsorted(ts, np.unique(ts))
-            bounds = dict(zip(ts[starts].tolist(), zip(starts.tolist(), np.append(starts[1:], len(ts)).tolist())))
-            sides.append((uniq, pos[order], pdf["weight"].to_numpy()[m][order], bounds))
-        A = sides[0]
-        B = sides[-1]
-        S = np.zeros((len(A[0]), len(B[0])))
-        for term, (s0, e0) in A[3].items():
-            hit = B[3].get(term)
-            if hit is None:
-                continue
-            s1, e1 = hit
-            S[np.ix_(A[1][s0:e0], B[1][s1:e1])] += np.outer(A[2][s0:e0], B[2][s1:e1])
+        A = _side(pdf, a, term_code)
+        B = A if lo == hi else _side(pdf, ~a, term_code)
+        S = _dot(A, B)
         if lo == hi:
             np.fill_diagonal(S, 0.0)
         np.round(S, SIM_DIGITS, out=S)
         out = [_top_per_row(S, A[0], B[0], n)]
         if lo != hi:
             out.append(_top_per_row(S.T, B[0], A[0], n))
-        seed = np.concatenate([o[0] for o in out])
-        item = np.concatenate([o[1] for o in out])
-        sim = np.concatenate([o[2] for o in out])
-        return pd.DataFrame({"seed_id": seed.astype(np.int64), "item_id": item.astype(np.int64),
-                             "similarity": sim.astype(np.float64)})
+        return _frame(out)
+    return kernel
+
+
+def _seeded_kernel(n: int):
+    def kernel(pdf: pd.DataFrame) -> pd.DataFrame:
+        term_code, _ = pd.factorize(pdf["term"], sort=False)
+        seed = pdf["role"].to_numpy() == 0
+        A = _side(pdf, seed, term_code)
+        B = _side(pdf, ~seed, term_code)
+        S = _dot(A, B)
+        S[A[0][:, None] == B[0][None, :]] = 0.0  # never its own neighbour
+        np.round(S, SIM_DIGITS, out=S)
+        return _frame([_top_per_row(S, A[0], B[0], n)])
     return kernel
 
 
@@ -132,7 +157,23 @@ def similar_items(vectors: DataFrame, n: int = 10, num_blocks: int | None = None
     return cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
 
 
-def similar_items_for(vectors: DataFrame, seeds: DataFrame, n: int = 10, **kw) -> DataFrame:
-    """T6 for a few seeds (``seeds`` has ``item_id``): same ranking, seeds only."""
-    allp = similar_items(vectors, n, **kw)
-    return allp.join(seeds.select(F.col("item_id").alias("seed_id")).distinct(), "seed_id", "left_semi")
+def similar_items_for(vectors: DataFrame, seeds: DataFrame, n: int = 10, num_blocks: int | None = None,
+                      block_size: int = 2048, n_items: int | None = None) -> DataFrame:
+    """T6 for chosen seeds (``seeds`` has ``item_id``), e.g. one film or the
+    users' top items: same ranking as ``similar_items``, restricted to seeds.
+
+    The seeds' vectors go to every candidate block and each candidate once,
+    so the work is |seeds| x catalogue instead of catalogue squared; a task
+    holds the seed vectors and one candidate block.
+    """
+    B = num_blocks or num_blocks_for(vectors, block_size, n_items)
+    blk = F.pmod(F.xxhash64("item_id"), F.lit(B)).cast("int")
+    seed_ids = seeds.select("item_id").distinct()
+    seed_vec = vectors.join(seed_ids, "item_id", "left_semi").select(
+        "item_id", "term", "weight", F.explode(F.sequence(F.lit(0), F.lit(B - 1))).alias("cb"),
+        F.lit(0).alias("role"))
+    cand = vectors.select("item_id", "term", "weight", blk.alias("cb"), F.lit(1).alias("role"))
+    both = seed_vec.unionByName(cand).repartition(2 * B, "cb")
+    out = both.groupBy("cb").applyInPandas(_seeded_kernel(n), OUT_SCHEMA)
+    w = Window.partitionBy("seed_id").orderBy(F.desc("similarity"), "item_id")
+    return out.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)

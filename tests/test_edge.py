@@ -60,3 +60,19 @@ def test_seeded_neighbours_only(spark):
     got = similarity.similar_items_for(vec, spark.createDataFrame([(2,)], "item_id long"), n=5, num_blocks=2)
     assert sorted((r.seed_id, r.item_id, r.rank) for r in got.collect()) == [(2, 1, 1), (2, 3, 2)]
     assert got.where(F.col("seed_id") != 2).count() == 0
+
+
+def test_recommend_content_for_one_user_equals_batch(spark):
+    from tests.conftest import SF_SMALL
+    from recsift.sources.tables import Tables
+
+    t = Tables(spark, SF_SMALL)
+    m = content.ContentModel.fit(t.items(), t.tags(), t.tag_scores(), t.tag_names())
+    ratings = t.interactions()
+    user = ratings.select("user_id").orderBy("user_id").limit(1)
+    one = recommend.recommend_content_for(ratings, t.items(), m.vectors, user, n=5)
+    sim = similarity.similar_items(m.vectors, n=5, n_items=m.n_items)
+    batch = recommend.recommend_content(ratings, t.items(), sim, n=5).join(user, "user_id", "left_semi")
+    cols = ["user_id", "item_id", "rank", "similarity"]
+    assert sorted(tuple(r) for r in one.select(cols).collect()) == sorted(tuple(r) for r in batch.select(cols).collect())
+    assert one.count() == 5

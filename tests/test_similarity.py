@@ -66,3 +66,14 @@ def test_norm_is_one(spark):
     norms = m.vectors.groupBy("item_id").agg({"weight": "collect_list"}).collect()
     for r in norms:
         assert abs(sum(w * w for w in r[1]) - 1.0) < 1e-12
+
+
+@pytest.mark.parametrize("blocks", [1, 4])
+def test_seeded_matches_all_pairs(spark, blocks):
+    rows = _random_vectors(n_items=80, seed=11)
+    vec = spark.createDataFrame(rows, "item_id long, term string, weight double")
+    seeds = spark.createDataFrame([(1,), (34,), (100,), (999,)], "item_id long")  # 999 unknown: no rows
+    got = {tuple(r) for r in similarity.similar_items_for(vec, seeds, n=4, num_blocks=blocks)
+           .select("seed_id", "item_id", "similarity", "rank").collect()}
+    want = {t for t in _brute(rows, 4) if t[0] in (1, 34, 100)}
+    assert {(a, b, round(c, 9), d) for a, b, c, d in got} == want
