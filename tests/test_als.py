@@ -60,3 +60,19 @@ def test_cross_validation_report(low_rank):
     rows = report.collect()
     assert len(rows) == 2 and sum(r.is_best for r in rows) == 1
     assert best.rank == 2
+
+
+def test_exclude_seen_is_exact_for_heavy_users(spark, low_rank):
+    train, _ = low_rank
+    model = als.fit_als(train, rank=2, max_iter=5)
+    users = train.select("user_id").distinct()
+    fast = als.recommend_for(model, users, n=3, seen=train, first_k=4)     # forces extra rounds
+    full = als.recommend_for(model, users, n=3, seen=train, first_k=10_000)  # one round, all items
+    a = sorted((r.user_id, r.item_id, r.rank) for r in fast.collect())
+    b = sorted((r.user_id, r.item_id, r.rank) for r in full.collect())
+    assert a == b
+    unseen = {r.user_id: 30 - r["count"] for r in train.groupBy("user_id").count().collect()}
+    per_user = {}
+    for u, _, _ in a:
+        per_user[u] = per_user.get(u, 0) + 1
+    assert per_user == {u: min(3, k) for u, k in unseen.items() if k > 0}
