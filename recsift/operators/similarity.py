@@ -73,7 +73,12 @@ def _side(pdf: pd.DataFrame, m: np.ndarray, term_code: np.ndarray):
 
 
 def _dot(A, B) -> np.ndarray:
-    """S = A Bᵀ accumulated term by term over the terms both blocks hold."""
+    """S = A Bᵀ accumulated term by term over the terms both blocks hold.
+
+    Terms are visited in sorted order (codes from a sorted factorize), so a
+    task recomputed after an executor loss sums in the same order and yields
+    bit-identical similarities whatever order its input rows arrive in.
+    """
     S = np.zeros((len(A[0]), len(B[0])))
     for term, (s0, e0) in A[3].items():
         hit = B[3].get(term)
@@ -93,7 +98,7 @@ def _frame(parts) -> pd.DataFrame:
 def _block_pair_kernel(n: int):
     def kernel(pdf: pd.DataFrame) -> pd.DataFrame:
         lo, hi = int(pdf["lo"].iat[0]), int(pdf["hi"].iat[0])
-        term_code, _ = pd.factorize(pdf["term"], sort=False)
+        term_code, _ = pd.factorize(pdf["term"], sort=True)
         a = pdf["blk"].to_numpy() == lo
         A = _side(pdf, a, term_code)
         B = A if lo == hi else _side(pdf, ~a, term_code)
@@ -110,7 +115,7 @@ def _block_pair_kernel(n: int):
 
 def _seeded_kernel(n: int):
     def kernel(pdf: pd.DataFrame) -> pd.DataFrame:
-        term_code, _ = pd.factorize(pdf["term"], sort=False)
+        term_code, _ = pd.factorize(pdf["term"], sort=True)
         seed = pdf["role"].to_numpy() == 0
         A = _side(pdf, seed, term_code)
         B = _side(pdf, ~seed, term_code)

@@ -51,3 +51,13 @@ def test_recs_store_round_trip(spark, tmp_path):
     store.write_recs(recs.withColumn("score", F.lit(0.1)), path, "content_based")
     assert store.read_recs(spark, path, "als").count() == 2
     assert store.read_recs(spark, path).count() == 4
+
+
+def test_materialize_canonical_tables(spark, tmp_path):
+    from recsift.sources.tables import Tables, materialize
+    from tests.conftest import SF_SMALL
+
+    paths = materialize(spark, SF_SMALL, str(tmp_path / "canon"))
+    t = Tables(spark, SF_SMALL)
+    assert spark.read.parquet(paths["interactions"]).count() == t.interactions().count()
+    assert spark.read.parquet(paths["items"]).schema == t.items().schema
