@@ -60,4 +60,4 @@ def test_materialize_canonical_tables(spark, tmp_path):
     paths = materialize(spark, SF_SMALL, str(tmp_path / "canon"))
     t = Tables(spark, SF_SMALL)
     assert spark.read.parquet(paths["interactions"]).count() == t.interactions().count()
-    assert spark.read.parquet(paths["items"]).schema == t.items().schema
+    assert spark.read.parquet(paths["items"]).schema.simpleString() == t.items().schema.simpleString()
