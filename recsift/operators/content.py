@@ -19,6 +19,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from recsift.functions.text import concat_blank, english_stop_words, join_words, tokens
 from recsift.operators.lookup import tag_lookup
@@ -138,11 +139,12 @@ def tfidf_vectors(terms: DataFrame, vocab: DataFrame, bounded_vocab: bool = True
     per-item norm is a window over one item's kept terms (at most
     ``max_features`` rows), so no item's group is unbounded.
     """
-    v = vocab.select("term", "idf")
+    extra = ["term_idx"] if "term_idx" in vocab.columns else []
+    v = vocab.select("term", "idf", *extra)
     v = F.broadcast(v) if bounded_vocab else v
-    w = terms.join(v, "term").select("item_id", "term", "tf", (F.col("tf") * F.col("idf")).alias("w"))
+    w = terms.join(v, "term").select("item_id", "term", *extra, "tf", (F.col("tf") * F.col("idf")).alias("w"))
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("item_id")))
-    return w.select("item_id", "term", "tf", (F.col("w") / norm).alias("weight"))
+    return w.select("item_id", "term", *extra, "tf", (F.col("w") / norm).alias("weight"))
 
 
 class ContentModel:
@@ -169,9 +171,13 @@ class ContentModel:
         if max_features is not None:
             # Like CountVectorizer.fit: the capped vocabulary (at most
             # max_features rows) is fitted once and held as a local relation,
-            # so the term pipeline is not recomputed inside the broadcast.
+            # so the term pipeline is not recomputed inside the broadcast.  Each
+            # term gets a dense index (term order), which the similarity job
+            # ships instead of the term text.
             spark = items.sparkSession
-            vocab = spark.createDataFrame(vocab.collect(), vocab.schema)
+            rows = sorted(vocab.collect(), key=lambda r: r["term"])
+            schema = T.StructType(vocab.schema.fields + [T.StructField("term_idx", T.IntegerType(), False)])
+            vocab = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], schema)
         return cls(vocab, tfidf_vectors(terms, vocab, bounded_vocab=max_features is not None), n_items)
 
     def save(self, path: str) -> None:

@@ -108,7 +108,7 @@ def _block_pair_kernel(n: int):
         np.round(S, SIM_DIGITS, out=S)
         out = [_top_per_row(S, A[0], B[0], n)]
         if lo != hi:
-            out.append(_top_per_row(S.T, B[0], A[0], n))
+            out.append(_top_per_row(np.ascontiguousarray(S.T), B[0], A[0], n))
         return _frame(out)
     return kernel
 
@@ -126,6 +126,12 @@ def _seeded_kernel(n: int):
     return kernel
 
 
+def _term(vectors: DataFrame):
+    """The term key shipped to the kernel: the vocabulary's integer index when
+    the model has one (4 bytes instead of the text), else the term itself."""
+    return F.col("term_idx").alias("term") if "term_idx" in vectors.columns else F.col("term")
+
+
 def num_blocks_for(vectors: DataFrame, block_size: int = 2048, n_items: int | None = None) -> int:
     """Blocks so that a block holds <= block_size items and the pairs keep all cores busy."""
     spark = vectors.sparkSession
@@ -146,7 +152,7 @@ def similar_items(vectors: DataFrame, n: int = 10, num_blocks: int | None = None
     size the model was fitted on) saves one counting job.
     """
     B = num_blocks or num_blocks_for(vectors, block_size, n_items)
-    v = vectors.select("item_id", "term", "weight",
+    v = vectors.select("item_id", _term(vectors), "weight",
                        F.pmod(F.xxhash64("item_id"), F.lit(B)).cast("int").alias("blk"))
     other = F.explode(F.sequence(F.lit(0), F.lit(B - 1))).alias("other")
     pairs = v.select("*", other).select(
@@ -175,9 +181,9 @@ def similar_items_for(vectors: DataFrame, seeds: DataFrame, n: int = 10, num_blo
     blk = F.pmod(F.xxhash64("item_id"), F.lit(B)).cast("int")
     seed_ids = seeds.select("item_id").distinct()
     seed_vec = vectors.join(seed_ids, "item_id", "left_semi").select(
-        "item_id", "term", "weight", F.explode(F.sequence(F.lit(0), F.lit(B - 1))).alias("cb"),
+        "item_id", _term(vectors), "weight", F.explode(F.sequence(F.lit(0), F.lit(B - 1))).alias("cb"),
         F.lit(0).alias("role"))
-    cand = vectors.select("item_id", "term", "weight", blk.alias("cb"), F.lit(1).alias("role"))
+    cand = vectors.select("item_id", _term(vectors), "weight", blk.alias("cb"), F.lit(1).alias("role"))
     both = seed_vec.unionByName(cand).repartition(2 * B, "cb")
     out = both.groupBy("cb").applyInPandas(_seeded_kernel(n), OUT_SCHEMA)
     w = Window.partitionBy("seed_id").orderBy(F.desc("similarity"), "item_id")
