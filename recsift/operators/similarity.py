@@ -72,20 +72,37 @@ def _side(pdf: pd.DataFrame, m: np.ndarray, term_code: np.ndarray):
     return uniq, pos[order], pdf["weight"].to_numpy()[m][order], bounds
 
 
+HOT_PRODUCTS = 4096
+
+
 def _dot(A, B) -> np.ndarray:
-    """S = A Bᵀ accumulated term by term over the terms both blocks hold.
+    """S = A Bᵀ over the terms both blocks hold.
 
+    Terms whose (rows x columns) product is large ("hot" terms, held by many
+    items of both blocks) go through one dense matrix product over just those
+    term columns; the long tail of small terms is scattered term by term.
     Terms are visited in sorted order (codes from a sorted factorize), so a
-    task recomputed after an executor loss sums in the same order and yields
-    bit-identical similarities whatever order its input rows arrive in.
+    task recomputed after an executor loss gives bit-identical similarities
+    whatever order its input rows arrive in.
     """
     S = np.zeros((len(A[0]), len(B[0])))
+    hot = []
     for term, (s0, e0) in A[3].items():
         hit = B[3].get(term)
         if hit is None:
             continue
         s1, e1 = hit
-        S[np.ix_(A[1][s0:e0], B[1][s1:e1])] += np.outer(A[2][s0:e0], B[2][s1:e1])
+        if (e0 - s0) * (e1 - s1) >= HOT_PRODUCTS:
+            hot.append((s0, e0, s1, e1))
+        else:
+            S[np.ix_(A[1][s0:e0], B[1][s1:e1])] += np.outer(A[2][s0:e0], B[2][s1:e1])
+    if hot:
+        Ad = np.zeros((len(A[0]), len(hot)))
+        Bd = np.zeros((len(B[0]), len(hot)))
+        for h, (s0, e0, s1, e1) in enumerate(hot):
+            Ad[A[1][s0:e0], h] = A[2][s0:e0]
+            Bd[B[1][s1:e1], h] = B[2][s1:e1]
+        S += Ad @ Bd.T
     return S
 
 
