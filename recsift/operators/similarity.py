@@ -134,6 +134,8 @@ def _seeded_kernel(n: int):
     def kernel(pdf: pd.DataFrame) -> pd.DataFrame:
         term_code, _ = pd.factorize(pdf["term"], sort=True)
         seed = pdf["role"].to_numpy() == 0
+        if not seed.any() or seed.all():
+            return _frame([(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))])
         A = _side(pdf, seed, term_code)
         B = _side(pdf, ~seed, term_code)
         S = _dot(A, B)
@@ -190,18 +192,25 @@ def similar_items_for(vectors: DataFrame, seeds: DataFrame, n: int = 10, num_blo
     """T6 for chosen seeds (``seeds`` has ``item_id``), e.g. one film or the
     users' top items: same ranking as ``similar_items``, restricted to seeds.
 
-    The seeds' vectors go to every candidate block and each candidate once,
-    so the work is |seeds| x catalogue instead of catalogue squared; a task
-    holds the seed vectors and one candidate block.
+    Seeds are cut into ``Bs`` blocks and the catalogue into ``B`` blocks; a
+    task scores one seed block against one candidate block.  Work is |seeds|
+    x catalogue (not catalogue squared) and a task never holds more than one
+    block of each side, however many seeds there are.
     """
     B = num_blocks or num_blocks_for(vectors, block_size, n_items)
-    blk = F.pmod(F.xxhash64("item_id"), F.lit(B)).cast("int")
     seed_ids = seeds.select("item_id").distinct()
+    n_seeds = seed_ids.count()
+    if n_seeds == 0:
+        return vectors.sparkSession.createDataFrame([], OUT_SCHEMA + ", rank int")
+    Bs = max(1, math.ceil(n_seeds / block_size))
+    blk = lambda m: F.pmod(F.xxhash64("item_id"), F.lit(m)).cast("int")
     seed_vec = vectors.join(seed_ids, "item_id", "left_semi").select(
-        "item_id", _term(vectors), "weight", F.explode(F.sequence(F.lit(0), F.lit(B - 1))).alias("cb"),
-        F.lit(0).alias("role"))
-    cand = vectors.select("item_id", _term(vectors), "weight", blk.alias("cb"), F.lit(1).alias("role"))
-    both = seed_vec.unionByName(cand).repartition(2 * B, "cb")
-    out = both.groupBy("cb").applyInPandas(_seeded_kernel(n), OUT_SCHEMA)
+        "item_id", _term(vectors), "weight", blk(Bs).alias("sb"),
+        F.explode(F.sequence(F.lit(0), F.lit(B - 1))).alias("cb"), F.lit(0).alias("role"))
+    cand = vectors.select(
+        "item_id", _term(vectors), "weight", F.explode(F.sequence(F.lit(0), F.lit(Bs - 1))).alias("sb"),
+        blk(B).alias("cb"), F.lit(1).alias("role"))
+    both = seed_vec.unionByName(cand).repartition(2 * B * Bs, "sb", "cb")
+    out = both.groupBy("sb", "cb").applyInPandas(_seeded_kernel(n), OUT_SCHEMA)
     w = Window.partitionBy("seed_id").orderBy(F.desc("similarity"), "item_id")
     return out.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)

@@ -77,3 +77,12 @@ def test_seeded_matches_all_pairs(spark, blocks):
            .select("seed_id", "item_id", "similarity", "rank").collect()}
     want = {t for t in _brute(rows, 4) if t[0] in (1, 34, 100)}
     assert {(a, b, round(c, 9), d) for a, b, c, d in got} == want
+
+
+def test_seeded_with_many_seed_blocks(spark):
+    rows = _random_vectors(n_items=60, seed=5)
+    vec = spark.createDataFrame(rows, "item_id long, term string, weight double")
+    seeds = vec.select("item_id").distinct()  # every item is a seed
+    got = {(r.seed_id, r.item_id, round(r.similarity, 9), r.rank)
+           for r in similarity.similar_items_for(vec, seeds, n=3, num_blocks=3, block_size=16).collect()}
+    assert got == _brute(rows, 3)
