@@ -180,6 +180,17 @@ class ContentModel:
             vocab = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], schema)
         return cls(vocab, tfidf_vectors(terms, vocab, bounded_vocab=max_features is not None), n_items)
 
+    @classmethod
+    def fit_or_simple(cls, items: DataFrame, tags: DataFrame | None = None, tag_scores: DataFrame | None = None,
+                      tag_names: DataFrame | None = None) -> "ContentModel":
+        """T1 with T2 as fallback: the full document model, or the title+genres
+        model (1000 terms) when building the full one fails (e.g. a tag table
+        that cannot be read)."""
+        try:
+            return cls.fit(items, tags, tag_scores, tag_names)
+        except Exception:  # noqa: BLE001 - any failure of the optional inputs
+            return cls.fit(items, simple=True)
+
     def save(self, path: str) -> None:
         """The model as two Parquet tables under ``path``."""
         self.vocab.write.mode("overwrite").parquet(f"{path}/vocab")

@@ -76,3 +76,12 @@ def test_recommend_content_for_one_user_equals_batch(spark):
     cols = ["user_id", "item_id", "rank", "similarity"]
     assert sorted(tuple(r) for r in one.select(cols).collect()) == sorted(tuple(r) for r in batch.select(cols).collect())
     assert one.count() == 5
+
+
+def test_fit_falls_back_to_simple_model(spark, tmp_path):
+    items = spark.createDataFrame([(1, "red ring", ["toy"]), (2, "blue ring", ["toy"])],
+                                  "item_id long, title string, genres array<string>")
+    raw = spark.createDataFrame([(1, "x", "fun")], "user_id long, item_key string, tag string")
+    broken_tags = raw.select("user_id", F.col("item_key").cast("bigint").alias("item_id"), "tag")  # ANSI: fails at run
+    m = content.ContentModel.fit_or_simple(items, broken_tags)
+    assert {r.term for r in m.vocab.collect()} == {"red", "blue", "ring", "toy"}
