@@ -74,10 +74,13 @@ def _drop_stop_words(df: DataFrame, stop_words: bool) -> DataFrame:
     return df.where(~F.col("term").isin(list(english_stop_words())))
 
 
-def document_terms(docs: DataFrame, stop_words: bool = True) -> DataFrame:
-    """T3 on ready documents: (item_id, term, tf)."""
-    t = _drop_stop_words(_explode_terms(docs, "document"), stop_words)
-    return t.groupBy("item_id", "term").agg(F.sum("n").alias("tf"))
+def document_terms(docs: DataFrame, stop_words: bool = True, id_col: str = "item_id",
+                   text_col: str = "document") -> DataFrame:
+    """T3 on ready documents: (id, term, tf), over the whole text of each document."""
+    d = docs.select(F.col(id_col).alias("item_id"), F.col(text_col).alias("document"))
+    t = _drop_stop_words(_explode_terms(d, "document"), stop_words)
+    out = t.groupBy("item_id", "term").agg(F.sum("n").alias("tf"))
+    return out if id_col == "item_id" else out.withColumnRenamed("item_id", id_col)
 
 
 def item_terms(items: DataFrame, tags: DataFrame | None = None, tag_scores: DataFrame | None = None,

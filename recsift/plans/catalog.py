@@ -748,3 +748,40 @@ def _algorithm_comparison(t: Tables) -> DataFrame:
                  .unionByName(evaluate.metrics_long("content_based", evaluate.novelty(recs, t.interactions()),
                                                     ["novelty"])))
     return _als_metrics(t).unionByName(content_m)
+
+
+# ---------------------------------------------------------------- second corpus: documents
+
+_DOC_TOKS = r"""
+    SELECT doc_id, term, count(*) AS tf FROM (
+        SELECT doc_id, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}_]{2,}')) AS term FROM documents)
+    WHERE term NOT IN (SELECT term FROM stop_words) GROUP BY doc_id, term"""
+
+
+def _document_terms(t: Tables) -> DataFrame:
+    from recsift.sources.tables import raw
+
+    from recsift.session import spread
+
+    docs = spread(raw(t.spark, t.sf_dir, "documents").select("doc_id", "text"))
+    return content.document_terms(docs, id_col="doc_id", text_col="text")
+
+
+@query("document_terms", with_tables("SELECT doc_id, term, tf FROM doc_toks", "stop_words",
+                                     extra=[("doc_toks", _DOC_TOKS)]))
+def _document_terms_q(t: Tables) -> DataFrame:
+    return _document_terms(t)
+
+
+@query("document_vocabulary", with_tables("""
+    SELECT term, count(*) AS df, CAST(sum(tf) AS BIGINT) AS tf_total,
+           round(ln((1.0 + (SELECT count(*) FROM documents)) / (1.0 + count(*))) + 1, 9) AS idf
+    FROM doc_toks GROUP BY term ORDER BY tf_total DESC, term LIMIT 5000""", "stop_words",
+    extra=[("doc_toks", _DOC_TOKS)]))
+def _document_vocabulary(t: Tables) -> DataFrame:
+    from recsift.sources.tables import raw
+
+    n_docs = content.count_docs(raw(t.spark, t.sf_dir, "documents"))
+    terms = _document_terms(t).withColumnRenamed("doc_id", "item_id")
+    v = content.vocabulary(terms, n_docs, content.MAX_FEATURES)
+    return v.select("term", "df", "tf_total", F.round("idf", 9).alias("idf"))

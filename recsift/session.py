@@ -71,3 +71,15 @@ def cut_lineage(df, eager: bool = True):
     if ensure_checkpoint_dir(df.sparkSession) is None:
         return df
     return df.checkpoint(eager=eager)
+
+
+def spread(df):
+    """Round-robin a scan over the cores when it arrives in fewer partitions
+    than there are cores (e.g. one large row group) and the next step is
+    CPU-heavy per row (tokenising whole texts).  A no-op for tables that
+    already scan in many splits, as they do at cluster scale.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
