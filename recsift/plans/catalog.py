@@ -785,3 +785,18 @@ def _document_vocabulary(t: Tables) -> DataFrame:
     terms = _document_terms(t).withColumnRenamed("doc_id", "item_id")
     v = content.vocabulary(terms, n_docs, content.MAX_FEATURES)
     return v.select("term", "df", "tf_total", F.round("idf", 9).alias("idf"))
+
+
+DOC_SEARCH_TEXT = "license"
+
+
+@query("search_documents", with_tables(f"""
+    SELECT doc_id, lang, n_chars FROM documents
+    WHERE text IS NOT NULL AND contains(lower(text), '{DOC_SEARCH_TEXT}') ORDER BY doc_id LIMIT 10"""))
+def _search_documents(t: Tables) -> DataFrame:
+    """F8/U3 on the second corpus: whole texts searched case-insensitively, first 10 by id."""
+    from recsift.sources.tables import raw
+
+    docs = raw(t.spark, t.sf_dir, "documents").withColumnRenamed("doc_id", "item_id").withColumnRenamed("text", "title")
+    hits = lookup.search_titles(docs.select("item_id", "title", "lang", "n_chars"), DOC_SEARCH_TEXT, limit=10)
+    return hits.select(F.col("item_id").alias("doc_id"), "lang", "n_chars")
