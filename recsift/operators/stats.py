@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recsift.functions.text import join_words
 
 
 def rating_stats(ratings: DataFrame) -> DataFrame:
@@ -114,7 +113,3 @@ def sample_users(ratings: DataFrame, n: int = 20) -> DataFrame:
     """The first ``n`` distinct users by id (a sample report)."""
     return ratings.select("user_id").distinct().orderBy("user_id").limit(n)
 
-
-def genre_text(items: DataFrame) -> DataFrame:
-    """Genres of each item joined by blanks."""
-    return items.select("item_id", join_words(F.col("genres")).alias("genres_str"))
