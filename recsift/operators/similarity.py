@@ -214,3 +214,31 @@ def similar_items_for(vectors: DataFrame, seeds: DataFrame, n: int = 10, num_blo
     out = both.groupBy("sb", "cb").applyInPandas(_seeded_kernel(n), OUT_SCHEMA)
     w = Window.partitionBy("seed_id").orderBy(F.desc("similarity"), "item_id")
     return out.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
+
+
+def pad_with_zero(similar: DataFrame, catalogue: DataFrame, n: int = 10) -> DataFrame:
+    """Fill neighbour lists shorter than n with zero-similarity items, as a
+    ranking of the whole catalogue would (ties at 0 in id order, never the
+    item itself).  Every catalogue item gets a list, also items without any
+    kept term.
+
+    Only the first 2n + 1 catalogue ids can ever be needed (a short list holds
+    fewer than n positives, plus the item itself), so they are fitted once as
+    a bounded literal and exploded for the short lists only; no join with the
+    catalogue per seed.
+    """
+    ids = catalogue.select("item_id").distinct()
+    first = [r["item_id"] for r in ids.orderBy("item_id").limit(2 * n + 1).collect()]
+    have = similar.groupBy("seed_id").agg(F.count(F.lit(1)).alias("k"))
+    short = (ids.select(F.col("item_id").alias("seed_id"))
+             .join(have, "seed_id", "left").fillna(0, ["k"]).where(F.col("k") < n))
+    if not first:
+        return similar
+    pads = (short.select("seed_id", "k", F.explode(F.array(*[F.lit(i).cast("bigint") for i in first])).alias("item_id"))
+            .where(F.col("item_id") != F.col("seed_id"))
+            .join(similar.select("seed_id", "item_id"), ["seed_id", "item_id"], "left_anti"))
+    w = Window.partitionBy("seed_id").orderBy("item_id")
+    pads = (pads.withColumn("rank", (F.col("k") + F.row_number().over(w)).cast("int"))
+            .where(F.col("rank") <= n)
+            .select("seed_id", "item_id", F.lit(0.0).alias("similarity"), "rank"))
+    return similar.select("seed_id", "item_id", "similarity", "rank").unionByName(pads)

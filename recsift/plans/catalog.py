@@ -800,3 +800,17 @@ def _search_documents(t: Tables) -> DataFrame:
     docs = raw(t.spark, t.sf_dir, "documents").withColumnRenamed("doc_id", "item_id").withColumnRenamed("text", "title")
     hits = lookup.search_titles(docs.select("item_id", "title", "lang", "n_chars"), DOC_SEARCH_TEXT, limit=10)
     return hits.select(F.col("item_id").alias("doc_id"), "lang", "n_chars")
+
+
+@query("similar_items_padded", with_tables("""
+    SELECT seed_id, item_id, similarity, CAST(rank AS INTEGER) AS rank FROM (
+        SELECT a.item_id AS seed_id, b.item_id, coalesce(s.similarity, 0.0) AS similarity,
+               row_number() OVER (PARTITION BY a.item_id
+                                  ORDER BY coalesce(s.similarity, 0.0) DESC, b.item_id) AS rank
+        FROM items a JOIN items b ON a.item_id <> b.item_id
+        LEFT JOIN (SELECT seed_id, item_id, similarity FROM neighbours) s
+          ON s.seed_id = a.item_id AND s.item_id = b.item_id)
+    WHERE rank <= 10""", "items", "neighbours"))
+def _similar_items_padded(t: Tables) -> DataFrame:
+    """T6 as the reference ranks it: the whole catalogue, zero similarity padding short lists."""
+    return similarity.pad_with_zero(_similar(t), t.items(), n=N_SIMILAR)

@@ -86,3 +86,21 @@ def test_seeded_with_many_seed_blocks(spark):
     got = {(r.seed_id, r.item_id, round(r.similarity, 9), r.rank)
            for r in similarity.similar_items_for(vec, seeds, n=3, num_blocks=3, block_size=16).collect()}
     assert got == _brute(rows, 3)
+
+
+def test_pad_with_zero_like_a_full_catalogue_ranking(spark):
+    items = spark.createDataFrame(
+        [(1, "red ring", ["toy"]), (2, "red bolt", ["car"]), (3, "blue nut", ["car"]), (4, "the of", []), (5, "zz", [])],
+        "item_id long, title string, genres array<string>")
+    m = content.ContentModel.fit(items, max_features=None)
+    sim = similarity.similar_items(m.vectors, n=3, num_blocks=2)
+    padded = similarity.pad_with_zero(sim, items, n=3)
+    lists = {}
+    for r in padded.collect():
+        lists.setdefault(r.seed_id, []).append((r.rank, r.item_id, r.similarity))
+    lists = {k: [i for _, i, _ in sorted(v)] for k, v in lists.items()}
+    assert set(lists) == {1, 2, 3, 4, 5} and all(len(v) == 3 for v in lists.values())
+    assert lists[4] == [1, 2, 3]            # no vector: zeros in id order
+    assert lists[1][0] == 2 and 1 not in lists[1]
+    zeros = [r for r in padded.collect() if r.similarity == 0.0]
+    assert all(r.seed_id != r.item_id for r in zeros)
