@@ -20,16 +20,20 @@ def top_n_per(df: DataFrame, key: str, score: str, n: int, tie: str = "item_id")
 
 
 def content_recs_liked(ratings: DataFrame, similar: DataFrame, n: int = 10,
-                       liked_min: float = LIKED_MIN) -> DataFrame:
+                       liked_min: float = LIKED_MIN, candidates_per_seed: int | None = None) -> DataFrame:
     """Items similar to what each user liked, minus what they rated, top n.
 
-    liked (rating >= 4) x the seed's n neighbours -> best similarity per
+    liked (rating >= 4) x the seed's neighbours -> best similarity per
     (user, item) -> anti join with the user's ratings -> top n per user.
     As in the reference, each seed contributes its n neighbours *before*
-    rated items are removed, so a list may hold fewer than n items.
+    rated items are removed, so a list may hold fewer than n items;
+    ``candidates_per_seed`` (<= the neighbour table's depth) changes how many
+    neighbours each seed contributes.
     """
+    per_seed = candidates_per_seed if candidates_per_seed is not None else n
     liked = ratings.where(F.col("rating") >= liked_min).select("user_id", F.col("item_id").alias("seed_id"))
-    cand = (liked.join(similar.select("seed_id", "item_id", "similarity"), "seed_id")
+    nb = similar.where(F.col("rank") <= per_seed).select("seed_id", "item_id", "similarity")
+    cand = (liked.join(nb, "seed_id")
             .groupBy("user_id", "item_id").agg(F.max("similarity").alias("similarity")))
     return top_n_per(drop_seen(cand, ratings), "user_id", "similarity", n)
 

@@ -85,3 +85,12 @@ def test_fit_falls_back_to_simple_model(spark, tmp_path):
     broken_tags = raw.select("user_id", F.col("item_key").cast("bigint").alias("item_id"), "tag")  # ANSI: fails at run
     m = content.ContentModel.fit_or_simple(items, broken_tags)
     assert {r.term for r in m.vocab.collect()} == {"red", "blue", "ring", "toy"}
+
+
+def test_candidates_per_seed(spark):
+    sim = spark.createDataFrame([(1, 2, 0.9, 1), (1, 3, 0.8, 2), (1, 4, 0.7, 3)],
+                                "seed_id long, item_id long, similarity double, rank int")
+    ratings = spark.createDataFrame([(7, 1, 5.0), (7, 2, 1.0)], R)
+    one = [r.item_id for r in recommend.content_recs_liked(ratings, sim, n=2, candidates_per_seed=1).collect()]
+    three = sorted(r.item_id for r in recommend.content_recs_liked(ratings, sim, n=2, candidates_per_seed=3).collect())
+    assert one == [] and three == [3, 4]   # the only candidate (2) was already rated
