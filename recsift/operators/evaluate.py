@@ -167,3 +167,25 @@ def metrics_long(algorithm: str, wide: DataFrame, names: list[str]) -> DataFrame
     cols = [F.col(n).cast("double").alias(n) for n in names]
     return (wide.select(*cols).unpivot([], names, "metric", "value")
             .select(F.lit(algorithm).alias("algorithm"), "metric", "value"))
+
+
+def evaluate_content(ratings: DataFrame, similar: DataFrame, n: int = 10, split: DataFrame | None = None,
+                     users: DataFrame | None = None) -> DataFrame:
+    """E4-E6 for the content recommender in one call, for all eligible users.
+
+    ``split`` is (user_id, item_id, rating, split) with 'train'/'test'
+    (default: the portable per-(user, item) hash split).  Lists come from the
+    user's train ratings (liked seeds, rated items removed); relevant items are
+    the user's test ratings >= 4.  ``users`` optionally restricts the users.
+    """
+    from recsift.operators.recommend import content_recs_liked
+    from recsift.sources.tables import split_hash
+
+    s = split if split is not None else split_hash(ratings.select("user_id", "item_id", "rating"))
+    train = s.where(F.col("split") == "train").select("user_id", "item_id", "rating")
+    test = s.where(F.col("split") == "test").select("user_id", "item_id", "rating")
+    elig = eligible_users(ratings, train, test)
+    if users is not None:
+        elig = elig.join(users.select("user_id"), "user_id", "left_semi")
+    recs = content_recs_liked(train, similar, n=n)
+    return ranking_metrics(recs, relevant_items(test), elig)

@@ -562,20 +562,12 @@ _ELIG = """
     INTERSECT SELECT user_id FROM train INTERSECT SELECT user_id FROM test"""
 
 
-def _content_train_recs(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame]:
-    train, test = _train_test(t)
-    recs = recommend.content_recs_liked(train, _similar(t), n=N_SIMILAR)
-    return recs, train, test
-
-
 @query("content_eval", with_tables(
     _RANKING_SQL, "interactions", "train", "test", "neighbours",
     extra=[("recs", _LIKED_RECS_SQL.format(ratings="train")),
            ("rel", "SELECT user_id, item_id FROM test WHERE rating >= 4.0"), ("elig", _ELIG)]), reuse=True)
 def _content_eval(t: Tables) -> DataFrame:
-    recs, train, test = _content_train_recs(t)
-    users = evaluate.eligible_users(t.interactions(), train, test)
-    m = evaluate.ranking_metrics(recs, evaluate.relevant_items(test), users)
+    m = evaluate.evaluate_content(t.interactions(), _similar(t), n=N_SIMILAR, split=t.split())
     return _round_cols(m, ["precision", "recall", "f1"])
 
 

@@ -76,3 +76,11 @@ def test_exclude_seen_is_exact_for_heavy_users(spark, low_rank):
     for u, _, _ in a:
         per_user[u] = per_user.get(u, 0) + 1
     assert per_user == {u: min(3, k) for u, k in unseen.items() if k > 0}
+
+
+def test_train_with_cross_validation(low_rank):
+    train, test = low_rank
+    best, report, metrics = als.train_with_cross_validation(
+        train.unionByName(test), {"rank": [2], "maxIter": [5], "regParam": [0.01]}, folds=2)
+    m = metrics.first()
+    assert report.count() == 1 and m.n > 0 and m.rmse < 0.5
