@@ -88,13 +88,18 @@ def ranking_metrics(recs: DataFrame, relevant: DataFrame, users: DataFrame | Non
     """Macro precision (hits / list length), recall (hits / relevant),
     and F1 of the two averages, over users with a non-empty list and at least
     one relevant item (and in ``users`` when given).
+
+    One full outer join of the two (user, item) sets and one per-user
+    aggregate give list length, relevant count and hits together.
     """
-    r = recs.select("user_id", "item_id").withColumn("__rec", F.lit(1))
-    rel = relevant.select("user_id", "item_id").withColumn("__rel", F.lit(1))
-    n_rec = r.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_rec"))
-    n_rel = rel.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_rel"))
-    hits = r.join(rel, ["user_id", "item_id"]).groupBy("user_id").agg(F.count(F.lit(1)).alias("hits"))
-    per_user = n_rec.join(n_rel, "user_id").join(hits, "user_id", "left").fillna(0, ["hits"])
+    r = recs.select("user_id", "item_id").distinct().withColumn("__rec", F.lit(1))
+    rel = relevant.select("user_id", "item_id").distinct().withColumn("__rel", F.lit(1))
+    both = r.join(rel, ["user_id", "item_id"], "full")
+    per_user = both.groupBy("user_id").agg(
+        F.count_if(F.col("__rec").isNotNull()).alias("n_rec"),
+        F.count_if(F.col("__rel").isNotNull()).alias("n_rel"),
+        F.count_if(F.col("__rec").isNotNull() & F.col("__rel").isNotNull()).alias("hits"))
+    per_user = per_user.where((F.col("n_rec") > 0) & (F.col("n_rel") > 0))
     if users is not None:
         per_user = per_user.join(users.select("user_id"), "user_id", "left_semi")
     per_user = per_user.select("user_id", (F.col("hits") / F.col("n_rec")).alias("p"),
@@ -104,6 +109,16 @@ def ranking_metrics(recs: DataFrame, relevant: DataFrame, users: DataFrame | Non
     return m.select("n_users", "precision", "recall", harmonic_mean(F.col("precision"), F.col("recall")).alias("f1"))
 
 
+def eligible_from_split(split: DataFrame, min_ratings: int = ACTIVE_MIN) -> DataFrame:
+    """F6/F9 in one pass over a split table: users with >= min_ratings ratings,
+    at least one train and at least one test rating."""
+    per_user = split.groupBy("user_id").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("split") == "train").alias("n_train"),
+        F.count_if(F.col("split") == "test").alias("n_test"))
+    return per_user.where((F.col("n") >= min_ratings) & (F.col("n_train") > 0) & (F.col("n_test") > 0)).select(
+        "user_id")
+
+
 def relevant_items(test: DataFrame, threshold: float = LIKED_MIN) -> DataFrame:
     return test.where(F.col("rating") >= threshold).select("user_id", "item_id")
 
@@ -184,7 +199,7 @@ def evaluate_content(ratings: DataFrame, similar: DataFrame, n: int = 10, split:
     s = split if split is not None else split_hash(ratings.select("user_id", "item_id", "rating"))
     train = s.where(F.col("split") == "train").select("user_id", "item_id", "rating")
     test = s.where(F.col("split") == "test").select("user_id", "item_id", "rating")
-    elig = eligible_users(ratings, train, test)
+    elig = eligible_from_split(s)
     if users is not None:
         elig = elig.join(users.select("user_id"), "user_id", "left_semi")
     recs = content_recs_liked(train, similar, n=n)

@@ -694,7 +694,7 @@ def _als_residual_histogram(t: Tables) -> DataFrame:
 def _als_metrics(t: Tables) -> DataFrame:
     train, test = _train_test(t)
     model = als.fit_als(train, **ALS_PARAMS)
-    users = evaluate.eligible_users(t.interactions(), train, test)
+    users = evaluate.eligible_from_split(t.split())
     recs = als.recommend_for(model, users, n=TOP_N, seen=train)
     reg = evaluate.regression_metrics(als.predict(model, test))
     rank = evaluate.ranking_metrics(recs, evaluate.relevant_items(test), users)
@@ -727,7 +727,7 @@ def _algorithm_comparison(t: Tables) -> DataFrame:
     train, test = _train_test(t)
     m = _content_model(t)
     sim = similarity.similar_items(m.vectors, n=N_SIMILAR, n_items=m.n_items)
-    users = evaluate.eligible_users(t.interactions(), train, test)
+    users = evaluate.eligible_from_split(t.split())
     recs = recommend.content_recs_liked(train, sim, n=N_SIMILAR)
     reg = evaluate.regression_metrics(evaluate.content_predictions(train, test, sim))
     rank = evaluate.ranking_metrics(recs, evaluate.relevant_items(test), users)
