@@ -1,28 +1,36 @@
-"""Plan checks: no row-at-a-time Python, pruned scans, broadcast only bounded sides."""
+"""Plan checks over every registered query: no row-at-a-time Python, pandas
+only where the similarity kernel runs, no cross join outside Spark ML's ALS
+recommendation calls, pruned scans."""
 
 import pytest
 
 import __spark_entry__ as E
 from tests.conftest import SF_SMALL
 
-PANDAS_OK = {"similar_items", "content_recs_liked", "content_recs_top_item", "unseen_candidates",
-             "content_predictions", "content_rating_eval", "content_eval", "jaccard_lists", "coverage",
-             "diversity", "novelty", "recommend_content", "compare_algorithms", "algorithm_comparison"}
+QUERIES = E.queries()
+ALS_RECOMMEND = {"als_recs_subset", "als_recs_all", "recommend_als", "compare_algorithms", "als_eval",
+                 "algorithm_comparison"}
+SIMILARITY = {"similar_items", "similar_items_padded", "content_recs_liked", "content_recs_top_item",
+              "unseen_candidates", "content_predictions", "content_rating_eval", "content_eval", "jaccard_lists",
+              "coverage", "diversity", "novelty", "recommend_content", "compare_algorithms",
+              "algorithm_comparison"}
 
 
 def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", ["top_rated_items", "genre_stats", "tfidf_vectors", "similar_items",
-                                  "user_history", "profile_missing", "content_recs_liked"])
-def test_no_python_udf(spark, name):
-    plan = _plan(E.queries()[name](spark, SF_SMALL))
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_plan_shape(spark, name):
+    plan = _plan(QUERIES[name](spark, SF_SMALL))
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
-    if name not in PANDAS_OK:
+    if name not in SIMILARITY:
         assert "FlatMapGroupsInPandas" not in plan
+    if name not in ALS_RECOMMEND:
+        assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
 def test_scan_is_pruned(spark):
-    plan = E.queries()["top_rated_items"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    plan = _plan(QUERIES["top_rated_items"](spark, SF_SMALL))
     assert "l_extendedprice" not in plan and "o_totalprice" not in plan
+    assert "PushedFilters" in plan

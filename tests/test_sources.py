@@ -61,3 +61,10 @@ def test_materialize_canonical_tables(spark, tmp_path):
     t = Tables(spark, SF_SMALL)
     assert spark.read.parquet(paths["interactions"]).count() == t.interactions().count()
     assert spark.read.parquet(paths["items"]).schema.simpleString() == t.items().schema.simpleString()
+
+
+def test_tags_permissive_keeps_short_rows(spark, tmp_path):
+    p = tmp_path / "tag.csv"
+    p.write_text("userId,movieId,tag,timestamp\n1,10,funny,1\n2,11\n")
+    rows = C.read_tags(spark, str(p)).orderBy("user_id").collect()
+    assert len(rows) == 2 and rows[1].tag is None and rows[1].item_id == 11
