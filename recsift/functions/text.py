@@ -67,5 +67,7 @@ def english_stop_words() -> tuple[str, ...]:
 def contains_ci(text: Column, needle: str, regex: bool = False) -> Column:
     """Case-insensitive literal containment (or regex when asked)."""
     if regex:
-        return F.lower(text).rlike(needle.lower())
+        # Case-insensitive flag rather than lower-casing the pattern, which
+        # would change escapes such as \D or \S.
+        return text.rlike("(?i)" + needle)
     return F.lower(text).contains(needle.lower())

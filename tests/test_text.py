@@ -28,3 +28,10 @@ def test_search_literal_and_regex(spark):
     lit = [r.item_id for r in lookup.search_titles(items, "st.r").collect()]
     rx = [r.item_id for r in lookup.search_titles(items, "st.r", regex=True).collect()]
     assert lit == [2] and rx == [1, 2]
+
+
+def test_regex_search_keeps_escapes(spark):
+    items = spark.createDataFrame([(1, "Alien 3", ["A"]), (2, "ALIEN X", ["B"])],
+                                  "item_id long, title string, genres array<string>")
+    got = [r.item_id for r in lookup.search_titles(items, r"alien \D", regex=True).collect()]
+    assert got == [2]
