@@ -2,14 +2,11 @@
 
 from __future__ import annotations
 
-import functools
-import glob
-import os
-import zipfile
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from recsift.functions.stopwords import ENGLISH
+
 # Fixed values that must equal the reference's behaviour:
 #   genre separator "|", year pattern "(dddd)" at the very end of a title,
 #   tokens = runs of two or more letters, digits or underscores (lower-cased),
@@ -45,23 +42,9 @@ def tokens(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(TOKEN_PATTERN), 0)
 
 
-@functools.lru_cache(maxsize=None)
 def english_stop_words() -> tuple[str, ...]:
-    """Spark ML's default English stop-word list (``StopWordsRemover``).
-
-    Read from the resource bundled in the spark-mllib jar so that no JVM is
-    needed (the SQL oracle text is built without a session).
-    """
-    import pyspark
-
-    jars = glob.glob(os.path.join(os.path.dirname(pyspark.__file__), "jars", "spark-mllib_*.jar"))
-    if jars:
-        with zipfile.ZipFile(jars[0]) as z:
-            text = z.read("org/apache/spark/ml/feature/stopwords/english.txt").decode("utf-8")
-        return tuple(w.strip() for w in text.splitlines() if w.strip())
-    from pyspark.ml.feature import StopWordsRemover  # needs an active SparkContext
-
-    return tuple(StopWordsRemover.loadDefaultStopWords("english"))
+    """Spark ML's default English stop-word list, held as text (no JVM needed)."""
+    return ENGLISH
 
 
 def contains_ci(text: Column, needle: str, regex: bool = False) -> Column:

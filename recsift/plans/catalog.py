@@ -210,10 +210,10 @@ def _profile_table(t: Tables) -> DataFrame:
 
 
 @query("profile_missing", with_tables("""
-    SELECT 'user_id' AS "column", count_if(user_id IS NULL) AS missing FROM gappy
-    UNION ALL SELECT 'item_id', count_if(item_id IS NULL) FROM gappy
-    UNION ALL SELECT 'rating', count_if(rating IS NULL OR isnan(rating)) FROM gappy
-    UNION ALL SELECT 'ts', count_if(ts IS NULL) FROM gappy""", "gappy"))
+    SELECT 'user_id' AS "column", CAST(count_if(user_id IS NULL) AS BIGINT) AS missing FROM gappy
+    UNION ALL SELECT 'item_id', CAST(count_if(item_id IS NULL) AS BIGINT) FROM gappy
+    UNION ALL SELECT 'rating', CAST(count_if(rating IS NULL OR isnan(rating)) AS BIGINT) FROM gappy
+    UNION ALL SELECT 'ts', CAST(count_if(ts IS NULL) AS BIGINT) FROM gappy""", "gappy"))
 def _profile_missing(t: Tables) -> DataFrame:
     return clean.missing_counts(t.gappy())
 
