@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recsift.llm import exact_dedup, mixing, packing, sharding, simhash, tokens
+from recsift.llm import exact_dedup, mixing, packing, sharding, simhash, tokens, toxicity
 from recsift.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,6 +42,12 @@ def op3_mix_sources(spark, sf_dir):
     return mixing.mix_report(table(spark, sf_dir, "documents")).drop("source")
 
 
+@query
+def op5_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 @query
 def op7_vector_shards(spark, sf_dir):
     return sharding.shard(table(spark, sf_dir, "documents")).select(

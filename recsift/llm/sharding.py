@@ -3,7 +3,7 @@
 Items are groups of equal texts.  Each has a vector (bytes, tokens, rows), each
 shard a residual capacity in the same three resources; items are placed largest
 first where the dot product of the item's vector with the residual capacity is
-highest.
+highest.  Bytes weigh ``WEIGHTS[0]`` times as much, for they are what must come out even.
 
 The greedy order is sequential, so the number of items is bounded by
 parameters, not by the data: groups that hold more than ``1 / (shards * FINE)``
@@ -36,6 +36,7 @@ SHARDS = 8
 TILES = 4096
 FINE = 64
 SPLIT = 16
+WEIGHTS = (4, 1, 1)
 RESOURCES = ("size", "tokens", "n_rows")
 
 
@@ -46,7 +47,7 @@ def place(items: np.ndarray, shards: int) -> np.ndarray:
     residual = np.ones((shards, items.shape[1]))
     out = np.zeros(len(items), np.int64)
     for i in np.argsort(-share.max(axis=1), kind="stable"):
-        out[i] = s = int(np.argmax(residual @ share[i]))
+        out[i] = s = int(np.argmax(residual @ (share[i] * WEIGHTS)))
         residual[s] -= share[i]
     return out
 
