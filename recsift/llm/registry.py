@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recsift.llm import exact_dedup, mixing, packing, sharding, simhash, tokens, toxicity
+from recsift.llm import exact_dedup, knn, mixing, packing, pages, sharding, simhash, tokens, toxicity
 from recsift.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,6 +42,23 @@ def op3_mix_sources(spark, sf_dir):
     return mixing.mix_report(table(spark, sf_dir, "documents")).drop("source")
 
 
+@query
+def op4_voronoi_topk(spark, sf_dir):
+    return knn.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+ORACLE["op4_voronoi_topk"] = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+           FROM embeddings
+           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS query_id, b.vec_id,
+             CAST(list_sum(list_transform(list_zip(a.v, b.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+      FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5"""
+
+
 @query
 def op5_toxicity(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
@@ -64,3 +81,8 @@ def op8_token_counts(spark, sf_dir):
 def op9_simhash(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents")).select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+@query
+def op10_page_text(spark, sf_dir):
+    return pages.extract(table(spark, sf_dir, "pages"))
