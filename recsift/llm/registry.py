@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recsift.llm import exact_dedup, knn, mixing, packing, pages, sharding, simhash, tokens, toxicity
+from recsift.llm import exact_dedup, knn, mixing, packing, pages, pii, sharding, simhash, tokens, toxicity
 from recsift.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -65,6 +65,11 @@ def op5_toxicity(spark, sf_dir):
     return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
+@query
+def op6_personal_data(spark, sf_dir):
+    return pii.report(table(spark, sf_dir, "documents"))
+
+
 @query
 def op7_vector_shards(spark, sf_dir):
     return sharding.shard(table(spark, sf_dir, "documents")).select(
