@@ -145,6 +145,7 @@ def mix(docs: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: in
     taken = take(rows, plan_mix(narrow, weights, max_epochs)).where(F.col("taken") > 0)
     n, rest = F.floor(F.col("taken") / F.col("__size")).cast("int"), F.col("taken") % F.col("__size")
     part = F.array_join(F.slice(F.regexp_extract_all(F.col("__doc.text"), F.lit(WORD), F.lit(0)), 1, rest.cast("int")), " ")
+    new = {"text": F.col("__part")} | ({"n_chars": F.length("__part").cast("long")} if "n_chars" in cols else {})
     whole = taken.where(n > 0).withColumn("__copy", F.explode(F.sequence(F.lit(1), n))).select("__doc.*")
     cut = taken.where(rest > 0).withColumn("__part", part).select("__doc.*", "__part")
-    return whole.unionByName(cut.withColumn("text", F.col("__part")).drop("__part").select(*cols))
+    return whole.unionByName(cut.withColumns(new).select(*cols))
