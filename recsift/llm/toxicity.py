@@ -45,6 +45,7 @@ MAX_ENTRIES = 20_000
 MIN_SUPPORT = 3
 MIN_SHARE = 0.005
 MIN_LOG_ODDS = 2.5
+MIN_LEAN = 0.4
 KEEP_SHARE = 0.9
 SHORTEST, LONGEST = 3, 16
 
@@ -56,7 +57,8 @@ SUBSTITUTED = dict(zip("013457@$!|", "oieastasil"))
 
 _UNDO = str.maketrans(SUBSTITUTED)
 _MARKS = re.compile(r"[0-9@$!|]").finditer
-_FOLD = str.maketrans(LOOK_ALIKE | {c: " " for c in "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~«»“”„‘’…¡¿–—"})
+# A digit 1 can stand for i or l, so both fold to i.
+_FOLD = str.maketrans(LOOK_ALIKE | {"l": "i", "ӏ": "i"} | {c: " " for c in "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~«»“”„‘’…¡¿–—"})
 
 
 def _undo(word: str) -> str:
@@ -130,6 +132,10 @@ class Matcher:
                     best[at] = entry
         return [(at, e) for at, e in best.items() if not any(a < at < b for a, b in excused)]
 
+    def words(self, folded: str) -> list[str]:
+        """The matched words."""
+        return [folded[at:folded.index(" ", at)] for at, _ in self.find(folded)]
+
     def features(self, folded: str) -> tuple[float, float]:
         """(weights per length, log of the number of matches)."""
         found = self.find(folded)
@@ -150,7 +156,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> D
     return texts.join(F.broadcast(chosen), "__id").select("text", "toxic")
 
 
-def _count(sample: DataFrame, of_text) -> dict[str, tuple[int, int]]:
+def _count(sample: DataFrame, of_text, having: str = "true") -> dict[str, tuple[int, int]]:
     """Documents of either class (other, toxic) by term; ``of_text``: text -> terms."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = (Counter(), Counter())
@@ -162,7 +168,7 @@ def _count(sample: DataFrame, of_text) -> dict[str, tuple[int, int]]:
             pa.array([c[t] for t in terms], pa.int64()) for c in found)], ["term", "other", "toxic"])
 
     rows = (sample.mapInArrow(run, "term string, other long, toxic long").groupBy("term")
-            .agg(F.sum("other").alias("other"), F.sum("toxic").alias("toxic"))
+            .agg(F.sum("other").alias("other"), F.sum("toxic").alias("toxic")).where(having)
             .orderBy(F.desc("toxic"), F.desc("other"), "term").limit(MAX_ENTRIES * 10))
     return {r["term"]: (r["other"], r["toxic"]) for r in rows.collect()}
 
@@ -192,6 +198,23 @@ def _evidence(toxic: int, other: int, n_toxic: int, n_other: int) -> float:
     return 2 * sum(k * math.log(k / ((toxic + other) * q)) for k, q in parts if k)
 
 
+def _exceptions(sample: DataFrame, matcher: Matcher, n_toxic: int, n_other: int) -> tuple[str, ...]:
+    """Matched words with a neighbour that speak against toxicity."""
+    def phrases(folded: str) -> set[str]:
+        out = set()
+        for at, _ in matcher.find(folded):
+            end = folded.index(" ", at)
+            word = folded[at:end]
+            before = folded[folded.rfind(" ", 0, max(0, at - 1)) + 1:max(0, at - 1)]
+            after = folded[end + 1:end + 65].split(" ")[0]
+            out |= {f"{before} {word}"} if before else set()
+            out |= {f"{word} {after}"} if after else set()
+        return out
+
+    pairs = _count(sample, phrases, f"other >= {MIN_SUPPORT} AND toxic * 20 <= other")
+    return tuple(sorted(p for p, (o, t) in pairs.items() if _log_odds(t, o, n_toxic, n_other) <= -1))[:MAX_ENTRIES]
+
+
 def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model:
     """Learn entries, exceptions and the link from labelled rows."""
     sample = materialise(training_rows(docs, labels, rows), "labelled")
@@ -206,6 +229,16 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model:
     among = frozenset(toxic)
     other = {t: c[0] for t, c in _count(sample.where("toxic = 0"), lambda f: among & _beginnings(f)).items()}
     weight = {t: _log_odds(c, other.get(t, 0), n_toxic, n_other) for t, c in toxic.items()}
+    # Terms that lean to toxic texts may owe their other uses to fixed phrases: those don't count against them.
+    unsure = {t: w for t, w in weight.items() if MIN_LEAN <= w < MIN_LOG_ODDS}
+    excused = _exceptions(sample, Matcher(unsure), n_toxic, n_other) if unsure else ()
+    if excused:
+        fixed = Matcher(unsure, excused)
+        left = {t: c[0] for t, c in _count(sample.where("toxic = 0"), lambda f: (
+            among & _beginnings(" ".join(fixed.words(f))))).items()}
+        for t in unsure:
+            other[t] = left.get(t, 0)
+            weight[t] = _log_odds(toxic[t], other[t], n_toxic, n_other)
     # Of so many candidates some split well by chance; the evidence must exceed that.
     needed = 2 * math.log(max(2, len(toxic)))
     clear = {t for t, c in toxic.items()
@@ -223,22 +256,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model:
             longer = max(more, key=lambda x: (near[x], x))
         closed[longer] = weight[longer]
     entries = dict(sorted(closed.items(), key=lambda x: (-x[1], x[0]))[:MAX_ENTRIES])
-    plain = Matcher(entries)
-
-    def phrases(folded: str) -> set[str]:
-        out = set()
-        for at, _ in plain.find(folded):
-            end = folded.index(" ", at)
-            word = folded[at:end]
-            before = folded[folded.rfind(" ", 0, max(0, at - 1)) + 1:max(0, at - 1)]
-            after = folded[end + 1:end + 65].split(" ")[0]
-            out |= {f"{before} {word}"} if before else set()
-            out |= {f"{word} {after}"} if after else set()
-        return out
-
-    pairs = _count(sample, phrases)
-    exceptions = tuple(sorted(p for p, (o, t) in pairs.items()
-                              if o >= MIN_SUPPORT and _log_odds(t, o, n_toxic, n_other) <= -1))[:MAX_ENTRIES]
+    exceptions = _exceptions(sample, Matcher(entries), n_toxic, n_other)
     matcher_args = (entries, exceptions)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
