@@ -24,6 +24,7 @@ Defined results
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 from html import unescape
 
@@ -233,7 +234,7 @@ def _last_row(a: list[int], b: list[int]) -> int:
 
 
 def cut_lines(pages: DataFrame) -> DataFrame:
-    """(uid, page_id, url, host, path, lines, regions, hashes)."""
+    """(uid, page_id, url, host, path, body, regions, hashes); ``body``: the lines, compressed."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from xxhash import xxh64_intdigest
 
@@ -241,14 +242,14 @@ def cut_lines(pages: DataFrame) -> DataFrame:
             found = [lines_of(h.as_py()) for h in batch.column(2)]
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), batch.column(1),
-                pa.array([[t for t, _ in p] for p in found], pa.list_(pa.string())),
+                pa.array([zlib.compress("\n".join(t for t, _ in p).encode("utf-8", "replace"), 6) for p in found], pa.binary()),
                 pa.array([[r for _, r in p] for p in found], pa.list_(pa.int32())),
                 pa.array([[xxh64_intdigest(t.encode("utf-8", "replace")) - (1 << 63) for t, _ in p] for p in found],
-                         pa.list_(pa.int64()))], ["page_id", "url", "lines", "regions", "hashes"])
+                         pa.list_(pa.int64()))], ["page_id", "url", "body", "regions", "hashes"])
 
     cut = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
                        F.col("html").cast("string").alias("html")).mapInArrow(
-        run, "page_id long, url string, lines array<string>, regions array<int>, hashes array<long>")
+        run, "page_id long, url string, body binary, regions array<int>, hashes array<long>")
     bare = F.regexp_replace("url", r"[?#].*$", "")
     rest = F.regexp_replace(bare, r"^[A-Za-z][A-Za-z0-9+.-]*://", "")
     return cut.withColumns({"uid": F.monotonically_increasing_id(),
@@ -302,12 +303,21 @@ def shared_lines(cut: DataFrame) -> DataFrame:
 def extract(pages: DataFrame) -> DataFrame:
     """One row per page: (page_id, url, text, n_chars)."""
     cut = materialise(cut_lines(pages), "lines")
-    joined = cut.select("uid", "page_id", "url", "lines", "regions").join(shared_lines(cut), "uid", "left")
-    of = F.zip_with("lines", "regions", lambda t, r: F.struct(t.alias("t"), r.alias("r")))
-    lines = F.transform(of, lambda x, i: F.struct(x["t"].alias("t"), x["r"].alias("r"), F.coalesce(
-        F.array_contains("shared", i), F.lit(False)).alias("shared")))
-    # Differencing deletes shared lines; markup then puts back the article's own and takes the rest of the frame out.
-    has_article = F.exists("regions", lambda r: r == MAIN)
-    left = F.filter(lines, lambda x: (x["r"] == MAIN) | (~x["shared"] & (x["r"] == PLAIN) & ~has_article))
-    text = F.array_join(F.transform(left, lambda x: x["t"]), "\n\n")
-    return joined.select("page_id", "url", text.alias("text")).withColumn("n_chars", F.length("text").cast("long"))
+    joined = cut.select("uid", "page_id", "url", "body", "regions").join(shared_lines(cut), "uid", "left")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = []
+            for body, regions, shared in zip(*(batch.column(i) for i in (2, 3, 4))):
+                lines = zlib.decompress(body.as_py()).decode().split("\n")
+                regions, shared = regions.as_py(), frozenset(shared.as_py() or ())
+                article = MAIN in regions
+                # Differencing deletes shared lines; markup then puts back the article's
+                # own and takes the rest of the frame out.
+                texts.append("\n\n".join(t for i, (t, r) in enumerate(zip(lines, regions)) if r == MAIN or (
+                    i not in shared and r == PLAIN and not article)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())],
+                                             ["page_id", "url", "text"])
+
+    return joined.select("page_id", "url", "body", "regions", "shared").mapInArrow(
+        run, "page_id long, url string, text string").withColumn("n_chars", F.length("text").cast("long"))
