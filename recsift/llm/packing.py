@@ -74,6 +74,7 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, end_id: int = END_ID, path
         encoder, task, filled = worker_encoder(path), TaskContext.get().partitionId(), 0
         open_bins: dict[int, list[list]] = {}
         ready: list[list] = []
+        most = 256 if with_ids else 4096  # rows held back before they are sent on
 
         def batch_of(rows: list[list]) -> pa.RecordBatch:
             columns = zip(*rows) if rows else [()] * len(names)
@@ -99,10 +100,11 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, end_id: int = END_ID, path
                                 offset += row[2]
                                 ready.append(row)
                             filled += 1
-                if len(ready) >= 1 << 14:
-                    yield batch_of(ready)
-                    ready = []
+                    if len(ready) >= most:
+                        yield batch_of(ready)
+                        ready = []
         yield batch_of(ready + [row for rows in open_bins.values() for row in rows])
+        pa.default_memory_pool().release_unused()
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(
         run, _PIECE + ", ids binary" * with_ids)

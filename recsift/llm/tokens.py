@@ -37,11 +37,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Entries of a worker's cache, of a task's summary and of the broadcast table.
-CACHE_ROWS = 500_000
+CACHE_ROWS = 300_000
 SUMMARY_ROWS = 8_192
 TABLE_ROWS = 65_536
 #: Bytes of text that are handled at once.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 LIMIT = 2048
 
 #: A run of Latin letters, then a run of ASCII punctuation: two units of the tokenizer's splitting.
