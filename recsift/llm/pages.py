@@ -233,28 +233,32 @@ def _last_row(a: list[int], b: list[int]) -> int:
     return row
 
 
+def _hashes(lines: list[str]) -> list[int]:
+    from xxhash import xxh64_intdigest
+
+    return [xxh64_intdigest(t.encode("utf-8", "replace")) - (1 << 63) for t in lines]
+
+
+def _rows_of(pages: DataFrame) -> DataFrame:
+    """(uid, page_id, url, html); ``uid`` is a hash of the row: rows that repeat it have the same result."""
+    typed = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
+                         F.col("html").cast("string").alias("html"))
+    return typed.select(F.xxhash64("page_id", "url", "html").alias("uid"), "page_id", "url", "html")
+
+
 def cut_lines(pages: DataFrame) -> DataFrame:
-    """(uid, page_id, url, host, path, body, regions, hashes); ``body``: the lines, compressed."""
+    """(uid, url, host, path, hashes): the line hashes of each different page."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from xxhash import xxh64_intdigest
-
         for batch in batches:
-            found = [lines_of(h.as_py()) for h in batch.column(2)]
-            yield pa.RecordBatch.from_arrays([
-                batch.column(0), batch.column(1),
-                pa.array([zlib.compress("\n".join(t for t, _ in p).encode("utf-8", "replace"), 6) for p in found], pa.binary()),
-                pa.array([[r for _, r in p] for p in found], pa.list_(pa.int32())),
-                pa.array([[xxh64_intdigest(t.encode("utf-8", "replace")) - (1 << 63) for t, _ in p] for p in found],
-                         pa.list_(pa.int64()))], ["page_id", "url", "body", "regions", "hashes"])
-
-    cut = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
-                       F.col("html").cast("string").alias("html")).mapInArrow(
-        run, "page_id long, url string, body binary, regions array<int>, hashes array<long>")
+            found = [_hashes([t for t, _ in lines_of(h.as_py())]) for h in batch.column(2)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.int64()))],
+                                             ["uid", "url", "hashes"])
+
+    cut = _rows_of(pages).select("uid", "url", "html").mapInArrow(run, "uid long, url string, hashes array<long>")
     bare = F.regexp_replace("url", r"[?#].*$", "")
     rest = F.regexp_replace(bare, r"^[A-Za-z][A-Za-z0-9+.-]*://", "")
-    return cut.withColumns({"uid": F.monotonically_increasing_id(),
-                            "host": F.lower(F.regexp_extract(rest, r"^[^/]*", 0)),
-                            "path": F.regexp_extract(rest, r"^[^/]*(.*)$", 1)})
+    return cut.dropDuplicates(["uid"]).withColumns({
+        "host": F.lower(F.regexp_extract(rest, r"^[^/]*", 0)), "path": F.regexp_extract(rest, r"^[^/]*(.*)$", 1)}).drop("url")
 
 
 def neighbours(cut: DataFrame) -> DataFrame:
@@ -283,34 +287,32 @@ def neighbours(cut: DataFrame) -> DataFrame:
     return scored.select("uid", other.alias("other")).where("other IS NOT NULL")
 
 
-def shared_lines(cut: DataFrame) -> DataFrame:
-    """(uid, shared): positions of the page's lines that its neighbour shares in order."""
-    hashes = cut.select("uid", "hashes")
-    pairs = neighbours(cut).join(hashes, "uid").join(
-        hashes.select(F.col("uid").alias("other"), F.col("hashes").alias("others")), "other")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = []
-            for a, b in zip(batch.column(1), batch.column(2)):
-                a, b = a.as_py(), b.as_py()
-                found.append([] if a == b else common(a, b))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int32()))], ["uid", "shared"])
-
-    return pairs.select("uid", "hashes", "others").mapInArrow(run, "uid long, shared array<int>")
-
-
 def extract(pages: DataFrame) -> DataFrame:
-    """One row per page: (page_id, url, text, n_chars)."""
+    """One row per page: (page_id, url, text, n_chars).
+
+    Line hashes are written once; the pages are cut again for their text, which
+    so is moved once and compressed.
+    """
     cut = materialise(cut_lines(pages), "lines")
-    joined = cut.select("uid", "page_id", "url", "body", "regions").join(shared_lines(cut), "uid", "left")
+    others = neighbours(cut).join(cut.select(F.col("uid").alias("other"), F.col("hashes").alias("others")), "other")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def compress(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [lines_of(h.as_py()) for h in batch.column(3)]
+            yield pa.RecordBatch.from_arrays([
+                *batch.columns[:3],
+                pa.array([zlib.compress("\n".join(t for t, _ in p).encode("utf-8", "replace")) for p in found], pa.binary()),
+                pa.array([bytes(r for _, r in p) for p in found], pa.binary())],
+                ["uid", "page_id", "url", "body", "regions"])
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = []
-            for body, regions, shared in zip(*(batch.column(i) for i in (2, 3, 4))):
-                lines = zlib.decompress(body.as_py()).decode().split("\n")
-                regions, shared = regions.as_py(), frozenset(shared.as_py() or ())
+            for body, regions, other in zip(*(batch.column(i) for i in (2, 3, 4))):
+                regions = regions.as_py()
+                lines = zlib.decompress(body.as_py()).decode().split("\n") if regions else []
+                own, near = _hashes(lines), other.as_py() or []
+                shared = frozenset() if own == near else frozenset(common(own, near))
                 article = MAIN in regions
                 # Differencing deletes shared lines; markup then puts back the article's
                 # own and takes the rest of the frame out.
@@ -319,5 +321,7 @@ def extract(pages: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())],
                                              ["page_id", "url", "text"])
 
-    return joined.select("page_id", "url", "body", "regions", "shared").mapInArrow(
-        run, "page_id long, url string, text string").withColumn("n_chars", F.length("text").cast("long"))
+    whole = _rows_of(pages).mapInArrow(compress, "uid long, page_id long, url string, body binary, regions binary")
+    joined = whole.join(others.select("uid", "others"), "uid", "left")
+    return joined.select("page_id", "url", "body", "regions", "others").mapInArrow(
+        keep, "page_id long, url string, text string").withColumn("n_chars", F.length("text").cast("long"))
