@@ -67,6 +67,19 @@ def _nan_to_null(c):
     return F.nanvl(c.cast("double"), F.lit(None).cast("double"))
 
 
+def _imputed(df: DataFrame, name: str, mean: float | None):
+    """Present values keep their exact value.  BYTE, SHORT and INT widen to DOUBLE
+    (which holds them exactly) so that the mean is not cut; BIGINT and DECIMAL keep
+    their type and the mean is rounded to it."""
+    kind = df.schema[name].dataType
+    if isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType)):
+        kind = T.DoubleType()
+    fill = F.lit(mean).cast("double")
+    if isinstance(kind, T.LongType):
+        fill = F.round(fill)
+    return F.when(_is_missing(df, name), fill.cast(kind)).otherwise(F.col(name).cast(kind)).alias(name)
+
+
 def impute_mean(df: DataFrame, measures: list[str] | None = None,
                 keys: tuple[str, ...] = ("user_id", "item_id", "tag_id")) -> DataFrame:
     """C4: replace NULL and NaN in measure columns by the column mean.
@@ -75,18 +88,15 @@ def impute_mean(df: DataFrame, measures: list[str] | None = None,
     default every numeric non-key column is a measure.  Means ignore NULL and
     NaN (the reference's mean of a column holding NaN was NaN).  All means are
     fitted in one aggregate (one small row to the driver, like any estimator
-    fit) and applied in one projection; integer columns keep their type.  A
-    column that is entirely missing stays missing.
+    fit) and applied in one projection; only missing values change (see
+    ``_imputed`` for the types).  A column that is entirely missing stays missing.
     """
     cols = measures if measures is not None else numeric_columns(df, exclude=keys)
     if not cols:
         return df
     row = df.agg(*[F.avg(_nan_to_null(F.col(c))).alias(c) for c in cols]).first()
     means = row.asDict() if row is not None else {}
-    return df.select(*[
-        F.coalesce(_nan_to_null(F.col(c)), F.lit(means.get(c)).cast("double")).cast(df.schema[c].dataType).alias(c)
-        if c in cols else F.col(c)
-        for c in df.columns])
+    return df.select(*[_imputed(df, c, means.get(c)) if c in cols else F.col(c) for c in df.columns])
 
 
 def preview(df: DataFrame, order_by: list[str], n: int = 5) -> DataFrame:

@@ -17,6 +17,9 @@ vocabulary); Spark ML's ``IDF`` omits the ``+ 1`` and is therefore not used.
 
 from __future__ import annotations
 
+import logging
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,6 +32,7 @@ from recsift.session import cut_lineage
 # 1000 (simple document).
 MAX_FEATURES = 5000
 MAX_FEATURES_SIMPLE = 1000
+UNSET = "unset"
 
 
 def genome_text(tag_scores: DataFrame, tag_names: DataFrame) -> DataFrame:
@@ -137,14 +141,12 @@ def count_docs(items: DataFrame) -> int:
 def tfidf_vectors(terms: DataFrame, vocab: DataFrame, bounded_vocab: bool = True) -> DataFrame:
     """T5: (item_id, term, tf, weight), weight = tf * idf / L2 norm over kept terms.
 
-    The vocabulary join is a broadcast when the vocabulary is capped (its row
-    count is bounded by ``max_features``); otherwise the planner decides.  The
-    per-item norm is a window over one item's kept terms (at most
+    The planner broadcasts the vocabulary while its size is below Spark's
+    threshold and shuffles it beyond.  The per-item norm is a window over one item's kept terms (at most
     ``max_features`` rows), so no item's group is unbounded.
     """
     extra = ["term_idx"] if "term_idx" in vocab.columns else []
     v = vocab.select("term", "idf", *extra)
-    v = F.broadcast(v) if bounded_vocab else v
     w = terms.join(v, "term").select("item_id", "term", *extra, "tf", (F.col("tf") * F.col("idf")).alias("w"))
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("item_id")))
     return w.select("item_id", "term", *extra, "tf", (F.col("w") / norm).alias("weight"))
@@ -153,16 +155,18 @@ def tfidf_vectors(terms: DataFrame, vocab: DataFrame, bounded_vocab: bool = True
 class ContentModel:
     """TF-IDF model of the item catalogue held as two tables."""
 
-    def __init__(self, vocab: DataFrame, vectors: DataFrame, n_items: int | None = None):
-        self.vocab, self.vectors, self.n_items = vocab, vectors, n_items
+    def __init__(self, vocab: DataFrame, vectors: DataFrame, n_items: int | None = None, kind: str | None = None):
+        self.vocab, self.vectors, self.n_items, self.kind = vocab, vectors, n_items, kind
 
     @classmethod
     def fit(cls, items: DataFrame, tags: DataFrame | None = None, tag_scores: DataFrame | None = None,
-            tag_names: DataFrame | None = None, max_features: int | None = MAX_FEATURES,
+            tag_names: DataFrame | None = None, max_features: int | None | str = UNSET,
             simple: bool = False) -> "ContentModel":
+        """``max_features``: a cap, None for no cap; unset: 5000, or 1000 for the simple document."""
+        if max_features == UNSET:
+            max_features = MAX_FEATURES_SIMPLE if simple else MAX_FEATURES
         if simple:
             terms = document_terms(item_document_simple(items))
-            max_features = MAX_FEATURES_SIMPLE if max_features == MAX_FEATURES else max_features
         else:
             terms = item_terms(items, tags, tag_scores, tag_names)
         # The term table feeds both the vocabulary and the vectors: written
@@ -181,17 +185,19 @@ class ContentModel:
             rows = sorted(vocab.collect(), key=lambda r: r["term"])
             schema = T.StructType(vocab.schema.fields + [T.StructField("term_idx", T.IntegerType(), False)])
             vocab = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], schema)
-        return cls(vocab, tfidf_vectors(terms, vocab, bounded_vocab=max_features is not None), n_items)
+        return cls(vocab, tfidf_vectors(terms, vocab), n_items, "simple" if simple else "full")
 
     @classmethod
     def fit_or_simple(cls, items: DataFrame, tags: DataFrame | None = None, tag_scores: DataFrame | None = None,
                       tag_names: DataFrame | None = None) -> "ContentModel":
         """T1 with T2 as fallback: the full document model, or the title+genres
-        model (1000 terms) when building the full one fails (e.g. a tag table
-        that cannot be read)."""
+        model (1000 terms) when a tag table cannot be read or resolved.  Any
+        other failure (a lost executor, a full disk) is raised.  ``kind`` of the
+        model says which one it is."""
         try:
             return cls.fit(items, tags, tag_scores, tag_names)
-        except Exception:  # noqa: BLE001 - any failure of the optional inputs
+        except AnalysisException as e:
+            logging.getLogger(__name__).warning("full content model not possible, fitting the simple one: %s", e)
             return cls.fit(items, simple=True)
 
     def save(self, path: str) -> None:

@@ -768,14 +768,14 @@ def _document_terms_q(t: Tables) -> DataFrame:
 @query("document_vocabulary", with_tables("""
     SELECT term, count(*) AS df, CAST(sum(tf) AS BIGINT) AS tf_total,
            round(ln((1.0 + (SELECT count(*) FROM documents)) / (1.0 + count(*))) + 1, 9) AS idf
-    FROM doc_toks GROUP BY term ORDER BY tf_total DESC, term LIMIT 5000""", "stop_words",
+    FROM doc_toks GROUP BY term""", "stop_words",
     extra=[("doc_toks", _DOC_TOKS)]))
 def _document_vocabulary(t: Tables) -> DataFrame:
     from recsift.sources.tables import raw
 
     n_docs = content.count_docs(raw(t.spark, t.sf_dir, "documents"))
     terms = _document_terms(t).withColumnRenamed("doc_id", "item_id")
-    v = content.vocabulary(terms, n_docs, content.MAX_FEATURES)
+    v = content.vocabulary(terms, n_docs, None)
     return v.select("term", "df", "tf_total", F.round("idf", 9).alias("idf"))
 
 

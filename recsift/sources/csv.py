@@ -12,7 +12,6 @@ two agree (``spark.sql.csv.parser.columnPruning.enabled``).
 
 from __future__ import annotations
 
-import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,8 +20,15 @@ from recsift import schema as S
 from recsift.functions.text import split_genres, year_from_title
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path or glob matches anything on the file system that Spark would read it from."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    found = jvm.org.apache.hadoop.fs.Path(path)
+    return bool(found.getFileSystem(conf).globStatus(found))
+
+
 def _missing(spark: SparkSession, path: str, empty_schema, on_missing: str) -> DataFrame | None:
-    if "://" in path or os.path.exists(path):
+    if _exists(spark, path):
         return None
     if on_missing == "empty":
         return spark.createDataFrame([], empty_schema)
@@ -30,8 +36,8 @@ def _missing(spark: SparkSession, path: str, empty_schema, on_missing: str) -> D
 
 
 def _reader(spark: SparkSession, csv_schema, mode: str):
-    spark.conf.set("spark.sql.csv.parser.columnPruning.enabled", "false")
-    return spark.read.schema(csv_schema).option("header", "true").option("mode", mode)
+    return (spark.read.schema(csv_schema).option("header", "true").option("mode", mode)
+            .option("columnPruning", "false"))
 
 
 def _timestamp(c) -> F.Column:

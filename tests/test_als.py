@@ -39,9 +39,21 @@ def test_recommendations_and_seen(low_rank):
     assert recs.groupBy("user_id").count().where("count != 5").count() == 0
 
 
-def test_ids_out_of_range_are_dropped(spark):
-    df = spark.createDataFrame([(1, 2, 3.0), (2**40, 2, 3.0), (None, 1, 1.0)], "user_id long, item_id long, rating double")
-    assert als.to_als_ids(df).count() == 1
+def test_ids_out_of_range_raise_and_negative_ones_stay(spark):
+    schema = "user_id long, item_id long, rating double"
+    df = spark.createDataFrame([(1, 2, 3.0), (-5, 2, 3.0), (None, 1, 1.0), (7, 2, None)], schema)
+    assert {r.user_id for r in als.to_als_ids(df).collect()} == {1, -5}
+    assert {r.user_id for r in als.to_als_pairs(df.drop("rating")).collect()} == {1, -5, 7}
+    with pytest.raises(Exception, match="does not fit"):
+        als.to_als_ids(spark.createDataFrame([(3 * 10**9, 2, 3.0)], schema)).collect()
+
+
+def test_predict_needs_no_rating(low_rank):
+    train, test = low_rank
+    model = als.fit_als(train, rank=2, max_iter=3)
+    want = {(r.user_id, r.item_id): r.prediction for r in als.predict(model, test).collect()}
+    got = {(r.user_id, r.item_id): r.prediction for r in als.predict(model, test.drop("rating")).collect()}
+    assert got == want
 
 
 def test_save_load_round_trip(low_rank, tmp_path):

@@ -35,10 +35,20 @@ def test_impute_mean_measures_only(spark):
     ratings = [r.rating for r in out]
     assert all(not math.isnan(x) for x in ratings)
     assert abs(ratings[2] - mean_rating) < 1e-12 and abs(ratings[3] - mean_rating) < 1e-12
-    assert [r.n for r in out][2] == 3  # int column keeps int type (mean 3.75 -> 3)
+    assert [r.n for r in out][2] == 3.75  # an int column widens: the mean is not cut
     assert [r.user_id for r in out][4] is None  # keys are never imputed
     assert all(r.empty is None for r in out)  # an all-missing column stays missing
-    assert dict(clean.impute_mean(df).dtypes)["n"] == "int"
+    assert dict(clean.impute_mean(df).dtypes)["n"] == "double"
+
+
+def test_impute_mean_keeps_present_values_exactly(spark):
+    df = spark.sql("""SELECT * FROM VALUES (9007199254740993L, 12345678901234567.89BD, 1), (NULL, NULL, 2), (1L, 0.11BD, NULL)
+                      AS t(big, dec, n)""")
+    out = clean.impute_mean(df).collect()
+    assert {r.big for r in out} >= {9007199254740993, 1} and all(r.big is not None for r in out)
+    assert str(out[0].dec) == "12345678901234567.89" and out[1].dec is not None
+    assert sorted(r.n for r in out) == [1.0, 1.5, 2.0]
+    assert dict(clean.impute_mean(df).dtypes)["big"] == "bigint"
 
 
 def test_drop_null_keys(spark):
