@@ -13,6 +13,8 @@ two agree (``spark.sql.csv.parser.columnPruning.enabled``).
 from __future__ import annotations
 
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
