@@ -6,13 +6,12 @@ for the rest), renaming to canonical columns, and ``try_cast`` for text
 fields so that ANSI mode does not abort a whole job on one bad value.
 
 With ``DROPMALFORMED`` Spark's CSV column pruning lets ``count()`` see rows
-that ``collect()`` drops; the readers turn pruning off for the session so the
-two agree (``spark.sql.csv.parser.columnPruning.enabled``).
+that ``collect()`` drops; the readers turn pruning off for their own reads
+(option ``columnPruning``) so the two agree.
 """
 
 from __future__ import annotations
 
-
 import os
 
 from pyspark.sql import DataFrame, SparkSession
