@@ -19,7 +19,7 @@ from __future__ import annotations
 
 import logging
 
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, DateTimeException, NumberFormatException
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -191,12 +191,12 @@ class ContentModel:
     def fit_or_simple(cls, items: DataFrame, tags: DataFrame | None = None, tag_scores: DataFrame | None = None,
                       tag_names: DataFrame | None = None) -> "ContentModel":
         """T1 with T2 as fallback: the full document model, or the title+genres
-        model (1000 terms) when a tag table cannot be read or resolved.  Any
-        other failure (a lost executor, a full disk) is raised.  ``kind`` of the
+        model (1000 terms) when a tag table cannot be resolved or holds values
+        that cannot be parsed.  Any other failure (a lost executor, a full disk) is raised.  ``kind`` of the
         model says which one it is."""
         try:
             return cls.fit(items, tags, tag_scores, tag_names)
-        except AnalysisException as e:
+        except (AnalysisException, NumberFormatException, DateTimeException) as e:
             logging.getLogger(__name__).warning("full content model not possible, fitting the simple one: %s", e)
             return cls.fit(items, simple=True)
 

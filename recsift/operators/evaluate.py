@@ -75,15 +75,6 @@ def prediction_grid(pred: DataFrame, step: float = 0.5) -> DataFrame:
 
 # ---------------------------------------------------------------- ranking
 
-def eligible_users(ratings: DataFrame, train: DataFrame, test: DataFrame,
-                   min_ratings: int = ACTIVE_MIN) -> DataFrame:
-    """users with >= min_ratings ratings, at least one train and one test rating."""
-    act = ratings.groupBy("user_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_ratings)
-    return (act.select("user_id")
-            .join(train.select("user_id").distinct(), "user_id", "left_semi")
-            .join(test.select("user_id").distinct(), "user_id", "left_semi"))
-
-
 def ranking_metrics(recs: DataFrame, relevant: DataFrame, users: DataFrame | None = None) -> DataFrame:
     """Macro precision (hits / list length), recall (hits / relevant),
     and F1 of the two averages, over users with a non-empty list and at least
@@ -123,18 +114,24 @@ def relevant_items(test: DataFrame, threshold: float = LIKED_MIN) -> DataFrame:
     return test.where(F.col("rating") >= threshold).select("user_id", "item_id")
 
 
-def jaccard_lists(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Per user |A ∩ B| / |A ∪ B| of two lists (0.0 when both are empty).
+def jaccard_lists(a: DataFrame, b: DataFrame, users: DataFrame | None = None) -> DataFrame:
+    """Per user |A ∩ B| / |A ∪ B| of two lists.
 
     A full outer join on (user, item) instead of collected sets, so no user's
-    list is gathered into one array.
+    list is gathered into one array.  With ``users`` (``user_id``) exactly these
+    users are returned, 0.0 for one whose lists are both empty; without it, the
+    users with a list.
     """
     x = a.select("user_id", "item_id").distinct().withColumn("__a", F.lit(1))
     y = b.select("user_id", "item_id").distinct().withColumn("__b", F.lit(1))
     both = x.join(y, ["user_id", "item_id"], "full")
-    return both.groupBy("user_id").agg(
+    out = both.groupBy("user_id").agg(
         safe_ratio(F.count_if(F.col("__a").isNotNull() & F.col("__b").isNotNull()), F.count(F.lit(1)))
         .alias("jaccard"))
+    if users is None:
+        return out
+    return users.select("user_id").distinct().join(out, "user_id", "left").select(
+        "user_id", F.coalesce("jaccard", F.lit(0.0)).alias("jaccard"))
 
 
 def coverage(recs: DataFrame, items: DataFrame) -> DataFrame:
@@ -165,16 +162,23 @@ def diversity(recs: DataFrame, vectors: DataFrame) -> DataFrame:
     return d.agg(F.count(F.lit(1)).alias("n_users"), F.avg("diversity").alias("diversity"))
 
 
-def novelty(recs: DataFrame, ratings: DataFrame) -> DataFrame:
+def novelty(recs: DataFrame, ratings: DataFrame, smoothing: bool = False) -> DataFrame:
     """Mean over users of the mean self-information -log2(popularity) of
-    their recommended items; popularity = (raters + 1) / (users + 1).
+    their recommended items; popularity = raters / users.
+
+    An item that nobody rated has no popularity and is left out of the user's
+    mean; a user with such items only is left out of ``n_users``.  ``smoothing``
+    takes (raters + 1) / (users + 1) instead, which counts every item.
     """
     raters = ratings.groupBy("item_id").agg(F.count_distinct("user_id").alias("raters"))
     n_users = ratings.agg(F.count_distinct("user_id").alias("u")).first()["u"]
     r = recs.select("user_id", "item_id").join(raters, "item_id", "left")
-    info = -F.log2((F.coalesce("raters", F.lit(0)) + F.lit(1.0)) / F.lit(float(n_users + 1)))
+    if smoothing:
+        info = -F.log2((F.coalesce("raters", F.lit(0)) + F.lit(1.0)) / F.lit(float(n_users + 1)))
+    else:
+        info = -F.log2(F.col("raters") / F.lit(float(n_users)))
     per_user = r.groupBy("user_id").agg(F.avg(info).alias("nov"))
-    return per_user.agg(F.count(F.lit(1)).alias("n_users"), F.avg("nov").alias("novelty"))
+    return per_user.agg(F.count("nov").alias("n_users"), F.avg("nov").alias("novelty"))
 
 
 def metrics_long(algorithm: str, wide: DataFrame, names: list[str]) -> DataFrame:

@@ -80,15 +80,23 @@ def recommend(algorithm: str, **kw) -> DataFrame:
     raise ValueError(f"unknown algorithm {algorithm!r}; expected 'als' or 'content_based'")
 
 
-def compare_algorithms(als_recs: DataFrame, content_recs: DataFrame) -> DataFrame:
-    """Per user, sizes of both lists and their Jaccard similarity."""
+def compare_algorithms(als_recs: DataFrame, content_recs: DataFrame, users: DataFrame | None = None) -> DataFrame:
+    """Per user, both lists in rank order, their sizes and their Jaccard similarity.
+
+    A user's arrays hold as many items as the lists' n.  ``users``: see ``jaccard_lists``.
+    """
     from recsift.operators.evaluate import jaccard_lists
 
-    a = als_recs.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_als"))
-    c = content_recs.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_content"))
-    j = jaccard_lists(als_recs, content_recs)
-    return (j.join(a, "user_id", "left").join(c, "user_id", "left")
-            .fillna(0, ["n_als", "n_content"]).select("user_id", "n_als", "n_content", "jaccard"))
+    def ranked(recs: DataFrame, name: str) -> DataFrame:
+        rows = F.sort_array(F.collect_list(F.struct("rank", "item_id")))
+        return recs.groupBy("user_id").agg(F.transform(rows, lambda x: x["item_id"]).alias(name))
+
+    none = F.array().cast("array<bigint>")
+    out = jaccard_lists(als_recs, content_recs, users)
+    for recs, name in ((als_recs, "als_items"), (content_recs, "content_items")):
+        out = out.join(ranked(recs, name), "user_id", "left").withColumn(name, F.coalesce(name, none))
+    return out.select("user_id", "als_items", "content_items", F.size("als_items").alias("n_als"),
+                      F.size("content_items").alias("n_content"), "jaccard")
 
 
 def recommend_content_for(ratings: DataFrame, items: DataFrame, vectors: DataFrame, users: DataFrame,

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from recsift.functions.metrics import r6
 from recsift.operators import stats
 from recsift.plans.oracle import with_tables
+from recsift.session import cut_lineage
 from recsift.sources.tables import Tables
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -157,7 +158,8 @@ def top_rated_items_query(t: Tables) -> DataFrame:
     return _flat_top(stats.top_rated_items(t.interactions(), t.items(), n=TOP_N, min_ratings=MIN_RATINGS))
 
 
-@query("best_rated_items", with_tables(_TOP_RATED_BASE, "items", "interactions"))
+@query("best_rated_items", with_tables(
+    _TOP_RATED_BASE + " ORDER BY s.avg_rating DESC, s.item_id", "items", "interactions"))
 def _best_rated_items(t: Tables) -> DataFrame:
     return _flat_top(stats.top_rated_items(t.interactions(), t.items(), n=None, min_ratings=MIN_RATINGS,
                                            order="mean"))
@@ -367,7 +369,8 @@ def _user_top_item(t: Tables) -> DataFrame:
 @query("user_history", with_tables("""
     SELECT r.user_id, r.item_id, coalesce(i.title, 'Movie ' || CAST(r.item_id AS VARCHAR)) AS title,
            r.rating, r.ts
-    FROM interactions r LEFT JOIN items i ON r.item_id = i.item_id""", "interactions", "items"))
+    FROM interactions r LEFT JOIN items i ON r.item_id = i.item_id
+    ORDER BY r.user_id, r.rating DESC, r.item_id""", "interactions", "items"))
 def _user_history(t: Tables) -> DataFrame:
     return lookup.user_history(t.interactions(), t.items())
 
@@ -390,6 +393,13 @@ def _similar(t: Tables) -> DataFrame:
     return similarity.similar_items(m.vectors, n=N_SIMILAR, n_items=m.n_items)
 
 
+def _similar_to_top(t: Tables) -> DataFrame:
+    """Neighbours of the users' top items only: |distinct top items| x catalogue."""
+    m = _content_model(t)
+    seeds = lookup.user_top_item(t.interactions()).select("item_id")
+    return similarity.similar_items_for(m.vectors, seeds, n=N_SIMILAR, n_items=m.n_items)
+
+
 @query("item_document", with_tables("SELECT item_id, document FROM doc", "doc"))
 def _item_document(t: Tables) -> DataFrame:
     return content.item_document(t.items(), t.tags(), t.tag_scores(), t.tag_names())
@@ -449,9 +459,9 @@ def _content_recs_liked(t: Tables) -> DataFrame:
 
 @query("content_recs_top_item", with_tables("""
     SELECT u.user_id, u.item_id AS seed_id, s.item_id, s.similarity, s.rank
-    FROM user_top u JOIN neighbours s ON u.item_id = s.seed_id""", "user_top", "neighbours"))
+    FROM user_top u JOIN neighbours s ON u.item_id = s.seed_id""", "user_top", "neighbours"), reuse=True)
 def _content_recs_top_item(t: Tables) -> DataFrame:
-    return recommend.content_recs_top_item(t.interactions(), _similar(t), n=N_SIMILAR)
+    return recommend.content_recs_top_item(t.interactions(), _similar_to_top(t), n=N_SIMILAR)
 
 
 @query("unseen_candidates", with_tables("""
@@ -460,7 +470,7 @@ def _content_recs_top_item(t: Tables) -> DataFrame:
     WHERE NOT EXISTS (SELECT 1 FROM interactions r WHERE r.user_id = u.user_id AND r.item_id = s.item_id)""",
     "user_top", "neighbours", "interactions"), reuse=True)
 def _unseen_candidates(t: Tables) -> DataFrame:
-    recs = recommend.content_recs_top_item(t.interactions(), _similar(t), n=N_SIMILAR)
+    recs = recommend.content_recs_top_item(t.interactions(), _similar_to_top(t), n=N_SIMILAR)
     return lookup.drop_seen(recs, t.interactions()).select("user_id", "item_id", "similarity")
 
 
@@ -495,7 +505,8 @@ def _baseline_pred(t: Tables) -> DataFrame:
     return evaluate.item_mean_predictions(train, test)
 
 
-@query("baseline_rmse_mae_r2", with_tables(_REG_SQL, "train", "test", extra=[("pred", _BASE_PRED)]))
+@query("baseline_rmse_mae_r2", with_tables(_REG_SQL, "train", "test", extra=[("pred", _BASE_PRED)]),
+       reuse=True)
 def _baseline_metrics(t: Tables) -> DataFrame:
     return _round_cols(evaluate.regression_metrics(_baseline_pred(t)), ["rmse", "mae", "r2"])
 
@@ -507,14 +518,14 @@ def _baseline_metrics(t: Tables) -> DataFrame:
             SELECT round(rating - prediction, 9) AS res FROM pred) r,
           (SELECT min(round(rating - prediction, 9)) AS lo,
                   (max(round(rating - prediction, 9)) - min(round(rating - prediction, 9))) / 50 AS w FROM pred) m)
-    GROUP BY bin, lo, w""", "train", "test", extra=[("pred", _BASE_PRED)]))
+    GROUP BY bin, lo, w""", "train", "test", extra=[("pred", _BASE_PRED)]), reuse=True)
 def _residual_histogram(t: Tables) -> DataFrame:
     return _round_cols(evaluate.residual_histogram(_baseline_pred(t)), ["bin_lo", "bin_hi"])
 
 
 @query("prediction_grid", with_tables("""
     SELECT rating, floor(prediction / 0.5) * 0.5 AS prediction_bin, count(*) AS n FROM pred GROUP BY 1, 2""",
-    "train", "test", extra=[("pred", _BASE_PRED)]))
+    "train", "test", extra=[("pred", _BASE_PRED)]), reuse=True)
 def _prediction_grid(t: Tables) -> DataFrame:
     return evaluate.prediction_grid(_baseline_pred(t)).select(
         "rating", F.col("prediction_bin").cast("double").alias("prediction_bin"), "n")
@@ -534,13 +545,13 @@ def _content_pred(t: Tables) -> DataFrame:
 
 @query("content_predictions", with_tables(
     "SELECT user_id, item_id, rating, round(prediction, 6) AS prediction FROM pred",
-    "train", "test", "neighbours", extra=[("pred", _CONTENT_PRED)]))
+    "train", "test", "neighbours", extra=[("pred", _CONTENT_PRED)]), reuse=True)
 def _content_predictions(t: Tables) -> DataFrame:
     return _round_cols(_content_pred(t), ["prediction"])
 
 
 @query("content_rating_eval", with_tables(_REG_SQL, "train", "test", "neighbours",
-                                          extra=[("pred", _CONTENT_PRED)]))
+                                          extra=[("pred", _CONTENT_PRED)]), reuse=True)
 def _content_rating_eval(t: Tables) -> DataFrame:
     return _round_cols(evaluate.regression_metrics(_content_pred(t)), ["rmse", "mae", "r2"])
 
@@ -616,8 +627,8 @@ def _diversity(t: Tables) -> DataFrame:
 
 
 @query("novelty", with_tables("""
-    SELECT count(*) AS n_users, round(avg(nov), 6) AS novelty FROM (
-        SELECT r.user_id, avg(-log2((coalesce(x.raters, 0) + 1.0) / (nu.u + 1))) AS nov
+    SELECT count(nov) AS n_users, round(avg(nov), 6) AS novelty FROM (
+        SELECT r.user_id, avg(-log2(x.raters / nu.u)) AS nov
         FROM recs r LEFT JOIN (SELECT item_id, count(DISTINCT user_id) AS raters FROM interactions GROUP BY item_id) x
           ON r.item_id = x.item_id
         CROSS JOIN (SELECT count(DISTINCT user_id) AS u FROM interactions) nu
@@ -637,7 +648,7 @@ def _novelty(t: Tables) -> DataFrame:
     LEFT JOIN interactions r ON r.user_id = u.user_id AND r.item_id = s.item_id
     LEFT JOIN items i ON i.item_id = s.item_id""", "user_top", "neighbours", "interactions", "items"), reuse=True)
 def _recommend_content(t: Tables) -> DataFrame:
-    return recommend.recommend_content(t.interactions(), t.items(), _similar(t), n=N_SIMILAR)
+    return recommend.recommend_content(t.interactions(), t.items(), _similar_to_top(t), n=N_SIMILAR)
 
 
 # ---------------------------------------------------------------- collaborative model
@@ -656,7 +667,7 @@ def _als_model(t: Tables):
     return als.fit_als(train, **ALS_PARAMS)
 
 
-@query("als_predictions")
+@query("als_predictions", reuse=True)
 def _als_predictions(t: Tables) -> DataFrame:
     train, test = _train_test(t)
     return als.predict(als.fit_als(train, **ALS_PARAMS), test)
@@ -679,19 +690,19 @@ def _als_recs_all(t: Tables) -> DataFrame:
     return als.recommend_all(_als_model(t), n=TOP_N)
 
 
-@query("als_factor_check")
+@query("als_factor_check", reuse=True)
 def _als_factor_check(t: Tables) -> DataFrame:
     _, test = _train_test(t)
     return als.factor_check(_als_model(t), test)
 
 
-@query("als_residual_histogram")
+@query("als_residual_histogram", reuse=True)
 def _als_residual_histogram(t: Tables) -> DataFrame:
     train, test = _train_test(t)
     return evaluate.residual_histogram(als.predict(als.fit_als(train, **ALS_PARAMS), test))
 
 
-def _als_metrics(t: Tables) -> DataFrame:
+def _als_metrics(t: Tables, vectors: DataFrame) -> DataFrame:
     train, test = _train_test(t)
     model = als.fit_als(train, **ALS_PARAMS)
     users = evaluate.eligible_from_split(t.split())
@@ -701,12 +712,13 @@ def _als_metrics(t: Tables) -> DataFrame:
     return (evaluate.metrics_long("als", reg, ["rmse", "mae"])
             .unionByName(evaluate.metrics_long("als", rank, ["precision", "recall", "f1"]))
             .unionByName(evaluate.metrics_long("als", evaluate.coverage(recs, t.items()), ["coverage"]))
+            .unionByName(evaluate.metrics_long("als", evaluate.diversity(recs, vectors), ["diversity"]))
             .unionByName(evaluate.metrics_long("als", evaluate.novelty(recs, t.interactions()), ["novelty"])))
 
 
 @query("als_eval", reuse=True)
 def _als_eval(t: Tables) -> DataFrame:
-    return _als_metrics(t)
+    return _als_metrics(t, _content_model(t).vectors)
 
 
 @query("recommend_als", reuse=True)
@@ -717,8 +729,10 @@ def _recommend_als(t: Tables) -> DataFrame:
 @query("compare_algorithms", reuse=True)
 def _compare_algorithms(t: Tables) -> DataFrame:
     a = als.recommend_all(_als_model(t), n=TOP_N)
-    c = recommend.content_recs_top_item(t.interactions(), _similar(t), n=TOP_N)
-    return recommend.compare_algorithms(a, c)
+    c = recommend.content_recs_top_item(t.interactions(), _similar_to_top(t), n=TOP_N)
+    both = recommend.compare_algorithms(a, c, t.interactions().select("user_id"))
+    return both.withColumns({name: F.array_join(F.transform(name, lambda i: i.cast("string")), "|")
+                             for name in ("als_items", "content_items")})
 
 
 @query("algorithm_comparison", reuse=True)
@@ -739,7 +753,7 @@ def _algorithm_comparison(t: Tables) -> DataFrame:
                                                     ["diversity"]))
                  .unionByName(evaluate.metrics_long("content_based", evaluate.novelty(recs, t.interactions()),
                                                     ["novelty"])))
-    return _als_metrics(t).unionByName(content_m)
+    return _als_metrics(t, m.vectors).unionByName(content_m)
 
 
 # ---------------------------------------------------------------- second corpus: documents
@@ -805,4 +819,4 @@ def _search_documents(t: Tables) -> DataFrame:
     WHERE rank <= 10""", "items", "neighbours"))
 def _similar_items_padded(t: Tables) -> DataFrame:
     """T6 as the reference ranks it: the whole catalogue, zero similarity padding short lists."""
-    return similarity.pad_with_zero(_similar(t), t.items(), n=N_SIMILAR)
+    return similarity.pad_with_zero(cut_lineage(_similar(t)), t.items(), n=N_SIMILAR)

@@ -9,7 +9,10 @@ local masters (tests, the bench), never a machine-local folder on a cluster.
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -43,7 +46,8 @@ def get_session(master: str | None = None, app: str = "recsift",
 
 
 def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
@@ -57,20 +61,27 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir()
     if _is_local(spark):
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="recsift-ckpt-"))
+        folder = tempfile.mkdtemp(prefix="recsift-ckpt-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        sc.setCheckpointDir(folder)
         return sc.getCheckpointDir()
     return None
 
 
-def cut_lineage(df, eager: bool = True):
-    """``checkpoint()`` into the shared folder; never ``localCheckpoint``.
+def cut_lineage(df):
+    """Write ``df`` as Parquet into the shared checkpoint folder and read it back.
 
-    Without a checkpoint folder (a cluster that names none) the frame is
-    returned unchanged: recomputation from lineage stays correct.
+    Later reads keep column pruning and pushdown, and a lost executor costs a
+    re-read.  A cluster that names no folder raises: going on would recompute
+    the frame for every reader.
     """
-    if ensure_checkpoint_dir(df.sparkSession) is None:
-        return df
-    return df.checkpoint(eager=eager)
+    spark = df.sparkSession
+    folder = ensure_checkpoint_dir(spark)
+    if folder is None:
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    path = f"{folder}/recsift-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def spread(df):

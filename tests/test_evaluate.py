@@ -2,7 +2,7 @@
 
 import math
 
-from recsift.operators import evaluate
+from recsift.operators import evaluate, recommend
 
 
 def _df(spark, rows, schema="user_id long, item_id long"):
@@ -56,5 +56,29 @@ def test_coverage_and_novelty(spark):
     assert c.coverage == 0.5
     ratings = spark.createDataFrame([(1, 1, 4.0), (2, 1, 3.0), (3, 2, 5.0)], "user_id long, item_id long, rating double")
     n = evaluate.novelty(recs, ratings).first()
+    i1, i2 = -math.log2(2 / 3), -math.log2(1 / 3)
+    assert n.n_users == 2 and abs(n.novelty - (i1 + (i1 + i2) / 2) / 2) < 1e-12
+    s = evaluate.novelty(recs, ratings, smoothing=True).first()
     i1, i2 = -math.log2(3 / 4), -math.log2(2 / 4)
-    assert abs(n.novelty - (i1 + (i1 + i2) / 2) / 2) < 1e-12
+    assert abs(s.novelty - (i1 + (i1 + i2) / 2) / 2) < 1e-12
+
+
+def test_novelty_leaves_unrated_items_out(spark):
+    recs = _df(spark, [(1, 1), (1, 9), (2, 9)])
+    ratings = spark.createDataFrame([(1, 1, 4.0), (2, 2, 3.0)], "user_id long, item_id long, rating double")
+    n = evaluate.novelty(recs, ratings).first()
+    assert n.n_users == 1 and abs(n.novelty - 1.0) < 1e-12
+
+
+def test_jaccard_over_given_users(spark):
+    a, b = _df(spark, [(1, 1), (1, 2)]), _df(spark, [(1, 2), (3, 7)])
+    users = _df(spark, [(1,), (2,), (2,)], "user_id long")
+    assert {r.user_id: r.jaccard for r in evaluate.jaccard_lists(a, b, users).collect()} == {1: 0.5, 2: 0.0}
+
+
+def test_compare_algorithms_holds_both_lists(spark):
+    a = _df(spark, [(1, 5, 2), (1, 9, 1)], "user_id long, item_id long, rank int")
+    c = _df(spark, [(1, 5, 1)], "user_id long, item_id long, rank int")
+    users = _df(spark, [(1,), (2,)], "user_id long")
+    got = sorted(tuple(r) for r in recommend.compare_algorithms(a, c, users).collect())
+    assert got == [(1, [9, 5], [5], 2, 1, 0.5), (2, [], [], 0, 0, 0.0)]
