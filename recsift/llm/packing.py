@@ -29,7 +29,6 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
@@ -111,11 +110,15 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, end_id: int = END_ID, path
 
 
 def _first_fit(capacity: int, base: int):
-    def run(rest: pd.DataFrame) -> pd.DataFrame:
-        rest = rest.sort_values(["length", "class", "at"], ascending=[False, True, True], ignore_index=True)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        got = [b for b in batches if b.num_rows]
+        if not got:
+            return
+        rest = pa.Table.from_batches(got).sort_by(
+            [("length", "descending"), ("class", "ascending"), ("at", "ascending")])
         used = np.zeros(0, np.int64)
         where, offsets = [], []
-        for n in rest["length"]:
+        for n in rest["length"].to_pylist():
             fits = np.flatnonzero(used + n <= capacity)
             b = int(fits[0]) if len(fits) else len(used)
             if b == len(used):
@@ -123,7 +126,9 @@ def _first_fit(capacity: int, base: int):
             where.append(base + b)
             offsets.append(int(used[b]))
             used[b] += n
-        return rest.assign(sequence_id=np.array(where, np.int64), offset=np.array(offsets, np.int64))
+        for name, values in (("sequence_id", where), ("offset", offsets)):
+            rest = rest.set_column(rest.column_names.index(name), name, pa.array(values, pa.int64()))
+        yield from rest.to_batches()
     return run
 
 
@@ -151,7 +156,7 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, end_id: int = END_ID, path:
         "offset", F.coalesce(F.sum("length").over(so_far), F.lit(0)).cast("long"))
     # Fewer than k pieces of each class k: a bound that the capacity sets.
     rest = held.where(~full).withColumn("one", F.lit(0))
-    rest = rest.groupBy("one").applyInPandas(_first_fit(capacity, (1 << 62) + (1 << 61)), rest.schema)
+    rest = rest.repartition(1, "one").mapInArrow(_first_fit(capacity, (1 << 62) + (1 << 61)), rest.schema)
     done = every.where("sequence_id IS NOT NULL")
     return done.select(*out).unionByName(again.select(*out)).unionByName(rest.select(*out))
 
