@@ -2,7 +2,9 @@
 
 Pages are cut into text lines.  Within each host every page is paired with the
 page next to it in URL path order (the neighbour that shares more leading path
-parts), the two pages' lines are aligned by longest common subsequence, and
+parts).  Near copies that follow each other there (print versions, other query
+strings) form a run, and the pages next to the run are the neighbours of all its
+pages, so no page is differenced against its own copy.  The two pages' lines are aligned by longest common subsequence, and
 shared lines are deleted as template text.  A check by the page's own markup
 follows: lines inside navigation, header, footer, sidebar, advert, notice, form
 or comment elements go even if this page alone has them, and lines inside the
@@ -14,7 +16,11 @@ partitions joined on, so a host with a third of all pages spreads evenly.
 
 Defined results
   * NULL or empty html: empty text.  A page without neighbour on its host, or
-    whose neighbour has the very same lines, loses no line by differencing.
+    whose host has nothing but near copies of it, loses no line by differencing.
+  * Near copies share more than half of the lines and of the text of both
+    articles (without article: of all lines that markup doesn't drop); under
+    different paths more than ``COPY`` of the text.
+  * A page without any line is no neighbour.
   * A NULL url: the page has no host and no neighbour.
   * Repeated rows are separate pages; an empty table gives an empty result.
   * Unclosed and stray tags, unknown tags, cut-off documents: handled as browsers do in
@@ -55,6 +61,7 @@ _ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>
 _WORDS = re.compile(r"[a-z0-9]+")
 
 PLAIN, DROP, MAIN = 0, 1, 2
+COPY = 0.8
 
 
 def _role(tag: str, attributes: str, inside: int) -> int:
@@ -239,6 +246,24 @@ def _hashes(lines: list[str]) -> list[int]:
     return [xxh64_intdigest(t.encode("utf-8", "replace")) - (1 << 63) for t in lines]
 
 
+def _marks(lines: list[tuple[str, int]]) -> list[int]:
+    """Length of each line: 0 if dropped, negative in the article."""
+    return [0 if r == DROP else -len(t) if r == MAIN else len(t) for t, r in lines]
+
+
+def near_copy(own: list[int], own_marks: list[int], near: list[int], near_marks: list[int], same_path: bool) -> bool:
+    """Whether two pages, by line hashes and marks, have most of their body in common."""
+    def body(hashes: list[int], marks: list[int]) -> list[tuple[int, int]]:
+        article = any(m < 0 for m in marks)
+        return [(h, abs(m)) for h, m in zip(hashes, marks) if (m < 0 if article else m > 0)]
+
+    a, b = body(own, own_marks), body(near, near_marks)
+    at = common([h for h, _ in a], [h for h, _ in b])
+    text = sum(a[i][1] for i in at)
+    return 2 * len(at) > len(a) + len(b) - len(at) and text > (0.5 if same_path else COPY) * (
+        sum(n for _, n in a) + sum(n for _, n in b) - text)
+
+
 def _rows_of(pages: DataFrame) -> DataFrame:
     """(uid, page_id, url, html); ``uid`` is a hash of the row: rows that repeat it have the same result."""
     typed = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
@@ -247,33 +272,62 @@ def _rows_of(pages: DataFrame) -> DataFrame:
 
 
 def cut_lines(pages: DataFrame) -> DataFrame:
-    """(uid, url, host, path, hashes): the line hashes of each different page."""
+    """(uid, host, path, hashes, marks): the line hashes and lengths of each different page."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [_hashes([t for t, _ in lines_of(h.as_py())]) for h in batch.column(2)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.int64()))],
-                                             ["uid", "url", "hashes"])
+            found = [lines_of(h.as_py()) for h in batch.column(2)]
+            yield pa.RecordBatch.from_arrays([
+                batch.column(0), batch.column(1), pa.array([_hashes([t for t, _ in p]) for p in found], pa.list_(pa.int64())),
+                pa.array([_marks(p) for p in found], pa.list_(pa.int32()))], ["uid", "url", "hashes", "marks"])
 
-    cut = _rows_of(pages).select("uid", "url", "html").mapInArrow(run, "uid long, url string, hashes array<long>")
+    cut = _rows_of(pages).select("uid", "url", "html").mapInArrow(
+        run, "uid long, url string, hashes array<long>, marks array<int>")
     bare = F.regexp_replace("url", r"[?#].*$", "")
     rest = F.regexp_replace(bare, r"^[A-Za-z][A-Za-z0-9+.-]*://", "")
     return cut.dropDuplicates(["uid"]).withColumns({
         "host": F.lower(F.regexp_extract(rest, r"^[^/]*", 0)), "path": F.regexp_extract(rest, r"^[^/]*(.*)$", 1)}).drop("url")
 
 
+def _copies(pairs: DataFrame, cut: DataFrame) -> DataFrame:
+    """(uid, copy): the pages of ``pairs`` (uid, other, same_path) that are near copies of the other one."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            uids = [r["uid"] for r in batch.to_pylist()
+                    if near_copy(r["hashes"], r["marks"], r["others"], r["other_marks"], r["same_path"])]
+            yield pa.RecordBatch.from_arrays([pa.array(uids, pa.int64()), pa.array([True] * len(uids), pa.bool_())],
+                                             ["uid", "copy"])
+
+    lines = cut.select("uid", "hashes", "marks")
+    others = cut.select(F.col("uid").alias("other"), F.col("hashes").alias("others"), F.col("marks").alias("other_marks"))
+    return pairs.join(lines, "uid").join(others, "other").select(
+        "uid", "hashes", "marks", "others", "other_marks", "same_path").mapInArrow(run, "uid long, copy boolean")
+
+
 def neighbours(cut: DataFrame) -> DataFrame:
-    """(uid, other): the page next in path order on the host that shares more leading path parts."""
+    """(uid, other): the page next to the run of near copies on the host that shares more leading path parts."""
     key = F.struct("host", "path", "uid")
-    placed = (cut.where("host IS NOT NULL").select("uid", "host", "path")
+    placed = (cut.where("host IS NOT NULL AND size(hashes) > 0").select("uid", "host", "path")
               .repartitionByRange("host", "path", "uid").withColumn("part", F.spark_partition_id()))
     placed = materialise(placed, "order")
-    ends = placed.groupBy("part").agg(F.min(key).alias("first"), F.max(key).alias("last"))
-    by_part = Window.orderBy("part")  # a row for each partition
-    ends = ends.select("part", F.lag("last").over(by_part).alias("left"), F.lead("first").over(by_part).alias("right"))
+    by_part, from_end = Window.orderBy("part"), Window.orderBy(F.desc("part"))  # a row for each partition
+    ends = placed.groupBy("part").agg(F.max(key).alias("last")).select("part", F.lag("last").over(by_part).alias("left"))
     in_order = Window.partitionBy("part").orderBy("host", "path", "uid")
-    both = placed.withColumns({"before": F.lag(key).over(in_order), "after": F.lead(key).over(in_order)}).join(ends, "part")
-    both = both.select("uid", "host", "path", F.coalesce("before", "left").alias("before"),
-                       F.coalesce("after", "right").alias("after"))
+    placed = placed.withColumn("before", F.lag(key).over(in_order)).join(ends, "part").withColumn(
+        "before", F.coalesce("before", "left")).drop("left")
+    pairs = placed.where("before.host = host").select(
+        "uid", F.col("before.uid").alias("other"), (F.col("before.path") == F.col("path")).alias("same_path"))
+    # A row that is no near copy of the one before starts a run.
+    first = ~F.coalesce("copy", F.lit(False))
+    placed = materialise(placed.join(_copies(pairs, cut), "uid", "left").select(
+        "part", "uid", "host", "path", F.when(first, F.struct("before")).alias("start"), F.when(first, key).alias("at")), "runs")
+    earlier = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
+    ends = placed.groupBy("part").agg(F.max_by("start", "at").alias("start"), F.min("at").alias("at")).select(
+        "part", F.last("start", True).over(earlier(by_part)).alias("left"), F.last("at", True).over(earlier(from_end)).alias("right"))
+    up_to = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    back = Window.partitionBy("part").orderBy(F.desc("host"), F.desc("path"), F.desc("uid"))
+    both = placed.withColumns({"start": F.last("start", True).over(up_to), "next": F.last("at", True).over(earlier(back))}).join(
+        ends, "part").select("uid", "host", "path", F.coalesce("start", "left")["before"].alias("before"),
+                             F.coalesce("next", "right").alias("after"))
 
     def shared(side: str):
         parts = F.zip_with(F.split("path", "/"), F.split(f"{side}.path", "/"), lambda a, b: a.eqNullSafe(b))

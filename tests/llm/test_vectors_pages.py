@@ -112,6 +112,26 @@ def test_differencing(spark):
     assert pages.extract(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("partitions", ["1", "8"])
+def test_near_copies_keep_their_text(spark, partitions):
+    body = "".join(f"<p>A long paragraph with the number {i} of this page</p>" for i in range(8))
+    page = "<div>Home</div>{}<div>All rights</div>"
+    urls = [f"http://h.example/a/1?page={i}" for i in range(40)] + ["http://h.example/a/1/print"]
+    rows = [(i, u, page.format(body + f"<p>ad {i}</p>")) for i, u in enumerate(urls)]
+    rows += [(90, "http://h.example/b/2", page.format("<p>Other text altogether on this one</p>" * 3)), (91, "http://h.example/a/2", "")]
+    rows += [(100 + i, f"http://only.example/a?{i}", page.format(body + f"<p>ad {i}</p>")) for i in range(3)]
+    want = "\n\n".join(f"A long paragraph with the number {i} of this page" for i in range(8))
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        got = {r["page_id"]: r["text"] for r in pages.extract(
+            spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert all(got[i] == f"{want}\n\nad {i}" for i in range(41))
+    assert got[90].count("Other text") == 3 and "Home" not in got[90] and got[91] == ""
+    assert all(got[100 + i] == f"Home\n\n{want}\n\nad {i}\n\nAll rights" for i in range(3))
+
+
 def test_pages_of_the_table(spark):
     """Against the article element cut out by hand."""
     import html as h
