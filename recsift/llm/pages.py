@@ -5,10 +5,11 @@ page next to it in URL path order (the neighbour that shares more leading path
 parts).  Near copies that follow each other there (print versions, other query
 strings) form a run, and the pages next to the run are the neighbours of all its
 pages, so no page is differenced against its own copy.  The two pages' lines are aligned by longest common subsequence, and
-shared lines are deleted as template text.  A check by the page's own markup
-follows: lines inside navigation, header, footer, sidebar, advert, notice, form
-or comment elements go even if this page alone has them, and lines inside the
-page's article element stay even if a neighbour quotes the same.
+shared lines are deleted as template text, inside the article too.  The page's
+own markup only corrects that result: lines inside navigation, header, footer,
+sidebar, advert, notice, form or comment elements go even if this page alone has
+them, and a line of the article stays if the neighbour has it in such elements
+only.  Lines outside the article that no neighbour has stay.
 
 Only 64-bit line hashes travel for the alignment.  Neighbours come from a
 range partitioning over (host, path), with the first and last rows of the
@@ -70,7 +71,7 @@ def _role(tag: str, attributes: str, inside: int) -> int:
         return DROP
     if attributes:
         found = {m[1].lower(): (m[2] or m[3] or m[4] or "").lower() for m in _ATTRIBUTE.finditer(attributes)}
-        if tag not in ("html", "body", *_MAIN):
+        if tag not in ("html", "body"):
             named = set(_WORDS.findall(found.get("class", "") + " " + found.get("id", "")))
             if named & _BOILERPLATE or found.get("role") in _ROLES or found.get("aria-hidden") == "true":
                 return DROP
@@ -264,6 +265,18 @@ def near_copy(own: list[int], own_marks: list[int], near: list[int], near_marks:
         sum(n for _, n in a) + sum(n for _, n in b) - text)
 
 
+def shared_lines(own: list[int], own_marks: list[int], near: list[int], near_marks: list[int]) -> frozenset[int]:
+    """Positions in ``own`` that are template text by the neighbour ``near``."""
+    if own == near:
+        return frozenset()
+    every = common(own, near)
+    if not any(m < 0 for m in own_marks):
+        return frozenset(every)
+    at = [i for i, m in enumerate(own_marks) if m]
+    text = common([own[i] for i in at], [h for h, m in zip(near, near_marks) if m])
+    return frozenset(i for i in every if own_marks[i] >= 0) | {at[i] for i in text if own_marks[at[i]] < 0}
+
+
 def _rows_of(pages: DataFrame) -> DataFrame:
     """(uid, page_id, url, html); ``uid`` is a hash of the row: rows that repeat it have the same result."""
     typed = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
@@ -348,7 +361,7 @@ def extract(pages: DataFrame) -> DataFrame:
     so is moved once and compressed.
     """
     cut = materialise(cut_lines(pages), "lines")
-    others = neighbours(cut).join(cut.select(F.col("uid").alias("other"), F.col("hashes").alias("others")), "other")
+    others = neighbours(cut).join(cut.select(F.col("uid").alias("other"), F.col("hashes").alias("others"), F.col("marks").alias("other_marks")), "other")
 
     def compress(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -362,20 +375,17 @@ def extract(pages: DataFrame) -> DataFrame:
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = []
-            for body, regions, other in zip(*(batch.column(i) for i in (2, 3, 4))):
+            for body, regions, other, marks in zip(*(batch.column(i) for i in (2, 3, 4, 5))):
                 regions = regions.as_py()
                 lines = zlib.decompress(body.as_py()).decode().split("\n") if regions else []
-                own, near = _hashes(lines), other.as_py() or []
-                shared = frozenset() if own == near else frozenset(common(own, near))
-                article = MAIN in regions
-                # Differencing deletes shared lines; markup then puts back the article's
-                # own and takes the rest of the frame out.
-                texts.append("\n\n".join(t for i, (t, r) in enumerate(zip(lines, regions)) if r == MAIN or (
-                    i not in shared and r == PLAIN and not article)))
+                cut = list(zip(lines, regions))
+                # Differencing decides; markup then takes the rest of the frame out.
+                shared = shared_lines(_hashes(lines), _marks(cut), other.as_py() or [], marks.as_py() or [])
+                texts.append("\n\n".join(t for i, (t, r) in enumerate(cut) if i not in shared and r != DROP))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())],
                                              ["page_id", "url", "text"])
 
     whole = _rows_of(pages).mapInArrow(compress, "uid long, page_id long, url string, body binary, regions binary")
-    joined = whole.join(others.select("uid", "others"), "uid", "left")
-    return joined.select("page_id", "url", "body", "regions", "others").mapInArrow(
+    joined = whole.join(others.select("uid", "others", "other_marks"), "uid", "left")
+    return joined.select("page_id", "url", "body", "regions", "others", "other_marks").mapInArrow(
         keep, "page_id long, url string, text string").withColumn("n_chars", F.length("text").cast("long"))

@@ -132,6 +132,18 @@ def test_near_copies_keep_their_text(spark, partitions):
     assert all(got[100 + i] == f"Home\n\n{want}\n\nad {i}\n\nAll rights" for i in range(3))
 
 
+def test_differencing_decides_inside_the_article(spark):
+    page = "<div>Home</div><p>lead {0}</p><article><p>Subscribe now</p><p>body {0}</p><p>more {0}</p></article>"
+    rows = [(i, f"http://h.example/{i}", page.format(i)) for i in range(3)]
+    rows.append((9, "http://i.example/9", "<p>a</p><article class=comment><p>me too</p></article>"))
+    # The neighbour has the line as an advert only.
+    rows += [(20, "http://j.example/1", "<article><p>quoted</p><p>x</p></article>"),
+             (21, "http://j.example/2", "<div class=ad>quoted</div><article><p>y</p></article>")]
+    got = {r["page_id"]: r["text"] for r in pages.extract(
+        spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {i: f"lead {i}\n\nbody {i}\n\nmore {i}" for i in range(3)} | {9: "a", 20: "quoted\n\nx", 21: "y"}
+
+
 def test_pages_of_the_table(spark):
     """Against the article element cut out by hand."""
     import html as h
