@@ -24,6 +24,12 @@ Defined results
   * A page without any line is no neighbour.
   * A NULL url: the page has no host and no neighbour.
   * Repeated rows are separate pages; an empty table gives an empty result.
+  * Class and id names count whole; ids of headings, sections and other places to
+    link to don't count in the article.  A main element opens the
+    article again inside any dropped element, an article element unless that is
+    hidden or holds other texts (comments, related, navigation, sidebar, footer).
+  * A form is dropped.  One that holds more than half of the page's text outside
+    dropped elements is the page's wrapper: only its controls are dropped.
   * Unclosed and stray tags, unknown tags, cut-off documents: handled as browsers do in
     the main (paragraphs and list items end where the next block begins).
 """
@@ -45,41 +51,73 @@ from recsift.llm.common import materialise
 # Element and attribute names of HTML.
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _RAW = frozenset("script style noscript template iframe textarea select svg math object canvas title".split())
-_DROP = frozenset("nav footer aside form button dialog menu head".split())
+_DROP = frozenset("nav footer aside button dialog menu head".split())
+_CONTROLS = frozenset("label legend button output datalist meter progress".split())
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+_BOXES = frozenset("div ul ol table form".split())
 _MAIN = frozenset("article main".split())
 _INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt "
                     "ruby s samp small span strike strong sub sup time tt u var wbr".split())
+# Whole names of a class or id.
 _BOILERPLATE = frozenset(
-    "ad ads adv advert advertisement adverts advertising banner breadcrumb breadcrumbs comment comments consent "
-    "cookie cookies disqus footer header login masthead menu modal nav navbar navigation newsletter notice notices "
-    "notification pager pagination popup promo promoted related reply replies respond search share sharing sidebar "
-    "signup social sponsor sponsored subscribe toolbar widget widgets".split())
+    "ad ads adv advert advertisement adverts advertising banner consent cookie cookies header login masthead modal "
+    "newsletter notice notices notification popup search share sharing signup social sponsor sponsored subscribe toolbar "
+    "widget widgets ad-banner ad-container ad-slot ad-unit ad-wrapper adsbygoogle cookie-banner cookie-bar cookie-consent "
+    "cookie-notice login-form newsletter-form newsletter-signup search-bar search-box "
+    "search-form searchform share-bar share-buttons share-links sharedaddy sign-up signup-form site-banner site-header "
+    "social-icons social-links social-media social-share subscribe-box subscribe-form top-bar topbar widget-area".split())
+# The same for elements whose articles are other texts than the page's own.
+_OTHERS = frozenset(
+    "breadcrumb breadcrumbs comment comments disqus footer menu nav navbar navigation pager pagination promo promoted "
+    "related replies reply respond sidebar comment-body comment-content comment-form comment-list comment-respond "
+    "comment-section comments-area comments-list comments-section left-sidebar main-menu main-nav main-navigation nav-bar "
+    "nav-links nav-menu navbar-nav navigation-menu page-footer page-navigation post-navigation primary-menu primary-nav "
+    "related-articles related-content related-links related-posts related-stories right-sidebar side-bar side-menu "
+    "sidebar-left sidebar-right site-footer site-nav site-navigation top-menu top-nav".split())
 _ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
 
 _TOKEN = re.compile(r"<!--.*?(?:--!?>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
                     r"|</?[a-zA-Z][^>]*(?:>|\Z)", re.S)
 _ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
-_WORDS = re.compile(r"[a-z0-9]+")
+_HIDDEN = re.compile(r"(?:^|\s)hidden(?=\s|/|$)", re.I)
 
 PLAIN, DROP, MAIN = 0, 1, 2
+# While a page is cut: SHUT is dropped for articles inside too, and form number k
+# has the regions FORMS + 2 * k and, in the article, one more.
+SHUT, FORMS = 3, 4
 COPY = 0.8
 
 
+def _in_article(region: int) -> bool:
+    return region == MAIN or (region >= FORMS and region % 2 == 1)
+
+
 def _role(tag: str, attributes: str, inside: int) -> int:
     """The region that an element opens, given the one that it is in."""
-    if inside == DROP or tag in _DROP or (tag == "header" and inside != MAIN):
-        return DROP
+    if (inside == SHUT and tag != "main") or tag in _DROP or (inside >= FORMS and tag in _CONTROLS):
+        return SHUT
+    opens = tag in _MAIN
     if attributes:
         found = {m[1].lower(): (m[2] or m[3] or m[4] or "").lower() for m in _ATTRIBUTE.finditer(attributes)}
+        if found.get("role") in ("main", "article") or found.get("itemprop") == "articlebody":
+            opens = True
         if tag not in ("html", "body"):
-            named = set(_WORDS.findall(found.get("class", "") + " " + found.get("id", "")))
-            if named & _BOILERPLATE or found.get("role") in _ROLES or found.get("aria-hidden") == "true":
+            named = set(found.get("class", "").split())
+            if tag in _BOXES or not (_in_article(inside) or tag in _INLINE or tag in _HEADINGS):
+                named.add(found.get("id", "").strip())
+            if named & _OTHERS or found.get("role") in _ROLES - {"form", "banner"} or found.get("aria-hidden") == "true":
+                return SHUT
+            if "hidden" in found or ("hidden" in attributes and _HIDDEN.search(_ATTRIBUTE.sub("", attributes))):
+                return SHUT
+            if "display:none" in found.get("style", "").replace(" ", ""):
+                return SHUT
+            if _in_article(inside):
+                named.discard("header")
+            if named & _BOILERPLATE or found.get("role") in _ROLES:
                 return DROP
-            if re.search(r"(?:^|\s)hidden(?:\s|=|$)", attributes) or "display:none" in found.get("style", "").replace(" ", ""):
-                return DROP
-        if found.get("role") in ("main", "article") or found.get("itemprop") == "articlebody":
-            return MAIN
-    return MAIN if tag in _MAIN else inside
+    if opens:
+        return inside if _in_article(inside) else MAIN
+    return DROP if tag == "header" and not _in_article(inside) else inside
 
 
 def lines_of(html: str | None) -> list[tuple[str, int]]:
@@ -88,7 +126,7 @@ def lines_of(html: str | None) -> list[tuple[str, int]]:
     lines: list[tuple[str, int]] = []
     buffer: list[str] = []
     open_: list[tuple[str, int]] = []
-    region = PLAIN
+    region, forms = PLAIN, 0
 
     def flush() -> None:
         text = " ".join("".join(buffer).split())
@@ -158,10 +196,29 @@ def lines_of(html: str | None) -> list[tuple[str, int]]:
                 close("li")
             open_.append((tag, region))
             region = _role(tag, m[3], region)
+            if tag == "form" and (region in (PLAIN, MAIN) or region >= FORMS):
+                region, forms = FORMS + 2 * forms + _in_article(region), forms + 1
     if at < len(html):
         buffer.append(unescape(html[at:]))
     flush()
-    return lines
+    return _settle(lines)
+
+
+def _settle(lines: list[tuple[str, int]]) -> list[tuple[str, int]]:
+    """Lines with the regions of forms decided: text if the form holds most of the page's, else dropped."""
+    chars: dict[int, int] = {}
+    for t, r in lines:
+        if r not in (DROP, SHUT):
+            form = (r - FORMS) // 2 if r >= FORMS else -1
+            chars[form] = chars.get(form, 0) + len(t)
+    wrapper = next((f for f, n in chars.items() if f >= 0 and 2 * n > sum(chars.values())), None)
+
+    def region(r: int) -> int:
+        if r >= FORMS:
+            return (MAIN if r % 2 else PLAIN) if (r - FORMS) // 2 == wrapper else DROP
+        return DROP if r == SHUT else r
+
+    return [(t, region(r)) for t, r in lines]
 
 
 def _to_list(open_: list[tuple[str, int]]) -> Iterator[tuple[str, int]]:

@@ -96,6 +96,22 @@ def test_lines():
     assert _text(deep) == "x"
 
 
+def test_class_names_and_forms():
+    cases = {
+        "<div class='content has-sidebar'><p>t": "t", "<div class=no-sidebar><article><p>t</p></article></div>": "t",
+        "<div class=search><article><p>t</p></article><p>u</p></div>v": "t\n\nv", "<aside><main>t</main></aside>": "t",
+        "<article><div class=article-header><h1>h</h1></div><h2 id=search>s</h2><p class=share-price>9</p></article>": "h\n\ns\n\n9",
+        "<article><div class=header><h1>h</h1></div><div id=comments>c</div><p class=notice>n</p>t</article>": "h\n\nt",
+        "<div id=comments><article>c</article></div><article class='post comment'>d</article>t": "t",
+        "<footer><article>f</article></footer><div hidden><article>h</article></div><p class='hidden-gem'>t": "t",
+        "<form id=aspnetForm><nav>n</nav><p>long text</p><label>Name</label><input><button>Go</button></form><p>t": "long text\n\nt",
+        "<form><main><p>t</p><form><p>Your name</p></form><p>much more text</p></main></form>": "t\n\nmuch more text",
+        "<form class=search><p>find it here</p></form><p>t</p>": "t",
+    }
+    for html, want in cases.items():
+        assert _text(html) == want, html
+
+
 def test_differencing(spark):
     frame = "<div>Home About</div>{}<div>All rights</div>"
     urls = ["http://H.example/a/1", "http://h.example/a/2?x=1", "http://h.example/b/3", "http://other.example/", None]
