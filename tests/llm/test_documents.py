@@ -334,6 +334,24 @@ def test_personal_data(spark, docs, empty):
     assert pii.report(empty).count() == 0
 
 
+def test_trees_select_proposed_spans(spark):
+    def luhn(d):
+        return sum(int(c) if i % 2 == 0 else sum(divmod(2 * int(c), 10)) for i, c in enumerate(reversed(d))) % 10 == 0
+
+    r = random.Random(3)
+    runs = ["".join(r.choice("123456789") for _ in range(16)) for _ in range(4000)]
+    bad, good = [x for x in runs if not luhn(x)][:900], [x for x in runs if luhn(x)][:90]
+    texts = [f"it was {x} then" for x in bad] + [f"it was {' '.join((x[:4], x[4:8], x[8:12], x[12:]))} then" for x in good]
+    texts += [f"please mail ann.bo{r.randint(10, 99)}@host{r.randint(10, 99)}.de today" for _ in range(120)]
+    texts += ["you can have a look at example dot com today"] * 60
+    hidden = len(texts)
+    texts += ["it was 4111.1111.1111.1111 then", "please mail ann.bo42 (at) host57 (dot) de today"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {x["doc_id"]: x["spans"] for x in pii.report(docs).collect()}
+    assert got[hidden] == "card:7:26" and got[hidden + 1] == "email:12:41"
+    assert got[hidden - 1] == "" and got[0] == "" and got[len(bad)] == "card:7:26"
+
+
 def test_redact(spark):
     docs = spark.createDataFrame([(1, "é write a@b.de now"), (2, None)], "doc_id long, text string")
     assert {r["doc_id"]: r["text"] for r in pii.redact(docs).collect()}[1] == "é write [email] now"
