@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recsift.llm import exact_dedup, knn, mixing, packing, pages, pii, sharding, simhash, tokens, toxicity
+from recsift.llm import decontaminate, exact_dedup, knn, mixing, packing, pages, pii, sharding, simhash, tokens, toxicity
 from recsift.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -91,3 +91,30 @@ def op9_simhash(spark, sf_dir):
 @query
 def op10_page_text(spark, sf_dir):
     return pages.extract(table(spark, sf_dir, "pages"))
+
+
+@query
+def op13_decontamination(spark, sf_dir):
+    return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLE["op13_decontamination"] = r"""
+WITH t AS (SELECT row_number() OVER () AS r, doc_id,
+                  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                     'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+           FROM documents),
+b AS (SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                         'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+      FROM benchmark WHERE text IS NOT NULL),
+win AS (SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[i:i + 9], ' ') AS s
+        FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0)),
+pos AS (SELECT r, n, i, array_to_string(w[i:i + n - 1], ' ') AS s
+        FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM t, (SELECT DISTINCT n FROM win))),
+hit AS (SELECT DISTINCT p.r, p.i, p.n, w.item_id FROM pos p JOIN win w ON p.n = w.n AND p.s = w.s),
+words AS (SELECT r, count(DISTINCT k) AS n_hit
+          FROM (SELECT r, unnest(range(i, i + n)) AS k FROM hit) GROUP BY r),
+items AS (SELECT r, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+          FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS id FROM hit WHERE item_id IS NOT NULL) GROUP BY r)
+SELECT t.doc_id, len(t.w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM t LEFT JOIN words USING (r) LEFT JOIN items USING (r)"""
