@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recsift.llm import decontaminate, exact_dedup, knn, mixing, packing, pages, pii, sharding, simhash, tokens, toxicity
+from recsift.llm import decontaminate, exact_dedup, knn, merkle, mixing, packing, pages, pii, sharding, simhash, tokens, toxicity
 from recsift.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -93,6 +93,64 @@ def op10_page_text(spark, sf_dir):
     return pages.extract(table(spark, sf_dir, "pages"))
 
 
+@query
+def op12_merkle_manifest(spark, sf_dir):
+    return merkle.report(table(spark, sf_dir, "documents"))
+
+
+_LEAF = """sha256(concat(coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-'),
+               coalesce(strlen(source) || ':' || source, '-'), coalesce(strlen(lang) || ':' || lang, '-'),
+               coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-'),
+               coalesce(strlen({0}) || ':' || {0}, '-')))"""
+#: CRC-32 of a decimal number: a byte is added, then eight bits are shifted out.
+_CRC32 = """xor(list_reduce(list_prepend(4294967295, list_transform(
+    range(1, length(CAST(doc_id AS VARCHAR)) + 1), lambda i: ascii(substr(CAST(doc_id AS VARCHAR), i, 1)))),
+    lambda c, b: list_reduce(list_prepend(xor(c, b), [0, 0, 0, 0, 0, 0, 0, 0]),
+                             lambda x, z: xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384 ELSE 0 END))), 4294967295)"""
+
+ORACLE["op12_merkle_manifest"] = f"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS r, doc_id, lang, {_LEAF.format("text")} AS leaf,
+         CASE WHEN {_CRC32} % 3 = 0 THEN {_LEAF.format("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} END AS tampered
+  FROM documents),
+l AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+             count(*) OVER (PARTITION BY lang) AS n FROM d),
+low(lang, lvl, pos, n, h) AS (
+  SELECT lang, 0, pos, n, leaf FROM l
+  UNION ALL
+  SELECT lang, lvl + 1, pos // 8, (n + 7) // 8, sha256(string_agg(h, '' ORDER BY pos)) FROM low WHERE n > 1
+  GROUP BY lang, lvl, pos // 8, n),
+sub AS (SELECT lang, h AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos, count(*) OVER () AS n
+        FROM low WHERE n = 1),
+high(lvl, pos, n, h) AS (
+  SELECT 0, pos, n, subroot FROM sub
+  UNION ALL
+  SELECT lvl + 1, pos // 8, (n + 7) // 8, sha256(string_agg(h, '' ORDER BY pos)) FROM high WHERE n > 1
+  GROUP BY lvl, pos // 8, n),
+nodes AS (  -- per leaf, the runs on its way to the root: step, place in the run, digests
+  SELECT l.r, x.lvl AS step, x.pos - (l.pos // CAST(pow(8, x.lvl) AS BIGINT)) AS rel, x.h
+  FROM l JOIN low x ON l.lang IS NOT DISTINCT FROM x.lang AND x.n > 1
+   AND x.pos // 8 = l.pos // CAST(pow(8, x.lvl + 1) AS BIGINT)
+  UNION ALL
+  SELECT l.r, 100 + x.lvl, x.pos - (s.pos // CAST(pow(8, x.lvl) AS BIGINT)), x.h
+  FROM l JOIN sub s ON l.lang IS NOT DISTINCT FROM s.lang JOIN high x ON x.n > 1
+   AND x.pos // 8 = s.pos // CAST(pow(8, x.lvl + 1) AS BIGINT)),
+steps AS (SELECT r, row_number() OVER (PARTITION BY r ORDER BY step) AS k,
+                 coalesce(string_agg(h, '' ORDER BY rel) FILTER (WHERE rel < 0), '') AS a,
+                 coalesce(string_agg(h, '' ORDER BY rel) FILTER (WHERE rel > 0), '') AS b
+          FROM nodes GROUP BY r, step),
+folded(r, k, h) AS (
+  SELECT r, 0, coalesce(tampered, leaf) FROM l
+  UNION ALL
+  SELECT f.r, f.k + 1, sha256(concat(s.a, f.h, s.b)) FROM folded f JOIN steps s ON s.r = f.r AND s.k = f.k + 1),
+proof AS (SELECT r, string_agg(a || b, '' ORDER BY k) AS p FROM steps GROUP BY r),
+last AS (SELECT r, arg_max(h, k) AS folded_root FROM folded GROUP BY r)
+SELECT l.doc_id, l.leaf, s.subroot, (SELECT h FROM high WHERE n = 1) AS root,
+       sha256(coalesce(p.p, '')) AS proof_sha256, folded_root,
+       folded_root = (SELECT h FROM high WHERE n = 1) AS verified
+FROM l JOIN sub s ON l.lang IS NOT DISTINCT FROM s.lang JOIN last ON last.r = l.r LEFT JOIN proof p ON p.r = l.r"""
+
+
 @query
 def op13_decontamination(spark, sf_dir):
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
