@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recsift.llm import decontaminate, exact_dedup, knn, merkle, mixing, packing, pages, pii, sharding, simhash, tokens, toxicity
+from recsift.llm import (balltree, decontaminate, exact_dedup, knn, merkle, mixing, packing, pages, pii, sharding, simhash,
+                         tokens, toxicity)
 from recsift.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -93,6 +94,31 @@ def op10_page_text(spark, sf_dir):
     return pages.extract(table(spark, sf_dir, "pages"))
 
 
+@query
+def op11_lexical_search(spark, sf_dir):
+    return balltree.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+_TERMS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+             'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"""
+
+ORACLE["op11_lexical_search"] = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS t FROM documents),
+total AS (SELECT count(*) AS big_n, sum(len(t))::BIGINT AS big_l FROM d WHERE len(t) > 0),
+tf AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(t) AS term FROM d) GROUP BY r, term),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+q AS (SELECT row_number() OVER () AS k, item_id, {_TERMS} AS t FROM benchmark),
+qt AS (SELECT k, term, count(*) AS c FROM (SELECT k, unnest(t) AS term FROM q) GROUP BY k, term),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * big_n + 2)::DOUBLE / (2 * df + 1)::DOUBLE)) AS BIGINT) AS w FROM df, total),
+m AS (SELECT r, doc_id, 100 - 75 + ((75 * len(t) * big_n) // big_l) AS m FROM d, total),
+s AS (SELECT qt.k, tf.r, sum(qt.c * w.w * ((1000000000 * tf.tf) // (1000 * tf.tf + 8 * m.m)))::BIGINT AS score
+      FROM qt JOIN tf USING (term) JOIN w USING (term) JOIN m ON m.r = tf.r GROUP BY qt.k, tf.r),
+o AS (SELECT s.k, m.doc_id, s.score, CAST(row_number() OVER (
+             PARTITION BY s.k ORDER BY s.score DESC, m.doc_id NULLS LAST) AS INTEGER) AS rank
+      FROM s JOIN m USING (r) WHERE s.score > 0)
+SELECT q.item_id, o.rank, o.doc_id, o.score FROM o JOIN q USING (k) WHERE o.rank <= 10"""
+
+
 @query
 def op12_merkle_manifest(spark, sf_dir):
     return merkle.report(table(spark, sf_dir, "documents"))
