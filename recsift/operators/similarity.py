@@ -4,16 +4,24 @@ Why not a term self-join: joining the posting lists on ``term`` emits one row
 per pair of items sharing a term, i.e. all pairs within a term group; a term
 held by a third of the catalogue makes that quadratic in rows and shuffle.
 
-Instead the catalogue is cut into ``B`` hash blocks of item ids and the
-similarity matrix into the ``B (B + 1) / 2`` block pairs on or above the
-diagonal.  Each item's sparse vector is sent to the ``B`` pairs its block is
-part of (an equi-grouping on the pair key, no cross join), and one task per
-pair accumulates ``S = A Bᵀ`` term by term with numpy (work = the number of
-(a, b, term) products, not |A|·|B|·|terms|) and keeps, for each row and each
-column of ``S``, the n best entries.  Rows leaving a task are therefore
-bounded by ``2 n`` per item and pair; a final window over one item's
-``≤ B·n`` candidates picks the global top n.  Task memory is bounded by the
-block size, whatever the term distribution.
+Instead every item's sparse vector is packed into one row, the items are numbered
+by their heaviest term (so that like items are neighbours), cut into ``B`` blocks
+of that order, and the similarity matrix into the ``B (B + 1) / 2`` block pairs on
+or above the diagonal.  A packed vector is sent to the ``B`` pairs its block is
+part of (an equi-grouping on the pair key, no cross join); with blocks of up to
+65,536 items that is 153 copies at 10^7 items.  One task per pair goes through the
+blocks tile by tile:
+
+  * Upper bounds: an item's similarity with anything in a tile is at most the sum
+    of its weights times the tile's largest weight of each term.  A pair of tiles is
+    skipped when no item of either can reach its own n-th similarity so far.
+  * The other tile pairs accumulate ``S = A Bᵀ`` through the inverted lists of the
+    two tiles (work = the number of (a, b, term) products), and each row and column
+    keeps its n best.
+
+Rows leaving a task are bounded by ``2 n`` per item and pair; a final window over one
+item's ``≤ B·n`` candidates picks the global top n.  Task memory is bounded by the
+packed blocks and one tile pair, whatever the term distribution.
 
 Ranking: similarity rounded to 9 digits, descending, ties to the smaller id;
 only positive similarities (items sharing no kept term are not padded), and an
@@ -31,6 +39,9 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from recsift.operators.numbering import numbered
+from recsift.operators.retrieval import keep_best, nth_score
+
 # The block kernel travels to the Python workers by value (it needs only numpy
 # and pandas there), so executors do not need this package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -39,39 +50,73 @@ SIM_DIGITS = 9
 OUT_SCHEMA = "seed_id long, item_id long, similarity double"
 
 
-def _top_per_row(S: np.ndarray, row_ids: np.ndarray, col_ids: np.ndarray, n: int):
-    """(seed, item, sim) of the n best positive entries per row of S.
+TILE = 1024
+MAX_BLOCK = 65_536
 
-    ``col_ids`` is ascending, so column order is id order for tie breaks.
-    """
-    if S.size == 0:
-        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
-    k = min(n, S.shape[1])
-    thr = np.partition(S, S.shape[1] - k, axis=1)[:, S.shape[1] - k]  # k-th largest per row
-    mask = (S >= thr[:, None]) & (S > 0)
-    r, c = np.nonzero(mask)
-    v = S[r, c]
-    order = np.lexsort((c, -v, r))
-    r, c, v = r[order], c[order], v[order]
-    first = np.searchsorted(r, r, side="left")
-    keep = (np.arange(len(r)) - first) < n
-    return row_ids[r[keep]], col_ids[c[keep]], v[keep]
-
-
-def _side(pdf: pd.DataFrame, m: np.ndarray, term_code: np.ndarray):
-    """Sparse block: sorted unique ids, row position per entry, weights, and
-    the [start, end) range of each term code in entry order."""
-    ids = pdf["item_id"].to_numpy()[m]
-    uniq, pos = np.unique(ids, return_inverse=True)
-    t = term_code[m]
-    order = np.argsort(t, kind="stable")
-    ts = t[order]
-    starts = np.searchsorted(ts, np.unique(ts))
-    ends = np.append(starts[1:], len(ts))
-    bounds = dict(zip(ts[starts].tolist(), zip(starts.tolist(), ends.tolist())))
-    return uniq, pos[order], pdf["weight"].to_numpy()[m][order], bounds
+
+class _Tile:
+    """Some items of a block: ids, CSR of term codes and weights, inverted lists, largest weight per term."""
+
+    def __init__(self, ids: np.ndarray, sizes: np.ndarray, codes: np.ndarray, weights: np.ndarray, n_codes: int):
+        self.ids, self.sizes, self.codes, self.weights = ids, sizes, codes, weights
+        rows = np.repeat(np.arange(len(ids)), sizes)
+        order = np.argsort(codes, kind="stable")
+        t = codes[order]
+        starts = np.flatnonzero(np.r_[True, t[1:] != t[:-1]]) if len(t) else np.empty(0, int)
+        ends = np.append(starts[1:], len(t))
+        # (ids, row of each entry, weights, term -> its entries), as ``_dot`` reads it.
+        self.side = ids, rows[order], weights[order], dict(zip(t[starts].tolist(), zip(starts.tolist(), ends.tolist())))
+        self.most = np.zeros(n_codes)
+        np.maximum.at(self.most, codes, weights)
+        self.rows = rows
+        self.best = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
+
+    def reach(self, other: "_Tile") -> np.ndarray:
+        """Upper bound of every item's similarity with the items of ``other``."""
+        return np.bincount(self.rows, weights=self.weights * other.most[self.codes], minlength=len(self.ids))
+
+    def nth(self, n: int) -> np.ndarray:
+        return nth_score(self.best[0], self.best[2], len(self.ids), n)
+
+    def offer(self, S: np.ndarray, ids: np.ndarray, n: int) -> None:
+        """Merge the n best positive entries of each row of S."""
+        k = min(n, S.shape[1])
+        least = np.maximum(np.partition(S, S.shape[1] - k, axis=1)[:, S.shape[1] - k], self.nth(n))
+        r, c = np.nonzero((S >= least[:, None]) & (S > 0))
+        self.best = keep_best(*(np.concatenate(x) for x in zip(self.best, (r, ids[c], S[r, c]))), n)
+
+
+def _tiles(items: np.ndarray, terms: list, weights: list, codes: np.ndarray, n_codes: int, tile: int) -> list[_Tile]:
+    """Tiles of rows; ``codes`` are those of all ``terms``, one after another."""
+    sizes = np.fromiter(map(len, terms), np.int64, len(terms))
+    ends = np.concatenate(([0], np.cumsum(sizes)))
+    w = np.concatenate(weights) if len(weights) else np.empty(0)
+    return [_Tile(items[a:a + tile], sizes[a:a + tile], codes[ends[a]:ends[min(a + tile, len(items))]],
+                  w[ends[a]:ends[min(a + tile, len(items))]], n_codes) for a in range(0, len(items), tile)]
+
+
+def _coded(pdf: pd.DataFrame):
+    """Codes of all terms (sorted, so the sums are made in the same order whatever order rows arrive in)."""
+    flat = np.concatenate(pdf["terms"].to_list())
+    codes, known = pd.factorize(flat, sort=True)
+    return codes, len(known)
 
 
+def _pair(A: _Tile, B: _Tile, n: int, both: bool) -> bool:
+    """Offer the similarities of two tiles to A (and to B if ``both``); False where bounds show that none counts."""
+    if not ((A.reach(B) + SLACK >= A.nth(n)).any() or (both and (B.reach(A) + SLACK >= B.nth(n)).any())):
+        return False
+    S = _dot(A.side, B.side)
+    S[A.ids[:, None] == B.ids[None, :]] = 0.0  # never its own neighbour
+    np.round(S, SIM_DIGITS, out=S)
+    A.offer(S, B.ids, n)
+    if both:
+        B.offer(np.ascontiguousarray(S.T), A.ids, n)
+    return True
+
+
+SLACK = 1e-9  # half a unit of the last digit kept, and the rounding of a bound
+
 HOT_PRODUCTS = 4096
 
 
@@ -106,52 +151,70 @@ def _dot(A, B) -> np.ndarray:
     return S
 
 
-def _frame(parts) -> pd.DataFrame:
+def _frame(tiles: list[_Tile]) -> pd.DataFrame:
+    parts = [(t.ids[t.best[0]], t.best[1], t.best[2]) for t in tiles] or [(np.empty(0), np.empty(0), np.empty(0))]
     return pd.DataFrame({"seed_id": np.concatenate([p[0] for p in parts]).astype(np.int64),
                          "item_id": np.concatenate([p[1] for p in parts]).astype(np.int64),
                          "similarity": np.concatenate([p[2] for p in parts]).astype(np.float64)})
 
 
-def _block_pair_kernel(n: int):
+def _split(pdf: pd.DataFrame, first: np.ndarray, tile: int) -> tuple[list[_Tile], list[_Tile]]:
+    """The tiles of the rows where ``first`` holds and of the others, each in the order of ``pos``."""
+    order = np.lexsort((pdf["pos"].to_numpy(), ~first))
+    pdf, cut = pdf.iloc[order], int(first.sum())
+    codes, n_codes = _coded(pdf)
+    at = int(pdf["terms"].iloc[:cut].map(len).sum())
+    items, terms, weights = pdf["item_id"].to_numpy(), pdf["terms"].to_list(), pdf["weights"].to_list()
+    return (_tiles(items[:cut], terms[:cut], weights[:cut], codes[:at], n_codes, tile),
+            _tiles(items[cut:], terms[cut:], weights[cut:], codes[at:], n_codes, tile))
+
+
+def _block_pair_kernel(n: int, tile: int = TILE):
     def kernel(pdf: pd.DataFrame) -> pd.DataFrame:
         lo, hi = int(pdf["lo"].iat[0]), int(pdf["hi"].iat[0])
-        term_code, _ = pd.factorize(pdf["term"], sort=True)
-        a = pdf["blk"].to_numpy() == lo
-        A = _side(pdf, a, term_code)
-        B = A if lo == hi else _side(pdf, ~a, term_code)
-        S = _dot(A, B)
+        A, B = _split(pdf, pdf["blk"].to_numpy() == lo, tile)
         if lo == hi:
-            np.fill_diagonal(S, 0.0)
-        np.round(S, SIM_DIGITS, out=S)
-        out = [_top_per_row(S, A[0], B[0], n)]
-        if lo != hi:
-            out.append(_top_per_row(np.ascontiguousarray(S.T), B[0], A[0], n))
-        return _frame(out)
+            for i, a in enumerate(A):
+                _pair(a, a, n, False)
+            for i, a in enumerate(A):
+                for b in A[i + 1:]:
+                    _pair(a, b, n, True)
+            return _frame(A)
+        for a in A:
+            for b in B:
+                _pair(a, b, n, True)
+        return _frame(A + B)
     return kernel
 
 
-def _seeded_kernel(n: int):
+def _seeded_kernel(n: int, tile: int = TILE):
     def kernel(pdf: pd.DataFrame) -> pd.DataFrame:
-        term_code, _ = pd.factorize(pdf["term"], sort=True)
-        seed = pdf["role"].to_numpy() == 0
-        if not seed.any() or seed.all():
-            return _frame([(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))])
-        A = _side(pdf, seed, term_code)
-        B = _side(pdf, ~seed, term_code)
-        S = _dot(A, B)
-        S[A[0][:, None] == B[0][None, :]] = 0.0  # never its own neighbour
-        np.round(S, SIM_DIGITS, out=S)
-        return _frame([_top_per_row(S, A[0], B[0], n)])
+        seeds, others = _split(pdf, pdf["role"].to_numpy() == 0, tile)
+        for a in seeds:
+            for b in others:
+                _pair(a, b, n, False)
+        return _frame(seeds)
     return kernel
 
 
+def packed(vectors: DataFrame) -> DataFrame:
+    """(item_id, terms, weights, top): one row per item, terms in order, and the heaviest of them.
+
+    An array is as long as the item's kept terms, at most ``max_features`` of a fitted model.
+    """
+    entry = F.sort_array(F.collect_list(F.struct(_term(vectors), F.col("weight").cast("double").alias("weight"))))
+    rows = vectors.groupBy("item_id").agg(entry.alias("v"), F.max_by(
+        _term(vectors), F.struct("weight", _term(vectors))).alias("top"))
+    return rows.select("item_id", F.col("v.term").alias("terms"), F.col("v.weight").alias("weights"), "top")
+
+
 def _term(vectors: DataFrame):
     """The term key shipped to the kernel: the vocabulary's integer index when
     the model has one (4 bytes instead of the text), else the term itself."""
     return F.col("term_idx").alias("term") if "term_idx" in vectors.columns else F.col("term")
 
 
-def num_blocks_for(vectors: DataFrame, block_size: int = 2048, n_items: int | None = None) -> int:
+def num_blocks_for(vectors: DataFrame, block_size: int = MAX_BLOCK, n_items: int | None = None) -> int:
     """Blocks so that a block holds <= block_size items and the pairs keep all cores busy."""
     spark = vectors.sparkSession
     if n_items is None:
@@ -163,20 +226,22 @@ def num_blocks_for(vectors: DataFrame, block_size: int = 2048, n_items: int | No
 
 
 def similar_items(vectors: DataFrame, n: int = 10, num_blocks: int | None = None,
-                  block_size: int = 2048, n_items: int | None = None) -> DataFrame:
+                  block_size: int = MAX_BLOCK, n_items: int | None = None) -> DataFrame:
     """(seed_id, item_id, similarity, rank) — the n nearest items of every item.
 
     ``vectors`` is (item_id, term, weight) with L2-normalised weights;
     ``n_items`` (an upper bound of the items with a vector, e.g. the catalogue
     size the model was fitted on) saves one counting job.
     """
+    rows = numbered(packed(vectors), "top", "item_id")
+    if n_items is None:
+        n_items = rows.count()
     B = num_blocks or num_blocks_for(vectors, block_size, n_items)
-    v = vectors.select("item_id", _term(vectors), "weight",
-                       F.pmod(F.xxhash64("item_id"), F.lit(B)).cast("int").alias("blk"))
+    size = max(1, math.ceil(n_items / B))
+    v = rows.select("item_id", "terms", "weights", "pos", F.least(F.floor(F.col("pos") / size), F.lit(B - 1)).cast("int").alias("blk"))
     other = F.explode(F.sequence(F.lit(0), F.lit(B - 1))).alias("other")
-    pairs = v.select("*", other).select(
-        "item_id", "term", "weight", "blk",
-        F.least("blk", "other").alias("lo"), F.greatest("blk", "other").alias("hi"))
+    pairs = v.select("*", other).select("item_id", "terms", "weights", "pos", "blk",
+                                        F.least("blk", "other").alias("lo"), F.greatest("blk", "other").alias("hi"))
     # One shuffle, sized to the number of block pairs: an explicit partition
     # count is not coalesced by AQE, so the pairs spread over all cores
     # instead of being packed into a few tasks because the input is small.
@@ -188,7 +253,7 @@ def similar_items(vectors: DataFrame, n: int = 10, num_blocks: int | None = None
 
 
 def similar_items_for(vectors: DataFrame, seeds: DataFrame, n: int = 10, num_blocks: int | None = None,
-                      block_size: int = 2048, n_items: int | None = None) -> DataFrame:
+                      block_size: int = MAX_BLOCK, n_items: int | None = None) -> DataFrame:
     """T6 for chosen seeds (``seeds`` has ``item_id``), e.g. one film or the
     users' top items: same ranking as ``similar_items``, restricted to seeds.
 
@@ -197,19 +262,22 @@ def similar_items_for(vectors: DataFrame, seeds: DataFrame, n: int = 10, num_blo
     x catalogue (not catalogue squared) and a task never holds more than one
     block of each side, however many seeds there are.
     """
+    rows = numbered(packed(vectors), "top", "item_id")
+    if n_items is None:
+        n_items = rows.count()
     B = num_blocks or num_blocks_for(vectors, block_size, n_items)
+    size = max(1, math.ceil(n_items / B))
     seed_ids = seeds.select("item_id").distinct()
     n_seeds = seed_ids.count()
     if n_seeds == 0:
         return vectors.sparkSession.createDataFrame([], OUT_SCHEMA + ", rank int")
     Bs = max(1, math.ceil(n_seeds / block_size))
-    blk = lambda m: F.pmod(F.xxhash64("item_id"), F.lit(m)).cast("int")
-    seed_vec = vectors.join(seed_ids, "item_id", "left_semi").select(
-        "item_id", _term(vectors), "weight", blk(Bs).alias("sb"),
+    seed_vec = rows.join(seed_ids, "item_id", "left_semi").select(
+        "item_id", "terms", "weights", "pos", F.pmod(F.xxhash64("item_id"), F.lit(Bs)).cast("int").alias("sb"),
         F.explode(F.sequence(F.lit(0), F.lit(B - 1))).alias("cb"), F.lit(0).alias("role"))
-    cand = vectors.select(
-        "item_id", _term(vectors), "weight", F.explode(F.sequence(F.lit(0), F.lit(Bs - 1))).alias("sb"),
-        blk(B).alias("cb"), F.lit(1).alias("role"))
+    cand = rows.select(
+        "item_id", "terms", "weights", "pos", F.explode(F.sequence(F.lit(0), F.lit(Bs - 1))).alias("sb"),
+        F.least(F.floor(F.col("pos") / size), F.lit(B - 1)).cast("int").alias("cb"), F.lit(1).alias("role"))
     both = seed_vec.unionByName(cand).repartition(2 * B * Bs, "sb", "cb")
     out = both.groupBy("sb", "cb").applyInPandas(_seeded_kernel(n), OUT_SCHEMA)
     w = Window.partitionBy("seed_id").orderBy(F.desc("similarity"), "item_id")

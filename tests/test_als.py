@@ -96,3 +96,100 @@ def test_train_with_cross_validation(low_rank):
         train.unionByName(test), {"rank": [2], "maxIter": [5], "regParam": [0.01]}, folds=2)
     m = metrics.first()
     assert report.count() == 1 and m.n > 0 and m.rmse < 0.5
+
+
+BIG = {0: 3 * 10**9, 1: -5, 2: 2**60, 3: -(2**62)}
+
+
+def test_ids_beyond_int_train_predict_recommend_and_survive_saving(spark, low_rank, tmp_path):
+    train, test = low_rank
+    user = F.create_map(*[F.lit(x) for kv in BIG.items() for x in kv])
+
+    def big(df):
+        return df.withColumn("user_id", F.coalesce(user[F.col("user_id")], F.col("user_id"))).withColumn(
+            "item_id", F.when(F.col("item_id") < 5, F.col("item_id") - 2**61).otherwise(F.col("item_id")))
+
+    model = als.fit_als(big(train), rank=2, max_iter=15, reg_param=0.001)
+    assert model.users.count() == 40 and model.users.agg(F.max("user_idx")).first()[0] == 39
+    pred = als.predict(model, big(test))
+    assert pred.count() == test.count()  # every pair is scored
+    assert pred.agg(F.sqrt(F.avg((F.col("rating") - F.col("prediction")) ** 2))).first()[0] < 0.1
+    users = spark.createDataFrame([(v,) for v in BIG.values()], "user_id long")
+    recs = als.recommend_for(model, users, n=3, seen=big(train))
+    assert {r.user_id for r in recs.collect()} == set(BIG.values())
+    assert recs.join(big(train), ["user_id", "item_id"]).count() == 0
+    assert als.factor_check(model, big(test)).first().max_gap < 1e-5
+    als.save_model(model, str(tmp_path / "big"))
+    back = als.load_model(str(tmp_path / "big"))
+    assert sorted(als.predict(back, big(test)).collect()) == sorted(pred.collect())
+    # Saved over by a model without mapping tables: they are no longer used.
+    als.save_model(als.fit_als(train, rank=2, max_iter=2), str(tmp_path / "big"))
+    assert als.load_model(str(tmp_path / "big")).users is None
+
+
+def test_too_many_ids_raise(spark, monkeypatch):
+    from recsift.operators import numbering
+
+    monkeypatch.setattr(numbering, "MAX_DENSE", 3)
+    train = spark.createDataFrame([(2**40 + i, i % 2, 1.0) for i in range(4)], "user_id long, item_id long, rating double")
+    with pytest.raises(ValueError, match="more than INT"):
+        als.fit_als(train, rank=1, max_iter=1)
+
+
+def test_lists_equal_spark_ml_and_skip_bands(spark, low_rank):
+    train, _ = low_rank
+    model = als.fit_als(train, rank=2, max_iter=5)
+    want = {(r.user_id, x.item_idx): x.rating for r in model.model.recommendForAllUsers(4).withColumnRenamed(
+        "user_idx", "user_id").collect() for x in r.recommendations}
+    for chapter in (3, 7, 65536):
+        got = {(r.user_id, r.item_id): r.score for r in als.recommend_for(
+            model, train.select("user_id"), n=4, first_k=chapter).collect()}
+        assert got.keys() == want.keys()
+        assert all(abs(got[k] - want[k]) < 1e-5 for k in got)
+
+
+def test_norm_bands_against_brute_force(spark):
+    from recsift.operators import retrieval
+
+    rng = np.random.default_rng(5)
+    scale = 10.0 ** -rng.integers(0, 6, 400)  # norms fall fast: most items are never scored
+    items = (rng.integers(-3, 4, (400, 4)) * scale[:, None]).astype(np.float32)
+    queries = np.vstack([rng.integers(-3, 4, (70, 4)), np.zeros((2, 4))]).astype(np.float32)
+    seen = {(0, i) for i in range(398)} | {(q, int(i)) for q in range(1, 72) for i in rng.choice(400, 30)}
+    want = set()
+    for q in range(72):
+        scores = [(-round(float(s), 9) + 0.0, i) for i, s in enumerate(items.astype(float) @ queries[q].astype(float)) if (q, i) not in seen]
+        want |= {(q, i, k + 1) for k, (_, i) in enumerate(sorted(scores)[:5])}
+    df = lambda m, name: spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(m)], f"{name} long, vec array<float>")
+    pairs = spark.createDataFrame([*seen, (0, 3), (900, 1), (5, 900)], "query_id long, item_id long")  # repeats and unknown ids
+    for chapter in (50, 65536):
+        got = retrieval.top_n(df(queries, "query_id"), df(items, "item_id"), 5, seen=pairs, chapter=chapter).collect()
+        assert {(r.query_id, r.item_id, r["rank"]) for r in got} == want
+    norms = np.linalg.norm(items, axis=1)
+    by = np.lexsort((np.arange(400), -norms))
+    scored = [0]
+    monkey, retrieval.BAND = retrieval.BAND, 16
+    try:
+        retrieval.search_tile(queries[:70].astype(float), np.linalg.norm(queries[:70], axis=1), items[by].astype(float), norms[by], by,
+                              (np.empty(0, int), np.empty(0, int)), (np.empty(0, int), np.empty(0, int), np.empty(0)), 5, scored)
+    finally:
+        retrieval.BAND = monkey
+    assert scored[0] < 0.6 * 70 * 400
+    assert retrieval.top_n(df(queries[:0], "query_id"), df(items, "item_id"), 5).count() == 0
+    assert retrieval.top_n(df(queries, "query_id"), df(items[:0], "item_id"), 5).count() == 0
+
+
+def test_grid_experiment_resumes(spark, low_rank, tmp_path):
+    train, _ = low_rank
+    grid = {"rank": [1, 2], "maxIter": [2], "regParam": [0.1]}
+    path, fits = str(tmp_path / "grid"), []
+    first = als.grid_experiment(train, grid, folds=2, path=path, on_fit=fits.append).collect()
+    assert len(fits) == 4 and len(first) == 2
+    # Two results are lost: only those are fitted again, and the report is the same.
+    spark.createDataFrame([], als.FOLD_SCHEMA).write.mode("overwrite").parquet(f"{path}/rank_1-maxIter_2-regParam_0.1-fold_0")
+    spark.createDataFrame([], als.FOLD_SCHEMA).write.mode("overwrite").parquet(f"{path}/rank_2-maxIter_2-regParam_0.1-fold_1")
+    again = als.grid_experiment(train, grid, folds=2, path=path, parallelism=2, on_fit=fits.append).collect()
+    assert sorted(fits[4:]) == [(1, 2, 0.1, 0), (2, 2, 0.1, 1)]
+    assert [(r["rank"], round(r.avg_rmse, 5), r.is_best) for r in again] == [(r["rank"], round(r.avg_rmse, 5), r.is_best) for r in first]
+    # Every rating is in exactly one fold.
+    assert sum(als._finished(spark, path)[(2, 2, 0.1, f)][0] for f in range(2)) <= train.count()
