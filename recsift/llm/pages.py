@@ -5,11 +5,14 @@ page next to it in URL path order (the neighbour that shares more leading path
 parts).  Near copies that follow each other there (print versions, other query
 strings) form a run, and the pages next to the run are the neighbours of all its
 pages, so no page is differenced against its own copy.  The two pages' lines are aligned by longest common subsequence, and
-shared lines are deleted as template text, inside the article too.  The page's
-own markup only corrects that result: lines inside navigation, header, footer,
-sidebar, advert, notice, form or comment elements go even if this page alone has
-them, and a line of the article stays if the neighbour has it in such elements
-only.  Lines outside the article that no neighbour has stay.
+shared lines are deleted as template text.  Inside the article one neighbour is
+not evidence enough, since two texts may have a sentence in common: there a shared
+line goes if more than half of the host's pages, and at least ``TEMPLATE`` of
+them, have it in their articles (a run of near copies counts as one page).  The
+page's own markup only corrects that result: lines inside navigation, header,
+footer, sidebar, advert, notice, form or comment elements go even if this page
+alone has them, and a line of the article stays if the neighbour has it in such
+elements only.  Lines outside the article that no neighbour has stay.
 
 Only 64-bit line hashes travel for the alignment.  Neighbours come from a
 range partitioning over (host, path), with the first and last rows of the
@@ -24,7 +27,9 @@ Defined results
   * A page without any line is no neighbour.
   * A NULL url: the page has no host and no neighbour.
   * Repeated rows are separate pages; an empty table gives an empty result.
-  * Class and id names count whole; ids of headings, sections and other places to
+  * Class and id names count whole, or by their parts (``user-comments``,
+    ``site-footer__inner``) where all parts but places and wrappers name such an
+    element; ``has-sidebar`` or ``share-price`` doesn't.  Ids of headings, sections and other places to
     link to don't count in the article.  A main element opens the
     article again inside any dropped element, an article element unless that is
     hidden or holds other texts (comments, related, navigation, sidebar, footer).
@@ -74,6 +79,14 @@ _OTHERS = frozenset(
     "nav-links nav-menu navbar-nav navigation-menu page-footer page-navigation post-navigation primary-menu primary-nav "
     "related-articles related-content related-links related-posts related-stories right-sidebar side-bar side-menu "
     "sidebar-left sidebar-right site-footer site-nav site-navigation top-menu top-nav".split())
+# Parts of a class or id: those that name an element to drop (the first list is of the kind of _OTHERS), and those that
+# only say where it stands or that it wraps something.
+_OTHER_PARTS = frozenset("breadcrumb breadcrumbs comment comments disqus footer menu nav navbar navigation pagination promo "
+                         "related sidebar".split())
+_PARTS = _OTHER_PARTS | frozenset("ads advert adverts advertisement advertising banner consent cookie cookies modal newsletter "
+                                  "notice popup signup subscribe widget widgets".split())
+_PLACES = frozenset("area block bottom box container fixed global inner left list main outer page primary right secondary "
+                    "section site sticky top user wrap wrapper".split())
 _ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
 
 _TOKEN = re.compile(r"<!--.*?(?:--!?>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
@@ -82,6 +95,8 @@ _ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?=\s|/|$)", re.I)
 
 PLAIN, DROP, MAIN = 0, 1, 2
+#: Pages of a host that must have a line in their articles before it counts as template there.
+TEMPLATE = 3
 # While a page is cut: SHUT is dropped for articles inside too, and form number k
 # has the regions FORMS + 2 * k and, in the article, one more.
 SHUT, FORMS = 3, 4
@@ -92,6 +107,18 @@ def _in_article(region: int) -> bool:
     return region == MAIN or (region >= FORMS and region % 2 == 1)
 
 
+def _kind_of(name: str) -> int | None:
+    """SHUT or DROP for a class or id that names such an element, by its whole or by its parts."""
+    if name in _OTHERS:
+        return SHUT
+    if name in _BOILERPLATE:
+        return DROP
+    parts = [p for p in name.replace("_", "-").split("-") if p and p not in _PLACES]
+    if not parts or not all(p in _PARTS for p in parts):
+        return None
+    return SHUT if any(p in _OTHER_PARTS for p in parts) else DROP
+
+
 def _role(tag: str, attributes: str, inside: int) -> int:
     """The region that an element opens, given the one that it is in."""
     if (inside == SHUT and tag != "main") or tag in _DROP or (inside >= FORMS and tag in _CONTROLS):
@@ -105,7 +132,7 @@ def _role(tag: str, attributes: str, inside: int) -> int:
             named = set(found.get("class", "").split())
             if tag in _BOXES or not (_in_article(inside) or tag in _INLINE or tag in _HEADINGS):
                 named.add(found.get("id", "").strip())
-            if named & _OTHERS or found.get("role") in _ROLES - {"form", "banner"} or found.get("aria-hidden") == "true":
+            if any(_kind_of(name) == SHUT for name in named) or found.get("role") in _ROLES - {"form", "banner"} or found.get("aria-hidden") == "true":
                 return SHUT
             if "hidden" in found or ("hidden" in attributes and _HIDDEN.search(_ATTRIBUTE.sub("", attributes))):
                 return SHUT
@@ -113,7 +140,7 @@ def _role(tag: str, attributes: str, inside: int) -> int:
                 return SHUT
             if _in_article(inside):
                 named.discard("header")
-            if named & _BOILERPLATE or found.get("role") in _ROLES:
+            if any(_kind_of(name) == DROP for name in named) or found.get("role") in _ROLES:
                 return DROP
     if opens:
         return inside if _in_article(inside) else MAIN
@@ -322,16 +349,21 @@ def near_copy(own: list[int], own_marks: list[int], near: list[int], near_marks:
         sum(n for _, n in a) + sum(n for _, n in b) - text)
 
 
-def shared_lines(own: list[int], own_marks: list[int], near: list[int], near_marks: list[int]) -> frozenset[int]:
-    """Positions in ``own`` that are template text by the neighbour ``near``."""
+def shared_lines(own: list[int], own_marks: list[int], near: list[int], near_marks: list[int],
+                 template: frozenset[int]) -> frozenset[int]:
+    """Positions in ``own`` that are template text by the neighbour ``near``; in the article only
+    lines of the host's ``template``."""
     if own == near:
         return frozenset()
     every = common(own, near)
     if not any(m < 0 for m in own_marks):
         return frozenset(every)
-    at = [i for i, m in enumerate(own_marks) if m]
-    text = common([own[i] for i in at], [h for h, m in zip(near, near_marks) if m])
-    return frozenset(i for i in every if own_marks[i] >= 0) | {at[i] for i in text if own_marks[at[i]] < 0}
+    out = frozenset(i for i in every if own_marks[i] >= 0)
+    if template:
+        at = [i for i, m in enumerate(own_marks) if m]
+        text = common([own[i] for i in at], [h for h, m in zip(near, near_marks) if m])
+        out |= {at[i] for i in text if own_marks[at[i]] < 0 and own[at[i]] in template}
+    return out
 
 
 def _rows_of(pages: DataFrame) -> DataFrame:
@@ -374,7 +406,8 @@ def _copies(pairs: DataFrame, cut: DataFrame) -> DataFrame:
 
 
 def neighbours(cut: DataFrame) -> DataFrame:
-    """(uid, other): the page next to the run of near copies on the host that shares more leading path parts."""
+    """(uid, host, run, other): the page's run of near copies on its host, and the page next to the run that
+    shares more leading path parts (NULL: there is none)."""
     key = F.struct("host", "path", "uid")
     placed = (cut.where("host IS NOT NULL AND size(hashes) > 0").select("uid", "host", "path")
               .repartitionByRange("host", "path", "uid").withColumn("part", F.spark_partition_id()))
@@ -408,7 +441,28 @@ def neighbours(cut: DataFrame) -> DataFrame:
     scored = both.withColumns({"b": shared("before"), "a": shared("after")})
     other = F.when(F.col("b").isNotNull() & (F.col("a").isNull() | (F.col("b") >= F.col("a"))), F.col("before.uid")).when(
         F.col("a").isNotNull(), F.col("after.uid"))
-    return scored.select("uid", other.alias("other")).where("other IS NOT NULL")
+    run = F.when(F.col("before.host") == F.col("host"), F.col("before.uid"))  # the page before it; NULL: it is the first
+    return scored.select("uid", "host", F.coalesce(run.cast("string"), F.lit("")).alias("run"), other.alias("other"))
+
+
+def templates(cut: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(uid, template): hashes of article lines that the page shares with its neighbour and that most of
+    the host's runs have in their articles."""
+    text = lambda h, m, keep: F.transform(F.filter(F.arrays_zip(F.col(h).alias("h"), F.col(m).alias("m")), keep), lambda x: x["h"])
+    lines = cut.select("uid", F.array_distinct(text("hashes", "marks", lambda x: x["m"] < 0)).alias("main"),
+                       text("hashes", "marks", lambda x: x["m"] != 0).alias("all"))
+    mains = lines.select("uid", "main").where(F.size("main") > 0)
+    both = pairs.where("other IS NOT NULL").join(mains, "uid").join(
+        lines.select(F.col("uid").alias("other"), "all"), "other")
+    shared = materialise(both.select("uid", "host", F.explode(F.array_intersect("main", "all")).alias("line")), "shared")
+    # Only lines that some page shares are counted, over all pages.
+    held = pairs.select("uid", "host", "run").join(mains, "uid").select("host", "run", F.explode("main").alias("line"))
+    held = held.join(shared.select("host", "line").distinct(), ["host", "line"], "left_semi")
+    counts = held.distinct().groupBy("host", "line").agg(F.count(F.lit(1)).alias("n"))
+    hosts = pairs.select("host", "run").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("runs"))
+    often = counts.where(F.col("n") >= TEMPLATE).join(hosts, "host").where(2 * F.col("n") > F.col("runs"))
+    return shared.join(often.select("host", "line"), ["host", "line"]).groupBy("uid").agg(
+        F.collect_set("line").alias("template"))  # lines of one page
 
 
 def extract(pages: DataFrame) -> DataFrame:
@@ -418,7 +472,10 @@ def extract(pages: DataFrame) -> DataFrame:
     so is moved once and compressed.
     """
     cut = materialise(cut_lines(pages), "lines")
-    others = neighbours(cut).join(cut.select(F.col("uid").alias("other"), F.col("hashes").alias("others"), F.col("marks").alias("other_marks")), "other")
+    pairs = materialise(neighbours(cut), "pairs")
+    others = pairs.where("other IS NOT NULL").join(cut.select(
+        F.col("uid").alias("other"), F.col("hashes").alias("others"), F.col("marks").alias("other_marks")), "other").join(
+        templates(cut, pairs), "uid", "left")
 
     def compress(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -432,17 +489,18 @@ def extract(pages: DataFrame) -> DataFrame:
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = []
-            for body, regions, other, marks in zip(*(batch.column(i) for i in (2, 3, 4, 5))):
+            for body, regions, other, marks, template in zip(*(batch.column(i) for i in (2, 3, 4, 5, 6))):
                 regions = regions.as_py()
                 lines = zlib.decompress(body.as_py()).decode().split("\n") if regions else []
                 cut = list(zip(lines, regions))
                 # Differencing decides; markup then takes the rest of the frame out.
-                shared = shared_lines(_hashes(lines), _marks(cut), other.as_py() or [], marks.as_py() or [])
+                shared = shared_lines(_hashes(lines), _marks(cut), other.as_py() or [], marks.as_py() or [],
+                                      frozenset(template.as_py() or []))
                 texts.append("\n\n".join(t for i, (t, r) in enumerate(cut) if i not in shared and r != DROP))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())],
                                              ["page_id", "url", "text"])
 
     whole = _rows_of(pages).mapInArrow(compress, "uid long, page_id long, url string, body binary, regions binary")
-    joined = whole.join(others.select("uid", "others", "other_marks"), "uid", "left")
-    return joined.select("page_id", "url", "body", "regions", "others", "other_marks").mapInArrow(
+    joined = whole.join(others.select("uid", "others", "other_marks", "template"), "uid", "left")
+    return joined.select("page_id", "url", "body", "regions", "others", "other_marks", "template").mapInArrow(
         keep, "page_id long, url string, text string").withColumn("n_chars", F.length("text").cast("long"))
