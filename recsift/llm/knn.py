@@ -118,7 +118,9 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = K, data_block: int = DA
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     dim, longest = max(dim, 1), longest or 0.0
     n_pivots = min(max(MIN_PIVOTS, ceil(n_queries / QUERIES_PER_GROUP)), MAX_PIVOTS)
-    chosen = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(n_pivots).select("v").collect()  # at most MAX_PIVOTS
+    # Pivots are different vectors, however often one is repeated: at most MAX_PIVOTS hashes, then their vectors.
+    lowest = [r[0] for r in rows.select(F.xxhash64("v").alias("h")).distinct().orderBy("h").limit(n_pivots).collect()]
+    chosen = rows.withColumn("h", F.xxhash64("v")).where(F.col("h").isin(lowest)).dropDuplicates(["h"]).orderBy("h").select("v").collect()
     points = np.zeros((len(chosen), dim + 1))
     for i, r in enumerate(chosen):
         points[i, :len(r["v"])] = r["v"]
@@ -135,11 +137,14 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = K, data_block: int = DA
                  pa.array(as_query.argmin(1), pa.int32())], ["vec_id", "v", "q", "cell", "dist", "grp"])
 
     placed = materialise(rows.select("vec_id", "v", "q").mapInArrow(
-        assign, "vec_id long, v array<long>, q boolean, cell int, dist double, grp int"), "placed")
-    # A query is itself among the data, so k + 1 vectors bound its k-th distance.
-    nearest = placed.select("cell", "dist", F.row_number().over(Window.partitionBy("cell").orderBy("dist")).alias("nth")).where(
+        assign, "vec_id long, v array<long>, q boolean, cell int, dist double, grp int").withColumn(
+        "row", F.monotonically_increasing_id()), "placed")
+    # Of the k + 1 nearest ids of a cell at most one is a query's own, so k others bound its k-th distance.
+    ids = placed.groupBy("cell", "vec_id").agg(F.min("dist").alias("dist"))
+    nearest = ids.select("cell", "vec_id", "dist", F.row_number().over(
+        Window.partitionBy("cell").orderBy("dist", "vec_id")).alias("nth")).where(
         F.col("nth") <= k + 1).collect()  # at most MAX_PIVOTS * (k + 1)
-    cells, dists = np.array([r["cell"] for r in nearest]), np.array([r["dist"] for r in nearest])
+    cells, dists, near_ids = (np.array([r[c] for r in nearest]) for c in ("cell", "dist", "vec_id"))
 
     def bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -149,7 +154,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = K, data_block: int = DA
             group = batch.column(1).to_numpy()
             d = _distances(x, np.zeros(len(x)), points)
             above = d[:, cells] + dists
-            reach = np.partition(above, k, axis=1)[:, k] if above.shape[1] > k else np.full(len(x), np.inf)
+            above[near_ids[None, :] == batch.column(2).to_numpy()[:, None]] = np.inf  # its own rows are no answers
+            reach = np.partition(above, k - 1, axis=1)[:, k - 1] if above.shape[1] >= k else np.full(len(x), np.inf)
             for g in np.unique(group):
                 own = group == g
                 low, high = (d[own] - reach[own, None]).min(0), (d[own] + reach[own, None]).max(0)
@@ -157,7 +163,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = K, data_block: int = DA
                     np.arange(len(points)), pa.int32()), pa.array(low), pa.array(high), pa.array(
                     np.full(len(points), own.sum()), pa.int64())], ["grp", "cell", "low", "high", "n"])
 
-    bounds = placed.where("q").select("v", "grp").mapInArrow(bound, "grp int, cell int, low double, high double, n long")
+    bounds = placed.where("q").select("v", "grp", "vec_id").mapInArrow(bound, "grp int, cell int, low double, high double, n long")
     bounds = bounds.groupBy("grp", "cell").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.sum("n").alias("n"))
     # At most MAX_PIVOTS ** 2 rows: the bound of this broadcast.
     bounds = spark.createDataFrame(bounds.withColumn("q_blocks", F.ceil(F.col("n") / query_block).cast("int")).drop("n")
@@ -166,7 +172,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = K, data_block: int = DA
     needed = placed.drop("grp").join(F.broadcast(bounds), "cell").where(
         F.col("dist").between(F.col("low") - slack, F.col("high") + slack))
     data = needed.select("grp", F.explode(F.sequence(F.lit(0), F.col("q_blocks") - 1)).alias("qb"),
-                         F.pmod(F.xxhash64("vec_id", "dist"), F.lit(d_blocks)).cast("int").alias("db"), "vec_id", "v")
+                         F.pmod(F.xxhash64("row"), F.lit(d_blocks)).cast("int").alias("db"), "vec_id", "v")
     groups = bounds.select("grp", "q_blocks").distinct()
     asked = placed.where("q").select(F.col("grp").alias("g"), F.col("vec_id").alias("query_id"), F.col("v").alias("qv"))
     asked = asked.distinct().join(F.broadcast(groups), F.col("g") == F.col("grp")).select(
