@@ -27,7 +27,8 @@ import hashlib
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recsift.llm.common import materialise, new_path, text_or_empty
+from recsift.llm.common import materialise, new_path, text_or_empty, unused
+from recsift.sources.csv import _exists
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -38,13 +39,25 @@ def text_digest(name: str = "text") -> Column:
 
 
 class DigestIndex:
-    """A digest index at ``path``; ``buckets`` must be the number it was created with."""
+    """A digest index at ``path``.
 
-    def __init__(self, spark: SparkSession, path: str, buckets: int = 64):
-        self.spark, self.path, self.buckets = spark, path, buckets
+    The number of buckets is stored with a new index (64 unless given) and read
+    from an old one; asking for another number than the stored one raises.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, buckets: int | None = None):
+        self.spark, self.path = spark, path
+        note = f"{path}/_buckets"  # Spark's scans of the table pass over it
+        if _exists(spark, note):
+            self.buckets = spark.read.parquet(note).first()[0]
+            if buckets is not None and buckets != self.buckets:
+                raise ValueError(f"the index at {path} has {self.buckets} buckets, not {buckets}")
+        else:
+            self.buckets = buckets or 64
+            spark.createDataFrame([(self.buckets,)], "buckets int").coalesce(1).write.parquet(note)
         self.name = "recsift_digests_" + hashlib.md5(path.encode()).hexdigest()
         spark.sql(f"CREATE TABLE IF NOT EXISTS {self.name} (digest BINARY, keep_id BIGINT) USING parquet "
-                  f"CLUSTERED BY (digest) SORTED BY (digest) INTO {buckets} BUCKETS LOCATION '{path}'")
+                  f"CLUSTERED BY (digest) SORTED BY (digest) INTO {self.buckets} BUCKETS LOCATION '{path}'")
 
     def table(self) -> DataFrame:
         self.spark.catalog.refreshTable(self.name)
@@ -80,12 +93,14 @@ def deduplicate(docs: DataFrame, index: DigestIndex) -> DataFrame:
     The kept (id, digest) pairs are joined back by one key; rows that repeat
     it are combined before the shuffle, and the same shuffle serves both.
     """
+    name = unused(docs, "dedup_key")
+
     def key(digest: Column) -> Column:
         return F.concat_ws(":", digest, F.coalesce(F.col("doc_id").cast("string"), F.lit("-")))
 
-    kept = resolve(docs, index).where("kept").select(key(F.col("text_sha256")).alias("__dedup_key")).distinct()
-    return (docs.withColumn("__dedup_key", key(text_digest())).dropDuplicates(["__dedup_key"])
-            .hint("merge").join(kept, "__dedup_key", "left_semi").select(*docs.columns))
+    kept = resolve(docs, index).where("kept").select(key(F.col("text_sha256")).alias(name)).distinct()
+    return (docs.withColumn(name, key(text_digest())).dropDuplicates([name])
+            .hint("merge").join(kept, name, "left_semi").select(*docs.columns))
 
 
 def temporary_index(spark: SparkSession) -> DigestIndex:

@@ -29,7 +29,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from recsift.llm.common import WORD, materialise, word_count
+from recsift.llm.common import materialise, word_count
 
 #: Fixed values of the production mix.
 WEIGHTS = (1, 2, 3)
@@ -135,17 +135,17 @@ def mix_report(docs: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS, s
 def mix(docs: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: int = SEED) -> DataFrame:
     """The mixed corpus with the columns of ``docs``: a row for each repetition.
 
-    A partial repetition holds the document's first words.
+    Texts are whole: the one document of a source at which its target ends is taken
+    once more if the target reaches half of it, else not, so a source's words lie
+    within one document of its target.
     """
     cols = docs.columns
-    measured = measure(docs, seed)
-    narrow = materialise(measured.select("doc_id", "__src", "__size", "__h"), "sizes")
-    # Working columns go into one struct: names of extra columns can't clash.
-    rows = measured.select("doc_id", "__src", "__size", "__h", F.struct(*cols).alias("__doc"))
+    # The input's columns go into one struct first: their names can't clash with working columns.
+    packed = docs.select("doc_id", "source", "text", F.struct(*cols).alias("__doc"))
+    narrow = materialise(measure(packed.drop("__doc"), seed).select("doc_id", "__src", "__size", "__h"), "sizes")
+    rows = measure(packed, seed).select("doc_id", "__src", "__size", "__h", "__doc")
     taken = take(rows, plan_mix(narrow, weights, max_epochs)).where(F.col("taken") > 0)
-    n, rest = F.floor(F.col("taken") / F.col("__size")).cast("int"), F.col("taken") % F.col("__size")
-    part = F.array_join(F.slice(F.regexp_extract_all(F.col("__doc.text"), F.lit(WORD), F.lit(0)), 1, rest.cast("int")), " ")
-    new = {"text": F.col("__part")} | ({"n_chars": F.length("__part").cast("long")} if "n_chars" in cols else {})
-    whole = taken.where(n > 0).withColumn("__copy", F.explode(F.sequence(F.lit(1), n))).select("__doc.*")
-    cut = taken.where(rest > 0).withColumn("__part", part).select("__doc.*", "__part")
-    return whole.unionByName(cut.withColumns(new).select(*cols))
+    rest = F.col("taken") % F.col("__size")
+    copies = F.floor(F.col("taken") / F.col("__size")) + F.when(2 * rest >= F.col("__size"), 1).otherwise(0)
+    return taken.withColumn("__n", copies.cast("int")).where("__n > 0").withColumn(
+        "__copy", F.explode(F.sequence(F.lit(1), F.col("__n")))).select("__doc.*")

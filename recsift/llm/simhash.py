@@ -23,8 +23,12 @@ the ball has, so no group can be hot, and no link is lost.
 Defined results
   * NULL text counts as empty.  No words: fingerprint 0, linked like any other.
   * Fewer words than a shingle: the whole sequence is the one shingle.
-  * Rows without doc_id get their fingerprint but take no part in links
-    (component NULL unless another document has the same or a near text).
+  * Rows without doc_id are linked by their fingerprints like any other; a
+    component without any doc_id has NULL as component_id.
+  * Rows that repeat a doc_id count by their own texts.  Rows that repeat both
+    are one document: ``drop_near_duplicates`` returns it at most once.
+  * Long texts are read whole.  Other columns, whatever their names, are kept
+    and take no part.
   * An empty table gives an empty result.
 """
 
@@ -38,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from recsift.llm.common import materialise
+from recsift.llm.common import materialise, unused
 from recsift.llm.components import connected_components
 
 SEED = 42
@@ -69,14 +73,19 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp): fp is the fingerprint's bits as LONG."""
+    """(doc_id, mark, fp): fp is the fingerprint's bits as LONG, mark a hash of the text itself."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps = np.fromiter((fingerprint(t.as_py(), shingle) for t in batch.column(1)), np.uint64, batch.num_rows)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
+            fps = np.fromiter((fingerprint(t.as_py(), shingle) for t in batch.column(2)), np.uint64, batch.num_rows)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(fps.view(np.int64))], ["doc_id", "mark", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(
-        run, "doc_id long, fp long")
+    text = F.col("text").cast("string")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), _mark(text).alias("mark"), text.alias("text")).mapInArrow(
+        run, "doc_id long, mark long, fp long")
+
+
+def _mark(text: Column) -> Column:
+    return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
 def _masks(bits: int, radius: int) -> list[int]:
@@ -146,27 +155,41 @@ def _centre_links(fps: DataFrame, max_bits: int) -> DataFrame:
     return near.join(low, "c").where("node <> v").select(F.col("node").alias("u"), "v").distinct()
 
 
+def _components(docs: DataFrame, shingle: int, max_bits: int, segments: int, bucket_limit: int) -> tuple[DataFrame, DataFrame]:
+    """((doc_id, mark, fp), (fp, component)): a component is named by its smallest fingerprint."""
+    rows = materialise(fingerprints(docs, shingle), "fingerprints")
+    fps = materialise(rows.select("fp", F.col("fp").alias("node")).distinct(), "fps")
+    comps = connected_components(materialise(links(fps, max_bits, segments, bucket_limit), "links"))
+    return rows, materialise(fps.join(comps, "node", "left").select("fp", F.coalesce("component", "fp").alias("component")), "labels")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS,
                     segments: int = SEGMENTS, bucket_limit: int = BUCKET_LIMIT) -> DataFrame:
     """One row per document: (doc_id, fp, component_id).
 
     ``component_id`` is the smallest doc_id reachable over links.
     """
-    rows = materialise(fingerprints(docs, shingle), "fingerprints")
-    fps = materialise(rows.groupBy("fp").agg(F.min("doc_id").alias("node")), "fps")
-    edges = materialise(links(fps.where("node IS NOT NULL"), max_bits, segments, bucket_limit), "links")
-    comps = connected_components(edges)
-    labels = fps.join(comps, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
-    return rows.join(labels, "fp").select("doc_id", "fp", "component_id")
+    rows, labels = _components(docs, shingle, max_bits, segments, bucket_limit)
+    low = rows.groupBy("fp").agg(F.min("doc_id").alias("low")).join(labels, "fp")
+    ids = low.groupBy("component").agg(F.min("low").alias("component_id"))
+    named = labels.join(ids, "component").select("fp", "component_id")
+    return rows.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
 def drop_near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """``docs`` with one document of each component: the smallest doc_id.
+    """``docs`` with one document of each component: that with the smallest doc_id (NULL last).
 
-    Rows without doc_id are linked to nothing and stay unless their text is a
-    near copy of a document with one; rows that repeat a doc_id all stay or go.
+    Every row is decided by its own doc_id and text.
     """
-    found = near_duplicates(docs.select("doc_id", "text"), shingle, max_bits)
-    gone = found.where((F.col("component_id") != F.col("doc_id")) & F.col("doc_id").isNotNull()).select(
-        F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
+    rows, labels = _components(docs, shingle, max_bits, SEGMENTS, BUCKET_LIMIT)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark")).alias("first")
+    # One row per fingerprint, then one per component: both with partial sums before the shuffle.
+    stays = rows.groupBy("fp").agg(first).join(labels, "fp").groupBy("component").agg(F.min("first").alias("first"))
+    name = unused(docs, "document")
+
+    def key(doc_id: Column, mark: Column) -> Column:
+        return F.concat_ws(":", mark.cast("string"), F.coalesce(doc_id.cast("string"), F.lit("-")))
+
+    kept = stays.select(key(F.col("first.doc_id"), F.col("first.mark")).alias(name))
+    return (docs.withColumn(name, key(F.col("doc_id").cast("long"), _mark(F.col("text").cast("string")))).dropDuplicates([name])
+            .hint("merge").join(kept, name, "left_semi").select(*docs.columns))

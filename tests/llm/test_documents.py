@@ -105,10 +105,47 @@ def test_mixing(spark, docs, empty):
     words = Counter()
     for r in whole.collect():
         words[r["source"]] += size(r["text"])
-    assert {s: n for s, n in words.items() if n} == {s: n for s, n in taken.items() if n}
+    longest = defaultdict(int)
+    for r in ROWS:
+        longest[r[3]] = max(longest[r[3]], size(r[1]))
+    assert all(abs(words[s] - target[s]) <= longest[s] / 2 + 1 for s in sizes)
+    assert {tuple(r) for r in whole.collect()} <= set(ROWS)  # whole rows, nothing overwritten
     assert mixing.mix_report(empty).count() == 0 and mixing.mix(empty).count() == 0
 
 
+def test_mixing_keeps_columns_with_working_names(spark):
+    rows = [(i, f"w{i} " * (i + 1), "s", "own", 7, 8, 9) for i in range(20)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, __src string, __size int, __h int, __doc int")
+    got = mixing.mix(df)
+    assert got.columns == df.columns and {tuple(r) for r in got.collect()} <= set(rows)
+
+
+def test_near_duplicates_are_decided_by_their_own_text(spark):
+    base = " ".join(f"word{i}" for i in range(300))
+    near = base.replace("word150", "other")
+    assert (simhash.fingerprint(base) ^ simhash.fingerprint(near)).bit_count() <= 6
+    bits = (simhash.fingerprint(base) ^ simhash.fingerprint(near)).bit_count()
+    rows = [(1, base, "x"), (2, near, "x"), (2, "a clean unique text with other words", "x"), (None, "same null text here", "x"),
+            (None, "same null text here", "x"), (None, near, "y"), (9, base, "y"), (9, base, "y")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, __gone string")
+    kept = sorted((r["doc_id"] or 0, r["text"]) for r in simhash.drop_near_duplicates(df, max_bits=max(2, bits)).collect())
+    assert kept == [(0, "same null text here"), (1, base), (2, "a clean unique text with other words")]
+    named = df.withColumnRenamed("__gone", "document")
+    assert simhash.drop_near_duplicates(named, max_bits=max(2, bits)).columns == named.columns
+
+
+def test_index_remembers_its_buckets(spark):
+    index = exact_dedup.DigestIndex(spark, exact_dedup.new_path(spark, "index"), 8)
+    docs = spark.createDataFrame([(i, f"t{i}", "x") for i in range(100)], "doc_id long, text string, dedup_key string")
+    assert exact_dedup.deduplicate(docs, index).count() == 100
+    again = exact_dedup.DigestIndex(spark, index.path)
+    assert again.buckets == 8
+    exact_dedup.resolve(docs, again).collect()
+    assert again.table().count() == 100
+    with pytest.raises(ValueError, match="8 buckets"):
+        exact_dedup.DigestIndex(spark, index.path, 16)
+
+
 def test_mixing_small_buckets(spark, docs, monkeypatch):
     monkeypatch.setattr(mixing, "BUCKET_ROWS", 2)
     totals = mixing.mix_report(docs).groupBy("source").agg(F.sum("taken").alias("t"), F.first("target").alias("g")).collect()
