@@ -9,10 +9,13 @@ from __future__ import annotations
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from recsift.operators.numbering import unused
+from recsift.session import cut_lineage
+
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 FRACTIONAL = (T.FloatType, T.DoubleType)
 
@@ -43,16 +46,31 @@ def missing_counts(df: DataFrame) -> DataFrame:
     return counts.unpivot([], df.columns, "column", "missing")
 
 
+def _digest(df: DataFrame):
+    """128 bits of a row.  Equal rows have equal digests (-0.0 counts as 0.0); NULLs are told apart by place."""
+    cols = [F.col(f.name) + F.lit(0).cast(f.dataType) if isinstance(f.dataType, FRACTIONAL) else F.col(f.name)
+            for f in df.schema.fields]
+    nulls = [F.col(c).isNull() for c in df.columns]
+    return F.struct(F.xxhash64(*cols, *nulls).alias("a"), F.xxhash64(F.lit(1), *nulls, *reversed(cols)).alias("b"))
+
+
 def duplicate_counts(df: DataFrame, name: str) -> DataFrame:
     """(table, n_rows, n_distinct, n_duplicates) with exact full-row distinct.
 
-    One grouping on all columns (partial counts before the shuffle) and one
-    global sum: no second scan, no join.
+    Rows are counted by a 128-bit digest first (16 bytes a row are shuffled, not
+    the row).  Rows whose digest occurs once are different from all others; only
+    rows whose digest repeats are compared in full, so the count is exact
+    whatever the digests do.
     """
-    groups = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("__n"))
-    return groups.agg(F.sum("__n").alias("n_rows"), F.count(F.lit(1)).alias("n_distinct")).select(
-        F.lit(name).alias("table"), F.coalesce("n_rows", F.lit(0)).alias("n_rows"), "n_distinct",
-        (F.coalesce("n_rows", F.lit(0)) - F.col("n_distinct")).alias("n_duplicates"))
+    counted = df.groupBy(_digest(df).alias("d")).agg(F.count(F.lit(1)).alias("n"))
+    counted = cut_lineage(counted.select("d.a", "d.b", "n"))
+    repeated = counted.where("n > 1").select(F.struct("a", "b").alias("d")).select("d")
+    full = (df.select(F.struct(*df.columns).alias("r"), _digest(df).alias("d")).join(repeated, "d", "left_semi")
+            .groupBy("r").agg(F.lit(1).alias("one")).agg(F.count(F.lit(1)).alias("k")))
+    sums = counted.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"), F.count_if(F.col("n") == 1).alias("single"))
+    return sums.select("n_rows", "single", F.lit(0).alias("one")).join(full.select("k", F.lit(0).alias("one")), "one").select(
+        F.lit(name).alias("table"), "n_rows", (F.col("single") + F.col("k")).alias("n_distinct"),
+        (F.col("n_rows") - F.col("single") - F.col("k")).alias("n_duplicates"))
 
 
 def drop_null_keys(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -105,23 +123,86 @@ def preview(df: DataFrame, order_by: list[str], n: int = 5) -> DataFrame:
 
 
 def hash_bucket(*cols: str, modulus: int = 1000003):
-    """Portable bucket 0..modulus-1 from integer keys (same text in SQL)."""
+    """Portable bucket 0..modulus-1 from integer keys (same text in SQL for keys from 0 on).
+
+    Keys are reduced before they are weighed, so that negative and very large ids
+    neither leave the range nor overflow.
+    """
     weights = (7919, 104729, 1299709)
     expr = None
     for c, w in zip(cols, weights):
-        term = F.col(c) * w
+        term = F.pmod(F.col(c).cast("long"), F.lit(modulus)) * w
         expr = term if expr is None else expr + term
     return expr % modulus
 
 
+def _unit(seed: int, keys: tuple[str, ...]):
+    """Seeded position of a row's keys: 63 bits, the same on every cluster."""
+    return F.shiftrightunsigned(F.xxhash64(F.lit(seed), *keys), 1)
+
+
+def _below(share: float) -> int:
+    return min(2**63 - 1, round(share * 2**63))
+
+
 def sample_random(df: DataFrame, fraction: float, seed: int = 42) -> DataFrame:
     """Bernoulli sample (Spark's seeded sampler; depends on partitioning)."""
     return df.sample(withReplacement=False, fraction=fraction, seed=seed)
 
 
-def sample_hash(df: DataFrame, fraction: float, keys: tuple[str, ...] = ("user_id", "item_id")) -> DataFrame:
-    """C8 portable: keep rows whose key hash falls below ``fraction`` (per mille)."""
-    return df.where(hash_bucket(*keys) % 1000 < int(round(fraction * 1000)))
+def sample_hash(df: DataFrame, fraction: float, keys: tuple[str, ...] = ("user_id", "item_id"), seed: int = 42,
+                portable: bool = False) -> DataFrame:
+    """C8 reproducible: keep rows whose keys' 64-bit hash falls below ``fraction``, whatever the ids are.
+
+    ``portable=True`` uses ``hash_bucket`` (per mille), which plain SQL can state.
+    """
+    if portable:
+        return df.where(hash_bucket(*keys) % 1000 < int(round(fraction * 1000)))
+    return df.where(_unit(seed, keys) < F.lit(_below(fraction)))
+
+
+def split_hash(df: DataFrame, train_share: float = 0.8, keys: tuple[str, ...] = ("user_id", "item_id"),
+               seed: int = 42) -> DataFrame:
+    """C9 reproducible: a ``split`` label by the keys' 64-bit hash; no shuffle."""
+    return df.withColumn("split", F.when(_unit(seed, keys) < F.lit(_below(train_share)), "train").otherwise("test"))
+
+
+#: Rows of one user that are ranked in one task by ``split_per_user``.
+USER_ROWS = 100_000
+
+
+def split_per_user(df: DataFrame, train_share: float = 0.8, user: str = "user_id", item: str = "item_id",
+                   seed: int = 42, user_rows: int = USER_ROWS) -> DataFrame:
+    """Every user's own split: ``round(train_share * n)`` of a user's n rows are 'train'.
+
+    Rows come in seeded hash order.  A user's hash range is cut into buckets of
+    about ``user_rows`` rows; running counts of the buckets say which are all on
+    one side, and only the bucket in which the user's cut falls is ranked.  So a
+    user with most of the rows is spread like any other rows.  Rows that repeat
+    a (user, item) pair have the same place; ties are broken by the other columns' hash.
+    """
+    names = [unused(df, n) for n in ("place", "bucket", "n_before", "n_goal", "n_rank", "tie", "cut")]
+    place, bucket, before, goal, rank, tie, cut = names
+    rows = df.withColumn(place, _unit(seed, (user, item))).withColumn(tie, F.xxhash64(*df.columns))
+    most = df.groupBy(user).agg(F.count(F.lit(1)).alias(goal)).agg(F.max(goal)).first()[0] or 1
+    bits = max(0, (most // user_rows).bit_length())
+    rows = rows.withColumn(bucket, F.shiftrightunsigned(place, 63 - bits) if bits else F.lit(0).cast("long"))
+    per = rows.groupBy(user, bucket).agg(F.count(F.lit(1)).alias(rank))
+    of_user = Window.partitionBy(user)  # at most 2^bits rows a user
+    earlier = of_user.orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
+    per = (per.withColumn(goal, F.round(F.sum(rank).over(of_user) * F.lit(train_share)).cast("long"))
+           .withColumn(before, F.coalesce(F.sum(rank).over(earlier), F.lit(0).cast("long")))
+           .where((F.col(before) <= F.col(goal)) & (F.col(goal) < F.col(before) + F.col(rank)))
+           .select(F.col(user).alias(cut), F.col(bucket).alias(rank), F.col(goal) - F.col(before)))
+    per = per.toDF(cut, rank, goal)
+    # A user without a cut bucket has all rows on the train side (a share of 1, or one row).
+    rows = rows.join(per, rows[user].eqNullSafe(per[cut]), "left")
+    side = F.when(F.col(rank).isNull() | (F.col(bucket) < F.col(rank)), "train").otherwise("test")
+    clear = rows.where(F.col(rank).isNull() | (F.col(bucket) != F.col(rank))).withColumn("split", side)
+    nth = F.row_number().over(Window.partitionBy(user).orderBy(place, tie))
+    at_cut = rows.where(F.col(bucket) == F.col(rank)).withColumn(
+        "split", F.when(nth <= F.col(goal), "train").otherwise("test"))
+    return clear.unionByName(at_cut).select(*df.columns, "split")
 
 
 def split_random(df: DataFrame, weights=(0.8, 0.2), seed: int = 42) -> DataFrame:

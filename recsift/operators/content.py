@@ -26,6 +26,7 @@ from pyspark.sql import types as T
 
 from recsift.functions.text import concat_blank, english_stop_words, join_words, tokens
 from recsift.operators.lookup import tag_lookup
+from recsift.operators.numbering import running_total
 from recsift.session import cut_lineage
 
 # Fixed values from the reference: vocabulary caps of 5000 (full document) and
@@ -61,6 +62,63 @@ def item_document(items: DataFrame, tags: DataFrame | None = None, tag_scores: D
     return doc.select("item_id", text.alias("document"))
 
 
+#: Characters of a document (its parts and the blanks between them) that begin in one chunk.
+CHUNK_CHARS = 1 << 16
+
+
+def document_parts(items: DataFrame, tags: DataFrame | None = None, tag_scores: DataFrame | None = None,
+                   tag_names: DataFrame | None = None) -> DataFrame:
+    """(item_id, section, part, n): the parts of ``item_document`` with how often each stands there in a row.
+
+    Sections: 0 title, 1 genres, 2 tags, 3 genome tags; parts of a section are
+    in the order of their text.  A section without tags is one empty part.
+    """
+    one = F.lit(1).cast("long")
+    ids = items.select("item_id")
+    base = items.select("item_id", F.explode(F.filter(F.array(
+        F.struct(F.lit(0).alias("section"), F.col("title").alias("part")),
+        F.struct(F.lit(1).alias("section"), join_words(F.col("genres")).alias("part"))),
+        lambda x: x["part"].isNotNull())).alias("p")).select("item_id", "p.section", "p.part", one.alias("n"))
+    named = tag_lookup(tag_scores, tag_names) if tag_scores is not None and tag_names is not None else None
+    for section, rows in ((2, tags), (3, named)):
+        empty = F.lit("").alias("part")
+        if rows is None:
+            base = base.unionByName(ids.select("item_id", F.lit(section).alias("section"), empty, one.alias("n")))
+            continue
+        counted = (rows.where(F.col("tag").isNotNull()).groupBy("item_id", F.col("tag").alias("part"))
+                   .agg(F.count(F.lit(1)).alias("n")))
+        # Items without such tags have one empty part; tags of unknown items have no document.
+        found = ids.join(counted, "item_id", "left").select(
+            "item_id", F.lit(section).alias("section"), F.coalesce("part", F.lit("")).alias("part"),
+            F.coalesce("n", one).alias("n"))
+        base = base.unionByName(found)
+    return base
+
+
+def item_document_chunks(items: DataFrame, tags: DataFrame | None = None, tag_scores: DataFrame | None = None,
+                         tag_names: DataFrame | None = None, chunk_chars: int = CHUNK_CHARS) -> DataFrame:
+    """T1 in bounded pieces: (item_id, chunk, text); an item's chunks joined by blanks are its document.
+
+    A part belongs to the chunk in which it begins, counting characters of the
+    document.  Neither an item with very many tags nor a tag that was given very
+    often is ever one array or string: a run of equal tags is cut by arithmetic,
+    and the running length spans partitions.  A chunk without a beginning is left out.
+    """
+    parts = document_parts(items, tags, tag_scores, tag_names).withColumn("step", F.length("part") + F.lit(1))
+    placed = running_total(parts.withColumn("chars", F.col("n") * F.col("step")), ["item_id"], ["section", "part"],
+                           "chars", "start")
+    c, chunk = F.lit(chunk_chars), F.col("chunk")
+    last = F.floor((F.col("start") + (F.col("n") - 1) * F.col("step")) / c)
+    runs = placed.withColumn("chunk", F.explode(F.sequence(F.floor(F.col("start") / c), last)))
+    first = F.greatest(F.lit(0), F.ceil((chunk * c - F.col("start")) / F.col("step")))
+    end = F.least(F.col("n") - 1, F.floor(((chunk + 1) * c - 1 - F.col("start")) / F.col("step")))
+    runs = runs.withColumn("copies", (end - first + 1).cast("int")).where("copies > 0")
+    piece = F.array_join(F.array_repeat("part", F.col("copies")), " ")
+    texts = runs.select("item_id", "chunk", F.struct("section", "part", piece.alias("piece")).alias("p"))
+    return texts.groupBy("item_id", "chunk").agg(F.sort_array(F.collect_list("p")).alias("ps")).select(
+        "item_id", "chunk", F.array_join(F.col("ps.piece"), " ").alias("text"))
+
+
 def item_document_simple(items: DataFrame, limit: int | None = None) -> DataFrame:
     """``title genres`` per item; ``limit`` (first items by id) is optional."""
     src = items.orderBy("item_id").limit(limit) if limit is not None else items

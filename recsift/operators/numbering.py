@@ -52,3 +52,23 @@ def dense_ids(ids: DataFrame, column: str, name: str) -> DataFrame:
     if n > MAX_DENSE:
         raise ValueError(f"{n} different values of {column}: more than INT ids can number")
     return out.withColumn(name, F.col(name).cast("int"))
+
+
+def running_total(df: DataFrame, keys: list[str], order: list[str], value: str, name: str) -> DataFrame:
+    """``df`` with ``name``: the sum of ``value`` over the rows of the same keys that come before in ``order``.
+
+    Rows are range-partitioned by keys and order, so a key that holds most rows
+    spans many partitions.  Sums run inside each partition, and each (key,
+    partition) gets the key's sum over the partitions before it: one row each.
+    """
+    at, part, base = unused(df, "at"), unused(df, "part"), unused(df, "base")
+    by = [*keys, *order]
+    placed = cut_lineage(df.repartitionByRange(*by).sortWithinPartitions(*by).withColumn(at, F.monotonically_increasing_id())
+                         .withColumn(part, F.shiftright(at, ROW_BITS)))
+    zero = F.lit(0).cast("long")
+    inside = Window.partitionBy(part, *keys).orderBy(at).rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy(*keys).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    sums = placed.groupBy(*keys, part).agg(F.sum(value).alias(base))
+    offsets = sums.withColumn(base, F.coalesce(F.sum(base).over(earlier), zero))
+    return (placed.withColumn(name, F.coalesce(F.sum(value).over(inside), zero)).join(offsets, [*keys, part])
+            .withColumn(name, (F.col(name) + F.col(base)).cast("long")).select(*df.columns, name))

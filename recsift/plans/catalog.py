@@ -251,7 +251,7 @@ def _sample_random(t: Tables) -> DataFrame:
 @query("sample_hash", with_tables(
     f"SELECT user_id, item_id, rating, ts FROM interactions WHERE {_HASH} % 1000 < 200", "interactions"))
 def _sample_hash(t: Tables) -> DataFrame:
-    return clean.sample_hash(t.interactions(), 0.2)
+    return clean.sample_hash(t.interactions(), 0.2, portable=True)
 
 
 @query("split_random")
@@ -264,6 +264,15 @@ def _split_hash(t: Tables) -> DataFrame:
     return t.split().select("user_id", "item_id", "rating", "split")
 
 
+@query("split_per_user", with_tables("""
+    SELECT user_id, count(*) AS n_rows, CAST(round(0.8 * count(*)) AS BIGINT) AS n_train FROM interactions
+    GROUP BY user_id""", "interactions"), reuse=True)
+def _split_per_user(t: Tables) -> DataFrame:
+    """Rows and train rows of every user's own 80/20 split."""
+    return clean.split_per_user(t.interactions()).groupBy("user_id").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("split") == "train").alias("n_train"))
+
+
 @query("split_report", with_tables("""
     SELECT split, count(*) AS n_rows, round(100.0 * count(*) / (SELECT count(*) FROM split), 6) AS pct
     FROM split GROUP BY split""", "split"))
@@ -405,6 +414,28 @@ def _item_document(t: Tables) -> DataFrame:
     return content.item_document(t.items(), t.tags(), t.tag_scores(), t.tag_names())
 
 
+# Small chunks, so that documents have several.
+DOC_CHUNK = 64
+
+
+@query("item_document_chunks", with_tables(f"""
+    SELECT item_id, CAST(begins // {DOC_CHUNK} AS BIGINT) AS chunk, string_agg(part, ' ' ORDER BY section, part) AS text FROM (
+        SELECT item_id, section, part, coalesce(sum(length(part) + 1) OVER (
+                   PARTITION BY item_id ORDER BY section, part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS begins
+        FROM (SELECT item_id, 0 AS section, title AS part FROM items WHERE title IS NOT NULL
+              UNION ALL SELECT item_id, 1, array_to_string(genres, ' ') FROM items
+              UNION ALL SELECT i.item_id, 2, coalesce(t.tag, '') FROM items i
+                        LEFT JOIN (SELECT * FROM tags WHERE tag IS NOT NULL) t ON i.item_id = t.item_id
+              UNION ALL SELECT i.item_id, 3, coalesce(g.tag, '') FROM items i
+                        LEFT JOIN (SELECT s.item_id, coalesce(n.tag, '') AS tag FROM tag_scores s
+                                   LEFT JOIN tag_names n ON s.tag_id = n.tag_id WHERE s.relevance > 0.5) g
+                        ON i.item_id = g.item_id))
+    GROUP BY item_id, begins // {DOC_CHUNK}""", "items", "tags", "tag_scores", "tag_names"))
+def _item_document_chunks(t: Tables) -> DataFrame:
+    """A9, J3, J4, T1 in bounded pieces."""
+    return content.item_document_chunks(t.items(), t.tags(), t.tag_scores(), t.tag_names(), chunk_chars=DOC_CHUNK)
+
+
 @query("item_document_simple", with_tables("SELECT item_id, document FROM doc_simple", "doc_simple"))
 def _item_document_simple(t: Tables) -> DataFrame:
     return content.item_document_simple(t.items())

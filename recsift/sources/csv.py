@@ -13,9 +13,11 @@ that ``collect()`` drops; the readers turn pruning off for their own reads
 from __future__ import annotations
 
 import os
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from recsift import schema as S
 from recsift.functions.text import split_genres, year_from_title
@@ -47,50 +49,97 @@ def _timestamp(c) -> F.Column:
     return F.coalesce(epoch, F.try_to_timestamp(c))
 
 
-def read_ratings(spark: SparkSession, path: str, on_missing: str = "raise") -> DataFrame:
-    empty = _missing(spark, path, S.INTERACTIONS, on_missing)
+def _canonical(kind: str) -> list:
+    """The canonical columns of a file's own columns."""
+    user, item = F.col("userId").alias(S.USER), F.col("movieId").alias(S.ITEM)
+    ts = _timestamp(F.col("timestamp")).alias(S.TS)
+    return {
+        "ratings": [user, item, F.col("rating").cast("double").alias(S.RATING), ts],
+        "movies": [item, F.col("title").alias(S.TITLE), split_genres(F.col("genres")).alias(S.GENRES),
+                   year_from_title(F.col("title")).alias(S.YEAR)],
+        "tags": [user, item, F.col("tag").alias(S.TAG), ts],
+        "genome_scores": [item, F.col("tagId").alias(S.TAG_ID), F.col("relevance").alias(S.RELEVANCE)],
+        "genome_tags": [F.col("tagId").alias(S.TAG_ID), F.col("tag").alias(S.TAG)],
+    }[kind]
+
+
+def _read(spark: SparkSession, kind: str, path: str, empty_schema, mode: str, on_missing: str) -> DataFrame:
+    empty = _missing(spark, path, empty_schema, on_missing)
     if empty is not None:
         return empty
-    df = _reader(spark, S.RATINGS_CSV, "DROPMALFORMED").csv(path)
-    return df.select(F.col("userId").alias(S.USER), F.col("movieId").alias(S.ITEM),
-                     F.col("rating").cast("double").alias(S.RATING),
-                     _timestamp(F.col("timestamp")).alias(S.TS))
+    return _reader(spark, _LAYOUTS[kind][0], mode).csv(path).select(*_canonical(kind))
+
+
+def read_ratings(spark: SparkSession, path: str, on_missing: str = "raise") -> DataFrame:
+    return _read(spark, "ratings", path, S.INTERACTIONS, "DROPMALFORMED", on_missing)
 
 
 def read_movies(spark: SparkSession, path: str, on_missing: str = "raise") -> DataFrame:
-    empty = _missing(spark, path, S.ITEMS, on_missing)
-    if empty is not None:
-        return empty
-    df = _reader(spark, S.MOVIES_CSV, "DROPMALFORMED").csv(path)
-    return df.select(F.col("movieId").alias(S.ITEM), F.col("title").alias(S.TITLE),
-                     split_genres(F.col("genres")).alias(S.GENRES),
-                     year_from_title(F.col("title")).alias(S.YEAR))
+    return _read(spark, "movies", path, S.ITEMS, "DROPMALFORMED", on_missing)
 
 
 def read_tags(spark: SparkSession, path: str, on_missing: str = "raise") -> DataFrame:
-    empty = _missing(spark, path, S.TAGS, on_missing)
-    if empty is not None:
-        return empty
-    df = _reader(spark, S.TAGS_CSV, "PERMISSIVE").csv(path)
-    return df.select(F.col("userId").alias(S.USER), F.col("movieId").alias(S.ITEM),
-                     F.col("tag").alias(S.TAG), _timestamp(F.col("timestamp")).alias(S.TS))
+    return _read(spark, "tags", path, S.TAGS, "PERMISSIVE", on_missing)
 
 
 def read_genome_scores(spark: SparkSession, path: str, on_missing: str = "raise") -> DataFrame:
-    empty = _missing(spark, path, S.TAG_SCORES, on_missing)
-    if empty is not None:
-        return empty
-    df = _reader(spark, S.GENOME_SCORES_CSV, "PERMISSIVE").csv(path)
-    return df.select(F.col("movieId").alias(S.ITEM), F.col("tagId").alias(S.TAG_ID),
-                     F.col("relevance").alias(S.RELEVANCE))
+    return _read(spark, "genome_scores", path, S.TAG_SCORES, "PERMISSIVE", on_missing)
 
 
 def read_genome_tags(spark: SparkSession, path: str, on_missing: str = "raise") -> DataFrame:
-    empty = _missing(spark, path, S.TAG_NAMES, on_missing)
-    if empty is not None:
-        return empty
-    df = _reader(spark, S.GENOME_TAGS_CSV, "PERMISSIVE").csv(path)
-    return df.select(F.col("tagId").alias(S.TAG_ID), F.col("tag").alias(S.TAG))
+    return _read(spark, "genome_tags", path, S.TAG_NAMES, "PERMISSIVE", on_missing)
+
+
+@dataclass(frozen=True)
+class Ingested:
+    """``kept``: canonical rows; ``quarantine``: (record, reason) of the lines that were not kept;
+    ``counts``: (reason, n_rows), with "ok" for the kept ones."""
+
+    kept: DataFrame
+    quarantine: DataFrame
+    counts: DataFrame
+
+
+def ingest(spark: SparkSession, kind: str, path: str, out: str) -> Ingested:
+    """S1-S5 without losing a line: every data line of the file is kept or quarantined with a reason.
+
+    One scan of the file writes both sides as one Parquet table under ``out``,
+    partitioned by reason, so that reading one side doesn't touch the other.
+    Reasons: ``malformed`` (wrong number of fields, or a field of another type),
+    ``no id``, and what the kind's own check finds.  A malformed record is the
+    line as it stands in the file, another one its fields as JSON.  Empty lines
+    are no records.  An existing table under ``out`` is replaced.
+    """
+    layout, keys, checks = _LAYOUTS[kind]
+    marked = T.StructType([*layout.fields, T.StructField(CORRUPT, T.StringType())])
+    df = (_reader(spark, marked, "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).csv(path))
+    reason = F.when(F.col(CORRUPT).isNotNull(), "malformed")
+    for key in keys:
+        reason = reason.when(F.col(key).isNull(), "no id")
+    for name, check in checks().items():
+        reason = reason.when(check, name)
+    reason = reason.otherwise(KEPT)
+    fields = F.to_json(F.struct(*[f.name for f in layout.fields]))
+    rows = df.withColumn("reason", reason).select(
+        *_canonical(kind), F.when(F.col("reason") != KEPT, F.coalesce(F.col(CORRUPT), fields)).alias("record"), "reason")
+    rows.write.mode("overwrite").partitionBy("reason").parquet(out)
+    back = spark.read.schema(rows.schema).parquet(out)
+    kept = back.where(F.col("reason") == KEPT).drop("record", "reason")
+    return Ingested(kept, back.where(F.col("reason") != KEPT).select("record", "reason"),
+                    back.groupBy("reason").agg(F.count(F.lit(1)).alias("n_rows")))
+
+
+CORRUPT, KEPT = "_corrupt_record", "ok"
+# kind -> (layout of the file, ids that a row must have, further checks)
+_LAYOUTS = {
+    "ratings": (S.RATINGS_CSV, ("userId", "movieId"), lambda: {
+        "no rating": F.col("rating").isNull() | F.isnan("rating"),
+        "bad timestamp": F.col("timestamp").isNotNull() & _timestamp(F.col("timestamp")).isNull()}),
+    "movies": (S.MOVIES_CSV, ("movieId",), lambda: {"no title": F.col("title").isNull()}),
+    "tags": (S.TAGS_CSV, ("userId", "movieId"), lambda: {"no tag": F.col("tag").isNull()}),
+    "genome_scores": (S.GENOME_SCORES_CSV, ("movieId", "tagId"), lambda: {"no relevance": F.col("relevance").isNull()}),
+    "genome_tags": (S.GENOME_TAGS_CSV, ("tagId",), lambda: {"no tag": F.col("tag").isNull()}),
+}
 
 
 def read_folder(spark: SparkSession, folder: str, on_missing: str = "raise") -> dict[str, DataFrame]:

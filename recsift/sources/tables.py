@@ -68,13 +68,15 @@ def tag_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def split_hash(inter: DataFrame, train_share: int = 8) -> DataFrame:
     """Portable 80/20 split by a fixed hash of (user, item); no shuffle."""
-    h = ((F.col("user_id") * 7919 + F.col("item_id") * 104729) % 1000003) % 10
+    from recsift.operators.clean import hash_bucket
+
+    h = hash_bucket("user_id", "item_id") % 10
     return inter.withColumn("split", F.when(h < train_share, "train").otherwise("test"))
 
 
 def interactions_gappy(inter: DataFrame) -> DataFrame:
     """About a tenth of the ratings set to NULL (profiling / imputation input)."""
-    gap = (F.col("user_id") + F.col("item_id")) % 10 == 0
+    gap = (F.pmod(F.col("user_id"), F.lit(10)) + F.pmod(F.col("item_id"), F.lit(10))) % 10 == 0
     return inter.select("user_id", "item_id",
                         F.when(~gap, F.col("rating")).alias("rating"), "ts")
 

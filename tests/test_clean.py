@@ -77,3 +77,53 @@ def test_feature_vector_keeps_nan(spark):
     df = spark.createDataFrame([(1, 2.0, None)], "a int, b double, c double")
     out = clean.vector_columns(clean.feature_vector(df), "features", ["fa", "fb", "fc"]).first()
     assert out.fa == 1.0 and out.fb == 2.0 and math.isnan(out.fc)
+
+
+def test_hashes_of_negative_and_large_ids(spark):
+    from pyspark.sql import functions as F
+
+    ids = [-i for i in range(1, 1001)] + [2**60 + i for i in range(500)] + [-(2**62) + i for i in range(500)]
+    df = spark.createDataFrame([(u, u % 17 - 8) for u in ids], "user_id long, item_id long")
+    for sample in (clean.sample_hash(df, 0.2), clean.sample_hash(df, 0.2, portable=True)):
+        assert abs(sample.count() / len(ids) - 0.2) < 0.03
+    assert abs(clean.sample_hash(df.where("user_id < 0"), 0.2).count() / 1500 - 0.2) < 0.02
+    shares = clean.split_hash(df).groupBy("split").count().collect()
+    assert {r.split for r in shares} == {"train", "test"}
+    assert abs(next(r["count"] for r in shares if r.split == "train") / len(ids) - 0.8) < 0.02
+    assert clean.sample_hash(df, 1.0).count() == len(ids) and clean.sample_hash(df, 0.0).count() == 0
+    buckets = df.select(clean.hash_bucket("user_id", "item_id").alias("b")).agg(F.min("b"), F.max("b")).first()
+    assert 0 <= buckets[0] and buckets[1] < 1000003
+
+
+def test_split_per_user_is_exact_for_every_user(spark):
+    rows = [(1, i, float(i % 5)) for i in range(3000)] + [(u, i, 1.0) for u in range(2, 40) for i in range(u % 9 + 1)]
+    rows += [(None, 1, 2.0), (None, 2, 2.0), (-7, 3, 1.0), (-7, 3, 1.0), (-7, 3, 1.0)]  # repeated pairs, NULL user
+    df = spark.createDataFrame(rows, "user_id long, item_id long, place double")
+    for user_rows in (16, 100_000):
+        out = clean.split_per_user(df, 0.8, user_rows=user_rows)
+        assert out.columns == ["user_id", "item_id", "place", "split"]
+        n = {}
+        for r in out.collect():
+            k = n.setdefault(r.user_id, [0, 0])
+            k[0] += 1
+            k[1] += r.split == "train"
+        assert sum(a for a, _ in n.values()) == len(rows)
+        assert all(b == int(0.8 * a + 0.5) for a, b in n.values()), n
+    sides = [{tuple(r) for r in clean.split_per_user(df.repartition(p)).where("user_id = 1").collect()} for p in (2, 7)]
+    assert sides[0] == sides[1]
+    assert clean.split_per_user(df.limit(0)).count() == 0
+
+
+def test_duplicates_by_digest_are_exact(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    rows = [(None, "a", 0.0), ("a", None, 0.0), ("a", None, -0.0), ("a", None, float("nan")), ("a", None, float("nan")),
+            *[("x", "y", 1.0)] * 50, *[(str(i), "z", float(i)) for i in range(100)]]
+    df = spark.createDataFrame(rows, "p string, q string, v double")
+    r = clean.duplicate_counts(df, "t").first()
+    assert (r.n_rows, r.n_distinct, r.n_duplicates) == (155, df.distinct().count(), 155 - df.distinct().count())
+    # Digests that collide change nothing.
+    monkeypatch.setattr(clean, "_digest", lambda d: F.struct(F.lit(1).cast("long").alias("a"), F.length("q").cast("long").alias("b")))
+    assert tuple(clean.duplicate_counts(df, "t").first()) == tuple(r)
+    empty = clean.duplicate_counts(df.limit(0), "t").first()
+    assert (empty.n_rows, empty.n_distinct, empty.n_duplicates) == (0, 0, 0)

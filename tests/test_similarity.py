@@ -104,3 +104,51 @@ def test_pad_with_zero_like_a_full_catalogue_ranking(spark):
     assert lists[1][0] == 2 and 1 not in lists[1]
     zeros = [r for r in padded.collect() if r.similarity == 0.0]
     assert all(r.seed_id != r.item_id for r in zeros)
+
+
+def test_document_chunks_make_the_document(spark):
+    from pyspark.sql import functions as F
+
+    items = spark.createDataFrame([(1, "red ring", ["toy", "x"]), (2, None, []), (3, "", None), (4, "long title " * 30, ["g"])],
+                                  "item_id long, title string, genres array<string>")
+    tags = [(1, "fun")] * 1000 + [(1, "a b")] * 3 + [(2, "é")] * 7 + [(9, "unknown item")] + [(1, None), (1, "")]
+    tags += [(1, f"tag{i:05d}") for i in range(300)]
+    tags = spark.createDataFrame(tags, "item_id long, tag string")
+    scores = spark.createDataFrame([(1, 5, 0.9), (1, 6, 0.8), (4, 7, 0.6), (4, 5, 0.1)], "item_id long, tag_id long, relevance double")
+    names = spark.createDataFrame([(5, "space"), (6, "alien")], "tag_id long, tag string")
+    for args in ((tags, scores, names), (None, None, None)):
+        want = {r.item_id: r.document for r in content.item_document(items, *args).collect()}
+        for size in (7, 50, 1 << 16):
+            chunks = content.item_document_chunks(items, *args, chunk_chars=size)
+            rows = sorted((r.item_id, r.chunk, r.text) for r in chunks.collect())
+            got = {}
+            for i, _, text in rows:
+                got[i] = text if i not in got else got[i] + " " + text
+            assert got == want
+            # A chunk holds what begins in it: at most its size and the rest of one part.
+            longest = 400
+            assert all(len(t) <= size + longest for _, _, t in rows)
+
+
+def test_tiles_that_cannot_count_are_skipped(spark, monkeypatch):
+    rng = np.random.default_rng(1)
+    sizes, tile = 2000, 100
+    groups = np.repeat(np.arange(20), sizes // 20)  # items of a group share terms, groups share one weak term
+    terms = [np.r_[g * 10 + rng.choice(10, 3, replace=False), 999] for g in groups]
+    weights = [np.r_[rng.random(3) + 0.5, 0.01] for _ in groups]
+    weights = [w / np.sqrt((w * w).sum()) for w in weights]
+    import pandas as pd
+
+    pdf = pd.DataFrame({"item_id": np.arange(sizes), "terms": terms, "weights": weights, "pos": np.arange(sizes), "blk": 0, "lo": 0, "hi": 0})
+    done = []
+    dot = similarity._dot
+    monkeypatch.setattr(similarity, "_dot", lambda a, b: done.append(1) or dot(a, b))
+    got = similarity._block_pair_kernel(5, tile)(pdf)
+    assert len(done) < 0.4 * 20 * 21 / 2
+    M = np.zeros((sizes, 1000))
+    for i, (t, w) in enumerate(zip(terms, weights)):
+        M[i, t] = w
+    S = np.round(M @ M.T, 9)
+    np.fill_diagonal(S, 0)
+    want = {(i, j) for i in range(sizes) for j in sorted(range(sizes), key=lambda j: (-S[i, j], j))[:5]}
+    assert set(zip(got["seed_id"], got["item_id"])) == want

@@ -68,3 +68,41 @@ def test_tags_permissive_keeps_short_rows(spark, tmp_path):
     p.write_text("userId,movieId,tag,timestamp\n1,10,funny,1\n2,11\n")
     rows = C.read_tags(spark, str(p)).orderBy("user_id").collect()
     assert len(rows) == 2 and rows[1].tag is None and rows[1].item_id == 11
+
+
+@pytest.mark.parametrize("parts", [1, 3])
+def test_ingest_keeps_or_quarantines_every_line(spark, tmp_path, parts):
+    good = [f"{i},{i % 7},{i % 5 + 0.5},2015-03-01 10:00:0{i % 10}" for i in range(200)]
+    bad = {"1,2": "malformed", "a,1,2.0,1": "malformed", "1,2,3.0,4,5": "malformed", ",3,4.0,1": "no id", "4,,4.0,1": "no id",
+           "5,6,,1": "no rating", "5,6,NaN,1": "no rating", "7,8,4.0,yesterday": "bad timestamp", "9,9,x,1": "malformed"}
+    lines = [x for pair in zip(good, [*bad, *[None] * len(good)]) for x in pair if x is not None]
+    folder = tmp_path / "in"
+    folder.mkdir()
+    for p in range(parts):
+        (folder / f"rating{p}.csv").write_text("userId,movieId,rating,timestamp\n" + "\n".join(lines[p::parts]) + "\n\n")
+    got = C.ingest(spark, "ratings", str(folder), str(tmp_path / "out"))
+    counts = {r.reason: r.n_rows for r in got.counts.collect()}
+    want = {"ok": len(good)}
+    for reason in bad.values():
+        want[reason] = want.get(reason, 0) + 1
+    assert counts == want and sum(counts.values()) == len(lines)
+    assert got.kept.columns == ["user_id", "item_id", "rating", "ts"] and got.kept.where("ts IS NULL").count() == 0
+    assert sorted((r.user_id, r.item_id) for r in got.kept.collect()) == sorted((i, i % 7) for i in range(200))
+    records = {r.record: r.reason for r in got.quarantine.collect()}
+    assert all(records[line] == "malformed" for line, reason in bad.items() if reason == "malformed")
+    assert any('"yesterday"' in r for r, reason in records.items() if reason == "bad timestamp")
+    again = C.ingest(spark, "ratings", str(folder), str(tmp_path / "out"))  # replaces, doesn't add
+    assert again.kept.count() == len(good)
+
+
+def test_ingest_of_the_other_files(spark, tmp_path):
+    files = {
+        "movies": ('movieId,title,genres\n1,"Heat, The (1995)",Action\n2,,X\nx,T,G\n', {"ok": 1, "no title": 1, "malformed": 1}),
+        "tags": ("userId,movieId,tag,timestamp\n1,1,fun,1\n1,2,,1\n2,11\n", {"ok": 1, "no tag": 1, "malformed": 1}),
+        "genome_scores": ("movieId,tagId,relevance\n1,7,0.9\n1,8,\n,8,0.5\n", {"ok": 1, "no relevance": 1, "no id": 1}),
+        "genome_tags": ("tagId,tag\n7,space\n8,\n", {"ok": 1, "no tag": 1}),
+    }
+    for kind, (text, want) in files.items():
+        (tmp_path / f"{kind}.csv").write_text(text)
+        got = C.ingest(spark, kind, str(tmp_path / f"{kind}.csv"), str(tmp_path / f"{kind}-out"))
+        assert {r.reason: r.n_rows for r in got.counts.collect()} == want, kind
