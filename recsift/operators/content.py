@@ -26,13 +26,15 @@ from pyspark.sql import types as T
 
 from recsift.functions.text import concat_blank, english_stop_words, join_words, tokens
 from recsift.operators.lookup import tag_lookup
-from recsift.operators.numbering import running_total
+from recsift.operators.numbering import numbered, running_total, unused
 from recsift.session import cut_lineage
 
 # Fixed values from the reference: vocabulary caps of 5000 (full document) and
 # 1000 (simple document).
 MAX_FEATURES = 5000
 MAX_FEATURES_SIMPLE = 1000
+#: Vocabularies up to this many terms are held as a local relation; larger ones stay a table.
+LOCAL_VOCABULARY = 50_000
 UNSET = "unset"
 
 
@@ -185,8 +187,11 @@ def vocabulary(terms: DataFrame, n_docs: int, max_features: int | None = MAX_FEA
     rows, which is the size bound that lets it be broadcast.
     """
     v = terms.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("tf_total"))
-    if max_features is not None:
+    if max_features is not None and max_features <= LOCAL_VOCABULARY:
         v = v.orderBy(F.desc("tf_total"), "term").limit(max_features)
+    elif max_features is not None:  # a limit would gather the terms in one task
+        place = unused(v, "place")
+        v = numbered(v, F.desc("tf_total"), F.asc("term"), name=place).where(F.col(place) < max_features).drop(place)
     idf = F.log((F.lit(1.0) + F.lit(float(n_docs))) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)
     return v.select("term", "df", "tf_total", idf.alias("idf"))
 
@@ -233,7 +238,9 @@ class ContentModel:
         terms = cut_lineage(terms)
         n_items = count_docs(items)
         vocab = vocabulary(terms, n_items, max_features)
-        if max_features is not None:
+        if max_features is not None and max_features > LOCAL_VOCABULARY:
+            vocab = cut_lineage(numbered(vocab, "term", name="term_idx").withColumn("term_idx", F.col("term_idx").cast("int")))
+        elif max_features is not None:
             # Like CountVectorizer.fit: the capped vocabulary (at most
             # max_features rows) is fitted once and held as a local relation,
             # so the term pipeline is not recomputed inside the broadcast.  Each

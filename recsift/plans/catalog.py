@@ -342,6 +342,17 @@ def _search_titles(t: Tables) -> DataFrame:
     return s.select("item_id", "title", F.array_join("genres", "|").alias("genres"))
 
 
+@query("search_titles_indexed", with_tables(f"""
+    SELECT item_id, title, array_to_string(genres, '|') AS genres FROM items
+    WHERE title IS NOT NULL AND contains(lower(title), '{SEARCH_TEXT}')""", "items"))
+def _search_titles_indexed(t: Tables) -> DataFrame:
+    """F8/U3 through the trigram table: every hit, not only the first ten."""
+    from recsift.operators.search import TitleIndex
+
+    s = TitleIndex.build(t.items()).search(SEARCH_TEXT, limit=None)
+    return s.select("item_id", "title", F.array_join("genres", "|").alias("genres"))
+
+
 @query("search_titles_regex", with_tables(f"""
     SELECT item_id, title FROM items
     WHERE title IS NOT NULL AND regexp_matches(lower(title), '{SEARCH_REGEX}') ORDER BY item_id""", "items"))

@@ -13,6 +13,9 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
@@ -68,6 +71,38 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
     return None
 
 
+_RUN: ContextVar[tuple[str, list[str]] | None] = ContextVar("recsift_run", default=None)
+
+
+def current_run() -> str | None:
+    """The folder of the run that is open, None outside a ``run_folder``."""
+    run = _RUN.get()
+    return run[0] if run else None
+
+
+@contextmanager
+def run_folder(spark: SparkSession) -> Iterator[str]:
+    """A folder of its own, in the shared checkpoint folder, for all intermediate tables written inside.
+
+    It is deleted at the end, also after a failure, so write or collect results
+    before that: frames that were returned lazily read from it.  Runs may be nested.
+    """
+    folder = ensure_checkpoint_dir(spark)
+    if folder is None:
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    path = f"{folder.rstrip('/')}/recsift-run-{uuid.uuid4().hex}"
+    tables: list[str] = []
+    token = _RUN.set((path, tables))
+    try:
+        yield path
+    finally:
+        _RUN.reset(token)
+        for name in tables:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def cut_lineage(df):
     """Write ``df`` as Parquet into the shared checkpoint folder and read it back.
 
@@ -76,14 +111,40 @@ def cut_lineage(df):
     the frame for every reader.
     """
     spark = df.sparkSession
-    folder = ensure_checkpoint_dir(spark)
-    if folder is None:
-        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    path = f"{folder}/recsift-{uuid.uuid4().hex}"
+    path = new_path(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def new_path(spark: SparkSession) -> str:
+    """A path for an intermediate table: in the open run's folder, else in the shared one."""
+    folder = current_run() or ensure_checkpoint_dir(spark)
+    if folder is None:
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return f"{folder}/recsift-{uuid.uuid4().hex}"
+
+
+def cut_bucketed(df, keys: list[str], buckets: int | None = None):
+    """Like ``cut_lineage``, as a table bucketed and sorted by ``keys``.
+
+    A join or grouping on exactly these keys needs no exchange on this side.
+    Choose keys of which none holds many rows (such as user and item together):
+    a bucket is one task.  ``buckets``: the session's shuffle partitions unless given.
+    """
+    spark = df.sparkSession
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = new_path(spark)
+    name = "recsift_" + uuid.uuid4().hex
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+    by = ", ".join(f"`{k}`" for k in keys)
+    spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY ({by}) SORTED BY ({by}) INTO {n} BUCKETS "
+              f"LOCATION '{path}'")
+    if _RUN.get():
+        _RUN.get()[1].append(name)
+    df.repartition(n, *keys).sortWithinPartitions(*keys).write.insertInto(name)
+    return spark.table(name)
+
+
 def spread(df):
     """Round-robin a scan over the cores when it arrives in fewer partitions
     than there are cores (e.g. one large row group) and the next step is

@@ -87,7 +87,10 @@ class Tables:
     With ``reuse=True`` the interactions table, which multi-step jobs read
     several times with different projections (so Spark cannot share the
     exchanges), is written once to the shared checkpoint folder and read back
-    by every later use in the job.
+    by every later use in the job.  It is bucketed and sorted by (user, item), so
+    that anti joins with seen pairs and joins of predictions with ratings need no
+    exchange of the ratings; no pair holds many rows, so buckets are even however
+    heavy a user is.
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str, reuse: bool = False):
@@ -98,9 +101,9 @@ class Tables:
         if not self.reuse:
             return interactions(self.spark, self.sf_dir)
         if self._interactions is None:
-            from recsift.session import cut_lineage
+            from recsift.session import cut_bucketed
 
-            self._interactions = cut_lineage(interactions(self.spark, self.sf_dir))
+            self._interactions = cut_bucketed(interactions(self.spark, self.sf_dir), ["user_id", "item_id"])
         return self._interactions
 
     def items(self) -> DataFrame:
