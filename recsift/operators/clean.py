@@ -7,6 +7,10 @@ projection.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+from contextvars import copy_context
+from functools import reduce
+
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
@@ -64,13 +68,26 @@ def duplicate_counts(df: DataFrame, name: str) -> DataFrame:
     """
     counted = df.groupBy(_digest(df).alias("d")).agg(F.count(F.lit(1)).alias("n"))
     counted = cut_lineage(counted.select("d.a", "d.b", "n"))
-    repeated = counted.where("n > 1").select(F.struct("a", "b").alias("d")).select("d")
-    full = (df.select(F.struct(*df.columns).alias("r"), _digest(df).alias("d")).join(repeated, "d", "left_semi")
-            .groupBy("r").agg(F.lit(1).alias("one")).agg(F.count(F.lit(1)).alias("k")))
-    sums = counted.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"), F.count_if(F.col("n") == 1).alias("single"))
-    return sums.select("n_rows", "single", F.lit(0).alias("one")).join(full.select("k", F.lit(0).alias("one")), "one").select(
-        F.lit(name).alias("table"), "n_rows", (F.col("single") + F.col("k")).alias("n_distinct"),
-        (F.col("n_rows") - F.col("single") - F.col("k")).alias("n_duplicates"))
+    # Three numbers per table.
+    n_rows, single, repeats = counted.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count_if(F.col("n") == 1),
+                                          F.count_if(F.col("n") > 1)).first()
+    distinct = F.lit(single)
+    one = df.sparkSession.range(1)
+    if repeats:
+        repeated = counted.where("n > 1").select(F.struct("a", "b").alias("d"))
+        one = (df.select(F.struct(*df.columns).alias("r"), _digest(df).alias("d")).join(repeated, "d", "left_semi")
+               .groupBy("r").agg(F.lit(1).alias("one")).agg(F.count(F.lit(1)).alias("k")))
+        distinct = distinct + F.col("k")
+    return one.select(F.lit(name).alias("table"), F.lit(n_rows).alias("n_rows"), distinct.alias("n_distinct"),
+                      (F.lit(n_rows) - distinct).alias("n_duplicates")).select(
+        "table", *[F.col(c).cast("long").alias(c) for c in ("n_rows", "n_distinct", "n_duplicates")])
+
+
+def duplicate_report(tables: list[tuple[str, DataFrame]]) -> DataFrame:
+    """C3 for several (name, table) pairs, their jobs side by side; one row per table."""
+    with ThreadPoolExecutor(max_workers=max(1, min(len(tables), 8))) as pool:
+        jobs = [pool.submit(copy_context().run, duplicate_counts, df, name) for name, df in tables]
+        return reduce(DataFrame.unionByName, [j.result() for j in jobs])
 
 
 def drop_null_keys(df: DataFrame, keys: list[str]) -> DataFrame:

@@ -27,10 +27,13 @@ def unused(df: DataFrame, name: str) -> str:
 def numbered(df: DataFrame, *order: Column | str, name: str = "pos") -> DataFrame:
     """``df`` with ``name``: 0, 1, 2 ... in the given order (give an order without ties for stable numbers).
 
-    The rows are written once in the shared folder, so the numbers don't change
-    when an executor is lost later.  The offsets table has one row per partition.
+    The rows are written to the shared folder before (the range partitioning reads
+    its order columns twice, to sample and to sort) and after they are placed, so the
+    numbers don't change when an executor is lost later.  The offsets table has one
+    row per partition.
     """
     at, part, shift = unused(df, "at"), unused(df, "part"), unused(df, "shift")
+    df = cut_lineage(df)
     placed = cut_lineage(df.repartitionByRange(*order).sortWithinPartitions(*order)
                          .withColumn(at, F.monotonically_increasing_id()))
     place = F.col(at).bitwiseAND(F.lit((1 << ROW_BITS) - 1))
@@ -63,6 +66,7 @@ def running_total(df: DataFrame, keys: list[str], order: list[str], value: str,
     """
     at, part, base = unused(df, "at"), unused(df, "part"), unused(df, "base")
     by = [*keys, *order]
+    df = cut_lineage(df)
     placed = cut_lineage(df.repartitionByRange(*by).sortWithinPartitions(*by).withColumn(at, F.monotonically_increasing_id())
                          .withColumn(part, F.shiftright(at, ROW_BITS)))
     zero = F.lit(0).cast("long")

@@ -50,7 +50,7 @@ SIM_DIGITS = 9
 OUT_SCHEMA = "seed_id long, item_id long, similarity double"
 
 
-TILE = 1024
+TILE = 2560
 MAX_BLOCK = 65_536
 
 

@@ -226,11 +226,7 @@ def _profile_missing(t: Tables) -> DataFrame:
     f"(SELECT count(*) FROM {n}) - (SELECT count(*) FROM (SELECT DISTINCT * FROM {n})) AS n_duplicates"
     for n in _CANONICAL), *_CANONICAL))
 def _profile_duplicates(t: Tables) -> DataFrame:
-    frames = [clean.duplicate_counts(df, n) for n, df in _canonical(t)]
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
+    return clean.duplicate_report(_canonical(t))
 
 
 @query("impute_mean", with_tables("""
