@@ -13,14 +13,22 @@ neighbours: words that documents share because they are copies of each other
 have the same neighbours everywhere and don't qualify.
 
 Fitting takes at most ``FIT_ROWS`` labelled rows of the training folds, chosen
-by a hash of the id; that number bounds everything that reaches the driver
-besides ``MAX_ENTRIES``.  Scoring covers every document's whole text.
+by a hash of the id; that number bounds everything that reaches the driver.  Terms
+are counted in all of these rows, and only terms with enough support come to the
+driver.  Parameters of the model: entries have ``SHORTEST`` to ``LONGEST``
+characters (a longer word is matched by its beginning), a lexicon has at most
+``MAX_ENTRIES`` entries (the heaviest) and exceptions (those with most evidence),
+and words of more than ``NEIGHBOUR`` characters make no exception phrase.  Scoring
+covers every document's whole text.
 
 Defined results
   * NULL and empty texts: no match, length 0, the score of a text without matches.
   * Without labels of both classes nothing can be learned: score 0, predicted 0.
   * A document with several labels counts as toxic if one says so; NULL labels
     and labels without document are ignored; a NULL doc_id is not held out.
+  * Rows that repeat a doc_id are scored one by one, and each of their texts is
+    learned from.  Terms or phrases with equal weight or evidence: by code point.
+  * An empty table has no scores.  Long texts are read whole.
 """
 
 from __future__ import annotations
@@ -48,6 +56,7 @@ MIN_LOG_ODDS = 2.5
 MIN_LEAN = 0.4
 KEEP_SHARE = 0.9
 SHORTEST, LONGEST = 3, 16
+NEIGHBOUR = 64
 
 # Cyrillic and Greek letters that look like Latin ones.
 LOOK_ALIKE = dict(zip("авеѕіјкмнорстухԁһӏ" + "αβεηικνορτυχω",
@@ -157,7 +166,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> D
 
 
 def _count(sample: DataFrame, of_text, having: str = "true") -> dict[str, tuple[int, int]]:
-    """Documents of either class (other, toxic) by term; ``of_text``: text -> terms."""
+    """Documents of either class (other, toxic) by term, for terms that meet ``having``; ``of_text``: text -> terms."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = (Counter(), Counter())
         for batch in batches:
@@ -168,8 +177,7 @@ def _count(sample: DataFrame, of_text, having: str = "true") -> dict[str, tuple[
             pa.array([c[t] for t in terms], pa.int64()) for c in found)], ["term", "other", "toxic"])
 
     rows = (sample.mapInArrow(run, "term string, other long, toxic long").groupBy("term")
-            .agg(F.sum("other").alias("other"), F.sum("toxic").alias("toxic")).where(having)
-            .orderBy(F.desc("toxic"), F.desc("other"), "term").limit(MAX_ENTRIES * 10))
+            .agg(F.sum("other").alias("other"), F.sum("toxic").alias("toxic")).where(having))
     return {r["term"]: (r["other"], r["toxic"]) for r in rows.collect()}
 
 
@@ -206,13 +214,15 @@ def _exceptions(sample: DataFrame, matcher: Matcher, n_toxic: int, n_other: int)
             end = folded.index(" ", at)
             word = folded[at:end]
             before = folded[folded.rfind(" ", 0, max(0, at - 1)) + 1:max(0, at - 1)]
-            after = folded[end + 1:end + 65].split(" ")[0]
-            out |= {f"{before} {word}"} if before else set()
-            out |= {f"{word} {after}"} if after else set()
+            after = folded[end + 1:end + NEIGHBOUR + 2].split(" ")[0]
+            out |= {f"{before} {word}"} if 0 < len(before) <= NEIGHBOUR else set()
+            out |= {f"{word} {after}"} if 0 < len(after) <= NEIGHBOUR else set()
         return out
 
     pairs = _count(sample, phrases, f"other >= {MIN_SUPPORT} AND toxic * 20 <= other")
-    return tuple(sorted(p for p, (o, t) in pairs.items() if _log_odds(t, o, n_toxic, n_other) <= -1))[:MAX_ENTRIES]
+    clear = [p for p, (o, t) in pairs.items() if _log_odds(t, o, n_toxic, n_other) <= -1]
+    clear.sort(key=lambda p: (-_evidence(pairs[p][1], pairs[p][0], n_toxic, n_other), p))
+    return tuple(sorted(clear[:MAX_ENTRIES]))
 
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model:
@@ -223,7 +233,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model:
     if not n_other or not n_toxic:
         return Model((), (), (0.0, 0.0, 0.0), known=False)
     support = max(min(MIN_SUPPORT, n_toxic), MIN_SHARE * n_toxic)
-    toxic = {t: c[1] for t, c in _count(sample.where("toxic = 1"), _beginnings).items() if c[1] >= support}
+    toxic = {t: c[1] for t, c in _count(sample.where("toxic = 1"), _beginnings, f"toxic >= {support}").items()}
     near = _contexts(sample.where("toxic = 1"), frozenset(toxic))
     toxic = {t: c for t, c in toxic.items() if near.get(t, 0) >= support}
     among = frozenset(toxic)
