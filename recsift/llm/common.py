@@ -11,6 +11,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from recsift.session import current_run
+
 #: Words as the contracts define them: runs of bytes other than blank and \x09-\x0D.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -38,7 +40,8 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, tag: str) -> str:
-    return f"{shared_folder(spark)}/recsift-{tag}-{uuid.uuid4().hex}"
+    """A new path in the open run's folder (``session.run_folder`` deletes it at the end), else in the shared one."""
+    return f"{current_run() or shared_folder(spark)}/recsift-{tag}-{uuid.uuid4().hex}"
 
 
 def materialise(df: DataFrame, tag: str) -> DataFrame:
