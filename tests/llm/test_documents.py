@@ -397,6 +397,6 @@ def test_redact(spark):
 def test_queries_are_registered(spark):
     from recsift.llm.registry import ORACLE, QUERIES
 
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES) == list(range(1, 14))
     assert set(ORACLE) <= set(QUERIES)
     assert table(spark, "/root/testdata/sf0.001", "documents").count() == 200
