@@ -1,6 +1,5 @@
 """Plan checks over every registered query: no row-at-a-time Python, pandas
-only where the similarity kernel runs, no cross join outside Spark ML's ALS
-recommendation calls, pruned scans."""
+only where the similarity kernel runs, no cross join, pruned scans."""
 
 import pytest
 
@@ -8,8 +7,6 @@ import __spark_entry__ as E
 from tests.conftest import SF_SMALL
 
 QUERIES = E.queries()
-ALS_RECOMMEND = {"als_recs_subset", "als_recs_all", "recommend_als", "compare_algorithms", "als_eval",
-                 "algorithm_comparison"}
 SIMILARITY = {"similar_items", "similar_items_padded", "content_recs_liked", "content_recs_top_item",
               "unseen_candidates", "content_predictions", "content_rating_eval", "content_eval", "jaccard_lists",
               "coverage", "diversity", "novelty", "recommend_content", "compare_algorithms",
@@ -26,8 +23,7 @@ def test_plan_shape(spark, name):
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
     if name not in SIMILARITY:
         assert "FlatMapGroupsInPandas" not in plan
-    if name not in ALS_RECOMMEND:
-        assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
 def test_scan_is_pruned(spark):
