@@ -96,13 +96,17 @@ def _kernel(n: int):
         out = queries[["query_id", "vec", "norm", "ids", "scores"]]
         if not len(queries) or not len(chapter):
             return out
-        chapter = chapter.sort_values("place")
+        chapter = chapter.sort_values(["norm", "item_id"], ascending=[False, True])
         items = np.stack(chapter["vec"].to_numpy()).astype(np.float64)
         item_norms, item_ids = chapter["norm"].to_numpy(), chapter["item_id"].to_numpy()
+        by_id = np.argsort(item_ids)  # to find the places of seen items
         parts = []
         for a in range(0, len(queries), TILE):
             q = queries.iloc[a:a + TILE]
-            rows, places = _flat(q["seen"])
+            rows, ids = _flat(q["seen"])
+            places = by_id[np.minimum(np.searchsorted(item_ids, ids, sorter=by_id), len(by_id) - 1)]
+            known = item_ids[places] == ids
+            rows, places = rows[known], places[known]
             by = np.argsort(places, kind="stable")
             rows_best, ids = _flat(q["ids"])
             best = rows_best, ids.astype(np.int64), _flat(q["scores"])[1].astype(np.float64)
@@ -134,9 +138,12 @@ def top_n(queries: DataFrame, items: DataFrame, n: int = 10, seen: DataFrame | N
     spark = queries.sparkSession
     vec = F.col("vec").cast("array<float>").alias("vec")
     catalogue = items.select(F.col("item_id").cast("long").alias("item_id"), vec).withColumn("norm", _norm("vec"))
-    catalogue = numbered(catalogue, F.desc("norm"), F.asc("item_id"))
-    catalogue = cut_lineage(catalogue.select("item_id", "vec", "norm", F.floor(F.col("pos") / chapter).alias("chapter"),
-                                             (F.col("pos") % chapter).alias("place")))
+    catalogue = cut_lineage(catalogue)
+    if catalogue.count() <= chapter:  # one chapter needs no numbers; the results are the same
+        catalogue = catalogue.withColumn("chapter", F.lit(0).cast("long"))
+    else:
+        catalogue = numbered(catalogue, F.desc("norm"), F.asc("item_id")).select(
+            "item_id", "vec", "norm", F.floor(F.col("pos") / chapter).alias("chapter"))
     # One row per chapter: a 65,536th of the catalogue's rows.
     highest = {r[0]: r[1] for r in catalogue.groupBy("chapter").agg(F.max("norm")).collect()}
     state = cut_lineage(queries.select(F.col("query_id").cast("long").alias("query_id"), vec)
@@ -147,10 +154,9 @@ def top_n(queries: DataFrame, items: DataFrame, n: int = 10, seen: DataFrame | N
         pairs = seen.select(F.col("user_id" if "user_id" in seen.columns else "query_id").cast("long").alias("query_id"),
                             F.col("item_id").cast("long").alias("item_id"))
         if len(highest) > 1:  # several rounds read it
-            pairs = cut_lineage(pairs.join(catalogue.select("item_id", "chapter", "place"), "item_id")
-                                .select("query_id", "chapter", "place").distinct())
+            pairs = cut_lineage(pairs.join(catalogue.select("item_id", "chapter"), "item_id").distinct())
         else:
-            pairs = pairs.join(catalogue.select("item_id", "chapter", "place"), "item_id").select("query_id", "chapter", "place")
+            pairs = pairs.join(catalogue.select("item_id", "chapter"), "item_id")
     done: list[DataFrame] = []
     for c in sorted(highest):
         if c:
@@ -165,7 +171,7 @@ def top_n(queries: DataFrame, items: DataFrame, n: int = 10, seen: DataFrame | N
         if seen is None:
             asked = asked.withColumn("seen", F.array().cast("array<long>"))
         else:
-            per_query = pairs.where(F.col("chapter") == c).groupBy("query_id").agg(F.collect_set("place").alias("seen"))
+            per_query = pairs.where(F.col("chapter") == c).groupBy("query_id").agg(F.collect_set("item_id").alias("seen"))
             asked = asked.join(per_query, "query_id", "left")
         left = asked.withColumn("blk", F.pmod(F.xxhash64("query_id"), F.lit(blocks)))
         # The blocks that still ask: at most ``blocks`` small numbers.

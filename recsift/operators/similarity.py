@@ -4,13 +4,13 @@ Why not a term self-join: joining the posting lists on ``term`` emits one row
 per pair of items sharing a term, i.e. all pairs within a term group; a term
 held by a third of the catalogue makes that quadratic in rows and shuffle.
 
-Instead every item's sparse vector is packed into one row, the items are numbered
-by their heaviest term (so that like items are neighbours), cut into ``B`` blocks
-of that order, and the similarity matrix into the ``B (B + 1) / 2`` block pairs on
-or above the diagonal.  A packed vector is sent to the ``B`` pairs its block is
-part of (an equi-grouping on the pair key, no cross join); with blocks of up to
-65,536 items that is 153 copies at 10^7 items.  One task per pair goes through the
-blocks tile by tile:
+Instead every item's sparse vector is packed into one row, the items are hashed
+into ``B`` blocks, and the similarity matrix is cut into the ``B (B + 1) / 2`` block
+pairs on or above the diagonal.  A packed vector is sent to the ``B`` pairs its block
+is part of (an equi-grouping on the pair key, no cross join); with blocks of up to
+65,536 items that is 153 copies at 10^7 items.  One task per pair sorts each block by
+the items' heaviest terms (so that like items are neighbours) and goes through it tile
+by tile:
 
   * Upper bounds: an item's similarity with anything in a tile is at most the sum
     of its weights times the tile's largest weight of each term.  A pair of tiles is
@@ -39,7 +39,6 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from recsift.operators.numbering import numbered
 from recsift.operators.retrieval import keep_best, nth_score
 
 # The block kernel travels to the Python workers by value (it needs only numpy
@@ -159,8 +158,8 @@ def _frame(tiles: list[_Tile]) -> pd.DataFrame:
 
 
 def _split(pdf: pd.DataFrame, first: np.ndarray, tile: int) -> tuple[list[_Tile], list[_Tile]]:
-    """The tiles of the rows where ``first`` holds and of the others, each in the order of ``pos``."""
-    order = np.lexsort((pdf["pos"].to_numpy(), ~first))
+    """The tiles of the rows where ``first`` holds and of the others, each sorted by heaviest term and id."""
+    order = np.lexsort((pdf["item_id"].to_numpy(), pd.factorize(pdf["top"], sort=True)[0], ~first))
     pdf, cut = pdf.iloc[order], int(first.sum())
     codes, n_codes = _coded(pdf)
     at = int(pdf["terms"].iloc[:cut].map(len).sum())
@@ -233,14 +232,10 @@ def similar_items(vectors: DataFrame, n: int = 10, num_blocks: int | None = None
     ``n_items`` (an upper bound of the items with a vector, e.g. the catalogue
     size the model was fitted on) saves one counting job.
     """
-    rows = numbered(packed(vectors), "top", "item_id")
-    if n_items is None:
-        n_items = rows.count()
     B = num_blocks or num_blocks_for(vectors, block_size, n_items)
-    size = max(1, math.ceil(n_items / B))
-    v = rows.select("item_id", "terms", "weights", "pos", F.least(F.floor(F.col("pos") / size), F.lit(B - 1)).cast("int").alias("blk"))
+    v = packed(vectors).withColumn("blk", F.pmod(F.xxhash64("item_id"), F.lit(B)).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.lit(B - 1))).alias("other")
-    pairs = v.select("*", other).select("item_id", "terms", "weights", "pos", "blk",
+    pairs = v.select("*", other).select("item_id", "terms", "weights", "top", "blk",
                                         F.least("blk", "other").alias("lo"), F.greatest("blk", "other").alias("hi"))
     # One shuffle, sized to the number of block pairs: an explicit partition
     # count is not coalesced by AQE, so the pairs spread over all cores
@@ -262,22 +257,19 @@ def similar_items_for(vectors: DataFrame, seeds: DataFrame, n: int = 10, num_blo
     x catalogue (not catalogue squared) and a task never holds more than one
     block of each side, however many seeds there are.
     """
-    rows = numbered(packed(vectors), "top", "item_id")
-    if n_items is None:
-        n_items = rows.count()
+    rows = packed(vectors)
     B = num_blocks or num_blocks_for(vectors, block_size, n_items)
-    size = max(1, math.ceil(n_items / B))
     seed_ids = seeds.select("item_id").distinct()
     n_seeds = seed_ids.count()
     if n_seeds == 0:
         return vectors.sparkSession.createDataFrame([], OUT_SCHEMA + ", rank int")
     Bs = max(1, math.ceil(n_seeds / block_size))
-    seed_vec = rows.join(seed_ids, "item_id", "left_semi").select(
-        "item_id", "terms", "weights", "pos", F.pmod(F.xxhash64("item_id"), F.lit(Bs)).cast("int").alias("sb"),
+    seed_vec = packed(vectors.join(seed_ids, "item_id", "left_semi")).select(
+        "item_id", "terms", "weights", "top", F.pmod(F.xxhash64("item_id"), F.lit(Bs)).cast("int").alias("sb"),
         F.explode(F.sequence(F.lit(0), F.lit(B - 1))).alias("cb"), F.lit(0).alias("role"))
     cand = rows.select(
-        "item_id", "terms", "weights", "pos", F.explode(F.sequence(F.lit(0), F.lit(Bs - 1))).alias("sb"),
-        F.least(F.floor(F.col("pos") / size), F.lit(B - 1)).cast("int").alias("cb"), F.lit(1).alias("role"))
+        "item_id", "terms", "weights", "top", F.explode(F.sequence(F.lit(0), F.lit(Bs - 1))).alias("sb"),
+        F.pmod(F.xxhash64("item_id"), F.lit(B)).cast("int").alias("cb"), F.lit(1).alias("role"))
     both = seed_vec.unionByName(cand).repartition(2 * B * Bs, "sb", "cb")
     out = both.groupBy("sb", "cb").applyInPandas(_seeded_kernel(n), OUT_SCHEMA)
     w = Window.partitionBy("seed_id").orderBy(F.desc("similarity"), "item_id")

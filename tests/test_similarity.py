@@ -139,7 +139,7 @@ def test_tiles_that_cannot_count_are_skipped(spark, monkeypatch):
     weights = [w / np.sqrt((w * w).sum()) for w in weights]
     import pandas as pd
 
-    pdf = pd.DataFrame({"item_id": np.arange(sizes), "terms": terms, "weights": weights, "pos": np.arange(sizes), "blk": 0, "lo": 0, "hi": 0})
+    pdf = pd.DataFrame({"item_id": np.arange(sizes), "terms": terms, "weights": weights, "top": groups, "blk": 0, "lo": 0, "hi": 0})
     done = []
     dot = similarity._dot
     monkeypatch.setattr(similarity, "_dot", lambda a, b: done.append(1) or dot(a, b))
