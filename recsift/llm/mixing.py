@@ -19,7 +19,8 @@ Defined results
   * A NULL source is a source of its own, sorted last.
   * A source of size 0 has target 0; an empty table gives an empty result.
   * Rows that repeat id and text are separate rows, each counted.
-The table of sources (not of documents) is ordered in one task.
+Sources may be as many as hosts of the web: their ranks and prefix sums come from
+range partitions, and only three totals and the level reach the driver.
 """
 
 from __future__ import annotations
@@ -30,6 +31,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from recsift.llm.common import materialise, word_count
+from recsift.operators.numbering import numbered, running_total
 
 #: Fixed values of the production mix.
 WEIGHTS = (1, 2, 3)
@@ -61,22 +63,21 @@ def water_fill(sources: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS
 
     Weights repeat over the sources by code point, the NULL source last.
     """
-    everything = Window.partitionBy()
-    by_name = Window.orderBy(F.col("__src") == "n", F.col("__src"))
-    before = Window.orderBy("__ratio", "__rank").rowsBetween(Window.unboundedPreceding, -1)
-    ranked = sources.withColumn("__rank", F.row_number().over(by_name) - 1)
+    columns = sources.columns
+    ranked = numbered(sources, F.col("__src") == "n", F.col("__src"), name="__rank")
     weighed = ranked.withColumn("__w", F.element_at(F.array(*[F.lit(w) for w in weights]),
                                                     (F.col("__rank") % len(weights) + 1).cast("int")).cast("long"))
     capped = weighed.withColumn("__cap", F.col("source_size") * max_epochs)
     capped = capped.withColumn("__ratio", F.col("__cap") / F.col("__w"))
-    zero = F.lit(0).cast("long")
-    level = capped.withColumn(
-        "__level", (F.sum("source_size").over(everything) - F.coalesce(F.sum("__cap").over(before), zero)).cast("double")
-        / (F.sum("__w").over(everything) - F.coalesce(F.sum("__w").over(before), zero)))
+    for value, name in (("__cap", "__caps"), ("__w", "__ws")):  # sums over the sources before
+        capped = running_total(capped, [], ["__ratio", "__rank"], value, name)
+    words, weight = capped.agg(F.sum("source_size"), F.sum("__w")).first()
+    level = materialise(capped.withColumn("__level", (F.lit(words).cast("long") - F.col("__caps")).cast("double")
+                                          / (F.lit(weight).cast("long") - F.col("__ws"))), "levels")
     full = F.col("__ratio") <= F.col("__level")
-    water = F.max(F.when(~full, F.col("__level"))).over(everything)
+    water = F.lit(level.where(~full).agg(F.max("__level")).first()[0]).cast("double")
     target = F.when(full, F.col("__cap").cast("double")).otherwise(water * F.col("__w"))
-    return level.withColumn("target", target).drop("__rank", "__w", "__cap", "__ratio", "__level")
+    return level.select(*columns, target.alias("target"))
 
 
 def plan_mix(measured: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS) -> MixPlan:

@@ -367,10 +367,13 @@ def shared_lines(own: list[int], own_marks: list[int], near: list[int], near_mar
 
 
 def _rows_of(pages: DataFrame) -> DataFrame:
-    """(uid, page_id, url, html); ``uid`` is a hash of the row: rows that repeat it have the same result."""
+    """(uid, page_id, url, html); ``uid`` is a 128-bit hash of the row: rows that repeat it have the same result."""
     typed = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
                          F.col("html").cast("string").alias("html"))
-    return typed.select(F.xxhash64("page_id", "url", "html").alias("uid"), "page_id", "url", "html")
+    nulls = F.col("url").isNull(), F.col("html").isNull()  # the hash passes over NULLs
+    halves = F.xxhash64(*nulls, "page_id", "url", "html"), F.xxhash64(*nulls, "html", "url", "page_id")
+    uid = F.unhex(F.concat(*[F.lpad(F.hex(h), 16, "0") for h in halves]))
+    return typed.select(uid.alias("uid"), "page_id", "url", "html")
 
 
 def cut_lines(pages: DataFrame) -> DataFrame:
@@ -383,7 +386,7 @@ def cut_lines(pages: DataFrame) -> DataFrame:
                 pa.array([_marks(p) for p in found], pa.list_(pa.int32()))], ["uid", "url", "hashes", "marks"])
 
     cut = _rows_of(pages).select("uid", "url", "html").mapInArrow(
-        run, "uid long, url string, hashes array<long>, marks array<int>")
+        run, "uid binary, url string, hashes array<long>, marks array<int>")
     bare = F.regexp_replace("url", r"[?#].*$", "")
     rest = F.regexp_replace(bare, r"^[A-Za-z][A-Za-z0-9+.-]*://", "")
     return cut.dropDuplicates(["uid"]).withColumns({
@@ -396,13 +399,13 @@ def _copies(pairs: DataFrame, cut: DataFrame) -> DataFrame:
         for batch in batches:
             uids = [r["uid"] for r in batch.to_pylist()
                     if near_copy(r["hashes"], r["marks"], r["others"], r["other_marks"], r["same_path"])]
-            yield pa.RecordBatch.from_arrays([pa.array(uids, pa.int64()), pa.array([True] * len(uids), pa.bool_())],
+            yield pa.RecordBatch.from_arrays([pa.array(uids, pa.binary()), pa.array([True] * len(uids), pa.bool_())],
                                              ["uid", "copy"])
 
     lines = cut.select("uid", "hashes", "marks")
     others = cut.select(F.col("uid").alias("other"), F.col("hashes").alias("others"), F.col("marks").alias("other_marks"))
     return pairs.join(lines, "uid").join(others, "other").select(
-        "uid", "hashes", "marks", "others", "other_marks", "same_path").mapInArrow(run, "uid long, copy boolean")
+        "uid", "hashes", "marks", "others", "other_marks", "same_path").mapInArrow(run, "uid binary, copy boolean")
 
 
 def neighbours(cut: DataFrame) -> DataFrame:
@@ -442,7 +445,7 @@ def neighbours(cut: DataFrame) -> DataFrame:
     other = F.when(F.col("b").isNotNull() & (F.col("a").isNull() | (F.col("b") >= F.col("a"))), F.col("before.uid")).when(
         F.col("a").isNotNull(), F.col("after.uid"))
     run = F.when(F.col("before.host") == F.col("host"), F.col("before.uid"))  # the page before it; NULL: it is the first
-    return scored.select("uid", "host", F.coalesce(run.cast("string"), F.lit("")).alias("run"), other.alias("other"))
+    return scored.select("uid", "host", F.coalesce(F.hex(run), F.lit("")).alias("run"), other.alias("other"))
 
 
 def templates(cut: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -500,7 +503,7 @@ def extract(pages: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())],
                                              ["page_id", "url", "text"])
 
-    whole = _rows_of(pages).mapInArrow(compress, "uid long, page_id long, url string, body binary, regions binary")
+    whole = _rows_of(pages).mapInArrow(compress, "uid binary, page_id long, url string, body binary, regions binary")
     joined = whole.join(others.select("uid", "others", "other_marks", "template"), "uid", "left")
     return joined.select("page_id", "url", "body", "regions", "others", "other_marks", "template").mapInArrow(
         keep, "page_id long, url string, text string").withColumn("n_chars", F.length("text").cast("long"))

@@ -21,7 +21,10 @@ shard or a hot group.
 Defined results
   * NULL text has no bytes, no tokens; its rows form a group of their own.
   * size is UTF-8 bytes + 1.  Rows that repeat everything are separate rows.
-  * An empty table gives an empty result.
+  * Long texts are measured whole; one that is larger than a shard's share stays one row.
+  * Ties: of items of equal share the first by name (tile or text digest), of shards that
+    fit equally well the one with the smaller number.
+  * Other columns, whatever their names, are not read.  An empty table gives an empty result.
 """
 
 from __future__ import annotations

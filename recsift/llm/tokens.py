@@ -23,7 +23,10 @@ themselves are never shuffled.
 Defined results
   * NULL text counts as empty: no ids, 0 tokens, 0 bytes.
   * Special strings inside texts get the library's default treatment.
-  * Repeated rows are separate rows; an empty table gives an empty result.
+  * Long texts are read whole: a text longer than ``SLICE_BYTES`` is a slice of its own.
+  * Equally frequent pre-tokens: which of them the table holds changes no count.
+  * Repeated rows are separate rows; other columns, whatever their names, are not
+    read; an empty table gives an empty result.
 """
 
 from __future__ import annotations
