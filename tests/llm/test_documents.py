@@ -164,6 +164,18 @@ def test_water_fill_against_iteration(spark):
         assert all(math.isclose(x["target"], want[x["__src"]], rel_tol=1e-9, abs_tol=1e-6) for x in got)
 
 
+def test_water_fill_over_many_sources(spark):
+    """Ranks and sums that span range partitions; the NULL source is the last."""
+    r = random.Random(7)
+    sizes = {f"s{i:05}": r.choice([0, 1, 5, 5, 100, 10_000]) for i in range(4000)} | {"s99999": 10**7, "n": 300}
+    order = [*sorted(s for s in sizes if s != "n"), "n"]
+    rows = spark.createDataFrame(list(sizes.items()), "__src string, source_size long").repartition(6)
+    got = {x["__src"]: x["target"] for x in mixing.water_fill(rows).collect()}
+    want = _water(sizes, {s: i % 3 + 1 for i, s in enumerate(order)})
+    assert got.keys() == sizes.keys()
+    assert all(math.isclose(got[s], want[s], rel_tol=1e-9, abs_tol=1e-6) for s in sizes)
+
+
 def test_packing_round_trip(spark, docs, empty):
     encoder = tokens.TextEncoder(tokens.tokenizer_path())
     want = {i: np.append(encoder.whole(t or ""), 1).astype("<u4").tobytes() for i, t in enumerate(TEXTS)}

@@ -197,6 +197,15 @@ def test_shared_sentences_of_two_articles_stay(spark):
     assert all(got[200 + i] == f"body {i}" for i in range(6))
 
 
+def test_rows_differ_by_their_null_fields(spark):
+    """Equal values in other fields, NULL elsewhere: different pages, each with its own lines."""
+    rows = [(1, "<p>x</p>", None), (1, None, "<p>x</p>"), (None, None, "<p>x</p>"), (None, "<p>x</p>", None)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert pages._rows_of(df.union(df)).select("uid").distinct().count() == 4
+    got = pages.extract(df).collect()
+    assert sorted((r["url"] is None, r["text"]) for r in got) == [(False, "")] * 2 + [(True, "x")] * 2
+
+
 def test_names_by_their_parts():
     dropped = ["cookie-consent-banner", "user-comments", "comments-wrapper", "sidebar-widget", "site-footer__inner",
                "main-sidebar", "newsletter_box"]
