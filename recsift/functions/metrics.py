@@ -1,4 +1,4 @@
-"""Scalar metric expressions."""
+"""Scalar metric and report expressions."""
 
 from __future__ import annotations
 
@@ -19,3 +19,13 @@ def harmonic_mean(p: Column, r: Column) -> Column:
 def r6(c: Column, digits: int = 6) -> Column:
     """Round a double for reports (both engines round the same way)."""
     return F.round(c.cast("double"), digits)
+
+
+def two_digits(c: Column) -> Column:
+    """X11: a number as text with two digits; NULL stays NULL."""
+    return F.when(c.isNotNull(), F.format_string("%.2f", F.round(c.cast("double"), 2)))
+
+
+def percent(part: Column, whole: Column) -> Column:
+    """X11: ``part`` of ``whole`` as text in percent; NULL for a whole of 0."""
+    return F.concat(two_digits(100.0 * F.try_divide(part.cast("double"), whole.cast("double"))), F.lit(" %"))

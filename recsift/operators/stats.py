@@ -8,9 +8,11 @@ ratings carries one row per (item, genre) instead of one per rating.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from recsift.functions.metrics import percent, two_digits
+
 
 def rating_stats(ratings: DataFrame) -> DataFrame:
     """A1: count, mean, sample stddev, min, max of all ratings."""
@@ -24,6 +26,16 @@ def rating_distribution(ratings: DataFrame) -> DataFrame:
     return ratings.groupBy("rating").agg(F.count(F.lit(1)).alias("count")).orderBy("rating")
 
 
+def rating_distribution_text(ratings: DataFrame) -> DataFrame:
+    """A2 for readers (X11): (rating, n_ratings, share), the first and last as text with two digits.
+
+    One aggregate by rating; the shares are a window over its few rows (rating values).
+    """
+    counts = ratings.where(F.col("rating").isNotNull()).groupBy("rating").agg(F.count(F.lit(1)).alias("n_ratings"))
+    total = F.sum("n_ratings").over(Window.partitionBy(F.lit(1)))
+    return counts.select(two_digits(F.col("rating")).alias("rating"), "n_ratings", percent(F.col("n_ratings"), total).alias("share"))
+
+
 def _per_key(ratings: DataFrame, key: str) -> DataFrame:
     return ratings.groupBy(key).agg(F.count("rating").alias("rating_count"),
                                     F.avg("rating").alias("rating_mean"),

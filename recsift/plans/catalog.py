@@ -915,3 +915,108 @@ def _search_documents(t: Tables) -> DataFrame:
 def _similar_items_padded(t: Tables) -> DataFrame:
     """T6 as the reference ranks it: the whole catalogue, zero similarity padding short lists."""
     return similarity.pad_with_zero(cut_lineage(_similar(t)), t.items(), n=N_SIMILAR)
+
+
+# ---------------------------------------------------------------- files, saved models and stored lists
+
+from recsift.session import new_path  # noqa: E402
+from recsift.sources import csv as files  # noqa: E402
+from recsift.sources import store  # noqa: E402
+
+
+def _as_files(t: Tables, *names: str) -> str:
+    """The named canonical tables, whole, as CSV files in a new folder."""
+    folder = new_path(t.spark)
+    files.write_folder({n: df for n, df in _canonical(t) if n in names}, folder)
+    return folder
+
+
+@query("serving_sample", with_tables(f"SELECT user_id, item_id, rating, ts FROM interactions WHERE {_HASH} % 1000 < 200",
+                                     "interactions"))
+def _serving_sample(t: Tables) -> DataFrame:
+    """The ratings file as it is read for serving, with a reproducible fifth of its rows."""
+    ratings = files.read_ratings(t.spark, f"{_as_files(t, 'interactions')}/rating.csv")
+    return clean.sample_hash(ratings, 0.2, portable=True)
+
+
+@query("csv_items", with_tables(
+    "SELECT item_id, title, array_to_string(genres, '|') AS genres, CAST(len(genres) AS INTEGER) AS n_genres, year FROM items",
+    "items"))
+def _csv_items(t: Tables) -> DataFrame:
+    """S2 and the writer: the catalogue through its CSV file."""
+    i = files.read_movies(t.spark, f"{_as_files(t, 'items')}/movie.csv")
+    return i.select("item_id", "title", F.array_join("genres", "|").alias("genres"), F.size("genres").alias("n_genres"), "year")
+
+
+@query("csv_tags", with_tables("SELECT user_id, item_id, tag, ts FROM tags", "tags"))
+def _csv_tags(t: Tables) -> DataFrame:
+    """S3 and the writer: the tags through their CSV file."""
+    return files.read_tags(t.spark, f"{_as_files(t, 'tags')}/tag.csv")
+
+
+@query("csv_folder_duplicates", ORACLE["profile_duplicates"])
+def _csv_folder_duplicates(t: Tables) -> DataFrame:
+    """S1-S5 together: all five files of a folder, read back and profiled."""
+    return clean.duplicate_report(list(files.read_folder(t.spark, _as_files(t, *_CANONICAL)).items()))
+
+
+@query("ingest_counts", with_tables("""
+    SELECT 'ok' AS reason, count(rating) AS n_rows FROM gappy
+    UNION ALL SELECT 'no rating', count(*) - count(rating) FROM gappy""", "gappy"))
+def _ingest_counts(t: Tables) -> DataFrame:
+    """S1 with quarantine: a ratings file with gaps, every line kept or put aside with its reason."""
+    folder = new_path(t.spark)
+    files.write_folder({"interactions": t.gappy()}, folder)
+    return files.ingest(t.spark, "ratings", f"{folder}/rating.csv", f"{folder}/ingested").counts
+
+
+@query("preview_interactions", with_tables(
+    "SELECT user_id, item_id, rating, ts FROM interactions ORDER BY user_id, item_id LIMIT 5", "interactions"))
+def _preview_interactions(t: Tables) -> DataFrame:
+    """The first five rows in a fixed order (the limit is the feature)."""
+    return clean.preview(t.interactions(), ["user_id", "item_id"])
+
+
+@query("rating_distribution_text", with_tables("""
+    SELECT printf('%.2f', rating) AS rating, count(*) AS n_ratings,
+           printf('%.2f', round(100.0 * count(*) / (SELECT count(rating) FROM interactions), 2)) || ' %' AS share
+    FROM interactions WHERE rating IS NOT NULL GROUP BY interactions.rating""", "interactions"))
+def _rating_distribution_text(t: Tables) -> DataFrame:
+    return stats.rating_distribution_text(t.interactions())
+
+
+@query("saved_content_model", with_tables("SELECT seed_id, item_id, similarity, rank FROM neighbours", "neighbours"))
+def _saved_content_model(t: Tables) -> DataFrame:
+    """Neighbours from a content model that was saved and loaded."""
+    path = new_path(t.spark)
+    _content_model(t).save(path)
+    return similarity.similar_items(content.ContentModel.load(t.spark, path).vectors, n=N_SIMILAR)
+
+
+@query("saved_als_model", with_tables("""
+    SELECT user_id, item_id, rating, true AS same FROM test
+    WHERE user_id IN (SELECT user_id FROM train) AND item_id IN (SELECT item_id FROM train)""", "train", "test"), reuse=True)
+def _saved_als_model(t: Tables) -> DataFrame:
+    """A saved and loaded model scores the same pairs, each with the same number, as the fitted one."""
+    train, test = _train_test(t)
+    model, path = als.fit_als(train, **ALS_PARAMS), new_path(t.spark)
+    als.save_model(model, path)
+    fitted = als.predict(model, test).select("user_id", "item_id", F.col("prediction").alias("fitted"))
+    loaded = als.predict(als.load_model(path), test)
+    return loaded.join(fitted, ["user_id", "item_id"], "full").select(
+        "user_id", "item_id", "rating", F.coalesce(F.col("fitted") == F.col("prediction"), F.lit(False)).alias("same"))
+
+
+@query("stored_lists", with_tables("""
+    SELECT 'liked' AS algorithm, user_id, item_id, rank, similarity AS score FROM liked_recs
+    UNION ALL SELECT 'top item', u.user_id, s.item_id, s.rank, s.similarity
+    FROM user_top u JOIN neighbours s ON u.item_id = s.seed_id""", "interactions", "user_top", "neighbours",
+    extra=[("liked_recs", _LIKED_RECS_SQL.format(ratings="interactions"))]), reuse=True)
+def _stored_lists(t: Tables) -> DataFrame:
+    """Two algorithms' lists in one store; writing one of them again leaves the other as it is."""
+    sim, path = cut_lineage(_similar(t)), new_path(t.spark)
+    top = recommend.content_recs_top_item(t.interactions(), sim, n=N_SIMILAR)
+    liked = recommend.content_recs_liked(t.interactions(), sim, n=N_SIMILAR)
+    for name, recs in (("liked", top), ("top item", top), ("liked", liked)):  # the last replaces the first
+        store.write_recs(recs.select("user_id", "item_id", "rank", F.col("similarity").alias("score")), path, name)
+    return store.read_recs(t.spark, path).select("algorithm", "user_id", "item_id", "rank", "score")

@@ -1,4 +1,4 @@
-"""CSV readers for the MovieLens-style files.
+"""CSV readers and writer for the MovieLens-style files.
 
 Explicit schemas (inference would read malformed rows and widen types), the
 reference's read modes (``DROPMALFORMED`` for ratings and movies, permissive
@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from recsift import schema as S
-from recsift.functions.text import split_genres, year_from_title
+from recsift.functions.text import GENRE_SEPARATOR, split_genres, year_from_title
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -152,3 +152,39 @@ def read_folder(spark: SparkSession, folder: str, on_missing: str = "raise") ->
         "tag_scores": read_genome_scores(spark, j("genome_scores.csv"), on_missing),
         "tag_names": read_genome_tags(spark, j("genome_tags.csv"), on_missing),
     }
+
+
+def _layout_columns(kind: str) -> list:
+    """A file's own columns from the canonical ones."""
+    def line(name: str):
+        return F.regexp_replace(name, r"[\r\n]+", " ")
+
+    user, item = F.col(S.USER).alias("userId"), F.col(S.ITEM).alias("movieId")
+    ts = F.date_format(S.TS, "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("timestamp")
+    return {
+        "ratings": [user, item, F.col(S.RATING).alias("rating"), ts],
+        "movies": [item, line(S.TITLE).alias("title"), line(F.array_join(S.GENRES, GENRE_SEPARATOR)).alias("genres")],
+        "tags": [user, item, line(S.TAG).alias("tag"), ts],
+        "genome_scores": [item, F.col(S.TAG_ID).alias("tagId"), F.col(S.RELEVANCE).alias("relevance")],
+        "genome_tags": [F.col(S.TAG_ID).alias("tagId"), line(S.TAG).alias("tag")],
+    }[kind]
+
+
+# Canonical table -> (kind of its file, name of the file in a folder).
+FILES = {"interactions": ("ratings", "rating.csv"), "items": ("movies", "movie.csv"), "tags": ("tags", "tag.csv"),
+         "tag_scores": ("genome_scores", "genome_scores.csv"), "tag_names": ("genome_tags", "genome_tags.csv")}
+
+
+def write_folder(tables: dict[str, DataFrame], folder: str) -> None:
+    """Canonical tables in the files' layout, so that ``read_folder`` gives the same rows back.
+
+    Every table is written by its own tasks, as a folder of part files with a header
+    each under the file's name; the readers take such a folder for a file.  What the
+    layout can't hold: a line break in a text becomes a blank (a record is a line), an
+    empty text comes back as NULL, and so does an empty list of genres.  Blanks at the
+    ends, quotes, commas and backslashes of a text come back.
+    """
+    for name, df in tables.items():
+        kind, file = FILES[name]
+        (df.select(*_layout_columns(kind)).write.mode("overwrite").option("header", "true")
+         .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false").csv(os.path.join(folder, file)))

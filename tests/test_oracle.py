@@ -14,7 +14,8 @@ QUERIES = E.queries()
 ORACLE = E.oracle_sql()
 # Queries whose result is a ranking: rows must come in the oracle's order.
 ORDERED = {"rating_distribution", "popular_genres", "top_rated_items", "best_rated_items", "user_history",
-           "sample_users", "search_titles", "search_titles_regex", "search_documents"}
+           "sample_users", "search_titles", "search_titles_regex", "search_documents",
+           "preview_interactions"}
 
 
 def _norm(v):

@@ -10,7 +10,7 @@ QUERIES = E.queries()
 SIMILARITY = {"similar_items", "similar_items_padded", "content_recs_liked", "content_recs_top_item",
               "unseen_candidates", "content_predictions", "content_rating_eval", "content_eval", "jaccard_lists",
               "coverage", "diversity", "novelty", "recommend_content", "compare_algorithms",
-              "algorithm_comparison"}
+              "algorithm_comparison", "saved_content_model"}
 
 
 def _plan(df):

@@ -3,6 +3,8 @@
 import pytest
 from pyspark.sql import functions as F
 
+from recsift import schema as S
+from recsift.functions.metrics import percent, two_digits
 from recsift.sources import csv as C
 from recsift.sources import store
 
@@ -106,3 +108,28 @@ def test_ingest_of_the_other_files(spark, tmp_path):
         (tmp_path / f"{kind}.csv").write_text(text)
         got = C.ingest(spark, kind, str(tmp_path / f"{kind}.csv"), str(tmp_path / f"{kind}-out"))
         assert {r.reason: r.n_rows for r in got.counts.collect()} == want, kind
+
+
+def test_files_give_the_same_rows_back(spark, tmp_path):
+    odd = ["plain", "", None, " blanks ", 'says "so", twice', "back\\slash", "ends\\", 'quote"\\', "a|b, c", "été 東京", "two\nlines"]
+    items = spark.createDataFrame([(i, x, ["A", "B C"], None) for i, x in enumerate(odd)], S.ITEMS)
+    tags = spark.createDataFrame([(1, i, x, None) for i, x in enumerate(odd)], S.TAGS).withColumn(
+        "ts", F.timestamp_micros(F.lit(1425204000123456)))
+    C.write_folder({"items": items, "tags": tags}, str(tmp_path / "f"))
+    back = C.read_folder(spark, str(tmp_path / "f"), on_missing="empty")
+    want = [x.replace("\n", " ") if x else None for x in odd]
+    assert [r.title for r in back["items"].orderBy("item_id").collect()] == want
+    assert [r.tag for r in back["tags"].orderBy("item_id").collect()] == want
+    assert {tuple(r.genres) for r in back["items"].collect()} == {("A", "B C")}
+    C.write_folder({"items": items.withColumn("genres", F.array().cast("array<string>"))}, str(tmp_path / "g"))
+    assert C.read_movies(spark, str(tmp_path / "g" / "movie.csv")).where("genres IS NOT NULL").count() == 0
+    assert back["tags"].select("ts").distinct().collect() == tags.select("ts").distinct().collect()
+    assert back["interactions"].count() == 0
+    C.write_folder({"tags": tags.limit(0)}, str(tmp_path / "f"))  # replaced by an empty table
+    assert C.read_tags(spark, str(tmp_path / "f" / "tag.csv")).count() == 0
+
+
+def test_percent_and_digits(spark):
+    df = spark.createDataFrame([(1, 3), (0, 4), (2, 0), (None, 5)], "a long, b long")
+    got = df.select(percent(F.col("a"), F.col("b")).alias("p"), two_digits(F.col("a") / F.lit(8)).alias("d")).collect()
+    assert [r.p for r in got] == ["33.33 %", "0.00 %", None, None] and [r.d for r in got] == ["0.13", "0.00", "0.25", None]
