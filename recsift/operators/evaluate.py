@@ -9,11 +9,14 @@ the driver.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from recsift.functions.metrics import harmonic_mean, safe_ratio
 from recsift.operators.lookup import ACTIVE_MIN, LIKED_MIN
+from recsift.session import cut_lineage
 
 
 # ---------------------------------------------------------------- regression
@@ -188,6 +191,21 @@ def metrics_long(algorithm: str, wide: DataFrame, names: list[str]) -> DataFrame
             .select(F.lit(algorithm).alias("algorithm"), "metric", "value"))
 
 
+def metric_report(algorithm: str, recs: DataFrame, predictions: DataFrame, test: DataFrame, users: DataFrame,
+                  items: DataFrame, vectors: DataFrame, ratings: DataFrame) -> DataFrame:
+    """The eight metrics of one recommender as (algorithm, metric, value).
+
+    ``recs`` are the lists of ``users`` from the train side, ``predictions`` those of the
+    ``test`` ratings.  Four metrics read the lists, so they are written once.
+    """
+    recs = cut_lineage(recs.select("user_id", "item_id"))
+    parts = [(regression_metrics(predictions), ["rmse", "mae"]),
+             (ranking_metrics(recs, relevant_items(test), users), ["precision", "recall", "f1"]),
+             (coverage(recs, items), ["coverage"]), (diversity(recs, vectors), ["diversity"]),
+             (novelty(recs, ratings), ["novelty"])]
+    return reduce(DataFrame.unionByName, [metrics_long(algorithm, df, names) for df, names in parts])
+
+
 def evaluate_content(ratings: DataFrame, similar: DataFrame, n: int = 10, split: DataFrame | None = None,
                      users: DataFrame | None = None) -> DataFrame:
     """E4-E6 for the content recommender in one call, for all eligible users.

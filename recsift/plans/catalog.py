@@ -637,24 +637,30 @@ def _jaccard_lists(t: Tables) -> DataFrame:
     return _round_cols(evaluate.jaccard_lists(a, b), ["jaccard"])
 
 
-@query("coverage", with_tables("""
+_COVERAGE_SQL = """
     SELECT count(DISTINCT r.item_id) AS n_recommended, (SELECT count(DISTINCT item_id) FROM items) AS n_catalogue,
            round(count(DISTINCT r.item_id) / (SELECT count(DISTINCT item_id) FROM items), 6) AS coverage
-    FROM recs r""", "interactions", "items", "neighbours",
+    FROM recs r"""
+
+
+@query("coverage", with_tables(_COVERAGE_SQL, "interactions", "items", "neighbours",
     extra=[("recs", _LIKED_RECS_SQL.format(ratings="interactions"))]), reuse=True)
 def _coverage(t: Tables) -> DataFrame:
     recs = recommend.content_recs_liked(t.interactions(), _similar(t), n=N_SIMILAR)
     return _round_cols(evaluate.coverage(recs, t.items()), ["coverage"])
 
 
-@query("diversity", with_tables("""
+_DIVERSITY_SQL = """
     SELECT count(*) AS n_users, round(avg(1 - coalesce(p.s, 0) / (k.k * (k.k - 1))), 6) AS diversity
     FROM (SELECT user_id, count(*) AS k FROM lists GROUP BY user_id HAVING count(*) >= 2) k
     LEFT JOIN (SELECT a.user_id, sum(va.weight * vb.weight) AS s
                FROM lists a JOIN lists b ON a.user_id = b.user_id AND a.item_id <> b.item_id
                JOIN vec va ON va.item_id = a.item_id
                JOIN vec vb ON vb.item_id = b.item_id AND va.term = vb.term
-               GROUP BY a.user_id) p ON k.user_id = p.user_id""", "interactions", "neighbours", "vec",
+               GROUP BY a.user_id) p ON k.user_id = p.user_id"""
+
+
+@query("diversity", with_tables(_DIVERSITY_SQL, "interactions", "neighbours", "vec",
     extra=[("recs", _LIKED_RECS_SQL.format(ratings="interactions")),
            ("lists", "SELECT DISTINCT user_id, item_id FROM recs")]), reuse=True)
 def _diversity(t: Tables) -> DataFrame:
@@ -664,13 +670,16 @@ def _diversity(t: Tables) -> DataFrame:
     return _round_cols(evaluate.diversity(recs, m.vectors), ["diversity"])
 
 
-@query("novelty", with_tables("""
+_NOVELTY_SQL = """
     SELECT count(nov) AS n_users, round(avg(nov), 6) AS novelty FROM (
         SELECT r.user_id, avg(-log2(x.raters / nu.u)) AS nov
         FROM recs r LEFT JOIN (SELECT item_id, count(DISTINCT user_id) AS raters FROM interactions GROUP BY item_id) x
           ON r.item_id = x.item_id
         CROSS JOIN (SELECT count(DISTINCT user_id) AS u FROM interactions) nu
-        GROUP BY r.user_id)""", "interactions", "neighbours",
+        GROUP BY r.user_id)"""
+
+
+@query("novelty", with_tables(_NOVELTY_SQL, "interactions", "neighbours",
     extra=[("recs", _LIKED_RECS_SQL.format(ratings="interactions"))]), reuse=True)
 def _novelty(t: Tables) -> DataFrame:
     recs = recommend.content_recs_liked(t.interactions(), _similar(t), n=N_SIMILAR)
@@ -802,13 +811,7 @@ def _als_metrics(t: Tables, vectors: DataFrame) -> DataFrame:
     model = als.fit_als(train, **ALS_PARAMS)
     users = evaluate.eligible_from_split(t.split())
     recs = als.recommend_for(model, users, n=TOP_N, seen=train)
-    reg = evaluate.regression_metrics(als.predict(model, test))
-    rank = evaluate.ranking_metrics(recs, evaluate.relevant_items(test), users)
-    return (evaluate.metrics_long("als", reg, ["rmse", "mae"])
-            .unionByName(evaluate.metrics_long("als", rank, ["precision", "recall", "f1"]))
-            .unionByName(evaluate.metrics_long("als", evaluate.coverage(recs, t.items()), ["coverage"]))
-            .unionByName(evaluate.metrics_long("als", evaluate.diversity(recs, vectors), ["diversity"]))
-            .unionByName(evaluate.metrics_long("als", evaluate.novelty(recs, t.interactions()), ["novelty"])))
+    return evaluate.metric_report("als", recs, als.predict(model, test), test, users, t.items(), vectors, t.interactions())
 
 
 @query("als_eval", reuse=True)
@@ -830,25 +833,61 @@ def _compare_algorithms(t: Tables) -> DataFrame:
                              for name in ("als_items", "content_items")})
 
 
+def _content_metrics(t: Tables, m: content.ContentModel) -> DataFrame:
+    train, test = _train_test(t)
+    sim = cut_lineage(similarity.similar_items(m.vectors, n=N_SIMILAR, n_items=m.n_items))
+    recs = recommend.content_recs_liked(train, sim, n=N_SIMILAR)
+    return evaluate.metric_report("content_based", recs, evaluate.content_predictions(train, test, sim), test,
+                                  evaluate.eligible_from_split(t.split()), t.items(), m.vectors, t.interactions())
+
+
+@query("content_metric_report", with_tables("""
+    SELECT 'content_based' AS algorithm, metric, CAST(value AS DOUBLE) AS value FROM (
+        SELECT 'rmse' AS metric, rmse AS value FROM reg UNION ALL SELECT 'mae', mae FROM reg
+        UNION ALL SELECT 'precision', precision FROM rk UNION ALL SELECT 'recall', recall FROM rk
+        UNION ALL SELECT 'f1', f1 FROM rk UNION ALL SELECT 'coverage', coverage FROM cov
+        UNION ALL SELECT 'diversity', diversity FROM div UNION ALL SELECT 'novelty', novelty FROM nov)""",
+    "interactions", "items", "train", "test", "neighbours", "vec", extra=[
+        ("pred", _CONTENT_PRED), ("recs", _LIKED_RECS_SQL.format(ratings="train")),
+        ("rel", "SELECT user_id, item_id FROM test WHERE rating >= 4.0"), ("elig", _ELIG),
+        ("lists", "SELECT DISTINCT user_id, item_id FROM recs"), ("reg", _REG_SQL), ("rk", _RANKING_SQL),
+        ("cov", _COVERAGE_SQL), ("div", _DIVERSITY_SQL), ("nov", _NOVELTY_SQL)]), reuse=True)
+def _content_metric_report(t: Tables) -> DataFrame:
+    """E14's rows of the content recommender, by value."""
+    return _round_cols(_content_metrics(t, _content_model(t)), ["value"])
+
+
 @query("algorithm_comparison", reuse=True)
 def _algorithm_comparison(t: Tables) -> DataFrame:
     """metrics(algorithm, metric, value) for both recommenders, all computed."""
-    train, test = _train_test(t)
     m = _content_model(t)
-    sim = similarity.similar_items(m.vectors, n=N_SIMILAR, n_items=m.n_items)
-    users = evaluate.eligible_from_split(t.split())
-    recs = recommend.content_recs_liked(train, sim, n=N_SIMILAR)
-    reg = evaluate.regression_metrics(evaluate.content_predictions(train, test, sim))
-    rank = evaluate.ranking_metrics(recs, evaluate.relevant_items(test), users)
-    content_m = (evaluate.metrics_long("content_based", reg, ["rmse", "mae"])
-                 .unionByName(evaluate.metrics_long("content_based", rank, ["precision", "recall", "f1"]))
-                 .unionByName(evaluate.metrics_long("content_based", evaluate.coverage(recs, t.items()),
-                                                    ["coverage"]))
-                 .unionByName(evaluate.metrics_long("content_based", evaluate.diversity(recs, m.vectors),
-                                                    ["diversity"]))
-                 .unionByName(evaluate.metrics_long("content_based", evaluate.novelty(recs, t.interactions()),
-                                                    ["novelty"])))
-    return _als_metrics(t, m.vectors).unionByName(content_m)
+    return _als_metrics(t, m.vectors).unionByName(_content_metrics(t, m))
+
+
+@query("compare_content_lists", with_tables("""
+    SELECT u.user_id, coalesce(a.l, '') AS liked_items, coalesce(b.l, '') AS top_item_items,
+           CAST(coalesce(a.n, 0) AS INTEGER) AS n_liked, CAST(coalesce(b.n, 0) AS INTEGER) AS n_top_item,
+           round(CASE WHEN coalesce(a.n, 0) + coalesce(b.n, 0) = 0 THEN 0.0
+                      ELSE coalesce(c.n, 0) / (coalesce(a.n, 0) + coalesce(b.n, 0) - coalesce(c.n, 0)) END, 6) AS jaccard
+    FROM (SELECT DISTINCT user_id FROM interactions) u
+    LEFT JOIN (SELECT user_id, count(*) AS n, string_agg(CAST(item_id AS VARCHAR), '|' ORDER BY rank) AS l FROM recs GROUP BY user_id) a
+      ON a.user_id = u.user_id
+    LEFT JOIN (SELECT user_id, count(*) AS n, string_agg(CAST(item_id AS VARCHAR), '|' ORDER BY rank) AS l FROM top_recs GROUP BY user_id) b
+      ON b.user_id = u.user_id
+    LEFT JOIN (SELECT x.user_id, count(*) AS n FROM recs x JOIN top_recs y ON x.user_id = y.user_id AND x.item_id = y.item_id
+               GROUP BY x.user_id) c ON c.user_id = u.user_id""", "interactions", "user_top", "neighbours",
+    extra=[("recs", _LIKED_RECS_SQL.format(ratings="interactions")),
+           ("top_recs", "SELECT u.user_id, s.item_id, s.rank FROM user_top u JOIN neighbours s ON u.item_id = s.seed_id")]), reuse=True)
+def _compare_content_lists(t: Tables) -> DataFrame:
+    """U2's report by value, on the two content lists of every user."""
+    sim = cut_lineage(_similar(t))
+    a = recommend.content_recs_liked(t.interactions(), sim, n=N_SIMILAR)
+    b = recommend.content_recs_top_item(t.interactions(), sim, n=N_SIMILAR)
+    both = recommend.compare_algorithms(a, b, t.interactions().select("user_id"))
+    joined = {name: F.array_join(F.transform(old, lambda i: i.cast("string")), "|")
+              for name, old in (("liked_items", "als_items"), ("top_item_items", "content_items"))}
+    return both.withColumns(joined).select("user_id", *joined, F.col("n_als").alias("n_liked"), F.col("n_content").alias("n_top_item"),
+                                           F.round("jaccard", 6).alias("jaccard"))
 
 
 # ---------------------------------------------------------------- second corpus: documents
@@ -936,7 +975,7 @@ def _as_files(t: Tables, *names: str) -> str:
 def _serving_sample(t: Tables) -> DataFrame:
     """The ratings file as it is read for serving, with a reproducible fifth of its rows."""
     ratings = files.read_ratings(t.spark, f"{_as_files(t, 'interactions')}/rating.csv")
-    return clean.sample_hash(ratings, 0.2, portable=True)
+    return clean.sample_hash(ratings, 0.2, portable=True).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
 
 @query("csv_items", with_tables(
@@ -951,7 +990,7 @@ def _csv_items(t: Tables) -> DataFrame:
 @query("csv_tags", with_tables("SELECT user_id, item_id, tag, ts FROM tags", "tags"))
 def _csv_tags(t: Tables) -> DataFrame:
     """S3 and the writer: the tags through their CSV file."""
-    return files.read_tags(t.spark, f"{_as_files(t, 'tags')}/tag.csv")
+    return files.read_tags(t.spark, f"{_as_files(t, 'tags')}/tag.csv").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
 
 @query("csv_folder_duplicates", ORACLE["profile_duplicates"])
