@@ -152,3 +152,37 @@ def test_tiles_that_cannot_count_are_skipped(spark, monkeypatch):
     np.fill_diagonal(S, 0)
     want = {(i, j) for i in range(sizes) for j in sorted(range(sizes), key=lambda j: (-S[i, j], j))[:5]}
     assert set(zip(got["seed_id"], got["item_id"])) == want
+
+
+def test_copies_are_scored_once_and_share_their_list(spark, monkeypatch):
+    rows = _random_vectors(n_items=30, n_terms=12, seed=4)
+    copies = [(i + 1000 * k, t, w) for k in range(40) for i, t, w in rows]
+    vec = spark.createDataFrame(copies, "item_id long, term string, weight double")
+    scored = similarity._Classes(vec, 4).rows.count()
+    assert scored <= 30  # 1200 items
+    got = {(r.seed_id, r.item_id, round(r.similarity, 9), r.rank) for r in similarity.similar_items(vec, n=4, num_blocks=2).collect()}
+    assert got == _brute(copies, 4)
+    seeds = spark.createDataFrame([(1,), (1004,), (39001,)], "item_id long")
+    some = {(r.seed_id, r.item_id, round(r.similarity, 9), r.rank) for r in similarity.similar_items_for(vec, seeds, n=4, num_blocks=2).collect()}
+    assert some == {t for t in got if t[0] in (1, 1004, 39001)}
+
+
+def test_single_precision_never_decides_a_rank():
+    import pandas as pd
+
+    rng = np.random.default_rng(3)
+    n_items, n_terms = 700, 60
+    M = rng.random((n_items, n_terms)) * (rng.random((n_items, n_terms)) < 0.3)
+    M[:, 0] += 1.0
+    M[350:] = M[:350] + 1e-8 * rng.random((350, n_terms)) * (M[:350] > 0)  # near copies: apart from the 9th digit on
+    M /= np.sqrt((M * M).sum(axis=1, keepdims=True))
+    pdf = pd.DataFrame({"item_id": rng.permutation(n_items), "terms": [np.flatnonzero(m) for m in M], "weights": [m[m > 0] for m in M],
+                        "top": [int(m.argmax()) for m in M], "blk": np.arange(n_items) % 2, "lo": 0, "hi": 1})
+    S = np.round(M @ M.T, 9)
+    ids = pdf["item_id"].to_numpy()
+    got = similarity._block_pair_kernel(6, 100)(pdf)
+    for x in range(n_items):
+        others = [y for y in range(n_items) if y % 2 != x % 2]
+        want = sorted((-S[x, y], ids[y]) for y in others)[:6]
+        mine = got[got["seed_id"] == ids[x]]
+        assert np.allclose(sorted(-mine["similarity"]), [w for w, _ in want], atol=1.1e-9)
