@@ -8,8 +8,9 @@ prefixes) propose more, overlapping spans.
 Model.  Boosted trees (Spark ML) score every proposed span by its format
 (length, digits, separators, groups, repeated digits, checksum) and context
 (neighbouring characters, words such as "phone" or "mail" or "token" before it).
-They are fitted on about ``FIT_ROWS`` spans: each kind and label has an equal part, and
-a threshold on a hash, set from the group's count, picks it.  Base spans are
+They are fitted on the labelled spans of all texts but a quarter (by hash) that the thresholds
+are taken from.  The spans of a kind and label together weigh at most as much as
+``GROUP_WEIGHT`` spans, so that no frequent kind drowns the others.  Base spans are
 positive.  Spans that overlap no base span are negative if they fail their
 kind's rule, and all of them for e-mail, which has no rule; the other proposals
 that pass a rule are unlabelled and stay out of the fit.  Format is that of the
@@ -50,7 +51,7 @@ from pyspark.sql import functions as F
 from recsift.llm.common import materialise, text_or_empty
 
 KINDS = ("email", "ip", "card", "phone")
-FIT_ROWS = 20_000
+GROUP_WEIGHT = 2500
 TREES = 10
 RECALL = 0.98
 ENOUGH = 10
@@ -196,27 +197,26 @@ def _features(spans: DataFrame) -> DataFrame:
         spans.withColumns({k: F.coalesce(v, F.lit(0.0)) for k, v in values.items()})).drop(*values)
 
 
-def fit(found: DataFrame, rows: int = FIT_ROWS) -> tuple[GBTClassificationModel, dict[int, float]] | None:
-    """(model, threshold by kind) from about ``rows`` spans; None if there is nothing to tell apart."""
+def fit(found: DataFrame) -> tuple[GBTClassificationModel, dict[int, float]] | None:
+    """(model, threshold by kind) from all labelled spans; None if there is nothing to tell apart."""
     base = F.filter("strict", lambda s: s["ok"])
     other = F.filter(F.concat("strict", "wide"), lambda w: (~w["ok"] | (w["kind"] == KINDS.index("email"))) & ~F.exists(
         base, lambda b: (w["start"] < b["stop"]) & (b["start"] < w["stop"])))
     label = lambda spans, y: F.transform(spans, lambda s: F.struct(F.lit(y).alias("label"), s.alias("s")))
     spans = found.select("uid", F.explode(F.concat(label(base, 1.0), label(other, 0.0))).alias("x")).select("uid", "x.label", "x.s.*")
-    # Each kind and label has a part of the rows; a hash of text and position picks them.
-    counts = spans.groupBy("kind", "label").agg(F.count(F.lit(1)).alias("n")).collect()  # 8 rows at most
-    place = F.shiftrightunsigned(F.xxhash64("text", "uid", "start"), 1)
-    below = F.coalesce(*[F.when((F.col("kind") == r["kind"]) & (F.col("label") == r["label"]), F.lit(
-        min(2 ** 63 - 1, int(2 ** 63 * rows / (2 * len(KINDS)) / r["n"])))) for r in counts], F.lit(0).cast("long"))
-    sample = materialise(_features(spans.where(place < below)).select(
-        "kind", "label", "features", (F.pmod(F.xxhash64("uid"), F.lit(4)) == 0).alias("out")), "spans").coalesce(4)
-    n = {r["label"]: r["n"] for r in sample.where("NOT out").groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
-    if len(n) < 2:
+    rows = materialise(_features(spans).select(
+        "kind", "label", "features", (F.pmod(F.xxhash64("uid"), F.lit(4)) == 0).alias("out")), "spans")
+    learn = rows.where("NOT out")
+    if learn.select("label").distinct().count() < 2:
         return None
-    model = GBTClassifier(featuresCol="features", labelCol="label", maxIter=TREES, maxDepth=4, stepSize=0.3, seed=42,
-                          subsamplingRate=1.0, cacheNodeIds=False, minInstancesPerNode=5).fit(sample.where("NOT out").select("label", "features"))
+    counts = rows.groupBy("kind", "label").agg(F.count(F.lit(1)).alias("n")).collect()  # 8 rows at most
+    weight = F.coalesce(*[F.when((F.col("kind") == r["kind"]) & (F.col("label") == r["label"]), F.lit(
+        min(1.0, GROUP_WEIGHT / r["n"]))) for r in counts])
+    model = GBTClassifier(featuresCol="features", labelCol="label", weightCol="weight", maxIter=TREES, maxDepth=4, stepSize=0.3, seed=42,
+                          subsamplingRate=1.0, cacheNodeIds=False, minInstancesPerNode=5).fit(
+        learn.select("label", "features", weight.alias("weight")))
     # A rounded score has at most 51 values per kind: a bounded table.
-    scored = _score(sample.where("out AND label = 1"), model).groupBy("kind", F.round(F.col("score") * 50).alias("bin")).agg(
+    scored = _score(rows.where("out AND label = 1"), model).groupBy("kind", F.round(F.col("score") * 50).alias("bin")).agg(
         F.count(F.lit(1)).alias("n")).collect()
     thresholds = {}
     for kind in range(len(KINDS)):
@@ -242,15 +242,15 @@ def _join_spans(spans: Column) -> Column:
         ":", F.element_at(name, s["kind"] + 1), s["start"].cast("string"), s["stop"].cast("string"))), ",")
 
 
-def find(docs: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:
+def find(docs: DataFrame) -> DataFrame:
     """One row per document: (doc_id, base, spans), both array<struct<kind, start, stop>> in the order kind, start."""
-    return _find(_rows(docs), fit_rows).drop("uid")
+    return _find(_rows(docs)).drop("uid")
 
 
-def _find(texts: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:
+def _find(texts: DataFrame) -> DataFrame:
     """``find`` for (uid, doc_id, text), with the uid."""
     found = candidates(texts)
-    fitted = fit(found, fit_rows)
+    fitted = fit(found)
     place = lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["stop"].alias("stop"))
     base = F.transform(F.filter("strict", lambda s: s["ok"]), place)
     rows = found.select("uid", "doc_id", base.alias("base"))

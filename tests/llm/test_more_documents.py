@@ -120,3 +120,15 @@ def test_shards_balance_bytes_tokens_and_rows(spark, sf):
     assert len(got) == 8
     for c in ("size", "tokens", "n_rows"):
         assert got[c].max() / got[c].mean() < (1.01 if sf == SF else 1.1), (c, got[c].tolist())
+
+
+def test_personal_data_model_learns_from_every_span(spark, monkeypatch):
+    texts = [" ".join(f"mail a{i}x{j}@site{j}.org ip 1{j % 90}.2.3.{i} build 999.{j}.1.{i}00" for j in range(40)) for i in range(200)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    seen = []
+    fit = pii.GBTClassifier.fit
+    monkeypatch.setattr(pii.GBTClassifier, "fit", lambda self, df: seen.append(df.where("label = 1").count()) or fit(self, df))
+    found = pii.candidates(pii._rows(docs))
+    pii.fit(found)
+    left_out = found.where(F.pmod(F.xxhash64("uid"), F.lit(4)) == 0).count()
+    assert seen == [(200 - left_out) * 2 * 40]  # an address and an ip in each of 40 places
