@@ -223,10 +223,15 @@ def split_per_user(df: DataFrame, train_share: float = 0.8, user: str = "user_id
 
 
 def split_random(df: DataFrame, weights=(0.8, 0.2), seed: int = 42) -> DataFrame:
-    """``randomSplit`` with a ``split`` label ('train' / 'test')."""
-    train, test = df.randomSplit(list(weights), seed)
-    return (train.withColumn("split", F.lit("train"))
-            .unionByName(test.withColumn("split", F.lit("test"))))
+    """A seeded random ``split`` label ('train' / 'test') for every row.
+
+    ``randomSplit`` sorts every partition by all columns once for each side, so that both sides see the
+    same order.  Here a row gets its label in one pass, and the labelled rows are written once to the
+    shared folder: no sort, and every reader sees the same sides.  As with any seeded sampler, the rows of a
+    side depend on partitioning and on the order of the rows.
+    """
+    share = weights[0] / sum(weights)
+    return cut_lineage(df.withColumn("split", F.when(F.rand(seed) < share, "train").otherwise("test")))
 
 
 def split_report(split: DataFrame, labels: tuple[str, ...] = ("train", "test")) -> DataFrame:

@@ -127,3 +127,14 @@ def test_duplicates_by_digest_are_exact(spark, monkeypatch):
     assert tuple(clean.duplicate_counts(df, "t").first()) == tuple(r)
     empty = clean.duplicate_counts(df.limit(0), "t").first()
     assert (empty.n_rows, empty.n_distinct, empty.n_duplicates) == (0, 0, 0)
+
+
+def test_random_split_sorts_nothing_and_keeps_every_row(spark):
+    df = spark.range(20_000).selectExpr("id % 3 AS user_id", "id AS item_id")
+    out = clean.split_random(df, (0.8, 0.2), seed=1)
+    assert "Sort" not in out._jdf.queryExecution().toString()
+    for _ in range(2):  # the sides are fixed, for each reader
+        train, test = (out.where(f"split = '{s}'").select("item_id") for s in ("train", "test"))
+        assert train.intersect(test).count() == 0 and train.union(test).distinct().count() == 20_000
+    assert 0.78 < train.count() / 20_000 < 0.82
+    assert clean.split_random(df, (0.8, 0.2), seed=1).exceptAll(out).count() == 0
