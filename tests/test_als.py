@@ -193,3 +193,32 @@ def test_grid_experiment_resumes(spark, low_rank, tmp_path):
     assert [(r["rank"], round(r.avg_rmse, 5), r.is_best) for r in again] == [(r["rank"], round(r.avg_rmse, 5), r.is_best) for r in first]
     # Every rating is in exactly one fold.
     assert sum(als._finished(spark, path)[(2, 2, 0.1, f)][0] for f in range(2)) <= train.count()
+
+
+def test_reach_bounds_and_unusable_vectors(spark):
+    from recsift.operators import retrieval
+
+    # Long items that point away from all queries: norms alone would score every one of them.
+    rng = np.random.default_rng(6)
+    queries = np.column_stack([10 + rng.random(40), rng.random((40, 2)) / 10])
+    items = np.vstack([np.column_stack([5 + rng.random(200), rng.random((200, 2))]),
+                       np.column_stack([rng.random(400), 50 + rng.random((400, 2))])])
+    along = queries.mean(axis=0) / np.linalg.norm(queries.mean(axis=0))
+
+    def split(m):
+        return m @ along, np.linalg.norm(m - np.outer(m @ along, along), axis=1)
+
+    bounds = retrieval.reaches(*split(queries), retrieval._support(*split(items), 1))
+    scores = queries @ items.T
+    assert (bounds >= scores).all()
+    fifth = np.sort(scores, axis=1)[:, -5]
+    assert (bounds >= fifth[:, None]).mean() < 0.2
+    # A vector that holds NaN or NULL hides no other item of its band, and no query.
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(items)] + [(1000 + i, [float("nan")] * 3) for i in range(7)]
+    rows += [(2000, [1.0, None, 1.0]), (2001, None)]
+    got = retrieval.top_n(spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(queries)],
+                                                "query_id long, vec array<double>"),
+                          spark.createDataFrame(rows, "item_id long, vec array<double>"), 5, chapter=100)
+    single = queries.astype(np.float32).astype(float) @ items.astype(np.float32).astype(float).T
+    want = {(q, int(i), k + 1) for q in range(40) for k, i in enumerate(np.lexsort((np.arange(600), -np.round(single[q], 9)))[:5])}
+    assert {(r.query_id, r.item_id, r["rank"]) for r in got.collect()} == want
