@@ -10,17 +10,20 @@ a third of all titles hold spans as many files as it needs.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recsift.functions.text import contains_ci
-from recsift.session import new_path
+from recsift.session import cut_lineage, new_path
 
 GRAM = 3
 #: Trigrams whose candidates are intersected before titles are read.
 PROBES = 3
+#: Titles whose trigrams a task holds while the table is built.
+TITLES_PER_TASK = 50_000
 
 
 @dataclass(frozen=True)
@@ -37,11 +40,16 @@ class TitleIndex:
         index = cls(spark, path or new_path(spark))
         known = items.where(F.col("title").isNotNull() & F.col("item_id").isNotNull())
         (known.repartitionByRange("item_id").sortWithinPartitions("item_id").write.parquet(f"{index.path}/titles"))
+        # Spread before the trigrams are made: a scan of few large splits would hold those of millions of titles in a task.
+        known = index._table("titles").select("item_id", "title")
+        tasks = max(spark.sparkContext.defaultParallelism, math.ceil(known.count() / TITLES_PER_TASK))
+        known = known.repartition(tasks, "item_id")
         chars = F.regexp_extract_all(F.lower("title"), F.lit("(?s)."), F.lit(0))  # one pass, whole characters
         grams = F.when(F.size("c") >= GRAM, F.transform(F.sequence(F.lit(0), F.size("c") - GRAM), lambda i: F.concat(
             *[F.get(F.col("c"), i + k) for k in range(GRAM)])))
         rows = known.select("item_id", chars.alias("c")).select("item_id", F.explode(F.array_distinct(grams)).alias("gram"))
-        (rows.select("gram", "item_id").distinct().repartitionByRange("gram", "item_id").sortWithinPartitions("gram", "item_id")
+        rows = cut_lineage(rows.select("gram", "item_id").distinct())  # the range partitioning reads them twice
+        (rows.repartitionByRange(tasks, "gram", "item_id").sortWithinPartitions("gram", "item_id")
          .write.parquet(f"{index.path}/grams"))
         sizes = spark.read.parquet(f"{index.path}/grams").groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
         sizes.repartitionByRange("gram").sortWithinPartitions("gram").write.parquet(f"{index.path}/sizes")

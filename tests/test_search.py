@@ -93,3 +93,15 @@ def test_bucketed_interactions_need_no_exchange(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
+def test_trigrams_are_made_in_spread_tasks(spark, tmp_path, monkeypatch):
+    from recsift.operators import search
+
+    # One split of titles must not be one task of trigrams: the table has a file for each ``TITLES_PER_TASK`` titles.
+    monkeypatch.setattr(search, "TITLES_PER_TASK", 20, raising=False)
+    rows = [(i, f"title number {i:03d}") for i in range(400)] + [(7, "title number 007"), (8, None)]
+    items = spark.createDataFrame(rows, "item_id long, title string").coalesce(1)
+    index = search.TitleIndex.build(items, str(tmp_path / "t"))
+    assert spark.read.parquet(f"{index.path}/grams").inputFiles().__len__() > 16
+    assert [r.item_id for r in index.search("r 007", limit=None).collect()] == [7, 7]
