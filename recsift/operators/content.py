@@ -18,6 +18,7 @@ vocabulary); Spark ML's ``IDF`` omits the ``+ 1`` and is therefore not used.
 from __future__ import annotations
 
 import logging
+import math
 
 from pyspark.errors import AnalysisException, DateTimeException, NumberFormatException
 from pyspark.sql import DataFrame, Window
@@ -36,6 +37,8 @@ MAX_FEATURES_SIMPLE = 1000
 #: Vocabularies up to this many terms are held as a local relation; larger ones stay a table.
 LOCAL_VOCABULARY = 50_000
 UNSET = "unset"
+#: Characters of documents whose terms a task counts.
+CHARS_PER_TASK = 1 << 22
 
 
 def genome_text(tag_scores: DataFrame, tag_names: DataFrame) -> DataFrame:
@@ -140,8 +143,14 @@ def _drop_stop_words(df: DataFrame, stop_words: bool) -> DataFrame:
 
 def document_terms(docs: DataFrame, stop_words: bool = True, id_col: str = "item_id",
                    text_col: str = "document") -> DataFrame:
-    """T3 on ready documents: (id, term, tf), over the whole text of each document."""
+    """T3 on ready documents: (id, term, tf), over the whole text of each document.
+
+    Documents are spread by id, into tasks by their characters: the terms of a task are
+    bounded however few splits the scan has, and need no further shuffle.
+    """
     d = docs.select(F.col(id_col).alias("item_id"), F.col(text_col).alias("document"))
+    chars = d.agg(F.sum(F.length("document"))).first()[0] or 0
+    d = d.repartition(max(docs.sparkSession.sparkContext.defaultParallelism, math.ceil(chars / CHARS_PER_TASK)), "item_id")
     t = _drop_stop_words(_explode_terms(d, "document"), stop_words)
     out = t.groupBy("item_id", "term").agg(F.sum("n").alias("tf"))
     return out if id_col == "item_id" else out.withColumnRenamed("item_id", id_col)

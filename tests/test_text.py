@@ -35,3 +35,17 @@ def test_regex_search_keeps_escapes(spark):
                                   "item_id long, title string, genres array<string>")
     got = [r.item_id for r in lookup.search_titles(items, r"alien \D", regex=True).collect()]
     assert got == [2]
+
+
+def test_terms_are_counted_in_spread_tasks(spark, monkeypatch):
+    from recsift.operators import content
+
+    monkeypatch.setattr(content, "CHARS_PER_TASK", 100, raising=False)
+    rows = [(i % 300, f"alpha beta gamma{i} beta") for i in range(600)]  # ids repeat
+    docs = spark.createDataFrame([*rows, (None, "alpha"), (5, None)], "item_id long, document string").coalesce(1)
+    terms = content.document_terms(docs, stop_words=False)
+    got = {(r.item_id, r.term): r.tf for r in terms.collect()}
+    assert got[(7, "beta")] == 4 and got[(None, "alpha")] == 1 and len(got) == 300 * 4 + 1
+    # A shuffle by id before the terms are made, and none after.
+    plan = terms.select("*")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(") == 1 and plan.index("Generate") < plan.index("Exchange")
