@@ -186,3 +186,47 @@ def test_single_precision_never_decides_a_rank():
         want = sorted((-S[x, y], ids[y]) for y in others)[:6]
         mine = got[got["seed_id"] == ids[x]]
         assert np.allclose(sorted(-mine["similarity"]), [w for w, _ in want], atol=1.1e-9)
+
+
+def _catalogue(n_items):
+    """Items of a name, a brand and a year each: (item_id, terms, weights) in unit length."""
+    rng = np.random.default_rng(5)
+    rows = []
+    for i in range(n_items):
+        terms = np.array([rng.integers(8), 10 + rng.integers(10), 30 + rng.integers(20)])
+        w = np.array([3.1, 3.3, 4.0])
+        rows.append((i, terms, w / np.sqrt((w * w).sum())))
+    return rows
+
+
+def test_floors_leave_few_pairs_and_the_same_lists(monkeypatch):
+    import pandas as pd
+
+    pdf = pd.DataFrame(_catalogue(6000), columns=["item_id", "terms", "weights"])
+    pdf["blk"], pdf["lo"], pdf["hi"] = np.arange(len(pdf)) % 2, 0, 1
+    heavy = pdf.iloc[np.lexsort(np.stack(pdf["terms"].to_list()).T)]
+    floors = pd.concat(similarity._floor_kernel(4)(iter([heavy[["item_id", "terms", "weights"]]])))
+    made = []
+    dot = similarity._dot
+    monkeypatch.setattr(similarity, "_dot", lambda a, b: made.append(len(a[1]) * len(b[1])) or dot(a, b))
+    got = similarity._block_pair_kernel(4, own=True)(pdf.merge(floors, on="item_id", how="left"))
+    assert sum(made) < 0.5 * 3000 * 3000  # every pair of the two blocks was made before
+    M = np.zeros((len(pdf), 50))
+    for i, t, w in pdf[["item_id", "terms", "weights"]].itertuples(index=False):
+        M[i, t] = w
+    S = np.round(M @ M.T, 9)
+    floor = floors.set_index("item_id")["floor"]
+    nth = np.sort(S, axis=1)[:, -4]
+    assert (floor.to_numpy() <= nth[floor.index] + 1.1e-9).all()  # never above the n-th of all
+    mine = {i: set(zip(g["item_id"], g["similarity"].round(8))) for i, g in got.groupby("seed_id")}
+    for i in range(0, len(pdf), 7):
+        across = [j for j in range(len(pdf)) if j % 2 != i % 2 and S[i, j] > nth[i] + 2e-9]
+        assert {(j, round(S[i, j], 8)) for j in sorted(across, key=lambda j: (-S[i, j], j))[:4]} <= mine.get(i, set())
+
+
+def test_lists_by_floors_match_brute_force(spark):
+    rows = [(i, f"t{t}", float(x)) for i, terms, w in _catalogue(900) for t, x in zip(terms, w)]
+    vec = spark.createDataFrame(rows, "item_id long, term string, weight double")
+    got = {(r.seed_id, r.item_id, round(r.similarity, 9), r.rank)
+           for r in similarity.similar_items(vec, n=5, num_blocks=3).collect()}
+    assert got == _brute(rows, 5)
