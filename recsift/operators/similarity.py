@@ -28,6 +28,14 @@ class's candidates pick its best items, which its members share (each without it
 Task memory is bounded by the packed blocks, their bounds for 256 tiles and one product, whatever
 the term distribution.  Where bounds rule out nothing, the work remains two products per pair of classes.
 
+Catalogues of more than one block are not cut into all block pairs.  A class with floor ``f``
+can only be reached by vectors that share one of its first terms, those without which
+the rest of its vector is shorter than ``f`` (rare terms come first).  So it asks for
+the groups of these terms alone: a frequent term's group holds the classes with that
+term, rare terms share groups.  Groups are cut into blocks as above, a query block and
+a candidate block a task.  A class whose first terms hold more than the catalogue asks for all
+of it; where most do (long vectors, low floors), all block pairs are searched.
+
 Ranking: similarity rounded to 9 digits, descending, ties to the smaller id;
 only positive similarities (items sharing no kept term are not padded), and an
 item is never its own neighbour (excluded by id, so exact duplicates rank 1).
@@ -69,6 +77,8 @@ PRODUCTS = 500
 UNIT = 2.0**-24  # rounding of single precision
 SLACK = 1e-9  # half a unit of the last digit kept, and the rounding of a bound
 TINY = np.finfo(np.float32).tiny
+SHARED = 16  # a term of more rows than this part of a block has a group of its own
+EVERYTHING = -1  # the group of all classes
 NO_ID = -(2**63)  # stands for a NULL id, which may name itself
 
 
@@ -420,6 +430,93 @@ def num_blocks_for(vectors: DataFrame, block_size: int = MAX_BLOCK, n_items: int
     return max(1, by_size, min(by_cores, max(1, n_items // 256)))
 
 
+def _groups_kernel(frequent: dict, bundles: int, rare: int, count: int, longest: float):
+    """Adds ``ask``, the groups where a row's best can be, and ``hold``, the groups that it is in.
+
+    ``frequent``: (group, rows) of the terms that have a group of their own; the others share ``bundles`` groups,
+    of about ``rare`` entries."""
+    def groups(pdf: pd.DataFrame) -> pd.DataFrame:
+        sizes = pdf["terms"].map(len).to_numpy(np.int64)
+        codes, known = pd.factorize(np.concatenate(pdf["terms"].to_list()))
+        weights = np.concatenate(pdf["weights"].to_list())
+        row = np.repeat(np.arange(len(pdf)), sizes)
+        own = [frequent.get(t) for t in known.tolist()]
+        shared = pd.util.hash_array(np.asarray(known)) % np.uint64(bundles)
+        group = np.array([int(b) if g is None else g[0] for g, b in zip(own, shared)])
+        held = np.array([0 if g is None else g[1] for g in own])
+        order = np.lexsort((codes, -weights, held[codes], row))
+        codes, weights = codes[order], weights[order]  # by row: rare terms, heavy ones first, then by rows
+        rest = np.cumsum((weights**2)[::-1])[::-1]  # from an entry to the last of its row
+        ends = np.cumsum(sizes)
+        rest = rest - np.repeat(np.append(rest, 0.0)[ends], sizes)
+        floor = pdf["floor"].to_numpy(np.float64, na_value=-np.inf)
+        floor = np.where(np.isnan(floor), -np.inf, floor)
+        needed = np.sqrt(rest.clip(0)) * longest * (1 + SLACK) + 10 * SLACK >= floor[row]
+        cost = np.bincount(row[needed], weights=np.maximum(held[codes[needed]], rare), minlength=len(pdf))
+        wide = cost > count
+        pdf["ask"] = _distinct(np.append(row[needed & ~wide[row]], np.flatnonzero(wide)),
+                               np.append(group[codes[needed & ~wide[row]]], np.full(wide.sum(), EVERYTHING)), len(pdf))
+        pdf["hold"] = _distinct(row, group[codes], len(pdf))
+        return pdf
+
+    def kernel(batches):
+        for pdf in batches:
+            if len(pdf):
+                yield groups(pdf.reset_index(drop=True))
+    return kernel
+
+
+def _distinct(row: np.ndarray, values: np.ndarray, n_rows: int) -> list[np.ndarray]:
+    """By row, its different values."""
+    pairs = np.unique(np.column_stack((row, values)), axis=0)
+    return np.split(pairs[:, 1], np.searchsorted(pairs[:, 0], np.arange(1, n_rows)))
+
+
+def _by_terms(rows: DataFrame, count: int, n: int, block_size: int, own: DataFrame | None = None) -> DataFrame | None:
+    """Entries (``OUT_SCHEMA``) of the ``n`` best of every class (of ``own``), found in the groups of its first
+    terms; None where most classes ask for the whole catalogue.  ``rows`` is (item_id, terms, weights, floor).
+
+    The driver sees the terms that have a group of their own and two counts per group: about a group for each
+    4,096 entries of all rows, with blocks of 65,536.
+    """
+    spark = rows.sparkSession
+    rows = cut_lineage(rows)
+    rare = max(1, block_size // SHARED)
+    counts = cut_lineage(rows.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n")))
+    bundles = max(1, math.ceil((counts.where(F.col("n") <= rare).agg(F.sum("n")).first()[0] or 0) / rare))
+    frequent = {r.term: (bundles + i, r.n) for i, r in enumerate(counts.where(F.col("n") > rare).orderBy("term").collect())}
+    square = F.aggregate("weights", F.lit(0.0), lambda s, w: s + w * w)
+    longest = math.sqrt(rows.agg(F.max(square)).first()[0] or 0.0)
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema)
+    dealt = cut_lineage(rows.mapInPandas(_groups_kernel(frequent, bundles, rare, count, longest),
+                                         f"{schema}, ask array<bigint>, hold array<bigint>"))
+    queries = dealt if own is None else cut_lineage(dealt.join(own, "item_id", "left_semi"))
+    asks = {r.grp: r.n for r in queries.select(F.explode("ask").alias("grp")).groupBy("grp").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if asks.get(EVERYTHING, 0) > queries.count() / 2:
+        return None
+    if EVERYTHING in asks:
+        dealt = dealt.withColumn("hold", F.array_append("hold", F.lit(EVERYTHING).cast("long")))
+    holds = {r.grp: r.n for r in dealt.select(F.explode("hold").alias("grp")).groupBy("grp").agg(F.count(F.lit(1)).alias("n")).collect()}
+    cut = [(g, math.ceil(k / block_size), math.ceil(holds[g] / block_size)) for g, k in sorted(asks.items())]
+    if not cut:
+        return spark.createDataFrame([], OUT_SCHEMA)
+    sizes = F.broadcast(spark.createDataFrame(cut, "grp long, qs long, cs long"))
+    vector, zero = ["item_id", "terms", "weights", "floor"], F.lit(0).cast("long")
+
+    def side(df: DataFrame, groups: str, mine: str, theirs: str, role: int) -> DataFrame:
+        dealt = df.select(*vector, F.explode(groups).alias("grp")).join(sizes, "grp")
+        return dealt.withColumn(mine[0], F.pmod(F.xxhash64("item_id"), F.col(mine))).withColumn(
+            theirs[0], F.explode(F.sequence(zero, F.col(theirs) - 1))).select(*vector, "grp", "q", "c", F.lit(role).alias("role"))
+
+    both = side(queries, "ask", "qs", "cs", 0).unionByName(side(dealt, "hold", "cs", "qs", 1))
+    total = sum(asks[g] * c + holds[g] * q for g, q, c in cut)
+    tasks = max(4 * spark.sparkContext.defaultParallelism, math.ceil(total / block_size))
+    by = ["grp", "q", "c"]
+    out = cut_lineage(both.repartition(tasks, *by).groupBy(*by).applyInPandas(_seeded_kernel(n, own=True), OUT_SCHEMA))
+    # A pair that shares several terms may be found in several groups, with the same similarity.
+    return out.repartition("seed_id").groupBy("seed_id", "item_id").agg(F.max("similarity").alias("similarity"))
+
+
 def similar_items(vectors: DataFrame, n: int = 10, num_blocks: int | None = None,
                   block_size: int = MAX_BLOCK, n_items: int | None = None) -> DataFrame:
     """(seed_id, item_id, similarity, rank) — the n nearest items of every item.
@@ -429,6 +526,10 @@ def similar_items(vectors: DataFrame, n: int = 10, num_blocks: int | None = None
     classes = _Classes(vectors, n)
     B = num_blocks or num_blocks_for(vectors, block_size, classes.count)
     rows = classes.rows.join(classes.floors(), "item_id", "left") if B > 1 else classes.rows.withColumn("floor", _no_floor())
+    if num_blocks is None and classes.count > block_size:
+        found = _by_terms(rows.select("item_id", "terms", "weights", "floor"), classes.count, n + 1, block_size)
+        if found is not None:
+            return classes.lists(found)
     v = rows.withColumn("blk", F.pmod(F.xxhash64("item_id"), F.lit(B)).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.lit(B - 1))).alias("other")
     pairs = v.select("*", other).select("item_id", "terms", "weights", "floor", "blk",
@@ -447,8 +548,8 @@ def similar_items_for(vectors: DataFrame, seeds: DataFrame, n: int = 10, num_blo
     users' top items: same ranking as ``similar_items``, restricted to seeds.
 
     The seeds' classes are cut into ``Bs`` blocks and all classes into ``B`` blocks; a
-    task scores one seed block against one candidate block.  Work is |seeds|
-    x catalogue (not catalogue squared) and a task never holds more than one
+    task scores one seed block against one candidate block; many seeds ask for the groups
+    of their first terms, as in ``similar_items``.  Work is at most |seeds| x catalogue (not catalogue squared) and a task never holds more than one
     block of each side, however many seeds there are.
     """
     classes = _Classes(vectors, n)
@@ -461,7 +562,13 @@ def similar_items_for(vectors: DataFrame, seeds: DataFrame, n: int = 10, num_blo
     Bs = max(1, math.ceil(n_seeds / block_size))
     own_rows = classes.rows.join(own, "item_id", "left_semi")
     many = B > 1 and n_seeds >= NEAR_ROWS  # few seeds are cheaper to search than floors for the catalogue
-    own_rows = own_rows.join(classes.floors(), "item_id", "left") if many else own_rows.withColumn("floor", _no_floor())
+    floors = classes.floors() if many else None
+    if many and num_blocks is None and classes.count > block_size:
+        rows = classes.rows.join(floors, "item_id", "left").select("item_id", "terms", "weights", "floor")
+        found = _by_terms(rows, classes.count, n + 1, block_size, own)
+        if found is not None:
+            return classes.lists(found, seed_ids)
+    own_rows = own_rows.join(floors, "item_id", "left") if many else own_rows.withColumn("floor", _no_floor())
     seed_vec = own_rows.select(
         "item_id", "terms", "weights", "floor", F.pmod(F.xxhash64("item_id"), F.lit(Bs)).cast("int").alias("sb"),
         F.explode(F.sequence(F.lit(0), F.lit(B - 1))).alias("cb"), F.lit(0).alias("role"))
