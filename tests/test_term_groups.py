@@ -82,3 +82,11 @@ def test_a_row_asks_for_its_first_terms_alone():
     # Without the rare term the rest is 0.72 long, without the year 0.4; a third row without a floor asks for all it has.
     assert [list(x) for x in out["ask"]] == [[0], [0, 5], [similarity.EVERYTHING], [5]]
     assert [list(x) for x in out["hold"]] == [[0, 5, 6]] * 3 + [[5, 6]]
+
+
+def test_groups_and_block_pairs_agree_on_copies_and_null_ids(spark, grouped):
+    rows = _rows(500) + [(i + 5000, t, w) for i, t, w in _rows(500) if i < 120] + [(None, t, w) for i, t, w in _rows(500, 6) if i == 9]
+    vec = spark.createDataFrame(rows, "item_id long, term string, weight double")
+    got, want = (sorted(similarity.similar_items(vec, n=3, **how).collect(), key=str) for how in ({"block_size": 48}, {"num_blocks": 3}))
+    assert got == want and len(got) > 1500
+    assert len(grouped) == 1 and grouped[0] is not None
